@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from reviewlake.operators import filters as FL
 from reviewlake.operators import metrics as M
 from reviewlake.operators.classify import with_keyword_category
-from reviewlake.sources.tables import classified_reviews, read_table, reviews
+from reviewlake.sources.tables import classified_reviews, read_table, reviews, spread
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, QueryFn] = {}
@@ -199,7 +199,7 @@ def q_classified_counts(spark, sf):
 @register("keyword_category_documents")
 def q_keyword_category_documents(spark, sf):
     """Keyword cascade over the full text of every document, counted per category."""
-    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    d = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
     d = with_keyword_category(d, "text", "sport_category", fill="other")
     return d.groupBy("sport_category").agg(F.count(F.lit(1)).alias("n"))
 

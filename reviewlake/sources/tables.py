@@ -63,6 +63,20 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Give a CPU-heavy text stage at least ``per_core`` tasks per core.
+
+    A small file with one row group scans as one busy task (the other
+    splits are empty); round-robin it over ``per_core × cores`` partitions.
+    Large inputs already have more splits than that and are left alone, so
+    the extra shuffle only ever happens on small data.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism * per_core
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def phrase_for(doc_id: Column) -> Column:
     return F.element_at(F.array(*[F.lit(p) for p in PHRASES]),
                         (doc_id % F.lit(len(PHRASES))).cast("int") + F.lit(1))
