@@ -87,9 +87,10 @@ def leading_int(col: Column) -> Column:
     return F.element_at(F.split(F.trim(col), r"\s+"), 1).try_cast("int")
 
 
-def hash_id(prefix_: str, *cols: Column) -> Column:
-    """Deterministic id: prefix + full-width 64-bit xxhash of the columns.
+def hash_id(prefix_: str, col: Column) -> Column:
+    """Deterministic id: prefix + MD5 hex of a text column.
 
-    Same input → same id in every run, batch or stream (unlike a
-    per-process salted hash)."""
-    return F.concat(F.lit(prefix_), F.xxhash64(*cols).cast("string"))
+    Same input → same id in every run, process, batch or stream (unlike a
+    per-process salted hash), 128 bits wide (no bucket collisions), and
+    reproducible by any SQL engine that has ``md5``."""
+    return F.concat(F.lit(prefix_), F.md5(col.cast("string")))

@@ -1,3 +1,162 @@
-"""Further registered queries (sources, sets, upsert, text, streaming)."""
+"""Further registered queries: source normalisers, union / dedup, upsert,
+storage projection, sentiment policy, text features."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reviewlake.functions.numeric import stars_label, stars_score
+from reviewlake.operators.merge import UPDATE_SENTIMENT, UPDATE_TOUCH_ONLY, upsert
+from reviewlake.operators.projections import apply_sentiment_policy, to_stored, with_text_features
+from reviewlake.operators.setops import dedup_first, union_sources
+from reviewlake.registry import register
+from reviewlake.sources import landing as L
+from reviewlake.sources import payloads as P
+from reviewlake.sources.tables import classified_reviews, read_table, reviews, spread
+
+TABLE_INGESTED_AT = "2026-01-01 00:00:00"
+BATCH_INGESTED_AT = "2026-02-01 00:00:00"
+
+
+# ------------------------------------------------------------ normalisers
+@register("play_normalise")
+def q_play_normalise(spark, sf):
+    return P.normalise_play(L.play_payloads(spark, sf))
+
+
+@register("feed_normalise")
+def q_feed_normalise(spark, sf):
+    return P.normalise_feed(L.feed_payloads(spark, sf))
+
+
+@register("listing_normalise")
+def q_listing_normalise(spark, sf):
+    return P.normalise_listing(L.listing_payloads(spark, sf))
+
+
+@register("jsonld_reviews")
+def q_jsonld_reviews(spark, sf):
+    return P.normalise_review_pages(L.review_page_payloads(spark, sf))
+
+
+@register("jsonld_products")
+def q_jsonld_products(spark, sf):
+    return P.normalise_product_pages(L.product_page_payloads(spark, sf))
+
+
+def normalised_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The five sources in collection order (= dedup priority)."""
+    return [
+        P.normalise_play(L.play_payloads(spark, sf)),
+        P.normalise_feed(L.feed_payloads(spark, sf)),
+        P.normalise_review_pages(L.review_page_payloads(spark, sf)),
+        P.normalise_listing(L.listing_payloads(spark, sf)),
+        P.normalise_product_pages(L.product_page_payloads(spark, sf)),
+    ]
+
+
+@register("union_sources")
+def q_union_sources(spark, sf):
+    return union_sources(normalised_sources(spark, sf))
+
+
+@register("dedup_products")
+def q_dedup_products(spark, sf):
+    """Product reviews share ids (hash of the first 50 characters): hot keys."""
+    return dedup_first(P.normalise_product_pages(L.product_page_payloads(spark, sf)), "review_id", ["date"])
+
+
+@register("collect_pipeline")
+def q_collect_pipeline(spark, sf):
+    """Union of the five sources, first occurrence per id (source order)."""
+    u = union_sources(normalised_sources(spark, sf))
+    return dedup_first(u, "review_id", ["source_priority", "date"]).drop("source_priority")
+
+
+# ---------------------------------------------------------- storage, upsert
+def stored_table(spark: SparkSession, sf: str) -> DataFrame:
+    return to_stored(classified_reviews(spark, sf).drop("doc_id"),
+                     ingested_at=F.to_timestamp(F.lit(TABLE_INGESTED_AT)))
+
+
+def relabel_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch: relabelled documents (updates) + benchmark items (inserts),
+    deduplicated by id before the merge."""
+    lab = read_table(spark, sf, "labels")
+    upd = lab.select(
+        F.concat(F.lit("r_"), F.col("doc_id").cast("string")).alias("review_id"),
+        F.lit("relabel").alias("source"),
+        F.lit(None).cast("string").alias("store_id"),
+        F.lit(None).cast("string").alias("store_city"),
+        F.lit(None).cast("double").alias("rating"),
+        F.lit(None).cast("string").alias("text"),
+        F.lit(None).cast("string").alias("language"),
+        F.lit(None).cast("string").alias("date"),
+        F.lit(None).cast("string").alias("sport_category"),
+        F.when(F.col("quality") == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("sentiment_label"),
+        (F.col("quality") - F.col("toxic")).cast("double").alias("sentiment_score"),
+    )
+    bench = read_table(spark, sf, "benchmark")
+    ins = bench.select(
+        F.concat(F.lit("b_"), F.col("item_id").cast("string")).alias("review_id"),
+        F.lit("benchmark").alias("source"),
+        F.lit("store_b").alias("store_id"),
+        F.lit(None).cast("string").alias("store_city"),
+        F.lit(3.0).alias("rating"),
+        F.col("text"),
+        F.lit("en").alias("language"),
+        F.lit("2026-01-15T00:00:00").alias("date"),
+        F.lit("other").alias("sport_category"),
+        F.lit("neutral").alias("sentiment_label"),
+        F.lit(0.0).alias("sentiment_score"),
+    )
+    batch = dedup_first(upd.unionByName(ins), "review_id", ["source"])
+    return to_stored(batch, ingested_at=F.to_timestamp(F.lit(BATCH_INGESTED_AT)))
+
+
+@register("upsert_sentiment")
+def q_upsert_sentiment(spark, sf):
+    return upsert(stored_table(spark, sf), relabel_batch(spark, sf), "review_id", UPDATE_SENTIMENT,
+                  now=F.to_timestamp(F.lit(BATCH_INGESTED_AT)))
+
+
+@register("upsert_touch")
+def q_upsert_touch(spark, sf):
+    return upsert(stored_table(spark, sf), relabel_batch(spark, sf), "review_id", UPDATE_TOUCH_ONLY,
+                  now=F.to_timestamp(F.lit(BATCH_INGESTED_AT)))
+
+
+@register("store_projection")
+def q_store_projection(spark, sf):
+    return stored_table(spark, sf)
+
+
+@register("process_reviews")
+def q_process_reviews(spark, sf):
+    """The processing job over the stored layout with full document texts:
+    length, lower-cased text and length band."""
+    d = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
+    t = d.select(F.concat(F.lit("r_"), F.col("doc_id").cast("string")).alias("review_id"),
+                 F.col("text").alias("review_text"))
+    return with_text_features(t, "review_text").drop("review_text")
+
+
+# ------------------------------------------------------ sentiment policy
+def _with_model_columns(df: DataFrame) -> DataFrame:
+    """Star-model columns from a deterministic 1..5 star value per row."""
+    stars = (F.col("doc_id") % 5 + 1).cast("int")
+    return df.withColumn("bert_label", stars_label(stars)).withColumn("bert_score", stars_score(stars))
+
+
+@register("sentiment_policy_override")
+def q_sentiment_policy_override(spark, sf):
+    df = apply_sentiment_policy(_with_model_columns(reviews(spark, sf)), "override")
+    return df.select("review_id", "sentiment_label", "sentiment_score")
+
+
+@register("sentiment_policy_fill")
+def q_sentiment_policy_fill(spark, sf):
+    # the label column exists (kept), the score column does not (filled)
+    df = apply_sentiment_policy(_with_model_columns(reviews(spark, sf)).drop("sentiment_score"), "fill")
+    return df.select("review_id", "sentiment_label", "sentiment_score")

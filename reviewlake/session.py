@@ -21,6 +21,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -48,7 +49,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def _fill_unset(spark: SparkSession) -> None:
     for k, v in _DEFAULTS.items():
-        if k == "spark.ui.enabled":
+        if k.startswith("spark.ui."):
             continue  # static conf; only settable at build time
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
