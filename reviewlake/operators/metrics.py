@@ -241,7 +241,8 @@ def classified_counts(df: DataFrame, col: str = "sport_category") -> DataFrame:
 
 
 def run_metrics(df: DataFrame, run_id: str, label_col: str = "bert_label", score_col: str = "bert_score",
-                load_seconds: float | None = None, inference_seconds: float | None = None) -> DataFrame:
+                load_seconds: float | None = None, inference_seconds: float | None = None,
+                logged_at: Column | None = None) -> DataFrame:
     """Run metrics of a scoring run in long form ``(run_id, kind, name, value_num, value_str, logged_at)``.
 
     One aggregate row is computed (counts, shares, means), then unpivoted
@@ -277,7 +278,8 @@ def run_metrics(df: DataFrame, run_id: str, label_col: str = "bert_label", score
         n=len(names), pairs=", ".join(f"'{c}', `{c}`" for c in names))
     return metrics.selectExpr(stack).select(
         F.lit(run_id).alias("run_id"), F.lit("metric").alias("kind"), "name", "value_num",
-        F.lit(None).cast("string").alias("value_str"), F.current_timestamp().alias("logged_at"))
+        F.lit(None).cast("string").alias("value_str"),
+        (F.current_timestamp() if logged_at is None else logged_at).alias("logged_at"))
 
 
 # --------------------------------------------------------------------------
@@ -327,3 +329,27 @@ def lowest_scores(df: DataFrame, n: int = 3, score_col: str = "sentiment_score",
         Window.orderBy(F.col(score_col).asc_nulls_last(), F.col("review_id").asc())).cast("long"))
     return top.select("pos", "review_id", "store_city", F.col(score_col).alias("score"),
                       F.concat(F.substring("text", 1, preview_chars), F.lit("...")).alias("preview"))
+
+
+def insight_report(df: DataFrame, k: int = 3) -> DataFrame:
+    """The printed insight report as one long frame
+    ``(section, item, n, value, rank)``:
+
+    * ``distribution``  label count and share of all rows;
+    * ``category_rating`` mean rating per category (2 dp), lowest first;
+    * ``top_negative``  the ``k`` categories with most negative reviews;
+    * ``lowest_scores`` the ``k`` reviews with the smallest score.
+    """
+    dist = label_distribution(df, "sentiment_label", "all").select(
+        F.lit("distribution").alias("section"), F.col("label").alias("item"), "n",
+        F.col("pct").alias("value"), "rank")
+    cat = category_rating_bars(df).select(
+        F.lit("category_rating").alias("section"), F.col("sport_category").alias("item"),
+        F.lit(None).cast("long").alias("n"), F.col("avg_rating").alias("value"), "rank")
+    neg = top_negative_categories(df, k).select(
+        F.lit("top_negative").alias("section"), F.col("sport_category").alias("item"), "n",
+        F.lit(None).cast("double").alias("value"), "rank")
+    low = lowest_scores(df, k).select(
+        F.lit("lowest_scores").alias("section"), F.col("review_id").alias("item"),
+        F.lit(None).cast("long").alias("n"), F.col("score").alias("value"), F.col("pos").alias("rank"))
+    return dist.unionByName(cat).unionByName(neg).unionByName(low)

@@ -202,7 +202,8 @@ FROM (SELECT * FROM reviews ORDER BY sentiment_score ASC NULLS LAST, review_id A
 
 
 def all_sql() -> dict[str, str]:
-    from reviewlake.plans import oracle_more
+    from reviewlake.plans import oracle_more, oracle_text
     out = dict(SQL)
     out.update(oracle_more.SQL)
+    out.update(oracle_text.SQL)
     return out
