@@ -10,14 +10,22 @@ from pyspark.sql.types import DataType
 LD_JSON_SCRIPT = r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
 
 
+# Timestamps travel at full microsecond precision (the JSON default keeps
+# milliseconds only); zoned timestamps carry their offset.
+TS_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def encode(col: Column) -> Column:
     """Struct → JSON text keeping null fields (``json.dumps`` keeps them)."""
-    return F.to_json(col, {"ignoreNullFields": "false"})
+    return F.to_json(col, {"ignoreNullFields": "false", **TS_OPTIONS})
 
 
 def decode(col: Column, schema: DataType | str) -> Column:
     """JSON text → struct; malformed input gives a null struct (no exception)."""
-    return F.from_json(col, schema, {"mode": "PERMISSIVE"})
+    return F.from_json(col, schema, {"mode": "PERMISSIVE", **TS_OPTIONS})
 
 
 def script_blocks(html: Column) -> Column:

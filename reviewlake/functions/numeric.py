@@ -19,7 +19,8 @@ def round_half_up(col: Column, scale: int) -> Column:
 
 
 def clamp(col: Column, lo: float, hi: float) -> Column:
-    return F.greatest(F.lit(lo), F.least(F.lit(hi), col))
+    """``max(lo, min(hi, x))``; null stays null."""
+    return F.when(col.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), col)))
 
 
 def ceil_div(a: Column, b: Column | int) -> Column:

@@ -15,8 +15,8 @@ def parse_ts(col: Column) -> Column:
 
 
 def epoch_to_ts(col: Column) -> Column:
-    """Epoch seconds (may be fractional) → UTC timestamp."""
-    return F.timestamp_micros((col.cast("double") * F.lit(1_000_000)).cast("long"))
+    """Epoch seconds (may be fractional) → UTC timestamp, to the nearest microsecond."""
+    return F.timestamp_micros(F.round(col.cast("double") * F.lit(1_000_000.0)).cast("long"))
 
 
 def month(col: Column) -> Column:

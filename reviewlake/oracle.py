@@ -202,8 +202,9 @@ FROM (SELECT * FROM reviews ORDER BY sentiment_score ASC NULLS LAST, review_id A
 
 
 def all_sql() -> dict[str, str]:
-    from reviewlake.plans import oracle_more, oracle_text
+    from reviewlake.plans import oracle_io, oracle_more, oracle_text
     out = dict(SQL)
     out.update(oracle_more.SQL)
     out.update(oracle_text.SQL)
+    out.update(oracle_io.SQL)
     return out

@@ -30,7 +30,7 @@ def register(name: str):
 
 def all_queries() -> dict[str, QueryFn]:
     # importing the modules that register more queries
-    from reviewlake.plans import queries_more, queries_text  # noqa: F401
+    from reviewlake.plans import queries_io, queries_more, queries_text  # noqa: F401
     return dict(_REGISTRY)
 
 
