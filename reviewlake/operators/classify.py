@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 
 from reviewlake import config as C
 
-_LOWER = "__lower_text"
-
 
 def _ordered_rules(sport_keywords=None, positive=None, negative=None) -> list[tuple[str, list[str]]]:
     rules = [(cat, list(words)) for cat, words in (sport_keywords or C.SPORT_KEYWORDS)]
@@ -67,19 +65,28 @@ def keyword_category(lower_text: Column, rules: list[tuple[str, list[str]]] | No
     return expr
 
 
+def classify_text(text: Column, rules=None) -> Column:
+    """Keyword category of a raw text column (null when nothing hits).
+
+    The lower-cased text is bound once as a lambda variable
+    (``transform(array(lower(text)), t -> CASE …)``).  A plain projected
+    alias would be substituted back into every arm when a filter on the
+    category is pushed down (then ``lower`` runs once per keyword — 18 s
+    instead of 2.9 s on the reviews at sf0.1); the lambda binding survives
+    any rewrite and costs the same on full documents (3.8 s vs 4.0 s).
+    """
+    return F.element_at(F.transform(F.array(F.lower(text)), lambda t: keyword_category(t, rules)), 1)
+
+
 def with_keyword_category(df: DataFrame, text_col: str = "text", out: str = "sport_category",
                           fill: str | None = "other", rules=None) -> DataFrame:
     """Add (or overwrite) ``out`` with the keyword category of ``text_col``.
 
-    A null text classifies as null (then ``fill``).  The lower-cased text is
-    projected once so that all arms share it.
-    """
-    cat = keyword_category(F.col(_LOWER), rules)
+    A null text classifies as null (then ``fill``)."""
+    cat = classify_text(F.col(text_col), rules)
     if fill is not None:
         cat = F.coalesce(cat, F.lit(fill))
-    return (df.withColumn(_LOWER, F.lower(F.col(text_col)))
-              .withColumn(out, cat)
-              .drop(_LOWER))
+    return df.withColumn(out, cat)
 
 
 def keyword_category_sql(text_sql: str = "text") -> str:
