@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 # <script type="application/ld+json"> ... </script>, case-insensitive, across lines.
 LD_JSON_SCRIPT = r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
@@ -23,9 +23,21 @@ def encode(col: Column) -> Column:
     return F.to_json(col, {"ignoreNullFields": "false", **TS_OPTIONS})
 
 
-def decode(col: Column, schema: DataType | str) -> Column:
-    """JSON text → struct; malformed input gives a null struct (no exception)."""
-    return F.from_json(col, schema, {"mode": "PERMISSIVE", **TS_OPTIONS})
+CORRUPT = "_corrupt_record"
+
+
+def decode(col: Column, schema: DataType | str, corrupt: bool = False) -> Column:
+    """JSON text → struct; malformed input never raises.
+
+    Malformed input gives a struct of null fields.  With ``corrupt=True``
+    the struct gets one more field, ``_corrupt_record``, holding the raw
+    text of malformed input (null when it parsed) — the reliable flag."""
+    if not corrupt:
+        return F.from_json(col, schema, {"mode": "PERMISSIVE", **TS_OPTIONS})
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    schema = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
+    return F.from_json(col, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **TS_OPTIONS})
 
 
 def script_blocks(html: Column) -> Column:

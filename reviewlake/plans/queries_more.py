@@ -160,3 +160,30 @@ def q_sentiment_policy_fill(spark, sf):
     # the label column exists (kept), the score column does not (filled)
     df = apply_sentiment_policy(_with_model_columns(reviews(spark, sf)).drop("sentiment_score"), "fill")
     return df.select("review_id", "sentiment_label", "sentiment_score")
+
+
+@register("dedup_first")
+def q_dedup_first(spark, sf):
+    """Same dedup in its SQL ``QUALIFY`` form (window strategy)."""
+    return dedup_first(P.normalise_product_pages(L.product_page_payloads(spark, sf)), "review_id", ["date"],
+                       strategy="window")
+
+
+@register("jsonld_extract")
+def q_jsonld_extract(spark, sf):
+    """Every JSON-LD block of every review page, and whether it parses."""
+    from reviewlake.functions.jsonfn import decode, script_blocks
+    from reviewlake.schema import REVIEW_PAGE_LD
+    pages = L.review_page_payloads(spark, sf)
+    b = pages.select("lang", "city", "page", F.posexplode(script_blocks(F.col("html"))).alias("block", "body"))
+    return b.select("lang", "city", "page", F.col("block").cast("long").alias("block"),
+                    decode(F.col("body"), REVIEW_PAGE_LD, corrupt=True)["_corrupt_record"].isNull().alias("parsed"))
+
+
+@register("pages_jsonld_reviews")
+def q_pages_jsonld_reviews(spark, sf):
+    """The review-page extractor over every raw web page of ``pages``."""
+    p = read_table(spark, sf, "pages")
+    p = p.select("html", F.regexp_extract("url", r"/([a-z]{2})/", 1).alias("lang"),
+                 F.lit(None).cast("string").alias("city"), F.to_timestamp(F.lit(L.FETCHED_AT)).alias("fetched_at"))
+    return P.normalise_review_pages(spread(p), "html")

@@ -77,3 +77,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED_KEY = "reviewlake.pyfile.shipped"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``reviewlake`` importable on every Python worker.
+
+    Stages that run Python (``mapInPandas``) unpickle functions that live in
+    this package; workers import it by name.  The package is zipped once per
+    application and distributed with ``addPyFile`` (the same mechanism as
+    ``spark-submit --py-files``); a no-op when already shipped.
+    """
+    sc = spark.sparkContext
+    if sc.getConf().get(_SHIPPED_KEY, None) == "1" or getattr(sc, "_reviewlake_shipped", False):
+        return
+    import reviewlake
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(reviewlake.__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="reviewlake-pkg-"), "reviewlake.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    sc._reviewlake_shipped = True

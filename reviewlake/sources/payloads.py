@@ -117,7 +117,8 @@ def _ld_documents(df: DataFrame, html: str, schema) -> DataFrame:
     """One row per JSON-LD script block of each page, decoded with ``schema``;
     blocks that fail to parse are skipped."""
     s = df.select("*", F.explode(script_blocks(F.col(html))).alias("_script"))
-    return s.withColumn("_ld", decode(F.col("_script"), schema)).where(F.col("_ld").isNotNull())
+    s = s.withColumn("_ld", decode(F.col("_script"), schema, corrupt=True))
+    return s.where(F.col("_ld").isNotNull() & F.col("_ld")["_corrupt_record"].isNull())
 
 
 def normalise_review_pages(df: DataFrame, html: str = "html") -> DataFrame:

@@ -37,10 +37,11 @@ def decode_records(df: DataFrame, schema: StructType | str, keep: tuple[str, ...
     """``value`` JSON → the fields of ``schema`` (+ ``key`` as text and any
     ``keep`` envelope columns).  A malformed value gives null fields and
     ``_malformed = true`` instead of failing the read."""
-    v = decode(F.col("value").cast("string"), schema)
-    out = df.select(*[F.col(k) for k in keep], F.col("key").cast("string").alias("key"),
-                    v.alias("_v"), F.col("value").isNotNull().alias("_has"))
-    return out.select(*keep, "key", "_v.*", (F.col("_v").isNull() & F.col("_has")).alias("_malformed"))
+    v = decode(F.col("value").cast("string"), schema, corrupt=True)
+    out = df.select(*[F.col(k) for k in keep], F.col("key").cast("string").alias("key"), v.alias("_v"))
+    fields = [f for f in out.schema["_v"].dataType.fieldNames() if f != "_corrupt_record"]
+    return out.select(*keep, "key", *[F.col("_v")[f].alias(f) for f in fields],
+                      F.col("_v")["_corrupt_record"].isNotNull().alias("_malformed"))
 
 
 def read_topic(spark: SparkSession, fmt: str = "kafka", options: dict | None = None,
