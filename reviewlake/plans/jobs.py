@@ -9,6 +9,7 @@ from reviewlake.operators.cascade import enrich
 from reviewlake.operators.merge import UPDATE_SENTIMENT, upsert
 from reviewlake.operators.projections import to_stored, with_text_features
 from reviewlake.operators.setops import dedup_first, union_sources
+from reviewlake.session import checkpoint_dir
 from reviewlake.sources.topic import encode_records
 
 
@@ -53,6 +54,11 @@ def batch_pipeline(spark: SparkSession, sources: list[DataFrame], table: DataFra
     collected = dedup_first(union_sources(sources), "review_id", ["source_priority", "date"]).drop("source_priority")
     enriched = enrich(collected, "text", lexicon)
     if topic_path:
+        # publish and load both consume the enriched rows: materialise them
+        # once in the shared checkpoint folder (reliable, survives executor
+        # loss) instead of recomputing the collection for the second use
+        checkpoint_dir(spark)
+        enriched = enriched.checkpoint(eager=True)
         encode_records(enriched, "store_id").write.mode("append").parquet(topic_path)
     stored = to_stored(enriched, ingested_at=ingested_at)
     if table is None:

@@ -145,9 +145,11 @@ def q_processing_job(spark, sf):
 
 @register("batch_pipeline")
 def q_batch_pipeline(spark, sf):
-    """collect → sentiment + category → load (first load of the table)."""
+    """collect → sentiment + category → publish (topic files) → load (first
+    load of the table)."""
     return jobs.batch_pipeline(spark, normalised_sources(spark, sf),
-                               ingested_at=F.to_timestamp(F.lit(BATCH_INGESTED_AT)))
+                               ingested_at=F.to_timestamp(F.lit(BATCH_INGESTED_AT)),
+                               topic_path=scratch_path(spark, "published"))
 
 
 # ------------------------------------------------------- scalar functions
