@@ -161,3 +161,4 @@ SQL["pages_jsonld_reviews"] = """SELECT CAST(NULL AS VARCHAR) AS review_id, 'tru
        CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR) AS language, CAST(NULL AS VARCHAR) AS date,
        'other' AS sport_category, CAST(NULL AS VARCHAR) AS collected_at
 FROM pages WHERE regexp_matches(html, '(?is)<script[^>]*type\\s*=\\s*["'']application/ld\\+json["''][^>]*>')"""
+SQL["upsert_bucketed"] = SQL["upsert_sentiment"]

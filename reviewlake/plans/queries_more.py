@@ -187,3 +187,19 @@ def q_pages_jsonld_reviews(spark, sf):
     p = p.select("html", F.regexp_extract("url", r"/([a-z]{2})/", 1).alias("lang"),
                  F.lit(None).cast("string").alias("city"), F.to_timestamp(F.lit(L.FETCHED_AT)).alias("fetched_at"))
     return P.normalise_review_pages(spread(p), "html")
+
+
+@register("upsert_bucketed")
+def q_upsert_bucketed(spark, sf):
+    """The upsert against a table stored bucketed by review_id: the table
+    side is read pre-partitioned and only the batch is shuffled."""
+    import uuid
+    from reviewlake.session import scratch_path
+    from reviewlake.sinks.files import save_bucketed
+    name = f"reviews_{uuid.uuid4().hex[:10]}"
+    save_bucketed(stored_table(spark, sf), name, "review_id", BUCKETS, path=scratch_path(spark, name))
+    return upsert(spark.table(name), relabel_batch(spark, sf), "review_id", UPDATE_SENTIMENT,
+                  now=F.to_timestamp(F.lit(BATCH_INGESTED_AT)))
+
+
+BUCKETS = 16

@@ -25,6 +25,24 @@ _DEFAULTS = {
 }
 
 
+# Settings for a large cluster (applied by the deployment, not by this
+# library): size shuffles by data, let AQE coalesce small partitions and
+# split skewed ones, keep broadcasts small.  At ~100 TB input, 4000+
+# shuffle partitions keep each partition near the 128 MB advisory size.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.python.worker.reuse": "true",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "reviewlake") -> SparkSession:
     """Return the active session, or build a local one for tests / bench."""

@@ -79,3 +79,19 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: StructType, l
     part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{part}{loc}")
+
+
+def save_bucketed(df: DataFrame, table_name: str, key: str, buckets: int, path: str | None = None,
+                  mode: str = "overwrite") -> None:
+    """Store ``df`` as a parquet table bucketed (and sorted) by ``key``.
+
+    Joins and aggregations on ``key`` against this table need no shuffle
+    of the table side — the keyed upsert then moves only the batch.  Rows
+    are hash-partitioned into ``buckets`` first so each bucket is one file
+    per write instead of one per task.
+    """
+    w = (df.repartition(buckets, key).write.mode(mode).format("parquet")
+           .bucketBy(buckets, key).sortBy(key))
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table_name)

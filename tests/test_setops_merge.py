@@ -66,3 +66,15 @@ def test_upsert_idempotent_and_splittable(spark):
     b1, b2 = b.where(F.col("review_id") <= "r2"), b.where(F.col("review_id") > "r2")
     split = upsert(upsert(t, b1, now=now), b2, now=now)
     assert rows(split) == rows(once)
+
+
+def test_bucketed_table_side_is_not_shuffled(spark, tmp_path):
+    import uuid
+    from reviewlake.sinks.files import save_bucketed
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    save_bucketed(_table(spark), name, "review_id", 4, path=str(tmp_path / name))
+    b = spark.createDataFrame([("r1", "new", "x", "negative", None), ("r9", "new", "y", "positive", None)], SCHEMA)
+    df = upsert(spark.table(name), b, now=F.to_timestamp(F.lit("2026-02-01 00:00:00")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1          # the batch side only
+    assert {r.review_id: r.sentiment_label for r in df.collect()} == {"r1": "negative", "r2": "positive", "r9": "positive"}
