@@ -264,3 +264,30 @@ def q_synthetic_reviews(spark, sf):
     from reviewlake.sources.synth import synthetic_reviews
     ids = read_table(spark, sf, "documents").select("doc_id")
     return synthetic_reviews(ids, "doc_id", seed=42, base_date="2026-01-01 00:00:00")
+
+
+@register("store_rejects")
+def q_store_rejects(spark, sf):
+    """Rows whose value overflows the stored decimal go to a reject output
+    (here: ratings on a 0–125 scale into ``decimal(3,1)``)."""
+    from reviewlake.operators.projections import split_rejects
+    r = reviews(spark, sf).withColumn("rating", F.col("rating") * F.lit(25.0))
+    _, rejects = split_rejects(r.drop("doc_id"))
+    return rejects.select("review_id", "rating")
+
+
+@register("publish_counts")
+def q_publish_counts(spark, sf):
+    """Publish the events to a topic folder counting sent records during the
+    write (``observe``), read the topic back and count received records."""
+    from pyspark.sql import Observation
+    path = scratch_path(spark, "topic")
+    obs = Observation("published")
+    enc = TP.encode_records(read_table(spark, sf, "events").withColumn("k", F.col("user_id").cast("string")), "k",
+                            EVENT_COLS)
+    TP.write_topic(enc.observe(obs, F.count(F.lit(1)).alias("n")), "reviews.raw", fmt="parquet", path=path)
+    sent = obs.get["n"]
+    received = TP.read_topic(spark, "parquet", path=path)
+    return TP.decode_records(received, EVENTS_SCHEMA).agg(
+        F.lit(sent).cast("long").alias("published"), F.count(F.lit(1)).alias("received"),
+        F.count_if(F.col("_malformed")).alias("failed"))

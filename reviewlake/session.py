@@ -81,14 +81,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     tests and bench — a scratch folder is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — remote session: only the conf is visible
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="reviewlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
@@ -108,7 +111,10 @@ def ship_package(spark: SparkSession) -> None:
     application and distributed with ``addPyFile`` (the same mechanism as
     ``spark-submit --py-files``); a no-op when already shipped.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — no SparkContext (remote session): the deployment ships code
+        return
     if sc.getConf().get(_SHIPPED_KEY, None) == "1" or getattr(sc, "_reviewlake_shipped", False):
         return
     import reviewlake
