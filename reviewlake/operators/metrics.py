@@ -315,6 +315,34 @@ def explorer_page(df: DataFrame, sentiment: str = "All", sort_by: str = "Most Re
     return explorer_display(top, keep=["pos", "review_id"]).orderBy("pos")
 
 
+def explorer_page_after(df: DataFrame, after: tuple | None, sentiment: str = "All",
+                        sort_by: str = "Lowest Rating", per_page: int = 20) -> DataFrame:
+    """Keyset page: the ``per_page`` rows that follow ``after`` =
+    ``(sort_value, review_id)`` of the previous page's last row (``None`` for
+    the first page).  Unlike ``offset``, the cost does not grow with the page
+    number: the predicate prunes everything before the key and each task
+    keeps only ``per_page`` rows.  Same order as ``explorer_page`` (nulls
+    last, ties by ``review_id``)."""
+    from reviewlake.operators.filters import label_equals
+    from reviewlake.operators.projections import explorer_display
+    col, desc = {"Most Recent": ("date", True), "Lowest Rating": ("rating", False),
+                 "Highest Rating": ("rating", True)}[sort_by]
+    rows = label_equals(df, "sentiment_label", sentiment)
+    if after is not None:
+        v, rid = after
+        c, r = F.col(col), F.col("review_id")
+        if v is None:                                   # already in the null tail
+            pred = c.isNull() & (r > F.lit(rid))
+        else:
+            beyond = (c < F.lit(v)) if desc else (c > F.lit(v))
+            pred = c.isNull() | beyond | ((c == F.lit(v)) & (r > F.lit(rid)))
+        rows = rows.where(pred)
+    order = SORTS[sort_by]() + [F.col("review_id").asc()]
+    top = rows.orderBy(*order).limit(per_page)
+    top = top.withColumn("pos", F.row_number().over(Window.orderBy(*order)).cast("long"))
+    return explorer_display(top, keep=["pos", "review_id", F.col(col).alias("sort_value")]).orderBy("pos")
+
+
 def explorer_summary(df: DataFrame, sentiment: str = "All", per_page: int = 20) -> DataFrame:
     """Total matching rows and ``max(1, ceil(total / per_page))`` pages."""
     from reviewlake.operators.filters import label_equals

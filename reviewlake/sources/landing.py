@@ -69,9 +69,14 @@ def feed_payloads(spark: SparkSession, sf: str) -> DataFrame:
                         "page", _fetched_at().alias("fetched_at"))
 
 
+POSTS_PER_PAGE = 100                 # turns of one conversation per listing page (bound)
+
+
 def listing_payloads(spark: SparkSession, sf: str) -> DataFrame:
-    """Forum listings from ``conversations``: one post per turn, grouped per
-    (role, conv_id div PAGE_DOCS); the role is the forum name."""
+    """Forum listings from ``conversations``: one post per turn; a page holds
+    at most ``POSTS_PER_PAGE`` turns of one conversation, so even a
+    conversation with a huge share of all turns is split into bounded
+    pages.  The role is the forum name."""
     c = read_table(spark, sf, "conversations")
     post = F.struct(F.struct(
         F.concat(F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string")).alias("id"),
@@ -80,8 +85,8 @@ def listing_payloads(spark: SparkSession, sf: str) -> DataFrame:
         ((F.col("turn") * 13) % 151 - 20).cast("long").alias("score"),
         (F.lit(1_700_000_000.0) + F.col("conv_id") * 3600.0 + F.col("turn") * 60.0).alias("created_utc"),
     ).alias("data"))
-    pages = (c.groupBy("role", (F.col("conv_id") / PAGE_DOCS).cast("long").alias("page"))
-              .agg(F.array_sort(F.collect_list(F.struct(F.col("conv_id"), F.col("turn"), post.alias("p")))).alias("ps")))
+    pages = (c.groupBy("role", "conv_id", F.floor(F.col("turn") / POSTS_PER_PAGE).alias("page"))
+              .agg(F.array_sort(F.collect_list(F.struct(F.col("turn"), post.alias("p")))).alias("ps")))
     body = F.struct(F.struct(F.transform("ps", lambda x: x["p"]).alias("children")).alias("data"))
     return pages.select(encode(body).alias("payload"), F.col("role").alias("subreddit"),
                         F.lit("en").alias("lang"), "page", _fetched_at().alias("fetched_at"))

@@ -61,3 +61,18 @@ def test_rating_by_category_partial_aggregation(spark, sf):
     assert plan.count("HashAggregate") >= 2 and "Python" not in plan
     got = [r.rank for r in df.collect()]
     assert got == sorted(got)
+
+
+def test_keyset_pages_concatenate_to_full_order(spark, sf):
+    df = reviews(spark, sf)
+    for sort_by, col, desc in [("Lowest Rating", "rating", False), ("Most Recent", "date", True)]:
+        full = [r.review_id for r in df.orderBy(
+            (F.col(col).desc_nulls_last() if desc else F.col(col).asc_nulls_last()), "review_id").collect()]
+        got, after = [], None
+        while True:
+            page = M.explorer_page_after(df, after, "All", sort_by, 17).collect()
+            if not page:
+                break
+            got += [r.review_id for r in page]
+            after = (page[-1].sort_value, page[-1].review_id)
+        assert got == full
