@@ -57,15 +57,20 @@ def _safe_call(scorer: Scorer, texts: list[str]) -> list:
 
 def with_model_answer(df: DataFrame, text_col: str, factory: Callable[[], Scorer],
                       out_col: str = "model_answer", max_chars: int = C.MODEL_TEXT_MAX,
-                      batch_rows: int = 256) -> DataFrame:
+                      batch_rows: int = 256, carry: list[str] | None = None) -> DataFrame:
     """Add ``out_col``: the scorer's raw answer for ``text_col[:max_chars]``.
 
-    Null texts are not sent to the model (answer null)."""
+    Null texts are not sent to the model (answer null).  ``carry`` lists
+    the columns passed through the Python stage (default: all).  Catalyst
+    cannot prune columns through it, so pass only what is needed
+    downstream — e.g. the key, not a 100 KB document text of which the
+    model reads 512 characters."""
     from reviewlake.session import ship_package
     ship_package(df.sparkSession)
-    src = df.withColumn(_IN, F.substring(F.col(text_col), 1, max_chars))
-    schema = StructType([f for f in df.schema.fields if f.name != out_col] + [StructField(out_col, StringType(), True)])
-    keep = [f.name for f in schema.fields if f.name != out_col]
+    kept = list(carry) if carry is not None else [c for c in df.columns if c != out_col]
+    src = df.select(*kept, F.substring(F.col(text_col), 1, max_chars).alias(_IN))
+    schema = StructType([df.schema[c] for c in kept] + [StructField(out_col, StringType(), True)])
+    keep = kept
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = _scorer(factory)
@@ -86,11 +91,12 @@ def with_model_answer(df: DataFrame, text_col: str, factory: Callable[[], Scorer
 
 
 def star_sentiment(df: DataFrame, text_col: str, factory: Callable[[], Scorer],
-                   label_col: str = "bert_label", score_col: str = "bert_score") -> DataFrame:
+                   label_col: str = "bert_label", score_col: str = "bert_score",
+                   carry: list[str] | None = None) -> DataFrame:
     """Star-model sentiment: answer "N stars" (N in 1..5) → label (>= 4
     positive, <= 2 negative, else neutral) and score (N-3)/2; no usable
     answer → neutral / 0.0."""
-    a = with_model_answer(df, text_col, factory, "__answer")
+    a = with_model_answer(df, text_col, factory, "__answer", carry=carry)
     stars = leading_int(F.col("__answer"))
     ok = stars.between(1, 5)
     return (a.withColumn(label_col, F.when(ok, stars_label(stars)).otherwise(F.lit("neutral")))
@@ -99,10 +105,11 @@ def star_sentiment(df: DataFrame, text_col: str, factory: Callable[[], Scorer],
 
 
 def zero_shot_topic(df: DataFrame, text_col: str, factory: Callable[[], Scorer],
-                    out_col: str = "sport_category", labels: list[str] | None = None) -> DataFrame:
+                    out_col: str = "sport_category", labels: list[str] | None = None,
+                    carry: list[str] | None = None) -> DataFrame:
     """Top candidate label per row; an answer outside the candidates, or
     none, gives ``"other"``."""
     labels = labels or C.ZERO_SHOT_LABELS
-    a = with_model_answer(df, text_col, factory, "__answer")
+    a = with_model_answer(df, text_col, factory, "__answer", carry=carry)
     topic = F.when(F.col("__answer").isin(labels), F.col("__answer")).otherwise(F.lit(C.OTHER))
     return a.withColumn(out_col, topic).drop("__answer")

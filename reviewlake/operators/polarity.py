@@ -6,9 +6,10 @@ text with no lexicon token — or a null text — scores 0.0 / neutral.
 
 Two plans:
 
-* ``dict`` lexicon (bounded; at most ``MAX_INLINE_WORDS`` entries): an
-  inline map lookup over the token array, inside one projection — no
-  shuffle, no join, nothing collected.
+* ``dict`` lexicon of at most ``MAX_INLINE_WORDS`` entries: an inline map
+  lookup over the token array, inside one projection — no shuffle, no
+  join, nothing collected.  (A map literal is searched linearly, so larger
+  dicts switch to the join plan below, where the lookup is a hash join.)
 * ``DataFrame`` lexicon (any size): tokens are exploded, equi-joined with
   the lexicon on the word (Spark picks broadcast or shuffle from the
   lexicon's size), summed per text and joined back by key.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from reviewlake import config as C
 from reviewlake.functions.numeric import polarity_label, round_half_up
 
-MAX_INLINE_WORDS = 100_000
+MAX_INLINE_WORDS = 500
 TOKEN_SPLIT = r"[^\p{L}]+"
 _SUM_T = "decimal(20,6)"
 
@@ -51,12 +52,14 @@ def with_polarity(df: DataFrame, text_col: str = "text", lexicon: dict[str, floa
                   label_col: str = "sentiment_label") -> DataFrame:
     """Add ``score_col`` / ``label_col`` from the lexicon polarity of ``text_col``.
 
-    ``key`` (a unique column) is required for a ``DataFrame`` lexicon.
+    ``key`` (a unique column) is required for the join plan (a ``DataFrame``
+    lexicon, or a dict above ``MAX_INLINE_WORDS``).
     """
     lexicon = C.DEFAULT_LEXICON if lexicon is None else lexicon
+    if isinstance(lexicon, dict) and len(lexicon) > MAX_INLINE_WORDS:
+        lexicon = df.sparkSession.createDataFrame([(w, float(p)) for w, p in lexicon.items()],
+                                                  "word string, polarity double")
     if isinstance(lexicon, dict):
-        if len(lexicon) > MAX_INLINE_WORDS:
-            raise ValueError(f"inline lexicon limited to {MAX_INLINE_WORDS} words; pass a DataFrame")
         m = F.create_map(*[x for w, p in lexicon.items() for x in (F.lit(w.lower()), F.lit(str(p)).cast(_SUM_T))])
         vals = F.filter(F.transform(tokens(F.col(text_col)), lambda t: m[t]), lambda v: v.isNotNull())
         total = F.aggregate(F.col("_vals"), F.lit(0).cast(_SUM_T), lambda acc, v: (acc + v).cast(_SUM_T))

@@ -46,7 +46,8 @@ def q_enrich_reviews(spark, sf):
 @register("star_sentiment")
 def q_star_sentiment(spark, sf):
     """Star model over every document (model input cut to 512 characters)."""
-    return star_sentiment(_documents(spark, sf), "text", letter_stars_factory).select("doc_id", "bert_label", "bert_score")
+    return star_sentiment(_documents(spark, sf), "text", letter_stars_factory, carry=["doc_id"]).select(
+        "doc_id", "bert_label", "bert_score")
 
 
 @register("cascade_classify")

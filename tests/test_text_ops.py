@@ -66,3 +66,20 @@ def test_zero_shot_and_cascade(spark):
     assert k == {1: "cycling", 2: "other", 3: "other"}
     plan = classify_cascade(df, "text", "sport_category", topic_model)._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" in plan or "PythonMapInArrow" in plan
+
+
+def test_large_dict_lexicon_uses_join_plan(spark):
+    from reviewlake.operators import polarity as PL
+    big = {f"w{i}": 0.0 for i in range(PL.MAX_INLINE_WORDS + 1)}
+    big.update(LEX)
+    df = spark.createDataFrame([(1, "good bad good"), (2, "nothing")], "id int, text string")
+    out = PL.with_polarity(df, "text", big, key="id")
+    assert "Join" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.id: r.sentiment_score for r in out.collect()} == {1: 0.233, 2: 0.0}
+
+
+def test_carry_only_key_through_python(spark):
+    df = spark.createDataFrame([(1, "abcd", "x" * 1000)], "id int, text string, big string")
+    out = star_sentiment(df, "text", flaky_stars, carry=["id"])
+    assert out.columns == ["id", "bert_label", "bert_score"]
+    assert out.first().bert_label == "positive"
