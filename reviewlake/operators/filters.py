@@ -22,19 +22,21 @@ def dashboard_predicate(sources: Sequence[str] | None = None,
 
     ``None`` means "no constraint on that column".  A given list drops
     rows whose value is null (as ``isin`` does), and the range drops null
-    ratings.  The result is null-free (true / false) so it can also drive
-    conditional aggregates.
+    ratings: a null comparison is "not selected" both in ``where`` and in
+    the conditional aggregates (``count_if`` / ``when``) that ``kpis`` uses.
+    The terms are plain ``IN`` / range comparisons so the parquet reader
+    receives them as pushed filters.
     """
     pred = F.lit(True)
     if sources is not None:
-        pred = pred & F.coalesce(F.col("source").isin(list(sources)), F.lit(False))
+        pred = pred & F.col("source").isin(list(sources))
     if languages is not None:
-        pred = pred & F.coalesce(F.col("language").isin(list(languages)), F.lit(False))
+        pred = pred & F.col("language").isin(list(languages))
     if sentiments is not None:
-        pred = pred & F.coalesce(F.col("sentiment_label").isin(list(sentiments)), F.lit(False))
+        pred = pred & F.col("sentiment_label").isin(list(sentiments))
     if rating_range is not None:
         lo, hi = rating_range
-        pred = pred & F.coalesce(F.col("rating").between(float(lo), float(hi)), F.lit(False))
+        pred = pred & F.col("rating").between(float(lo), float(hi))
     return pred
 
 

@@ -76,3 +76,21 @@ def test_keyset_pages_concatenate_to_full_order(spark, sf):
             got += [r.review_id for r in page]
             after = (page[-1].sort_value, page[-1].review_id)
         assert got == full
+
+
+def _scan_nodes(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "FileScan parquet" in line or "Scan parquet" in line]
+
+
+def test_dashboard_filter_is_pushed_to_the_documents_scan(spark, sf):
+    from reviewlake.operators.filters import dashboard_filter
+    df = dashboard_filter(reviews(spark, sf), languages=["en", "fr"])
+    doc_scans = [s for s in _scan_nodes(df) if "documents" in s]
+    assert doc_scans and all("In(lang" in s for s in doc_scans)
+
+
+def test_count_reads_only_the_key_column(spark, sf):
+    scans = _scan_nodes(M.verify_total(reviews(spark, sf)))
+    doc = [s for s in scans if "documents" in s][0]
+    assert "ReadSchema: struct<doc_id:bigint>" in doc
