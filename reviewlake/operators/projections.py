@@ -53,7 +53,9 @@ def to_stored(df: DataFrame, ingested_at=None) -> DataFrame:
     are cast to ``decimal(3,1)`` / ``decimal(5,3)`` with ``try_cast`` (an
     overflow gives null — see ``split_rejects`` to route such rows).
     """
-    df = add_missing(df, {"store_name": "string", "sport_category": "string",
+    df = add_missing(df, {"source": "string", "store_id": "string", "store_name": "string",
+                          "store_city": "string", "rating": "double", "text": "string",
+                          "language": "string", "date": "string", "sport_category": "string",
                           "sentiment_label": "string", "sentiment_score": "double",
                           "collected_at": "string"})
     ts = F.current_timestamp() if ingested_at is None else ingested_at

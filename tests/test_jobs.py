@@ -43,3 +43,34 @@ def test_stream_restart_does_not_duplicate(spark, tmp_path):
     assert run() == [1, 2]            # restart from the checkpoint: nothing replayed
     land([(3, "c")], "append")
     assert run() == [1, 2, 3]         # only the new data is read
+
+
+def test_split_rejects_routes_overflow(spark):
+    from reviewlake.operators.projections import split_rejects
+    df = spark.createDataFrame([("a", 4.5, 0.25), ("b", 99.95, 0.1), ("c", 3.0, 12.5), ("d", None, None)],
+                               "review_id string, rating double, sentiment_score double")
+    good, rejects = split_rejects(df)
+    assert sorted(r.review_id for r in rejects.collect()) == ["b", "c"]
+    rows = {r.review_id: r for r in good.collect()}
+    assert set(rows) == {"a", "d"} and str(rows["a"].rating) == "4.5" and rows["d"].rating is None
+
+
+def test_first_available_and_typed_table(spark, tmp_path):
+    from reviewlake.schema import STORED_REVIEW
+    from reviewlake.sinks import files as S
+    p, df = S.first_available(spark, [str(tmp_path / "nope")], lambda s, x: s.read.parquet(x))
+    assert p is None and df is None
+    S.create_table_if_absent(spark, "typed_reviews_t", STORED_REVIEW, location=str(tmp_path / "typed"))
+    S.create_table_if_absent(spark, "typed_reviews_t", STORED_REVIEW, location=str(tmp_path / "typed"))
+    assert spark.table("typed_reviews_t").schema.simpleString() == STORED_REVIEW.simpleString()
+
+
+def test_synthetic_reviews_do_not_depend_on_partitioning(spark):
+    from reviewlake.sources.synth import synthetic_reviews
+    a = synthetic_reviews(spark.range(500).withColumnRenamed("id", "k"), "k").collect()
+    b = synthetic_reviews(spark.range(500).repartition(7).withColumnRenamed("id", "k"), "k").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    r = {x.review_id: x for x in a}
+    assert r["syn_00042"].source == "synthetic" and 1.0 <= r["syn_00042"].rating <= 5.0
+    langs = [x.language for x in a]
+    assert 0.3 < langs.count("pt") / 500 < 0.5 and 0.1 < langs.count("en") / 500 < 0.3
