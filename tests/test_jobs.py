@@ -47,7 +47,7 @@ def test_stream_restart_does_not_duplicate(spark, tmp_path):
 
 def test_split_rejects_routes_overflow(spark):
     from reviewlake.operators.projections import split_rejects
-    df = spark.createDataFrame([("a", 4.5, 0.25), ("b", 99.95, 0.1), ("c", 3.0, 12.5), ("d", None, None)],
+    df = spark.createDataFrame([("a", 4.5, 0.25), ("b", 99.95, 0.1), ("c", 3.0, 123.4), ("d", None, None)],
                                "review_id string, rating double, sentiment_score double")
     good, rejects = split_rejects(df)
     assert sorted(r.review_id for r in rejects.collect()) == ["b", "c"]
