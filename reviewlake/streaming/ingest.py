@@ -65,7 +65,7 @@ class SnapshotTable:
 
     def _versions(self) -> list[int]:
         try:
-            df = self.spark.read.text(f"{self.path}/_versions")
+            df = self.spark.read.text(f"{self.path}/versions")
         except Exception:  # noqa: BLE001 — no version yet
             return []
         return sorted(int(r[0]) for r in df.collect())   # one tiny row per committed version
@@ -83,7 +83,7 @@ class SnapshotTable:
     def commit(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
         self.spark.createDataFrame([(str(version),)], "value string").write.mode("append").text(
-            f"{self.path}/_versions")
+            f"{self.path}/versions")
 
 
 def upsert_batch_fn(table: SnapshotTable, key: str = "review_id", update_cols=("sentiment_label", "sentiment_score"),

@@ -15,3 +15,19 @@ def test_stream_ingest_equals_batch(spark, sf):
 def test_stream_upsert_equals_batch_upsert(spark, sf):
     q = all_queries()
     assert rows(q["stream_upsert"](spark, sf)) == rows(q["upsert_sentiment"](spark, sf))
+
+
+def test_foreach_batch_replay_is_idempotent(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from reviewlake.streaming.ingest import SnapshotTable, upsert_batch_fn
+    schema = "review_id string, sentiment_label string, ingested_at timestamp"
+    t = SnapshotTable(spark, str(tmp_path / "t"))
+    t.commit(spark.createDataFrame([("a", "neutral", None)], schema), 1)
+    run = upsert_batch_fn(t, update_cols=("sentiment_label",), order=("sentiment_label",),
+                          now=F.to_timestamp(F.lit("2026-02-01 00:00:00")))
+    batch = spark.createDataFrame([("a", "positive", None), ("b", "negative", None)], schema)
+    run(batch, 0)
+    first = rows(t.read())
+    run(batch, 0)                      # the same micro-batch again (replay after a failure)
+    assert rows(t.read()) == first and t.latest() == 2
+    assert {r[0]: r[1] for r in first} == {"a": "positive", "b": "negative"}
