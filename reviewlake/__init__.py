@@ -10,7 +10,7 @@ streaming runs).  Layout:
                  upsert, aggregates and the explorer
 * ``sinks``      file / JDBC / topic writers and run-metric records
 * ``streaming``  topic ingest and stream → table upsert
-* ``plans``      composed jobs (processing job, collection, pipeline, gates)
+* ``plans``      composed jobs (processing job, collection, batch load, gates)
 """
 
 from reviewlake.session import get_spark, checkpoint_dir  # noqa: F401

@@ -1,4 +1,4 @@
-"""Composed jobs: gates, the processing job, the batch pipeline."""
+"""Composed jobs: gates, the processing job, the batch load."""
 
 from __future__ import annotations
 
@@ -46,7 +46,7 @@ def processing_job(spark: SparkSession, stored: DataFrame, out_path: str) -> dic
     return {"input_rows": n_in, "written_rows": obs.get["rows"], "verified_rows": n_out}
 
 
-def batch_pipeline(spark: SparkSession, sources: list[DataFrame], table: DataFrame | None = None,
+def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame | None = None,
                    lexicon=None, ingested_at=None, topic_path: str | None = None) -> DataFrame:
     """collect (union + first occurrence) → sentiment + category → publish
     (encoded records appended to ``topic_path`` when given) → load (upsert

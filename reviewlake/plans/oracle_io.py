@@ -21,7 +21,7 @@ def _D(x):
 _X = f"sentiment_score * {_D('0.37')} + CAST(doc_id AS DOUBLE) / {_D('1000.0')}"
 _CLAMP_IN = f"rating + CAST(doc_id % 7 - 3 AS DOUBLE) * {_D('0.3')}"
 
-BATCH_PIPELINE = with_reviews(
+WEEKLY_BATCH_LOAD = with_reviews(
     f"""SELECT review_id, source, store_id, store_name, store_city, TRY_CAST(rating AS DECIMAL(3,1)) AS rating,
        text AS review_text, language, TRY_CAST(date AS TIMESTAMP) AS review_date,
        coalesce({keyword_category_sql('text')}, 'other') AS sport_category,
@@ -43,7 +43,7 @@ SQL: dict[str, str] = {
     "processing_job": """SELECT 'r_' || CAST(doc_id AS VARCHAR) AS review_id, CAST(length(text) AS INTEGER) AS review_length,
        CASE WHEN length(text) < 50 THEN 'short' WHEN length(text) < 200 THEN 'medium' ELSE 'long' END AS length_category
 FROM documents""",
-    "batch_pipeline": BATCH_PIPELINE,
+    "weekly_batch_load": WEEKLY_BATCH_LOAD,
     "string_functions": with_reviews(f"""SELECT review_id, CAST(length(text) AS INTEGER) AS n_chars, lower(text) AS lower,
        substr(text, 1, 12) AS head, substr(text, 1, 8) || '...' AS preview,
        trim('. ' || text || '. .', '. ') AS stripped,

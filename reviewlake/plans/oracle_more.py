@@ -138,7 +138,7 @@ SQL: dict[str, str] = {
     "jsonld_products": with_reviews(PRODUCTS, True),
     "union_sources": with_reviews(UNION, True),
     "dedup_products": with_reviews(DEDUP_PRODUCTS, True),
-    "collect_pipeline": with_reviews(COLLECT, True),
+    "collect_all_sources": with_reviews(COLLECT, True),
     "store_projection": with_reviews("SELECT * FROM tbl", True, TABLE_CTE),
     "upsert_sentiment": _upsert(("sentiment_label", "sentiment_score")),
     "upsert_touch": _upsert(()),

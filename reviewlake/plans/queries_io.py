@@ -143,11 +143,11 @@ def q_processing_job(spark, sf):
     return spark.read.parquet(path).select("review_id", "review_length", "length_category")
 
 
-@register("batch_pipeline")
-def q_batch_pipeline(spark, sf):
+@register("weekly_batch_load")
+def q_weekly_batch_load(spark, sf):
     """collect → sentiment + category → publish (topic files) → load (first
     load of the table)."""
-    return jobs.batch_pipeline(spark, normalised_sources(spark, sf),
+    return jobs.batch_load(spark, normalised_sources(spark, sf),
                                ingested_at=F.to_timestamp(F.lit(BATCH_INGESTED_AT)),
                                topic_path=scratch_path(spark, "published"))
 

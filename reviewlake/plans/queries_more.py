@@ -67,8 +67,8 @@ def q_dedup_products(spark, sf):
     return dedup_first(P.normalise_product_pages(L.product_page_payloads(spark, sf)), "review_id", ["date"])
 
 
-@register("collect_pipeline")
-def q_collect_pipeline(spark, sf):
+@register("collect_all_sources")
+def q_collect_all_sources(spark, sf):
     """Union of the five sources, first occurrence per id (source order)."""
     u = union_sources(normalised_sources(spark, sf))
     return dedup_first(u, "review_id", ["source_priority", "date"]).drop("source_priority")
