@@ -30,5 +30,8 @@ def days_before(ts: Column, days: Column) -> Column:
 
 
 def iso(ts: Column) -> Column:
-    """Timestamp → ISO text without zone, like ``datetime.isoformat()``."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    """Timestamp → ISO text without zone, exactly like ``datetime.isoformat()``:
+    microseconds are printed only when they are not zero."""
+    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(F.date_format(ts, "SSSSSS") == "000000", whole).otherwise(
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))

@@ -72,7 +72,8 @@ FROM reviews"""),
        ts AS naive_fraction, CAST(NULL AS TIMESTAMP) AS garbage,
        strftime(ts, '%Y-%m') AS month,
        ts - to_days(CAST(user_id % 180 AS INTEGER)) AS days_back,
-       strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso
+       CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+            ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS iso
 FROM events""",
     "forum_rating": f"""SELECT event_id, score,
        CASE WHEN score > 100 THEN {_D('5.0')} WHEN score > 50 THEN {_D('4.0')} WHEN score > 10 THEN {_D('3.0')}

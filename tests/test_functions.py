@@ -69,4 +69,11 @@ def test_parse_ts_each_row(spark):
 
 
 def test_epoch(spark):
-    assert one(spark, TM.iso(TM.epoch_to_ts(F.col("x"))), 1_700_000_000.5) == "2023-11-14T22:13:20"
+    want = dt.datetime.fromtimestamp(1_700_000_000.5, dt.timezone.utc).replace(tzinfo=None).isoformat()
+    assert one(spark, TM.iso(TM.epoch_to_ts(F.col("x"))), 1_700_000_000.5) == want == "2023-11-14T22:13:20.500000"
+
+
+def test_iso_like_python(spark):
+    df = spark.createDataFrame([(dt.datetime(2026, 1, 2, 3, 4, 5),), (dt.datetime(2026, 1, 2, 3, 4, 5, 120),)], "t timestamp")
+    got = [r.s for r in df.select(TM.iso(F.col("t")).alias("s")).collect()]
+    assert got == [dt.datetime(2026, 1, 2, 3, 4, 5).isoformat(), dt.datetime(2026, 1, 2, 3, 4, 5, 120).isoformat()]
