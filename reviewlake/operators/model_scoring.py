@@ -70,7 +70,6 @@ def with_model_answer(df: DataFrame, text_col: str, factory: Callable[[], Scorer
     kept = list(carry) if carry is not None else [c for c in df.columns if c != out_col]
     src = df.select(*kept, F.substring(F.col(text_col), 1, max_chars).alias(_IN))
     schema = StructType([df.schema[c] for c in kept] + [StructField(out_col, StringType(), True)])
-    keep = kept
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = _scorer(factory)
@@ -83,7 +82,7 @@ def with_model_answer(df: DataFrame, text_col: str, factory: Callable[[], Scorer
                 got = _safe_call(scorer, [texts.iloc[i] for i in chunk])
                 for i, a in zip(chunk, got):
                     ans[i] = None if a is None else str(a)
-            out = pdf[keep].copy()
+            out = pdf[kept].copy()
             out[out_col] = ans
             yield out
 
