@@ -52,6 +52,12 @@ def ingest(stream: DataFrame, value_schema: StructType, sink_path: str, checkpoi
     return w.start()
 
 
+def input_rows(query) -> int:
+    """Rows received by a finished stream run (sum of ``numInputRows`` over
+    its progress reports) — the consumer's "received" counter."""
+    return int(sum(p.get("numInputRows", 0) for p in (query.recentProgress or [])))
+
+
 class SnapshotTable:
     """A keyed table stored as numbered snapshot folders ``v=<n>``.
 

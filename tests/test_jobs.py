@@ -34,15 +34,20 @@ def test_stream_restart_does_not_duplicate(spark, tmp_path):
     land([(1, "a"), (2, "b")], "overwrite")
     topic_schema = spark.read.parquet(f"{base}/topic").schema
 
+    received = []
+
     def run():
         s = ST.read_topic_stream(spark, "parquet", topic_schema, path=f"{base}/topic")
-        ST.ingest(s, schema, f"{base}/sink", f"{base}/ckpt").awaitTermination()
+        q = ST.ingest(s, schema, f"{base}/sink", f"{base}/ckpt")
+        q.awaitTermination()
+        received.append(ST.input_rows(q))
         return sorted(r.n for r in spark.read.parquet(f"{base}/sink").collect())
 
     assert run() == [1, 2]
     assert run() == [1, 2]            # restart from the checkpoint: nothing replayed
     land([(3, "c")], "append")
     assert run() == [1, 2, 3]         # only the new data is read
+    assert received == [2, 0, 1]
 
 
 def test_split_rejects_routes_overflow(spark):
@@ -74,3 +79,20 @@ def test_synthetic_reviews_do_not_depend_on_partitioning(spark):
     assert r["syn_00042"].source == "synthetic" and 1.0 <= r["syn_00042"].rating <= 5.0
     langs = [x.language for x in a]
     assert 0.3 < langs.count("pt") / 500 < 0.5 and 0.1 < langs.count("en") / 500 < 0.3
+
+
+def test_reads_a_json_array_review_file(spark, tmp_path):
+    """A review file as the collectors wrote it: one indented JSON array,
+    non-ASCII characters unescaped."""
+    import json
+    from reviewlake.schema import REVIEW
+    from reviewlake.sinks.files import read_json
+    rows = [{"review_id": "as_1", "source": "app_store", "store_id": "appstore_br", "store_name": "App (São Paulo)",
+             "store_city": "São Paulo", "rating": 4.0, "text": "Ótimo app, entrega rápida", "language": "pt",
+             "date": "2026-01-02T10:00:00-07:00", "sport_category": "other", "collected_at": "2026-01-03T00:00:00"},
+            {"review_id": "rd_x", "source": "reddit", "rating": 2.0, "text": "meh", "extra_field": 1}]
+    path = tmp_path / "reviews.json"
+    path.write_text(json.dumps(rows, ensure_ascii=False, indent=2), encoding="utf-8")
+    got = {r.review_id: r for r in read_json(spark, str(path), REVIEW, multiline=True).collect()}
+    assert got["as_1"].store_city == "São Paulo" and got["as_1"].rating == 4.0
+    assert got["rd_x"].store_id is None and got["rd_x"].text == "meh"
