@@ -90,3 +90,4 @@ WHERE length(text) >= 2000""",
 SQL["store_rejects"] = with_reviews("""SELECT review_id, rating * 25.0 AS rating FROM reviews
 WHERE rating IS NOT NULL AND TRY_CAST(rating * 25.0 AS DECIMAL(3,1)) IS NULL""")
 SQL["publish_counts"] = "SELECT count(*) AS published, count(*) AS received, CAST(0 AS BIGINT) AS failed FROM events"
+SQL["label_lookup_table"] = with_reviews(f"SELECT review_id, {_LANG_CASE} AS language_name FROM reviews")

@@ -291,3 +291,12 @@ def q_publish_counts(spark, sf):
     return TP.decode_records(received, EVENTS_SCHEMA).agg(
         F.lit(sent).cast("long").alias("published"), F.count(F.lit(1)).alias("received"),
         F.count_if(F.col("_malformed")).alias("failed"))
+
+
+@register("label_lookup_table")
+def q_label_lookup_table(spark, sf):
+    """Language display names from a lookup table (size-checked broadcast)."""
+    from reviewlake.operators.lookup import lookup_join
+    names = spark.createDataFrame(list(C.LANGUAGE_NAMES.items()), "code string, name string")
+    return lookup_join(reviews(spark, sf), names, "language", "code", "name", "language_name").select(
+        "review_id", "language_name")

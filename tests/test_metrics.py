@@ -94,3 +94,15 @@ def test_count_reads_only_the_key_column(spark, sf):
     scans = _scan_nodes(M.verify_total(reviews(spark, sf)))
     doc = [s for s in scans if "documents" in s][0]
     assert "ReadSchema: struct<doc_id:bigint>" in doc
+
+
+def test_lookup_join_broadcast_only_when_small(spark):
+    from reviewlake.operators.lookup import lookup_join
+    df = spark.createDataFrame([("a", "pt"), ("b", "xx"), ("c", None)], "id string, lang string")
+    names = spark.createDataFrame([("pt", "Portuguese"), ("en", "English")], "code string, name string")
+    small = lookup_join(df, names, "lang", "code", "name", "lang_name")
+    assert {r.id: r.lang_name for r in small.collect()} == {"a": "Portuguese", "b": "xx", "c": None}
+    assert "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
+    big = lookup_join(df, names, "lang", "code", "name", "lang_name", max_rows=1)   # over the bound
+    assert "BroadcastHashJoin" not in big._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.id: r.lang_name for r in big.collect()} == {"a": "Portuguese", "b": "xx", "c": None}
