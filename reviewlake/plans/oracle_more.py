@@ -162,3 +162,7 @@ SQL["pages_jsonld_reviews"] = """SELECT CAST(NULL AS VARCHAR) AS review_id, 'tru
        'other' AS sport_category, CAST(NULL AS VARCHAR) AS collected_at
 FROM pages WHERE regexp_matches(html, '(?is)<script[^>]*type\\s*=\\s*["'']application/ld\\+json["''][^>]*>')"""
 SQL["upsert_bucketed"] = SQL["upsert_sentiment"]
+SQL["store_partitioned"] = with_reviews("""SELECT sentiment_label, n,
+       row_number() OVER (ORDER BY n DESC, sentiment_label ASC NULLS FIRST) AS rank
+FROM (SELECT sentiment_label, count(*) AS n FROM reviews WHERE source IN ('src1', 'src3', 'src5', 'src7')
+      GROUP BY 1) g""")

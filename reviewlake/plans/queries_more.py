@@ -203,3 +203,20 @@ def q_upsert_bucketed(spark, sf):
 
 
 BUCKETS = 16
+
+
+@register("store_partitioned")
+def q_store_partitioned(spark, sf):
+    """Stored table written partitioned by source; the dashboard's source
+    filter then prunes whole folders (``PartitionFilters``) before reading."""
+    from reviewlake.operators.filters import dashboard_filter
+    from reviewlake.operators.metrics import verify_by_sentiment
+    from reviewlake.session import scratch_path
+    from reviewlake.sinks.files import write_parquet
+    path = scratch_path(spark, "stored_by_source")
+    write_parquet(stored_table(spark, sf), path, partition_by=["source"])
+    t = spark.read.parquet(path)
+    return verify_by_sentiment(dashboard_filter(t, sources=PARTITION_SOURCES))
+
+
+PARTITION_SOURCES = ["src1", "src3", "src5", "src7"]

@@ -96,3 +96,15 @@ def test_reads_a_json_array_review_file(spark, tmp_path):
     got = {r.review_id: r for r in read_json(spark, str(path), REVIEW, multiline=True).collect()}
     assert got["as_1"].store_city == "São Paulo" and got["as_1"].rating == 4.0
     assert got["rd_x"].store_id is None and got["rd_x"].text == "meh"
+
+
+def test_partitioned_table_prunes_folders(spark, tmp_path):
+    from reviewlake.operators.filters import dashboard_filter
+    from reviewlake.sinks.files import write_parquet
+    df = spark.createDataFrame([(f"r{i}", f"s{i % 4}", float(i % 5 + 1)) for i in range(40)],
+                               "review_id string, source string, rating double")
+    write_parquet(df, str(tmp_path / "t"), partition_by=["source"])
+    q = dashboard_filter(spark.read.parquet(str(tmp_path / "t")), sources=["s1", "s2"])
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [source#" in plan and "IN (s1,s2)" in plan
+    assert q.count() == 20
