@@ -106,3 +106,18 @@ def test_lookup_join_broadcast_only_when_small(spark):
     big = lookup_join(df, names, "lang", "code", "name", "lang_name", max_rows=1)   # over the bound
     assert "BroadcastHashJoin" not in big._jdf.queryExecution().optimizedPlan().toString()
     assert {r.id: r.lang_name for r in big.collect()} == {"a": "Portuguese", "b": "xx", "c": None}
+
+
+def test_dashboard_bundle(spark, sf):
+    from reviewlake.plans.dashboard import dashboard, release
+    full = classified_reviews(spark, sf)
+    panels = dashboard(full, languages=["en", "fr"], sentiments=["positive", "neutral", "negative"])
+    try:
+        counts = {k: v.count() for k, v in panels.items()}
+        assert counts["kpis"] == 1 and counts["rating_by_category"] > 0 and counts["explorer_page"] == 20
+        k = panels["kpis"].first()
+        assert k.total == counts["_filtered"] and k.full_total == full.count()
+        assert panels["_filtered"].storageLevel.useMemory
+    finally:
+        release(panels)
+    assert not panels["_filtered"].storageLevel.useMemory
