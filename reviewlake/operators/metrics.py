@@ -242,7 +242,7 @@ def classified_counts(df: DataFrame, col: str = "sport_category") -> DataFrame:
 
 def run_metrics(df: DataFrame, run_id: str, label_col: str = "bert_label", score_col: str = "bert_score",
                 load_seconds: float | None = None, inference_seconds: float | None = None,
-                logged_at: Column | None = None) -> DataFrame:
+                logged_at: Column | None = None, model_name: str | None = None) -> DataFrame:
     """Run metrics of a scoring run in long form ``(run_id, kind, name, value_num, value_str, logged_at)``.
 
     One aggregate row is computed (counts, shares, means), then unpivoted
@@ -276,10 +276,26 @@ def run_metrics(df: DataFrame, run_id: str, label_col: str = "bert_label", score
     names = metrics.columns
     stack = "stack({n}, {pairs}) as (name, value_num)".format(
         n=len(names), pairs=", ".join(f"'{c}', `{c}`" for c in names))
-    return metrics.selectExpr(stack).select(
+    ts = F.current_timestamp() if logged_at is None else logged_at
+    metric_rows = metrics.selectExpr(stack).select(
         F.lit(run_id).alias("run_id"), F.lit("metric").alias("kind"), "name", "value_num",
-        F.lit(None).cast("string").alias("value_str"),
-        (F.current_timestamp() if logged_at is None else logged_at).alias("logged_at"))
+        F.lit(None).cast("string").alias("value_str"), ts.alias("logged_at"))
+    # run parameters: model, row count, distinct languages / sources (sorted;
+    # low-cardinality columns — the set is bounded by their domain), or
+    # "unknown" when the column is absent (plan-time check)
+    def distinct_list(c):
+        if c not in df.columns:
+            return F.lit("unknown")
+        return F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), ",")
+    p = df.agg(F.count(F.lit(1)).cast("string").alias("total_reviews"),
+               distinct_list("language").alias("languages"), distinct_list("source").alias("sources"))
+    p = p.withColumn("model_name", F.lit(model_name).cast("string"))
+    pstack = "stack(4, 'model_name', model_name, 'total_reviews', total_reviews, 'languages', languages, " \
+             "'sources', sources) as (name, value_str)"
+    param_rows = p.selectExpr(pstack).select(
+        F.lit(run_id).alias("run_id"), F.lit("param").alias("kind"), "name",
+        F.lit(None).cast("double").alias("value_num"), "value_str", ts.alias("logged_at"))
+    return metric_rows.unionByName(param_rows)
 
 
 # --------------------------------------------------------------------------

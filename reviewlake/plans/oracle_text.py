@@ -56,14 +56,21 @@ _M = [("total_reviews", "CAST(total AS DOUBLE)"), ("positive_count", "CAST(pos A
       ("avg_sentiment_score", f"CASE WHEN total > 0 THEN {R('ssum / CAST(total AS DOUBLE)', 4)} END"),
       ("avg_rating", R("avg_rating", 4)),
       ("model_load_time_seconds", "CAST(NULL AS DOUBLE)"), ("inference_time_seconds", "CAST(NULL AS DOUBLE)")]
+_P = [("model_name", "'letter-stars'"), ("total_reviews", "CAST(total AS VARCHAR)"),
+      ("languages", "langs"), ("sources", "srcs")]
 RUN_METRICS = with_reviews(
     "\nUNION ALL\n".join(
-        f"SELECT 'run-0001' AS run_id, 'metric' AS kind, '{n}' AS name, {e} AS value_num, "
-        f"CAST(NULL AS VARCHAR) AS value_str, TIMESTAMP '2026-01-01 00:00:00' AS logged_at FROM a" for n, e in _M),
+        [f"SELECT 'run-0001' AS run_id, 'metric' AS kind, '{n}' AS name, {e} AS value_num, "
+         f"CAST(NULL AS VARCHAR) AS value_str, TIMESTAMP '2026-01-01 00:00:00' AS logged_at FROM a" for n, e in _M]
+        + [f"SELECT 'run-0001', 'param', '{n}', CAST(NULL AS DOUBLE), {e}, TIMESTAMP '2026-01-01 00:00:00' FROM a"
+           for n, e in _P]),
     extra=f"""sc AS (SELECT *, {_STARS} AS s FROM reviews),
 lab AS (SELECT *, {_star_cols('s')} FROM sc),
 a AS (SELECT count(*) AS total, count_if(bert_label = 'positive') AS pos, count_if(bert_label = 'negative') AS neg,
-             count_if(bert_label = 'neutral') AS neu, sum(bert_score) AS ssum, avg(rating) AS avg_rating FROM lab)""")
+             count_if(bert_label = 'neutral') AS neu, sum(bert_score) AS ssum, avg(rating) AS avg_rating,
+             array_to_string(list_sort(list_distinct(list(language) FILTER (WHERE language IS NOT NULL))), ',') AS langs,
+             array_to_string(list_sort(list_distinct(list(source) FILTER (WHERE source IS NOT NULL))), ',') AS srcs
+      FROM lab)""")
 
 INSIGHT = with_reviews(f"""
 SELECT 'distribution' AS section, label AS item, n, {PCT('n', 'total')} AS value,

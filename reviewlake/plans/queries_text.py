@@ -70,7 +70,7 @@ def q_zero_shot_fallback(spark, sf):
 @register("run_metrics")
 def q_run_metrics(spark, sf):
     scored = star_sentiment(reviews(spark, sf), "text", letter_stars_factory)
-    return M.run_metrics(scored, RUN_ID, logged_at=F.to_timestamp(F.lit(LOGGED_AT)))
+    return M.run_metrics(scored, RUN_ID, logged_at=F.to_timestamp(F.lit(LOGGED_AT)), model_name="letter-stars")
 
 
 @register("insight_report")

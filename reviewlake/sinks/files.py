@@ -39,11 +39,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
-def first_available(spark: SparkSession, paths: Sequence[str], reader) -> tuple[str | None, DataFrame | None]:
+def first_available(spark: SparkSession, paths: Sequence[str], reader,
+                    empty_schema: StructType | None = None) -> tuple[str | None, DataFrame | None]:
     """Read the first path that exists (``reader(spark, path)``), trying
     them in priority order.  Existence is checked when the read is planned,
-    so no job runs for the missing paths.  Returns ``(path, df)`` or
-    ``(None, None)``."""
+    so no job runs for the missing paths.  Returns ``(path, df)``; when none
+    exists ``(None, empty frame of empty_schema)`` or ``(None, None)``."""
     for p in paths:
         try:
             df = reader(spark, p)
@@ -51,7 +52,7 @@ def first_available(spark: SparkSession, paths: Sequence[str], reader) -> tuple[
             return p, df
         except AnalysisException:
             continue
-    return None, None
+    return None, (spark.createDataFrame([], empty_schema) if empty_schema is not None else None)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, mode: str = "overwrite",

@@ -108,3 +108,10 @@ def test_partitioned_table_prunes_folders(spark, tmp_path):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [source#" in plan and "IN (s1,s2)" in plan
     assert q.count() == 20
+
+
+def test_first_available_empty_fallback(spark, tmp_path):
+    from reviewlake.schema import REVIEW
+    from reviewlake.sinks import files as S
+    p, df = S.first_available(spark, [str(tmp_path / "none")], lambda s, x: s.read.parquet(x), REVIEW)
+    assert p is None and df.count() == 0 and df.schema == REVIEW
