@@ -56,11 +56,14 @@ def _safe_call(scorer: Scorer, texts: list[str]) -> list:
 
 
 def with_model_answer(df: DataFrame, text_col: str, factory: Callable[[], Scorer],
-                      out_col: str = "model_answer", max_chars: int = C.MODEL_TEXT_MAX,
+                      out_col: str = "model_answer", max_chars: int | None = C.MODEL_TEXT_MAX,
                       batch_rows: int = 256, carry: list[str] | None = None) -> DataFrame:
     """Add ``out_col``: the scorer's raw answer for ``text_col[:max_chars]``.
 
-    Null texts are not sent to the model (answer null).  ``carry`` lists
+    The 512-character default is the model-input limit of the scoring being
+    reproduced (its model reads at most that much); ``max_chars=None`` sends
+    whole texts to a scorer that handles any length.  Null texts are not
+    sent to the model (answer null).  ``carry`` lists
     the columns passed through the Python stage (default: all).  Catalyst
     cannot prune columns through it, so pass only what is needed
     downstream — e.g. the key, not a 100 KB document text of which the
@@ -68,7 +71,8 @@ def with_model_answer(df: DataFrame, text_col: str, factory: Callable[[], Scorer
     from reviewlake.session import ship_package
     ship_package(df.sparkSession)
     kept = list(carry) if carry is not None else [c for c in df.columns if c != out_col]
-    src = df.select(*kept, F.substring(F.col(text_col), 1, max_chars).alias(_IN))
+    text = F.col(text_col) if max_chars is None else F.substring(F.col(text_col), 1, max_chars)
+    src = df.select(*kept, text.alias(_IN))
     schema = StructType([df.schema[c] for c in kept] + [StructField(out_col, StringType(), True)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

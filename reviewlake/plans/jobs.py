@@ -9,7 +9,7 @@ from reviewlake.operators.cascade import enrich
 from reviewlake.operators.merge import UPDATE_SENTIMENT, upsert
 from reviewlake.operators.projections import to_stored, with_text_features
 from reviewlake.operators.setops import dedup_first, union_sources
-from reviewlake.session import checkpoint_dir
+from reviewlake.session import scratch_path
 from reviewlake.sources.topic import encode_records
 
 
@@ -54,11 +54,14 @@ def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame |
     collected = dedup_first(union_sources(sources), "review_id", ["source_priority", "date"]).drop("source_priority")
     enriched = enrich(collected, "text", lexicon)
     if topic_path:
-        # publish and load both consume the enriched rows: materialise them
-        # once in the shared checkpoint folder (reliable, survives executor
-        # loss) instead of recomputing the collection for the second use
-        checkpoint_dir(spark)
-        enriched = enriched.checkpoint(eager=True)
+        # publish and load both consume the enriched rows: write them once
+        # as a table in the shared checkpoint folder (reliable, survives
+        # executor loss, cuts the lineage) and read that back for both uses.
+        # One pass — an eager reliable RDD checkpoint would compute the rows
+        # twice (count, then the checkpoint write).
+        staged = scratch_path(spark, "enriched")
+        enriched.write.mode("overwrite").parquet(staged)
+        enriched = spark.read.parquet(staged)
         encode_records(enriched, "store_id").write.mode("append").parquet(topic_path)
     stored = to_stored(enriched, ingested_at=ingested_at)
     if table is None:

@@ -44,7 +44,7 @@ CLUSTER_SETTINGS = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "reviewlake") -> SparkSession:
+              app_name: str = "reviewlake", extra_conf: dict | None = None) -> SparkSession:
     """Return the active session, or build a local one for tests / bench."""
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -57,7 +57,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
     )
-    for k, v in _DEFAULTS.items():
+    for k, v in {**_DEFAULTS, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
