@@ -46,13 +46,18 @@ def q_jsonld_products(spark, sf):
 
 
 def normalised_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
-    """The five sources in collection order (= dedup priority)."""
+    """The five sources in collection order (= dedup priority).
+
+    Four of them are landed from the reviews adapter; it is staged once as
+    a table so its joins run once, not four times."""
+    from reviewlake.sources.tables import stage
+    base = stage(classified_reviews(spark, sf), "reviews_base")
     return [
-        P.normalise_play(L.play_payloads(spark, sf)),
-        P.normalise_feed(L.feed_payloads(spark, sf)),
-        P.normalise_review_pages(L.review_page_payloads(spark, sf)),
+        P.normalise_play(L.play_payloads(spark, sf, base)),
+        P.normalise_feed(L.feed_payloads(spark, sf, base)),
+        P.normalise_review_pages(L.review_page_payloads(spark, sf, base)),
         P.normalise_listing(L.listing_payloads(spark, sf)),
-        P.normalise_product_pages(L.product_page_payloads(spark, sf)),
+        P.normalise_product_pages(L.product_page_payloads(spark, sf, base)),
     ]
 
 

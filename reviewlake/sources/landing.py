@@ -1,5 +1,8 @@
 """Land raw payloads from table data (the inverse of the normalisers).
 
+Each builder takes an optional ``base`` (the classified ``reviews`` rows)
+so a job that lands several sources computes the adapter join once.
+
 Collection over HTTP is not part of this library; payloads arrive as
 files.  These builders produce the same payload shapes from the driver
 tables so that the normalisers, the union/dedup and the collection job can
@@ -31,10 +34,10 @@ def _label(c):
     return F.when(c.isNotNull(), F.struct(c.cast("string").alias("label")))
 
 
-def play_payloads(spark: SparkSession, sf: str) -> DataFrame:
+def play_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
     """One JSON review per row; every 7th document lands a 9-character
     content (below the length bound)."""
-    r = reviews(spark, sf)
+    r = reviews(spark, sf) if base is None else base
     content = F.when(F.col("doc_id") % 7 == 0, F.substring("text", 1, 9)).otherwise(F.col("text"))
     body = F.struct(F.col("doc_id").cast("string").alias("reviewId"),
                     F.floor("rating").cast("int").alias("score"),
@@ -45,11 +48,11 @@ def play_payloads(spark: SparkSession, sf: str) -> DataFrame:
                     _fetched_at().alias("fetched_at"))
 
 
-def feed_payloads(spark: SparkSession, sf: str) -> DataFrame:
+def feed_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
     """Feed pages per (language, city, doc_id div PAGE_DOCS): an app-info
     entry first, then one entry per review (no rating object when the
     rating is null, no ``updated`` when the date is null)."""
-    r = reviews(spark, sf)
+    r = reviews(spark, sf) if base is None else base
     entry = F.struct(
         _label(F.col("review_id")).alias("id"),
         _label(F.col("rating")).alias("im:rating"),
@@ -92,10 +95,10 @@ def listing_payloads(spark: SparkSession, sf: str) -> DataFrame:
                         F.lit("en").alias("lang"), "page", _fetched_at().alias("fetched_at"))
 
 
-def review_page_payloads(spark: SparkSession, sf: str) -> DataFrame:
+def review_page_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
     """HTML pages per (language, city, doc_id div PAGE_DOCS) holding one
     JSON-LD block with the reviews and one broken block."""
-    r = reviews(spark, sf)
+    r = reviews(spark, sf) if base is None else base
     item = F.struct(
         F.struct(F.col("rating").cast("string").alias("ratingValue")).alias("reviewRating"),
         F.col("text").alias("description"),
@@ -112,11 +115,11 @@ def review_page_payloads(spark: SparkSession, sf: str) -> DataFrame:
                         F.col("store_city").alias("city"), "page", _fetched_at().alias("fetched_at"))
 
 
-def product_page_payloads(spark: SparkSession, sf: str) -> DataFrame:
+def product_page_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
     """Category pages per (sport category, doc_id div PAGE_DOCS): an
     ``ItemList`` JSON-LD block of products (doc_id div 10) with their
     reviews, plus an unrelated ``Organization`` block."""
-    r = classified_reviews(spark, sf)
+    r = classified_reviews(spark, sf) if base is None else base
     rv = F.struct(F.col("text").alias("reviewBody"),
                   F.struct(F.col("rating").cast("string").alias("ratingValue")).alias("reviewRating"),
                   iso(F.col("date")).alias("datePublished"))

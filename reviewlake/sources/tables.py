@@ -145,6 +145,17 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared checkpoint folder
+    and read it back: several consumers then share one computation, and the
+    lineage is cut (a lost executor re-reads the table instead of
+    recomputing the joins behind it)."""
+    from reviewlake.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def classified_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter rows with ``sport_category`` from the keyword cascade."""
     from reviewlake.operators.classify import with_keyword_category
