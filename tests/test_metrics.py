@@ -121,3 +121,14 @@ def test_dashboard_bundle(spark, sf):
     finally:
         release(panels)
     assert not panels["_filtered"].storageLevel.useMemory
+
+
+def test_ties_in_group_means_break_by_key(spark):
+    df = spark.createDataFrame([("b_cat", 2.0, "negative", "X"), ("a_cat", 2.0, "negative", "Y"),
+                                ("c_cat", 4.0, "negative", "X"), ("d_cat", 4.0, "positive", "Y")],
+                               "sport_category string, rating double, sentiment_label string, store_city string")
+    assert M.insight_worst_category(df).first().sport_category == "a_cat"
+    assert M.insight_best_category(df).first().sport_category == "c_cat"
+    assert M.insight_negative_city(df).first().store_city == "X"
+    ranks = {r.sport_category: r.rank for r in M.rating_by_category(df).collect()}
+    assert ranks == {"a_cat": 1, "b_cat": 2, "c_cat": 3, "d_cat": 4}

@@ -94,3 +94,13 @@ def test_topic_decode_flags_malformed(spark):
     bad = spark.createDataFrame([(b"k", b"{not json")], "key binary, value binary")
     rows = decode_records(enc.unionByName(bad), "store_id string, n int, t string").collect()
     assert [(r.key, r.n, r._malformed) for r in rows] == [("s1", 1, False), (None, 2, False), ("k", None, True)]
+
+
+def test_length_boundaries_count_code_points(spark):
+    """9 vs 10 characters (10 kept) and 19 vs 20 for the forum; an emoji is one character."""
+    from reviewlake.operators.filters import min_length
+    df = spark.createDataFrame([("a" * 9,), ("a" * 10,), ("👍" * 10,), ("é" * 9,), (None,)], "t string")
+    assert sorted(r.t for r in min_length(df, "t", 10).collect()) == ["a" * 10, "👍" * 10]
+    posts = [{"data": {"id": f"p{n}", "selftext": "x" * n, "score": 1}} for n in (19, 20)]
+    lst = frame(spark, [(json.dumps({"data": {"children": posts}}), "s", "en")], "payload string, subreddit string, lang string")
+    assert [r.review_id for r in P.normalise_listing(lst).collect()] == ["rd_p20"]
