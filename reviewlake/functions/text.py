@@ -94,3 +94,12 @@ def hash_id(prefix_: str, col: Column) -> Column:
     per-process salted hash), 128 bits wide (no bucket collisions), and
     reproducible by any SQL engine that has ``md5``."""
     return F.concat(F.lit(prefix_), F.md5(col.cast("string")))
+
+
+def pick(values: Column, index: Column) -> Column:
+    """``values[index]`` (1-based), null when the index is null.
+
+    Guarded on purpose: in this Spark build ``element_at`` over a literal
+    array returned the *last* element for a null index (see
+    tests/test_functions.py::test_pick_null_index)."""
+    return F.when(index.isNotNull(), F.element_at(values, index))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions.numeric import clamp, round_half_up
-from reviewlake.functions.text import zero_pad
+from reviewlake.functions.text import pick, zero_pad
 
 # (text, base rating, category) — own wording.
 TEMPLATES: list[tuple[str, float, str]] = [
@@ -50,7 +50,7 @@ def _u(seed: int, draw: int, key: Column) -> Column:
 
 def _pick(values: list, u: Column) -> Column:
     arr = F.array(*[F.lit(v) for v in values])
-    return F.element_at(arr, (F.floor(u * len(values))).cast("int") + 1)
+    return pick(arr, (F.floor(u * len(values))).cast("int") + 1)
 
 
 def synthetic_reviews(rows: DataFrame, key: str, seed: int = 42, base_date: str = "2026-01-01 00:00:00",
@@ -70,7 +70,7 @@ def synthetic_reviews(rows: DataFrame, key: str, seed: int = 42, base_date: str
     lang = lang.otherwise(F.lit(LANGUAGE_WEIGHTS[-1][0]))
     days = F.floor(_u(seed, 4, k) * (MAX_DAYS_BACK + 1)).cast("int")
     jitter = (_u(seed, 5, k) * 2 - 1) * JITTER
-    rating = round_half_up(clamp(F.element_at(bases, t_idx + 1) + jitter, 1.0, 5.0), 1)
+    rating = round_half_up(clamp(pick(bases, t_idx + 1) + jitter, 1.0, 5.0), 1)
     base = F.to_timestamp(F.lit(base_date))
     return rows.select(
         F.concat(F.lit(prefix), zero_pad(k, 5)).alias("review_id"),
@@ -79,9 +79,9 @@ def synthetic_reviews(rows: DataFrame, key: str, seed: int = 42, base_date: str
         F.concat(F.lit("Store "), city).alias("store_name"),
         city.alias("store_city"),
         rating.alias("rating"),
-        F.element_at(texts, t_idx + 1).alias("text"),
+        pick(texts, t_idx + 1).alias("text"),
         lang.alias("language"),
         F.date_format(base - F.make_dt_interval(days), "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
-        F.element_at(cats, t_idx + 1).alias("sport_category"),
+        pick(cats, t_idx + 1).alias("sport_category"),
         F.date_format(base, "yyyy-MM-dd'T'HH:mm:ss").alias("collected_at"),
     )

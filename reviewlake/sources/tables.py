@@ -103,8 +103,8 @@ def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
 
 
 def phrase_for(doc_id: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(p) for p in PHRASES]),
-                        (doc_id % F.lit(len(PHRASES))).cast("int") + F.lit(1))
+    from reviewlake.functions.text import pick
+    return pick(F.array(*[F.lit(p) for p in PHRASES]), (doc_id % F.lit(len(PHRASES))).cast("int") + F.lit(1))
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,3 +77,11 @@ def test_iso_like_python(spark):
     df = spark.createDataFrame([(dt.datetime(2026, 1, 2, 3, 4, 5),), (dt.datetime(2026, 1, 2, 3, 4, 5, 120),)], "t timestamp")
     got = [r.s for r in df.select(TM.iso(F.col("t")).alias("s")).collect()]
     assert got == [dt.datetime(2026, 1, 2, 3, 4, 5).isoformat(), dt.datetime(2026, 1, 2, 3, 4, 5, 120).isoformat()]
+
+
+def test_pick_null_index(spark):
+    """Guard against element_at(<literal array>, NULL) returning the last element."""
+    df = spark.createDataFrame([([1, 2],), ([],)], "xs array<int>")
+    arr = F.array(F.lit("a"), F.lit("b"), F.lit("c"))
+    got = [r.v for r in df.select(T.pick(arr, F.array_min("xs") + 1).alias("v")).collect()]
+    assert got == ["b", None]
