@@ -377,23 +377,25 @@ def lowest_scores(df: DataFrame, n: int = 3, score_col: str = "sentiment_score",
 
 def insight_report(df: DataFrame, k: int = 3) -> DataFrame:
     """The printed insight report as one long frame
-    ``(section, item, n, value, rank)``:
+    ``(section, item, n, value, rank)`` (``n``, ``value`` double):
 
     * ``distribution``  label count and share of all rows;
     * ``category_rating`` mean rating per category (2 dp), lowest first;
     * ``top_negative``  the ``k`` categories with most negative reviews;
     * ``lowest_scores`` the ``k`` reviews with the smallest score.
     """
+    # ``n`` is absent for some sections; it is a double so the long form
+    # has one numeric type for both value columns
     dist = label_distribution(df, "sentiment_label", "all").select(
-        F.lit("distribution").alias("section"), F.col("label").alias("item"), "n",
+        F.lit("distribution").alias("section"), F.col("label").alias("item"), F.col("n").cast("double").alias("n"),
         F.col("pct").alias("value"), "rank")
     cat = category_rating_bars(df).select(
         F.lit("category_rating").alias("section"), F.col("sport_category").alias("item"),
-        F.lit(None).cast("long").alias("n"), F.col("avg_rating").alias("value"), "rank")
+        F.lit(None).cast("double").alias("n"), F.col("avg_rating").alias("value"), "rank")
     neg = top_negative_categories(df, k).select(
-        F.lit("top_negative").alias("section"), F.col("sport_category").alias("item"), "n",
+        F.lit("top_negative").alias("section"), F.col("sport_category").alias("item"), F.col("n").cast("double").alias("n"),
         F.lit(None).cast("double").alias("value"), "rank")
     low = lowest_scores(df, k).select(
         F.lit("lowest_scores").alias("section"), F.col("review_id").alias("item"),
-        F.lit(None).cast("long").alias("n"), F.col("score").alias("value"), F.col("pos").alias("rank"))
+        F.lit(None).cast("double").alias("n"), F.col("score").alias("value"), F.col("pos").alias("rank"))
     return dist.unionByName(cat).unionByName(neg).unionByName(low)

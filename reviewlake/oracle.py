@@ -85,10 +85,10 @@ def _kpis(pred: str) -> str:
        CASE WHEN {delta} >= 0 THEN 'good' ELSE 'bad' END AS delta_class,
        CASE WHEN {delta} >= 0 THEN '↑' ELSE '↓' END AS delta_arrow
 FROM a""", extra=f"""a AS (
-  SELECT count_if({pred}) AS total, count(*) AS full_total,
+  SELECT CAST(count_if({pred}) AS BIGINT) AS total, count(*) AS full_total,
          {R(f'avg(CASE WHEN {pred} THEN rating END)', 2)} AS avg_rating,
-         count_if(({pred}) AND sentiment_label = 'positive') AS positive_count,
-         count_if(({pred}) AND sentiment_label = 'negative') AS negative_count
+         CAST(count_if(({pred}) AND sentiment_label = 'positive') AS BIGINT) AS positive_count,
+         CAST(count_if(({pred}) AND sentiment_label = 'negative') AS BIGINT) AS negative_count
   FROM reviews)""")
 
 
@@ -185,7 +185,7 @@ FROM reviews WHERE date IS NOT NULL"""),
        coalesce({keyword_category_sql('text')}, 'other') AS sport_category FROM reviews"""),
     "unclassified_rows": with_reviews(f"""SELECT review_id, text FROM reviews
 WHERE ({keyword_category_sql('text')}) IS NULL"""),
-    "classified_counts": with_reviews(f"""SELECT count(c) AS classified, count_if(c IS NULL) AS unclassified
+    "classified_counts": with_reviews(f"""SELECT count(c) AS classified, CAST(count_if(c IS NULL) AS BIGINT) AS unclassified
 FROM (SELECT {keyword_category_sql('text')} AS c FROM reviews) t"""),
     "keyword_category_documents": f"""SELECT coalesce({keyword_category_sql('text')}, 'other') AS sport_category,
        count(*) AS n FROM documents GROUP BY 1""",
@@ -201,10 +201,30 @@ FROM (SELECT * FROM reviews ORDER BY sentiment_score ASC NULLS LAST, review_id A
 }
 
 
+def as_double(sql: str, cols: list[str]) -> str:
+    """Wrap a query so its decimal columns come back as double (the Spark
+    side presents decimals the same way)."""
+    rep = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM ({sql}) __q"
+
+
+DECIMAL_OUTPUTS = {
+    "store_projection": ["rating", "sentiment_score"],
+    "upsert_sentiment": ["rating", "sentiment_score"],
+    "upsert_touch": ["rating", "sentiment_score"],
+    "upsert_bucketed": ["rating", "sentiment_score"],
+    "stream_upsert": ["rating", "sentiment_score"],
+    "weekly_batch_load": ["rating", "sentiment_score"],
+    "numeric_functions": ["rating_dec", "overflow_is_null"],
+}
+
+
 def all_sql() -> dict[str, str]:
     from reviewlake.plans import oracle_io, oracle_more, oracle_text
     out = dict(SQL)
     out.update(oracle_more.SQL)
     out.update(oracle_text.SQL)
     out.update(oracle_io.SQL)
+    for k, cols in DECIMAL_OUTPUTS.items():
+        out[k] = as_double(out[k], cols)
     return out

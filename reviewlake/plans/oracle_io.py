@@ -52,7 +52,7 @@ FROM documents""",
        {TITLE("language || '_water_sports'")} AS title,
        CASE WHEN length(language) < 4 THEN rpad(language, 4, ' ') ELSE language END AS lang_padded,
        {BAR('floor(rating * 2)')} AS bar,
-       TRY_CAST(split_part(trim(CAST(CAST(floor(rating) AS BIGINT) AS VARCHAR) || ' stars'), ' ', 1) AS INTEGER) AS stars,
+       CAST(TRY_CAST(split_part(trim(CAST(CAST(floor(rating) AS BIGINT) AS VARCHAR) || ' stars'), ' ', 1) AS INTEGER) AS DOUBLE) AS stars,
        'tp_' || md5(text) AS hashed_id
 FROM reviews"""),
     "numeric_functions": with_reviews(f"""SELECT review_id, {R(_X, 1)} AS r1, {R(_X, 2)} AS r2, {R(_X, 3)} AS r3, {R(_X, 4)} AS r4,

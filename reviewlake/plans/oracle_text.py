@@ -73,22 +73,22 @@ a AS (SELECT count(*) AS total, count_if(bert_label = 'positive') AS pos, count_
       FROM lab)""")
 
 INSIGHT = with_reviews(f"""
-SELECT 'distribution' AS section, label AS item, n, {PCT('n', 'total')} AS value,
+SELECT 'distribution' AS section, label AS item, CAST(n AS DOUBLE) AS n, {PCT('n', 'total')} AS value,
        row_number() OVER (ORDER BY n DESC, label ASC) AS rank
 FROM (SELECT label, n, sum(n) OVER () AS total
       FROM (SELECT sentiment_label AS label, count(*) AS n FROM classified GROUP BY 1) g) t
 WHERE label IS NOT NULL
 UNION ALL
-SELECT 'category_rating', sport_category, CAST(NULL AS BIGINT), {R('m', 2)},
+SELECT 'category_rating', sport_category, CAST(NULL AS DOUBLE), {R('m', 2)},
        row_number() OVER (ORDER BY m ASC NULLS LAST, sport_category ASC)
 FROM (SELECT sport_category, avg(rating) AS m FROM classified WHERE sport_category IS NOT NULL GROUP BY 1) g
 UNION ALL
-SELECT * FROM (SELECT 'top_negative', sport_category, n, CAST(NULL AS DOUBLE),
+SELECT * FROM (SELECT 'top_negative', sport_category, CAST(n AS DOUBLE), CAST(NULL AS DOUBLE),
        row_number() OVER (ORDER BY n DESC, sport_category ASC) AS rk
 FROM (SELECT sport_category, count(*) AS n FROM classified
       WHERE sentiment_label = 'negative' AND sport_category IS NOT NULL GROUP BY 1) g) x WHERE rk <= 3
 UNION ALL
-SELECT 'lowest_scores', review_id, CAST(NULL AS BIGINT), sentiment_score,
+SELECT 'lowest_scores', review_id, CAST(NULL AS DOUBLE), sentiment_score,
        row_number() OVER (ORDER BY sentiment_score ASC NULLS LAST, review_id ASC)
 FROM (SELECT * FROM classified ORDER BY sentiment_score ASC NULLS LAST, review_id ASC LIMIT 3) l""", True)
 

@@ -169,7 +169,8 @@ def q_string_functions(spark, sf):
         T.title_case(F.concat(F.col("language"), F.lit("_"), F.col("sport_category"))).alias("title"),
         T.ljust(F.col("language"), 4).alias("lang_padded"),
         T.bar(F.floor(F.col("rating") * 2)).alias("bar"),
-        T.leading_int(F.concat(F.floor("rating").cast("string"), F.lit(" stars"))).alias("stars"),
+        # null for a null rating; double so the column has no nullable-int form
+        T.leading_int(F.concat(F.floor("rating").cast("string"), F.lit(" stars"))).cast("double").alias("stars"),
         T.hash_id("tp_", F.col("text")).alias("hashed_id"),
     )
 
