@@ -33,10 +33,21 @@ def cmd_analyze(spark, a) -> None:
     enrich(_read_reviews(spark, a.input, a.multiline), "text").write.mode("overwrite").parquet(a.output)
 
 
+def _factory(spec: str | None):
+    """``package.module:function`` → the scorer factory (None when not given)."""
+    if not spec:
+        return None
+    import importlib
+    mod, _, fn = spec.partition(":")
+    return getattr(importlib.import_module(mod), fn)
+
+
 def cmd_classify(spark, a) -> None:
     from reviewlake.operators.cascade import classify_cascade
     df = _read_reviews(spark, a.input, a.multiline)
-    classify_cascade(df, "text", "sport_category", None, use_model=False).write.mode("overwrite").parquet(a.output)
+    factory = _factory(a.model)
+    classify_cascade(df, "text", "sport_category", factory, use_model=factory is not None) \
+        .write.mode("overwrite").parquet(a.output)
 
 
 def cmd_load(spark, a) -> None:
@@ -107,7 +118,8 @@ def main(argv: list[str] | None = None) -> None:
     out = (["--output"], {"required": True})
     ml = (["--multiline"], {"action": "store_true", "help": "input files are JSON arrays"})
     add("analyze", cmd_analyze, inp, out, ml)
-    add("classify", cmd_classify, inp, out, ml)
+    add("classify", cmd_classify, inp, out, ml,
+        (["--model"], {"default": None, "help": "topic scorer factory as package.module:function"}))
     add("load", cmd_load, inp, ml, (["--table"], {"required": True}), (["--touch-only"], {"action": "store_true"}))
     add("process", cmd_process, inp, out)
     add("publish", cmd_publish, inp, ml, (["--topic"], {"default": "reviews.raw"}),

@@ -39,3 +39,14 @@ def test_cli_jobs(spark, tmp_path, capsys):
 
     cli.main(["process", "--input", str(tmp_path / "table" / "v=2"), "--output", str(tmp_path / "processed")])
     assert {r.length_category for r in spark.read.parquet(str(tmp_path / "processed")).collect()} == {"short"}
+
+
+def test_cli_classify_with_model(spark, tmp_path):
+    src = tmp_path / "r.json"
+    src.write_text("\n".join(json.dumps(r) for r in [
+        {"review_id": "a", "text": "bike ride"}, {"review_id": "b", "text": "It is a plain box"}]), encoding="utf-8")
+    cli.main(["classify", "--input", str(src), "--output", str(tmp_path / "c"),
+              "--model", "reviewlake.plans.stub_models:length_topic_factory"])
+    got = {r.review_id: r.sport_category for r in spark.read.parquet(str(tmp_path / "c")).collect()}
+    # keyword hit for "a"; "b" goes to the stub model: 17 characters → label index 7
+    assert got == {"a": "cycling", "b": "water_sports"}
