@@ -399,3 +399,25 @@ def insight_report(df: DataFrame, k: int = 3) -> DataFrame:
         F.lit("lowest_scores").alias("section"), F.col("review_id").alias("item"),
         F.lit(None).cast("double").alias("n"), F.col("score").alias("value"), F.col("pos").alias("rank"))
     return dist.unionByName(cat).unionByName(neg).unionByName(low)
+
+
+# --------------------------------------------------------------------------
+# The load checks as SQL text over a temp view (same results as verify_*)
+# --------------------------------------------------------------------------
+VERIFY_SQL = {
+    "total": "SELECT count(*) AS total FROM {v}",
+    "avg_rating": "SELECT CAST(round(CAST(avg(rating) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_rating FROM {v}",
+    "by_sentiment": "SELECT sentiment_label, count(*) AS n FROM {v} GROUP BY sentiment_label "
+                    "ORDER BY n DESC, sentiment_label ASC NULLS FIRST",
+    "by_city": "SELECT store_city, CAST(round(CAST(avg(rating) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_rating, "
+               "count(*) AS total FROM {v} GROUP BY store_city ORDER BY avg_rating ASC NULLS LAST, store_city ASC NULLS FIRST",
+}
+
+
+def verify_sql(df: DataFrame, view: str | None = None) -> dict[str, DataFrame]:
+    """Register ``df`` as a temp view and return the four check queries
+    (``spark.sql``; Catalyst plans them exactly like the DataFrame forms)."""
+    import uuid
+    view = view or f"reviews_{uuid.uuid4().hex[:10]}"
+    df.createOrReplaceTempView(view)
+    return {k: df.sparkSession.sql(q.format(v=view)) for k, q in VERIFY_SQL.items()}

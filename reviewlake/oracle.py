@@ -225,6 +225,7 @@ def all_sql() -> dict[str, str]:
     out.update(oracle_more.SQL)
     out.update(oracle_text.SQL)
     out.update(oracle_io.SQL)
+    out["verify_by_city_sql"] = out["verify_by_city"]
     for k, cols in DECIMAL_OUTPUTS.items():
         out[k] = as_double(out[k], cols)
     return out

@@ -228,3 +228,9 @@ def q_explorer_summary(spark, sf):
 @register("lowest_scores")
 def q_lowest_scores(spark, sf):
     return M.lowest_scores(reviews(spark, sf), 5, "sentiment_score", 60)
+
+
+@register("verify_by_city_sql")
+def q_verify_by_city_sql(spark, sf):
+    """The per-city check written as SQL text over a temp view."""
+    return M.verify_sql(reviews(spark, sf))["by_city"]

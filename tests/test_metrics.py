@@ -132,3 +132,13 @@ def test_ties_in_group_means_break_by_key(spark):
     assert M.insight_negative_city(df).first().store_city == "X"
     ranks = {r.sport_category: r.rank for r in M.rating_by_category(df).collect()}
     assert ranks == {"a_cat": 1, "b_cat": 2, "c_cat": 3, "d_cat": 4}
+
+
+def test_verify_sql_matches_dataframe_forms(spark, sf):
+    df = reviews(spark, sf)
+    q = M.verify_sql(df)
+    assert q["total"].first().total == M.verify_total(df).first().total
+    assert q["avg_rating"].first().avg_rating == M.verify_avg_rating(df).first().avg_rating
+    assert [tuple(r) for r in q["by_city"].collect()] == [tuple(r) for r in M.verify_by_city(df).collect()]
+    assert [(r.sentiment_label, r.n) for r in q["by_sentiment"].collect()] == \
+           [(r.sentiment_label, r.n) for r in M.verify_by_sentiment(df).collect()]
