@@ -50,3 +50,44 @@ def test_dedup_strategies_agree_with_python(spark, rows):
     for strategy in ("aggregate", "window"):
         got = {tuple(r) for r in dedup_first(df, "k", ["prio"], strategy).collect()}
         assert got == set(want.values())
+
+
+keys = st.sampled_from([f"k{i}" for i in range(12)])
+labels = st.one_of(st.none(), st.sampled_from(["positive", "neutral", "negative"]))
+
+
+@SETTINGS
+@given(st.dictionaries(keys, st.tuples(labels, st.sampled_from(["a", "b"])), max_size=10),
+       st.dictionaries(keys, st.tuples(labels, st.sampled_from(["x", "y"])), max_size=10),
+       st.booleans())
+def test_upsert_matches_on_conflict_model(spark, table, batch, touch_only):
+    from reviewlake.operators.merge import upsert
+    ddl = "review_id string, sentiment_label string, source string, ingested_at timestamp"
+    t = spark.createDataFrame([(k, l, s, None) for k, (l, s) in table.items()], ddl)
+    b = spark.createDataFrame([(k, l, s, None) for k, (l, s) in batch.items()], ddl)
+    cols = () if touch_only else ("sentiment_label",)
+    got = {r.review_id: (r.sentiment_label, r.source, r.ingested_at is not None)
+           for r in upsert(t, b, "review_id", cols, now=F.current_timestamp()).collect()}
+    want = {k: (l, s, False) for k, (l, s) in table.items()}
+    for k, (l, s) in batch.items():
+        if k in want:
+            old_l, old_s, _ = want[k]
+            want[k] = (old_l if touch_only else l, old_s, True)
+        else:
+            want[k] = (l, s, True)
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from([1.0, 2.5, 3.0, 5.0])), labels), min_size=0, max_size=60),
+       st.integers(1, 4), st.integers(1, 7), st.sampled_from(["Lowest Rating", "Highest Rating"]))
+def test_explorer_page_matches_python(spark, rows, page, per_page, sort_by):
+    from reviewlake.operators.metrics import explorer_page
+    data = [(f"r{i:03d}", r, l, "c", "en", "t") for i, (r, l) in enumerate(rows)]
+    df = spark.createDataFrame(data, "review_id string, rating double, sentiment_label string, "
+                                     "store_city string, language string, text string")
+    desc = sort_by == "Highest Rating"
+    ordered = sorted(data, key=lambda x: (x[1] is None, -(x[1] or 0) if desc else (x[1] or 0), x[0]))
+    want = [x[0] for x in ordered][(page - 1) * per_page: page * per_page]
+    got = [r.review_id for r in explorer_page(df, "All", sort_by, page, per_page).collect()]
+    assert got == want
