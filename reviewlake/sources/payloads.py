@@ -51,7 +51,15 @@ def _rating_text(label: Column) -> Column:
     return F.coalesce(label, F.lit(str(C.DEFAULT_RATING))).try_cast("double")
 
 
-def normalise_feed(df: DataFrame, payload: str = "payload") -> DataFrame:
+def _split_bad_rating(rows: DataFrame, rejects: bool):
+    """Items whose rating text is not a number (rating null after the
+    default) leave the main output — only that item, not its page; with
+    ``rejects=True`` they are returned as a second frame."""
+    good = rows.where(F.col("rating").isNotNull())
+    return (good, rows.where(F.col("rating").isNull())) if rejects else good
+
+
+def normalise_feed(df: DataFrame, payload: str = "payload", rejects: bool = False):
     """App-store review feed pages.
 
     Entry 0 is app information and is skipped; entries without a rating
@@ -65,12 +73,12 @@ def normalise_feed(df: DataFrame, payload: str = "payload") -> DataFrame:
                                 F.coalesce(e.entry["content"]["label"], F.lit(""))), ". ")
     e = e.withColumn("_text", text).where(F.length("_text") >= C.MIN_TEXT_LENGTH)
     rid = F.coalesce(e.entry["id"]["label"], F.md5(F.concat_ws("|", F.col("country"), F.col("_text"))))
-    return e.select(*_review(
+    return _split_bad_rating(e.select(*_review(
         F.concat(F.lit("as_"), rid), "app_store",
         F.concat(F.lit("appstore_"), F.col("country")),
         F.concat(F.lit("App Store ("), F.col("city"), F.lit(")")),
         F.col("city"), _rating_text(e.entry["im:rating"]["label"]), F.col("_text"), F.col("lang"),
-        F.coalesce(e.entry["updated"]["label"], iso(F.col("fetched_at"))), F.col("fetched_at")))
+        F.coalesce(e.entry["updated"]["label"], iso(F.col("fetched_at"))), F.col("fetched_at"))), rejects)
 
 
 def normalise_play(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -121,7 +129,7 @@ def _ld_documents(df: DataFrame, html: str, schema) -> DataFrame:
     return s.where(F.col("_ld").isNotNull() & F.col("_ld")["_corrupt_record"].isNull())
 
 
-def normalise_review_pages(df: DataFrame, html: str = "html") -> DataFrame:
+def normalise_review_pages(df: DataFrame, html: str = "html", rejects: bool = False):
     """Review-site pages: every ``review`` of every JSON-LD block.
 
     Description of at least 10 characters; rating default 3; author
@@ -133,15 +141,15 @@ def normalise_review_pages(df: DataFrame, html: str = "html") -> DataFrame:
     r = r.where(F.length(r.rv["description"]) >= C.MIN_TEXT_LENGTH)
     date = F.coalesce(r.rv["datePublished"], iso(F.col("fetched_at")))
     author = F.coalesce(r.rv["author"]["name"], F.lit(C.DEFAULT_AUTHOR))
-    return r.select(*_review(
+    return _split_bad_rating(r.select(*_review(
         hash_id("tp_", F.concat(author, date)), "trustpilot",
         F.concat(F.lit("tp_"), F.col("lang")),
         F.concat(F.lit("Review site ("), F.col("city"), F.lit(")")),
         F.col("city"), _rating_text(r.rv["reviewRating"]["ratingValue"]), r.rv["description"],
-        F.col("lang"), date, F.col("fetched_at")))
+        F.col("lang"), date, F.col("fetched_at"))), rejects)
 
 
-def normalise_product_pages(df: DataFrame, html: str = "html") -> DataFrame:
+def normalise_product_pages(df: DataFrame, html: str = "html", rejects: bool = False):
     """Product pages: JSON-LD blocks of ``@type`` ItemList → items → reviews.
 
     Body of at least 10 characters; rating default 3; date default the
@@ -152,9 +160,9 @@ def normalise_product_pages(df: DataFrame, html: str = "html") -> DataFrame:
     items = s.select("*", F.explode(F.col("_ld")["itemListElement"]).alias("it"))
     r = items.select("*", F.explode(F.col("it")["item"]["review"]).alias("rv"))
     r = r.where(F.length(r.rv["reviewBody"]) >= C.MIN_TEXT_LENGTH)
-    return r.select(*_review(
+    return _split_bad_rating(r.select(*_review(
         hash_id("dc_", prefix(r.rv["reviewBody"], 50)), "product_site",
         F.concat(F.lit("site_"), F.col("sport")),
         F.concat(F.lit("Product site ("), F.col("sport"), F.lit(")")),
         F.col("city"), _rating_text(r.rv["reviewRating"]["ratingValue"]), r.rv["reviewBody"],
-        F.col("lang"), F.coalesce(r.rv["datePublished"], iso(F.col("fetched_at"))), F.col("fetched_at")))
+        F.col("lang"), F.coalesce(r.rv["datePublished"], iso(F.col("fetched_at"))), F.col("fetched_at"))), rejects)

@@ -104,3 +104,15 @@ def test_length_boundaries_count_code_points(spark):
     posts = [{"data": {"id": f"p{n}", "selftext": "x" * n, "score": 1}} for n in (19, 20)]
     lst = frame(spark, [(json.dumps({"data": {"children": posts}}), "s", "en")], "payload string, subreddit string, lang string")
     assert [r.review_id for r in P.normalise_listing(lst).collect()] == ["rd_p20"]
+
+
+def test_bad_rating_rejects_only_that_item(spark):
+    good = {"review": [{"reviewRating": {"ratingValue": "4"}, "description": "Fine shop overall"},
+                       {"reviewRating": {"ratingValue": "four"}, "description": "Rating is not a number"},
+                       {"reviewRating": {"ratingValue": "2.5"}, "description": "Kept after the bad one"}]}
+    html = '<script type="application/ld+json">' + json.dumps(good) + "</script>"
+    df = frame(spark, [(html, "en", "York")], "html string, lang string, city string")
+    ok, bad = P.normalise_review_pages(df, rejects=True)
+    assert sorted(r.text for r in ok.collect()) == ["Fine shop overall", "Kept after the bad one"]
+    assert [r.text for r in bad.collect()] == ["Rating is not a number"]
+    assert P.normalise_review_pages(df).count() == 2
