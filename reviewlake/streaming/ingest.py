@@ -102,12 +102,17 @@ def upsert_batch_fn(table: SnapshotTable, key: str = "review_id", update_cols=("
     base = table.latest() or 0
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        from pyspark.sql import functions as F
         b = prepare(batch) if prepare else batch
         b = dedup_first(b, key, list(order))
         target = base + 1 + batch_id
         prev = [v for v in table._versions() if v < target]
-        current = table.spark.read.parquet(f"{table.path}/v={prev[-1]}")
-        merged = upsert(current, b, key, update_cols, now=now)
+        if prev:
+            current = table.spark.read.parquet(f"{table.path}/v={prev[-1]}")
+            merged = upsert(current, b, key, update_cols, now=now)
+        else:                                   # first load of an empty table
+            stamp = F.current_timestamp() if now is None else now
+            merged = b.withColumn("ingested_at", stamp.cast("timestamp")) if "ingested_at" in b.columns else b
         table.commit(merged, target)
 
     return run

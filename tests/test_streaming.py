@@ -31,3 +31,17 @@ def test_foreach_batch_replay_is_idempotent(spark, tmp_path):
     run(batch, 0)                      # the same micro-batch again (replay after a failure)
     assert rows(t.read()) == first and t.latest() == 2
     assert {r[0]: r[1] for r in first} == {"a": "positive", "b": "negative"}
+
+
+def test_stream_upsert_into_empty_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from reviewlake.streaming.ingest import SnapshotTable, read_topic_stream, stream_upsert
+    schema = "review_id string, sentiment_label string, ingested_at timestamp"
+    spark.createDataFrame([("a", "neutral", None), ("a", "positive", None), ("b", "negative", None)], schema) \
+        .write.parquet(str(tmp_path / "in"))
+    t = SnapshotTable(spark, str(tmp_path / "t"))
+    s = read_topic_stream(spark, "parquet", spark.read.parquet(str(tmp_path / "in")).schema, path=str(tmp_path / "in"))
+    stream_upsert(s, t, str(tmp_path / "ck"), update_cols=("sentiment_label",), order=("sentiment_label",),
+                  now=F.to_timestamp(F.lit("2026-02-01 00:00:00"))).awaitTermination()
+    got = {r.review_id: r.sentiment_label for r in t.read().collect()}
+    assert got == {"a": "neutral", "b": "negative"} and t.latest() == 1
