@@ -115,3 +115,13 @@ def test_first_available_empty_fallback(spark, tmp_path):
     from reviewlake.sinks import files as S
     p, df = S.first_available(spark, [str(tmp_path / "none")], lambda s, x: s.read.parquet(x), REVIEW)
     assert p is None and df.count() == 0 and df.schema == REVIEW
+
+
+def test_spread_only_repartitions_small_scans(spark, sf):
+    from reviewlake.sources.tables import spread
+    target = spark.sparkContext.defaultParallelism * 2
+    small = spark.read.parquet(f"{sf}/documents.parquet")
+    assert small.rdd.getNumPartitions() < target
+    assert spread(small).rdd.getNumPartitions() == target
+    many = spark.range(0, 1000, numPartitions=target + 3)
+    assert spread(many) is many                      # already enough tasks: plan untouched
