@@ -50,3 +50,11 @@ def test_cli_classify_with_model(spark, tmp_path):
     got = {r.review_id: r.sport_category for r in spark.read.parquet(str(tmp_path / "c")).collect()}
     # keyword hit for "a"; "b" goes to the stub model: 17 characters → label index 7
     assert got == {"a": "cycling", "b": "water_sports"}
+
+
+def test_cli_report(spark, tmp_path, capsys):
+    src = tmp_path / "r.json"
+    src.write_text("\n".join(json.dumps(r) for r in ROWS[:2]), encoding="utf-8")
+    cli.main(["report", "--input", str(src)])
+    out = capsys.readouterr().out
+    assert "distribution" in out and "category_rating" in out and "lowest_scores" in out

@@ -40,3 +40,11 @@ def test_oracle(spark, sf, duck, name):
     dcols, drows = rows_of_duck(duck, E.oracle_sql()[name])
     assert scols == dcols
     assert srows == drows
+
+
+def test_wrapper_presents_engine_neutral_types(spark, sf):
+    df = E.queries()["store_projection"](spark, sf)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert types["rating"] == "double" and types["sentiment_score"] == "double"
+    assert types["review_date"] == "timestamp_ntz" and types["ingested_at"] == "timestamp_ntz"
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
