@@ -54,7 +54,9 @@ def test_cli_classify_with_model(spark, tmp_path):
 
 def test_cli_report(spark, tmp_path, capsys):
     src = tmp_path / "r.json"
-    src.write_text("\n".join(json.dumps(r) for r in ROWS[:2]), encoding="utf-8")
+    enriched = [dict(r, sentiment_label=lab, sentiment_score=sc)
+                for r, lab, sc in zip(ROWS[:2], ["positive", "negative"], [0.6, -0.8])]
+    src.write_text("\n".join(json.dumps(r) for r in enriched), encoding="utf-8")
     cli.main(["report", "--input", str(src)])
     out = capsys.readouterr().out
     assert "distribution" in out and "category_rating" in out and "lowest_scores" in out
