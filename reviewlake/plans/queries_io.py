@@ -35,10 +35,8 @@ def _events_topic(spark: SparkSession, sf: str) -> DataFrame:
     """Events published to a 3-partition topic keyed by user (envelope rows)."""
     ev = read_table(spark, sf, "events")
     enc = ev.select(F.col("user_id").cast("string").alias("key_src"), *EVENT_COLS)
-    recs = TP.encode_records(enc, "key_src", EVENT_COLS)
-    keyed = recs.withColumn("_eid", F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("long")) \
-                .withColumn("_ts", F.get_json_object(F.col("value").cast("string"), "$.ts").cast("timestamp_ntz"))
-    return TP.envelope(keyed, "reviews.raw", 3, F.col("key"), F.col("_eid"), F.col("_ts"))
+    recs = TP.encode_records(enc, "key_src", EVENT_COLS, keep=("event_id", "ts"))
+    return TP.envelope(recs, "reviews.raw", 3, F.col("key"), F.col("event_id"), F.col("ts"))
 
 
 def _review_rows(spark: SparkSession, sf: str) -> DataFrame:

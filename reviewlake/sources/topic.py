@@ -21,8 +21,10 @@ from reviewlake.functions.text import nullif_empty
 PRODUCER_OPTIONS = {"kafka.acks": "all", "kafka.retries": "3", "kafka.compression.type": "gzip"}
 
 
-def encode_records(df: DataFrame, key_col: str | None = "store_id", value_cols: list[str] | None = None) -> DataFrame:
-    """Rows → ``(key binary, value binary)``.
+def encode_records(df: DataFrame, key_col: str | None = "store_id", value_cols: list[str] | None = None,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows → ``(key binary, value binary)`` (+ ``keep`` columns, e.g. to
+    build the envelope without parsing the value back).
 
     Key: UTF-8 of ``key_col`` (null when empty or absent).  Value: UTF-8 JSON
     of the row (or of ``value_cols``) with null fields kept and non-ASCII
@@ -30,7 +32,8 @@ def encode_records(df: DataFrame, key_col: str | None = "store_id", value_cols:
     cols = value_cols or df.columns
     key = (F.lit(None).cast("binary") if key_col is None
            else nullif_empty(F.col(key_col).cast("string")).cast("binary"))
-    return df.select(key.alias("key"), encode(F.struct(*[F.col(c) for c in cols])).cast("binary").alias("value"))
+    return df.select(key.alias("key"), encode(F.struct(*[F.col(c) for c in cols])).cast("binary").alias("value"),
+                     *[F.col(c) for c in keep])
 
 
 def decode_records(df: DataFrame, schema: StructType | str, keep: tuple[str, ...] = ()) -> DataFrame:
