@@ -42,3 +42,18 @@ def dashboard(df_full: DataFrame, sources=None, languages=None, sentiments=None,
 
 def release(panels: dict[str, DataFrame]) -> None:
     panels["_filtered"].unpersist()
+
+
+def load_data(spark, paths, multiline: bool = True) -> DataFrame:
+    """The dashboard's data: the first review file that exists in ``paths``
+    (priority order), model sentiment overriding lexicon sentiment when
+    present, dates parsed row by row (bad → null).  No file → empty frame."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+    from reviewlake.functions.timefn import parse_ts
+    from reviewlake.operators.projections import apply_sentiment_policy
+    from reviewlake.schema import ENRICHED_REVIEW, MODEL_FIELDS
+    from reviewlake.sinks.files import first_available, read_json
+    schema = StructType(ENRICHED_REVIEW.fields + MODEL_FIELDS)
+    _, df = first_available(spark, paths, lambda s, p: read_json(s, p, schema, multiline), empty_schema=schema)
+    return apply_sentiment_policy(df, "override").withColumn("date", parse_ts(F.col("date")))

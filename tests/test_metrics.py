@@ -142,3 +142,17 @@ def test_verify_sql_matches_dataframe_forms(spark, sf):
     assert [tuple(r) for r in q["by_city"].collect()] == [tuple(r) for r in M.verify_by_city(df).collect()]
     assert [(r.sentiment_label, r.n) for r in q["by_sentiment"].collect()] == \
            [(r.sentiment_label, r.n) for r in M.verify_by_sentiment(df).collect()]
+
+
+def test_dashboard_load_data(spark, tmp_path):
+    import json
+    from reviewlake.plans.dashboard import load_data
+    rows = [{"review_id": "a", "text": "x", "rating": 4.0, "sentiment_label": "neutral", "sentiment_score": 0.0,
+             "bert_label": "positive", "bert_score": 0.5, "date": "2026-01-02T10:00:00-07:00"},
+            {"review_id": "b", "text": "y", "rating": 2.0, "date": "not a date"}]
+    (tmp_path / "second.json").write_text(json.dumps(rows), encoding="utf-8")
+    df = load_data(spark, [str(tmp_path / "first.json"), str(tmp_path / "second.json")])
+    got = {r.review_id: (r.sentiment_label, r.sentiment_score, r.date) for r in df.collect()}
+    assert got["a"][0] == "positive" and got["a"][1] == 0.5 and str(got["a"][2]) == "2026-01-02 17:00:00"
+    assert got["b"] == (None, None, None)
+    assert load_data(spark, [str(tmp_path / "none.json")]).count() == 0
