@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reviewlake.session import scratch_path, ship_package
 
@@ -121,3 +122,71 @@ def run_hashes(h: np.ndarray, k: int) -> np.ndarray:
                 power = power[:len(power) - size] * np.uint64(pow(base, size, 1 << 64)) + power[size:]
                 size *= 2
         return mix(acc)
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.Table]]:
+    """Runs of equal ``key`` (a non-null integer column) in sorted batches."""
+    held: list[pa.RecordBatch] = []
+    held_key = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = b.column(key).to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]])
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if held and k[lo] != held_key:
+                yield held_key, pa.Table.from_batches(held)
+                held = []
+            held_key = int(k[lo])
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield held_key, pa.Table.from_batches(held)
+
+
+def split_groups(rows: DataFrame, group: str, member: str, size: int) -> DataFrame:
+    """Deal groups out so that every two members of a group still meet.
+
+    Adds ``cell`` (long) and ``side`` (int).  A group of up to ``size`` rows
+    is one cell.  A larger group is dealt by a hash of ``member`` into k
+    chunks; each chunk is a cell (``side`` 2: all its rows meet) and so are
+    each two chunks (rows of ``side`` 0 meet those of side 1).  A pair of
+    rows meets in exactly one cell."""
+    k = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")) \
+            .select(group, F.ceil(F.col("_n") / F.lit(size)).cast("int").alias("_k")).where("_k > 1")
+    own = F.pmod(F.xxhash64(F.col(member), F.lit(11)), F.col("_k")).cast("int")
+    cut = rows.join(k, group, "left").withColumn("_k", F.coalesce("_k", F.lit(1))).withColumn("_c", own)
+    dealt = cut.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    return dealt.withColumn("side", F.when(F.col("_c") == F.col("_o"), 2).otherwise((F.col("_c") > F.col("_o")).cast("int"))) \
+                .withColumn("cell", F.xxhash64(group, F.least("_c", "_o"), F.greatest("_c", "_o"))) \
+                .drop("_k", "_c", "_o")
+
+
+def dealt_cells(rows: DataFrame, *also: str) -> DataFrame:
+    """``rows`` of ``split_groups`` with whole cells in one task, in order."""
+    n = shuffle_partitions(rows.sparkSession)
+    return rows.repartition(n, "cell").sortWithinPartitions("cell", *also)
+
+
+def meeting(side: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+    """(rows, columns, both the same) of the comparisons that a cell makes."""
+    if len(side) and side[0] == 2:
+        every = np.arange(len(side))
+        return every, every, True
+    return np.flatnonzero(side == 0), np.flatnonzero(side == 1), False
+
+
+def local_forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest member index reachable from each of n members over links i-j."""
+    label = np.arange(n)
+    while len(i):
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
+            break
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        low = np.minimum(a, b)
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        while (label[label] != label).any():
+            label = label[label]
+    return label

@@ -26,6 +26,12 @@ def op1_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, folder, manifest)
 
 
+def op2_cap_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings linked at a cosine of 0.95 or more."""
+    from reviewlake.llm.cap_neardup import embedding_near_duplicates
+    return embedding_near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op7_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     from reviewlake.llm.packing import Limits, pack_documents
@@ -33,8 +39,14 @@ def op7_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                           limits=Limits(tokens=1024, segments=512, loss=1024))
 
 
+def op8_simhash_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents: 3-word shingles, 3 bits."""
+    from reviewlake.llm.simhash_vp import simhash_components
+    return simhash_components(read_table(spark, sf_dir, "documents"), words=3, max_distance=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_token_binary, op7_vector_packing,
+        op1_token_binary, op2_cap_neardup, op7_vector_packing, op8_simhash_vp,
     )
 }
