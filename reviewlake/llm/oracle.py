@@ -1,3 +1,69 @@
 """DuckDB SQL of the operators that SQL can express."""
 
-SQL: dict[str, str] = {}
+_URL_RULES = """(VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                        ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) AS r(verdict, r_host, r_path)"""
+
+# A URL's own rule in plain SQL, then its class by address and by links that
+# pages declare (canonical link, og:url, refresh) with absolute targets.
+_OP6 = f"""
+WITH RECURSIVE links AS (
+  SELECT DISTINCT url AS source, unnest(list_concat(
+    regexp_extract_all(html, '(?i)<link\\b[^>]*rel="canonical"[^>]*href="([^"]*://[^"]*)"', 1),
+    regexp_extract_all(html, '(?i)<meta\\b[^>]*property="og:url"[^>]*content="([^"]*://[^"]*)"', 1),
+    regexp_extract_all(html, '(?i)<meta\\b[^>]*http-equiv="refresh"[^>]*content="[^"]*url=([^"]*://[^"]*)"', 1))) AS target
+  FROM pages WHERE url IS NOT NULL AND html IS NOT NULL
+), urls AS (
+  SELECT url FROM pages WHERE url IS NOT NULL UNION SELECT source FROM links UNION SELECT target FROM links
+), cut AS (
+  SELECT url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM urls
+), parts AS (
+  SELECT url, rest,
+    coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut
+), own AS (
+  SELECT url, host, path,
+    (SELECT arg_max(r_host || r_path, length(r_host || r_path)) FROM {_URL_RULES}
+     WHERE (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)) AS rule,
+    (SELECT arg_max(verdict, length(r_host || r_path)) FROM {_URL_RULES}
+     WHERE (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)) AS own,
+    CASE WHEN host <> '' THEN
+      regexp_replace(host, '^www\\.(.*\\.)', '\\1') ||
+      regexp_replace(regexp_replace(path, '/index\\.html?$', '/'), '/+$', '') ||
+      coalesce('?' || nullif(array_to_string(list_sort(list_filter(
+        string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'),
+        lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)='))), '&'), ''), '') END AS address
+  FROM parts
+), edges AS (
+  SELECT a.address AS a, b.address AS b FROM links JOIN own a ON a.url = source JOIN own b ON b.url = target
+), both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges
+), reach(a, b) AS (
+  SELECT DISTINCT address, address FROM own WHERE address IS NOT NULL
+  UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a
+), inherited AS (
+  SELECT reach.a AS address, min(own.own) AS verdict FROM reach JOIN own ON own.address = reach.b GROUP BY 1
+)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+       coalesce(own, inherited.verdict, 'allow') AS verdict
+FROM pages LEFT JOIN own USING (url) LEFT JOIN inherited USING (address)
+"""
+
+# Every pair by brute force; components by reachability.
+_OP2 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), good AS (
+  SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0
+), links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM good p JOIN good q ON p.vec_id <> q.vec_id AND list_cosine_similarity(p.e, q.e) >= 0.95
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1
+), n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+SQL: dict[str, str] = {
+    "op2_cap_neardup": _OP2,
+    "op6_url_redirects": _OP6,
+}

@@ -32,6 +32,22 @@ def op2_cap_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+#: verdict, host, path
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op6_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    from reviewlake.llm.url_filter import judge_urls, rules_table
+    return judge_urls(read_table(spark, sf_dir, "pages"), rules_table(spark, URL_RULES))
+
+
 def op7_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     from reviewlake.llm.packing import Limits, pack_documents
@@ -45,8 +61,14 @@ def op8_simhash_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), words=3, max_distance=3)
 
 
+def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    from reviewlake.llm.pii import find_pii
+    return find_pii(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_token_binary, op2_cap_neardup, op7_vector_packing, op8_simhash_vp,
+        op1_token_binary, op2_cap_neardup, op6_url_redirects, op7_vector_packing, op8_simhash_vp, op10_pii_anchors,
     )
 }
