@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,12 @@ MEMO_PIECES = 200_000
 # four ASCII separators.
 _SPACE, _OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 _PIECE = re.compile(f"{_SPACE}*{_OTHER}+|{_SPACE}+")
-# A single space is a safe cut only between two other characters.
-_UNSAFE = r"(^|[\s\x0B\x{85}\pZ]) | ([\s\x0B\x{85}\pZ]|$)"
+# Where the patterns always cut: between a letter and closing punctuation
+# before white space, and before a single white-space character.  Only
+# letters that no normal form or lower-casing takes apart are listed.
+_CLOSING = r"([a-z\x{DF}-\x{F6}\x{F8}-\x{FF}])([.,;:!?]+)(\s|\x1e|$)"
+_MARK = "\x1e"
+_UNSAFE = r"[\s\x0B\x{85}\pZ][\s\x0B\x{85}\pZ]|\x1e"       # longer white space, or the mark itself
 
 
 def tokenizer_json(path: str) -> str:
@@ -42,23 +47,23 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(json_text)
         self.keeps_space = keeps_space
-        self.new: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
+        self.new: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
 
     def _pieces(self, col: pa.Array) -> tuple[np.ndarray, pa.Array]:
         """Pieces of each text: counts and flat strings."""
         if not self.keeps_space:
-            cut = pc.ascii_split_whitespace(col)
+            cut = pc.ascii_split_whitespace(pc.replace_substring_regex(col, _CLOSING, r"\1 \2\3"))
             return np.diff(cut.offsets.to_numpy()), cut.flatten()
-        cut = pc.split_pattern(col, " ")
+        marked = col
+        for space in (" ", "\n"):
+            marked = pc.replace_substring(marked, space, _MARK + space)
+        cut = pc.split_pattern(pc.replace_substring_regex(marked, _CLOSING, rf"\1{_MARK}\2\3"), _MARK)
         counts, flat = np.diff(cut.offsets.to_numpy()).astype(np.int64), cut.flatten()
-        first = np.zeros(len(flat), bool)
-        starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-        first[starts[counts > 0]] = True
-        flat = pc.if_else(pa.array(first), flat, pc.binary_join_element_wise("", flat, " "))
         unsafe = pc.match_substring_regex(col, _UNSAFE).to_numpy(zero_copy_only=False)
         if not unsafe.any():
             return counts, flat
+        starts = np.cumsum(counts) - counts
         parts, at = [], 0
         for i, text in zip(np.flatnonzero(unsafe), col.filter(pa.array(unsafe)).to_pylist()):
             own = _PIECE.findall(text)
@@ -67,21 +72,21 @@ class PieceEncoder:
         parts.append(flat.slice(at))
         return counts, pa.concat_arrays(parts)
 
-    def _lookup(self, pieces: list[str]) -> list[np.ndarray]:
-        out: list = [None] * len(pieces)
-        new, old, missing = self.new, self.old, []
-        for i, p in enumerate(pieces):
-            v = new.get(p)
+    def _lookup(self, pieces: list[str]) -> list[tuple]:
+        new, old = self.new, self.old
+        out = list(map(new.get, pieces))
+        missing = [i for i, v in enumerate(out) if v is None]
+        unknown = []
+        for i in missing:
+            p = pieces[i]
+            v = old.get(p)
             if v is None:
-                v = old.get(p)
-                if v is None:
-                    missing.append(i)
-                    continue
-                new[p] = v
-            out[i] = v
-        if missing:
-            enc = self.tok.encode_batch_fast([pieces[i] for i in missing], add_special_tokens=False)
-            for i, e in zip(missing, enc):
+                unknown.append(i)
+            else:
+                out[i] = new[p] = v
+        if unknown:
+            enc = self.tok.encode_batch_fast([pieces[i] for i in unknown], add_special_tokens=False)
+            for i, e in zip(unknown, enc):
                 out[i] = new[pieces[i]] = tuple(e.ids)
         if len(new) > MEMO_PIECES:
             self.old, self.new = new, {}
@@ -97,7 +102,7 @@ class PieceEncoder:
         ids = self._lookup(enc.dictionary.to_pylist())
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         begin = np.cumsum(size) - size
-        pool = np.fromiter((x for v in ids for x in v), np.uint32, int(size.sum()))
+        pool = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
         which = enc.indices.to_numpy()
         n = size[which]
         total = np.concatenate([[0], np.cumsum(n)])
