@@ -32,6 +32,28 @@ def op2_cap_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lose repeated sentence spans: what stays, what was
+    removed and which documents keep it."""
+    from reviewlake.llm.sentence_spans import remove_repeats
+    out = remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), changed_only=True)
+    return out.select("doc_id", "text", "removed", "first_ids")
+
+
+def op4_sparse_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lose repeated passages of 50 words or more: what stays,
+    what was removed and which documents keep it."""
+    from reviewlake.llm.sparse_suffix import changed_texts
+    out = changed_texts(read_table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "text", "removed", "first_ids")
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold 80 % or more of a benchmark item's shingles."""
+    from reviewlake.llm.decontaminate import contaminated
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), threshold=0.8)
+
+
 #: verdict, host, path
 URL_RULES = [
     ("allow", "org", "/"),
@@ -61,6 +83,13 @@ def op8_simhash_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), words=3, max_distance=3)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents."""
+    from reviewlake.llm.quality import fit, score_documents
+    docs = read_table(spark, sf_dir, "documents")
+    return score_documents(docs, fit(docs, read_table(spark, sf_dir, "labels")), threshold=0.3)
+
+
 def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     from reviewlake.llm.pii import find_pii
@@ -69,6 +98,7 @@ def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_token_binary, op2_cap_neardup, op6_url_redirects, op7_vector_packing, op8_simhash_vp, op10_pii_anchors,
+        op1_token_binary, op2_cap_neardup, op3_sentence_spans, op4_sparse_suffix, op5_decontaminate, op6_url_redirects,
+        op7_vector_packing, op8_simhash_vp, op9_quality, op10_pii_anchors,
     )
 }
