@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reviewlake.sources.tables import read_table
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     """A public tokenizer's JSON (the path is a parameter of the query)."""
     import public_tokenizers
 
@@ -21,7 +21,7 @@ def _tokenizer(name: str) -> str:
 def op1_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents written as binary shards and read back."""
     from reviewlake.llm.token_binary import read_tokens, write_token_ids
-    folder, manifest = write_token_ids(read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"),
+    folder, manifest = write_token_ids(read_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"),
                                        end_id=2, n_ids=49_408)
     return read_tokens(spark, folder, manifest)
 
@@ -73,7 +73,7 @@ def op6_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     from reviewlake.llm.packing import Limits, pack_documents
-    return pack_documents(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=0,
+    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0,
                           limits=Limits(tokens=1024, segments=512, loss=1024))
 
 
