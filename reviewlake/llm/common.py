@@ -161,6 +161,12 @@ def split_groups(rows: DataFrame, group: str, member: str, size: int) -> DataFra
                 .drop("_k", "_c", "_o")
 
 
+def cell_rows(rows: DataFrame, least: int, most: int = 4096) -> int:
+    """Rows that a cell of the staged ``rows`` should hold at most: enough
+    cells for all tasks, but no more copies of rows than that takes."""
+    return int(min(most, max(least, rows.count() // (4 * shuffle_partitions(rows.sparkSession)))))
+
+
 def dealt_cells(rows: DataFrame, *also: str) -> DataFrame:
     """``rows`` of ``split_groups`` with whole cells in one task, in order."""
     n = shuffle_partitions(rows.sparkSession)

@@ -37,13 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import dealt_cells, free_name, local_forest, map_arrow, meeting, prepare, sorted_groups, split_groups, stage, texts
+from reviewlake.llm.common import cell_rows, dealt_cells, free_name, local_forest, map_arrow, meeting, prepare, sorted_groups, split_groups, stage, texts
 from reviewlake.llm.components import components
 
 SEED = 42                # of the shingle hash
 SAMPLE = 65_536          # distinct fingerprints that the trees are fitted on, about
 LEAF = 512               # fingerprints of a leaf to aim for
-CELL = 512               # rows of a group that one task compares with each other
+CELL = 512               # rows of a group that are compared with each other in one go, at least
 HALVES = 2
 
 
@@ -158,7 +158,7 @@ def linked_fingerprints(distinct: DataFrame, fp: str, max_distance: int = 3) ->
                 yield pa.record_batch([pa.array(x[i]), pa.array(at * HALVES + k, pa.int64())], names=["x", "shard"])
 
     visits = stage(map_arrow(distinct.select(fp), visit, "x long, shard long"), "vp-visits")
-    cells = dealt_cells(split_groups(visits, "shard", "x", CELL).select("cell", "side", "x"), "side", "x")
+    cells = dealt_cells(split_groups(visits, "shard", "x", cell_rows(visits, CELL)).select("cell", "side", "x"), "side", "x")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in sorted_groups(batches, "cell"):
