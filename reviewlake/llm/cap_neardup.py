@@ -1,13 +1,15 @@
 """Embedding near-dedup with spherical-cap filters.
 
 Filters are directions on the sphere; a vector passes a filter if its inner
-product with the direction reaches the cap height.  Directions form a
-random product code: the (randomly rotated) space is split into two blocks
-with one random code of unit vectors each, and a direction is a pair of
-code words.  All directions that a vector exceeds are list-decoded from its
-two lists of block products, sorted, without looking at the others.
-Vectors are joined on filters and every candidate pair is verified by its
-cosine in double precision.
+product with the direction reaches the cap height.  Directions form random
+product codes: the (randomly rotated) space is split into two blocks, each
+with a random code of unit vectors, and a direction is a pair of code words.
+A few independent codes (``CODES``, each with a split of its own) are used,
+as directions of one code share words and so hit or miss together.  All
+directions that a vector exceeds are list-decoded: first words that cannot
+reach the cap with the best second word are dropped, the others are
+completed.  Vectors are joined on filters and every candidate pair is
+verified by its cosine in double precision.
 
 The code size and cap height follow from the number of vectors, by a
 simulation with fixed seeds that is independent of the data: caps hold
@@ -16,6 +18,9 @@ exactly at the threshold share a filter with a probability of at least
 ``RECALL`` (closer ones more).  Every vector passes at least one filter:
 one that exceeds none goes to its best direction.
 
+What moves per vector is its bytes once for each filter it passes (about
+ten).
+
 Equal vectors are first merged into one with a weight.  A filter that many
 vectors pass is dealt into cells of bounded size, and nothing but a count
 per vector and a spanning forest leaves a cell, never all pairs.  A pair
@@ -37,90 +42,107 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from reviewlake.llm.common import dealt_cells, local_forest, map_arrow, meeting, sorted_groups, split_groups, stage
+from reviewlake.llm.common import cell_rows, dealt_cells, local_forest, map_arrow, meeting, sorted_groups, split_groups, stage
 from reviewlake.llm.components import components
 
-BUCKET = 96              # vectors in a cap, about, if evenly spread
+BUCKET = 512             # vectors in a cap, about, if evenly spread
 RECALL = 0.995           # of pairs exactly at the threshold
-CELL = 256               # rows that one cell compares with each other
+CELL = 512               # rows that one cell compares with each other, at least
+CODES = 12               # independent product codes
 MAX_CODE = 4096          # code words of a block at most
 
 
-class ProductCode:
-    """Random product code in ``dim`` dimensions with cap height ``cap``."""
+class ProductCodes:
+    """Random product codes in ``dim`` dimensions with cap height ``cap``."""
 
-    def __init__(self, dim: int, words: int, cap: float, seed: int = 1):
+    def __init__(self, dim: int, words: int, cap: float, codes: int = CODES, seed: int = 1):
         rng = np.random.default_rng(seed)
-        self.dim, self.words, self.cap = dim, words, cap
+        self.dim, self.words, self.cap, self.codes = dim, words, cap, codes
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
+        self.split = [rng.permutation(dim) for _ in range(codes)]
         half = max(1, dim // 2)
-        self.codes = [c / np.linalg.norm(c, axis=1, keepdims=True) / math.sqrt(2) for c in
-                      (rng.standard_normal((words, half)), rng.standard_normal((words, max(1, dim - half))))]
-
-    def products(self, x: np.ndarray) -> list[np.ndarray]:
-        y = x @ self.rotation
-        half = self.codes[0].shape[1]
-        return [y[:, :half] @ self.codes[0].T, (y[:, half:] if self.dim > 1 else y) @ self.codes[1].T]
-
-    def decode(self, x: np.ndarray) -> list[np.ndarray]:
-        """All filters (ascending numbers) that each unit vector exceeds."""
-        out = []
-        for a, b in zip(*self.products(x)):
-            order = np.argsort(-b)
-            upto = np.searchsorted(-b[order], a - self.cap, side="right")   # second words that reach the cap with each first
-            hit = np.flatnonzero(upto)
-            if len(hit):
-                n = upto[hit]
-                second = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-                out.append(np.sort(np.repeat(hit, n) * self.words + second))
-            else:
-                out.append(np.array([a.argmax() * self.words + order[0]]))
-        return out
-
-
-def fitted_code(n: int, dim: int, threshold: float) -> ProductCode:
-    """The code for ``n`` vectors (see the module text)."""
+        self.blocks = [tuple(c / np.linalg.norm(c, axis=1, keepdims=True) / math.sqrt(2) for c in
+                             (rng.standard_normal((words, half)), rng.standard_normal((words, max(1, dim - half))))) for _ in range(codes)]
+
+    def products(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Inner products with the words of both blocks, code by code."""
+        y, half = x @ self.rotation, max(1, self.dim // 2)
+        for order, (first, second) in zip(self.split, self.blocks):
+            yield y[:, order[:half]] @ first.T, y[:, order[half:] if self.dim > 1 else order] @ second.T
+
+    def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(vector, filter) of all filters that each unit vector exceeds, by
+        vector and ascending filter number."""
+        rows, filters = [], []
+        best, best_at = np.full(len(x), -np.inf), np.zeros(len(x), np.int64)
+        for k, (a, b) in enumerate(self.products(x)):
+            base = k * self.words * self.words
+            top = a.max(axis=1) + b.max(axis=1)
+            better = top > best
+            best[better] = top[better]
+            best_at[better] = (base + a.argmax(axis=1) * self.words + b.argmax(axis=1))[better]
+            v, i = np.nonzero(a + b.max(axis=1, keepdims=True) >= self.cap)      # first words that some second word completes
+            for at in range(0, len(v), 65_536):
+                r, f = v[at:at + 65_536], i[at:at + 65_536]
+                m, j = np.nonzero(b[r] >= self.cap - a[r, f][:, None])
+                rows.append(r[m])
+                filters.append(base + f[m] * self.words + j)
+        rows, filters = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (rows, filters))
+        none = np.flatnonzero(np.bincount(rows, minlength=len(x)) == 0)
+        rows, filters = np.concatenate([rows, none]), np.concatenate([filters, best_at[none]])
+        order = np.lexsort((filters, rows))
+        return rows[order], filters[order]
+
+    def share_filter(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether x[k] and y[k] pass a common filter."""
+        size = self.codes * self.words * self.words
+        both = np.intersect1d(*(r * size + f for r, f in (self.decode(x), self.decode(y))), assume_unique=True)
+        return np.isin(np.arange(len(x)), both // size)
+
+
+def fitted_codes(n: int, dim: int, threshold: float) -> ProductCodes:
+    """The codes for ``n`` vectors (see the module text)."""
     rng = np.random.default_rng(7)
-    x = rng.standard_normal((1500, dim))
+    x = rng.standard_normal((2000, dim))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    z = rng.standard_normal((1500, dim))
+    z = rng.standard_normal((2000, dim))
     z -= (z * x).sum(axis=1, keepdims=True) * x
     z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-30)
     y = threshold * x + math.sqrt(max(0.0, 1 - threshold * threshold)) * z
-    share = min(0.05, max(1e-6, BUCKET / max(n, 1)))        # of the sphere that a cap covers
-    probe = ProductCode(dim, 256, 0.0)
-    a, b = probe.products(x[:400])
+    share = min(0.06, max(1e-6, BUCKET / max(n, 1)))        # of the sphere that a cap covers
+    a, b = next(ProductCodes(dim, 256, 0.0, 1).products(x[:400]))
     cap = float(np.quantile((a[:, :, None] + b[:, None, :])[:, ::3, ::3], 1 - share))
-    lists = 6.0
+    lists = 5.0
     while True:
-        words = min(MAX_CODE, max(4, math.ceil(math.sqrt(lists / share))))
-        code = ProductCode(dim, words, cap)
-        met = np.mean([len(np.intersect1d(p, q, assume_unique=True)) > 0 for p, q in zip(code.decode(x), code.decode(y))])
-        if met >= RECALL:
-            return code
+        words = min(MAX_CODE, max(2, math.ceil(math.sqrt(lists / share / CODES))))
+        codes = ProductCodes(dim, words, cap)
+        if np.mean(codes.share_filter(x, y)) >= RECALL:
+            return codes
         if words == MAX_CODE:
             cap *= 0.97
-        lists *= 1.25
+        lists *= 1.2
 
 
 def _unit(raw: list[bytes], kind: str) -> np.ndarray:
+    """Unit vectors in double precision."""
     v = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
     v = v / np.abs(v).max(axis=1, keepdims=True)         # so that squares neither overflow nor vanish
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _keyed(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+def _keyed(vectors: DataFrame, id_col: str, vec_col: str, kind: str) -> DataFrame:
     """(id, key, dim): the vector's bytes, null where it can link with nothing."""
-    spread = F.col(vec_col).cast("array<double>")
+    spread = F.col(vec_col).cast("array<float>" if kind == "<f4" else "array<double>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, dims = [], []
             for v in b.column(1):
-                a = np.asarray(v.values.to_numpy(zero_copy_only=False), "<f8") if v.is_valid else np.zeros(0)
+                a = np.asarray(v.values.to_numpy(zero_copy_only=False), kind) if v.is_valid else np.zeros(0, kind)
                 good = len(a) > 0 and np.isfinite(a).all() and a.any()
-                keys.append((a + 0.0).tobytes() if good else None)      # + 0.0: no negative zero
+                keys.append((a + a.dtype.type(0)).tobytes() if good else None)      # + 0: no negative zero
                 dims.append(len(a) if good else None)
             yield pa.record_batch([b.column(0).cast(pa.int64()), pa.array(keys, pa.binary()), pa.array(dims, pa.int32())],
                                   names=["id", "key", "dim"])
@@ -129,28 +151,25 @@ def _keyed(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                      "id long, key binary, dim int")
 
 
-def linked_vectors(distinct: DataFrame, dim: int, n: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+def linked_vectors(distinct: DataFrame, dim: int, n: int, threshold: float, kind: str) -> tuple[DataFrame, DataFrame]:
     """Of staged (vid, key, weight): (vid, n_links) and spanning links (x, y)."""
     spark = distinct.sparkSession
-    code = spark.sparkContext.broadcast(fitted_code(n, dim, threshold))    # MAX_CODE * dim numbers at most
+    codes = spark.sparkContext.broadcast(fitted_codes(n, dim, threshold))    # (dim + CODES * MAX_CODE) * dim numbers at most
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            found = code.value.decode(_unit(b.column("key").to_pylist(), "<f8"))
-            n_of = np.array([len(f) for f in found])
-            row = pa.array(np.repeat(np.arange(len(n_of)), n_of))
-            lists = pa.array([f.astype("<i4").tobytes() for f in found], pa.binary())
-            yield pa.record_batch([pa.array(np.concatenate(found), pa.int64()), b.column("vid").take(row), b.column("key").take(row),
-                                   b.column("weight").take(row), lists.take(row)], names=["cap", "vid", "key", "weight", "caps"])
+            if b.num_rows:
+                row, cap = codes.value.decode(_unit(b.column("key").to_pylist(), kind))
+                yield pa.record_batch([pa.array(cap, pa.int64()), b.column("vid").take(pa.array(row))], names=["cap", "vid"])
 
-    passed = map_arrow(distinct, listed, "cap long, vid long, key binary, weight long, caps binary")
-    cells = dealt_cells(split_groups(stage(passed, "caps"), "cap", "vid", CELL), "side", "vid")
+    passed = stage(map_arrow(distinct.select("vid", "key"), listed, "cap long, vid long"), "caps")
+    lists = passed.groupBy("vid").agg(F.array_sort(F.collect_list("cap")).alias("caps"))           # a list per vector is short
+    rows = split_groups(passed, "cap", "vid", cell_rows(passed, CELL)).join(distinct.join(lists, "vid"), "vid")
+    cells = dealt_cells(rows.select("cell", "side", "cap", "vid", "key", "weight", "caps"), "side", "vid")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in sorted_groups(batches, "cell"):
-            u = _unit(t.column("key").to_pylist(), "<f8")
+            u = _unit(t.column("key").to_pylist(), kind)
             rows, cols, same = meeting(t.column("side").to_numpy())
             if not len(rows) or not len(cols):
                 continue
@@ -180,7 +199,7 @@ def _first_shared(t: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     used = np.unique(np.concatenate([i, j]))
     at = np.zeros(t.num_rows, np.int64)
     at[used] = np.arange(len(used))
-    lists = [np.frombuffer(c, "<i4") for c in t.column("caps").take(pa.array(used)).to_pylist()]
+    lists = [np.array(c) for c in t.column("caps").take(pa.array(used)).to_pylist()]
     lower = [c[c < cap] for c in lists]
     names, column = np.unique(np.concatenate(lower), return_inverse=True)
     has = np.zeros((len(used), len(names)), np.float32)
@@ -192,7 +211,8 @@ def _first_shared(t: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                               threshold: float = 0.95) -> DataFrame:
     """(id, n_links, component_id, kept), one row per row of ``vectors``."""
-    keyed = stage(_keyed(vectors, id_col, vec_col), "vectors")
+    kind = "<f4" if vectors.schema[vec_col].dataType == ArrayType(FloatType()) else "<f8"
+    keyed = stage(_keyed(vectors, id_col, vec_col, kind), "vectors")
     dim = keyed.agg(F.max("dim")).first()[0] or 0
     usable = F.col("dim") == dim
     distinct = stage(keyed.where(usable).groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
@@ -201,7 +221,7 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_co
     own = F.col("id")
     if not n:
         return keyed.select(own.alias(id_col), F.lit(0).cast("long").alias("n_links"), own.alias("component_id"), F.lit(True).alias("kept"))
-    counts, links = linked_vectors(distinct.select("vid", "key", "weight"), dim, n, threshold)
+    counts, links = linked_vectors(distinct.select("vid", "key", "weight"), dim, n, threshold, kind)
     comp = components(links, "x", "y").withColumnRenamed("node", "vid")
     named = distinct.join(comp, "vid", "left").join(counts, "vid", "left") \
                     .withColumn("component", F.coalesce("component", "vid")) \

@@ -11,7 +11,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from reviewlake.llm.cap_neardup import embedding_near_duplicates, fitted_code
+from reviewlake.llm.cap_neardup import embedding_near_duplicates, fitted_codes
 from reviewlake.llm.common import dealt_cells, local_forest, meeting, split_groups
 from reviewlake.llm.components import components
 from reviewlake.llm.simhash_vp import fit_tree, linked_fingerprints, near_duplicates, route, simhash_components, text_fingerprint
@@ -136,20 +136,21 @@ def test_simhash_empty(no_docs):
 
 @pytest.mark.parametrize("n", [100, 20_000])
 def test_cap_code_meets_pairs_at_the_threshold(n):
-    code = fitted_code(n, 32, 0.95)
+    codes = fitted_codes(n, 32, 0.95)
     rng = np.random.default_rng(99)
     x = rng.standard_normal((600, 32))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     z = rng.standard_normal((600, 32))
     z -= (z * x).sum(1, keepdims=True) * x
     z /= np.linalg.norm(z, axis=1, keepdims=True)
-    y = 0.95 * x + np.sqrt(1 - 0.95**2) * z
-    lists = code.decode(x)
-    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(lists, code.decode(y))]) >= 0.98
-    a, b = code.products(x[:5])
-    for k in range(5):                                   # list decoding finds exactly the exceeding directions
-        want = np.flatnonzero((a[k][:, None] + b[k][None, :]).ravel() >= code.cap)
-        assert len(want) == 0 or lists[k].tolist() == want.tolist()
+    assert codes.share_filter(x, 0.95 * x + np.sqrt(1 - 0.95**2) * z).mean() >= 0.98
+    row, cap = codes.decode(x[:5])
+    want = [[] for _ in range(5)]                        # list decoding finds exactly the exceeding directions
+    for k, (a, b) in enumerate(codes.products(x[:5])):
+        for v in range(5):
+            want[v] += (k * codes.words**2 + np.flatnonzero((a[v][:, None] + b[v][None, :]).ravel() >= codes.cap)).tolist()
+    for v in range(5):
+        assert not want[v] and (row == v).sum() == 1 or cap[row == v].tolist() == want[v]
 
 
 def brute_vectors(rows, threshold=0.95):
