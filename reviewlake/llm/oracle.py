@@ -63,7 +63,23 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 FROM v JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
 """
 
+_OP5 = r"""
+WITH d AS (
+  SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
+), q AS (
+  SELECT DISTINCT item_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark
+), ds AS (
+  SELECT DISTINCT id, array_to_string(w[k:k + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) AS r(k)
+), qs AS (
+  SELECT DISTINCT id, array_to_string(w[k:k + 4], ' ') AS s FROM q, unnest(range(1, len(w) - 3)) AS r(k)
+), n AS (SELECT id, count(*) AS n FROM qs GROUP BY id
+), shared AS (SELECT ds.id AS doc_id, qs.id AS item_id, count(*) AS n_shared FROM ds JOIN qs USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n AS n_item, n_shared, n_shared / n AS containment
+FROM shared JOIN n ON n.id = item_id WHERE n_shared >= 0.8 * n
+"""
+
 SQL: dict[str, str] = {
+    "op5_decontaminate": _OP5,
     "op2_cap_neardup": _OP2,
     "op6_url_redirects": _OP6,
 }

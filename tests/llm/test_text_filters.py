@@ -1,0 +1,308 @@
+"""Decontamination, PII, URL filters and the quality classifier."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from reviewlake.llm import decontaminate, pii, quality, url_filter
+
+from .conftest import prose
+
+
+# --- decontamination --------------------------------------------------------
+
+def shingle_set(text):
+    w = re.findall(r"[^\W_]+", (text or "").lower())
+    return {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+
+
+def brute_leaks(docs, items, threshold=0.8):
+    out = []
+    for d, t in docs:
+        own = shingle_set(t)
+        for i, q in items:
+            want = shingle_set(q)
+            if want and len(want & own) >= threshold * len(want):
+                out.append((d, i, len(want), len(want & own)))
+    return sorted(out, key=str)
+
+
+def leak_case():
+    rng = random.Random(2)
+    words = [f"{a}{b}" for a in "bdfgklmnprstvz" for b in ("al", "em", "is", "on", "ur", "ax", "ed")]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(k, text(n)) for k, n in enumerate([5, 6, 9, 14, 20, 33, 60, 130, 300, 3, 1])] + [(20, ""), (21, None)]
+    items += [(30, items[4][1]), (30, items[4][1])]
+    docs = [(100, text(4000))]
+    for k, q in items[:9]:
+        w = q.split()
+        docs.append((k, text(rng.randrange(50, 3000)) + ". " + q.upper() + "! " + text(200)))
+        keep = max(5, int(len(w) * 0.93))
+        docs.append((200 + k, text(300) + " " + " ".join(w[:keep]) + " " + text(300)))            # most of the item
+        docs.append((300 + k, text(100) + " " + " ".join(w[:len(w) // 2]) + " " + text(100)))     # half of it
+    return docs + [(400, ""), (401, None), (None, items[5][1])], items
+
+
+def test_leaks_match_brute_force(spark):
+    docs, items = leak_case()
+    d = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, item_id int")
+    q = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
+    got = decontaminate.contaminated(d, q).collect()
+    want = brute_leaks(docs, dict.fromkeys(items))
+    assert sorted(((r[0], r[1], r["n_item"], r["n_shared"]) for r in got), key=str) == want
+    dirty = {w[0] for w in want}
+    clean = decontaminate.drop_contaminated(d, q)
+    assert clean.columns == d.columns
+    assert sorted(map(str, (r["doc_id"] for r in clean.collect()))) == sorted(str(i) for i, _ in docs if i not in dirty)
+
+
+def test_items_in_blocks_give_the_same(spark, monkeypatch):
+    docs, items = leak_case()
+    d, q = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 4)
+    got = decontaminate.contaminated(d, q).collect()
+    assert sorted(((r[0], r[1], r["n_item"], r["n_shared"]) for r in got), key=str) == brute_leaks(docs, dict.fromkeys(items))
+
+
+def test_no_items_or_documents(spark, odd_docs, no_docs):
+    q = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    assert decontaminate.contaminated(no_docs, q).count() == 0
+    assert decontaminate.contaminated(odd_docs, q.where("false")).count() == 0
+    assert decontaminate.drop_contaminated(odd_docs, q.where("false")).count() == odd_docs.count()
+    assert decontaminate.drop_contaminated(odd_docs, q).schema == odd_docs.schema
+
+
+# --- PII --------------------------------------------------------------------
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def slow_luhn(d):
+    total = 0
+    for k, c in enumerate(map(int, reversed(d))):
+        total += c if k % 2 == 0 else sum(divmod(2 * c, 10))
+    return total % 10 == 0
+
+
+def brute_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == "email" or kind == "ip" and all(int(x) <= 255 for x in m.group().split(".")) \
+                    or kind == "card" and 14 <= len(digits) <= 19 and slow_luhn(digits) or kind == "phone" and 10 <= len(digits) <= 15:
+                out.append((m.start(), list(PATTERNS).index(kind), m.end()))
+    return sorted(out)
+
+
+piece = st.sampled_from(["a", "Zé", "@", ".", "+", "1", "23", "255", "256", "-", " ", "(", ")", "x.y@b-c.de", "4111 1111-1111 1111", "10.0.0.1", "9" * 20,
+                         "+1 (555) 123-4567", "4992739871600000", "\n", "mailto:", "http://u:p@h.io/", "token = \"f3ef4d6b2755\"", "12 Oak Street", "IBAN", "é"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(piece, max_size=14).map("".join))
+def test_base_spans_match_patterns(text):
+    base, more = pii.base_and_added(text)
+    assert base == brute_spans(text)
+    assert all(not (s < e2 and s2 < e) for s, _, e in more for s2, _, e2 in base)
+
+
+@pytest.mark.parametrize("text,want", [
+    ("mailto:ann@ex.org", "email:7:17"),
+    ("see tel:0301234567 now", "address:4:18"),
+    ("http://bob:pw@host.net/x", None),
+    ("write to ann (at) ex (dot) org soon", "address:9:30"),
+    ("lives at 12 Oak Street today", "address:9:22"),
+    ("wohnt Lindenstraße 7 dort", "address:6:20"),
+    ("IBAN DE89 3704 0044 0532 0130 00 ok", None),
+    ('token = "f3ef4d6b2755a36d"', "account:9:25"),
+    ("account no 12345678 ok", "account:11:19"),
+    ("the account of the people", ""),
+    ("a plain text with 12 words and a + b", ""),
+])
+def test_added_spans(text, want):
+    base, more = pii.base_and_added(text)
+    got = pii.span_string(base + more)
+    if want is None:
+        assert more or base
+    else:
+        assert got == want
+
+
+def test_iban_and_luhn():
+    assert pii.iban("DE89 3704 0044 0532 0130 00") and not pii.iban("DE88370400440532013000") and not pii.iban("x")
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+
+
+def test_linear_on_long_runs():
+    for t in ("a" * 300_000 + "@", "1." * 200_000, "+1" + "-" * 300_000, "1 " * 200_000, "@" * 200_000):
+        pii.base_and_added(t)
+
+
+def test_find_and_redact(odd_docs, no_docs):
+    rows = odd_docs.select("doc_id", "text").collect()
+    got = pii.find_pii(odd_docs).collect()
+    want = []
+    for r in rows:
+        base = brute_spans(r["text"] or "")
+        want.append((r["doc_id"], *(sum(b[1] == k for b in base) for k in range(4)),
+                     hashlib.sha256(",".join(f"{list(PATTERNS)[k]}:{s}:{e}" for s, k, e in base).encode()).hexdigest()))
+    assert sorted((str(tuple(r)[:6]) for r in got)) == sorted(str(w) for w in want)
+    red = pii.redact(odd_docs)
+    assert red.schema == odd_docs.schema
+    out = {r["doc_id"]: r for r in red.collect()}
+    assert out[51]["text"] == "<EMAIL> and <PHONE>" and out[51]["n_chars"] == len(out[51]["text"])
+    assert out[31]["text"] is None
+    assert pii.find_pii(no_docs).count() == 0 and pii.redact(no_docs).count() == 0
+
+
+# --- URL filters ------------------------------------------------------------
+
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def own_rule(url):
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host):]).group()
+    host = re.sub("[A-Z]", lambda m: m.group().lower(), host)
+    fit = [(-len(h + p), v, h + p) for v, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, *((min(fit)[2], min(fit)[1]) if fit else (None, None))
+
+
+def link(rel, href):
+    return {"c": f'<html><head><link rel="canonical" href="{href}"></head>', "o": f"<meta property='og:url' content='{href}'>",
+            "r": f'<META HTTP-EQUIV="refresh" CONTENT="0; URL={href}">', "h": f"<link href={href} rel=canonical>"}[rel]
+
+
+def test_verdicts(spark):
+    rows = [
+        ("https://a.example.com/de/x", None), ("http://a.example.net/p", link("c", "https://a.example.com/de/x")),
+        ("http://b.example.net/q", link("r", "http://a.example.net/p")), ("https://www.b.example.net/q/?utm_source=z#top", None),
+        ("http://c.example.net/", link("o", "https://ok.example.com/fr/1")), ("http://d.example.net/", link("c", "http://c.example.net")),
+        ("http://c.example.net/?ref=1", link("c", "http://x.com/de/2")), ("http://e.net/dir/page", link("h", "other")), ("http://e.net/dir/other", link("c", "//bad.com/de/")),
+        ("HTTP://WWW.EXAMPLE.ORG/es/1", None), ("http://example.org/en/12", None), ("http://example.org/EN/12", None), ("http://x.org", None),
+        ("http://u@h.com:80/de/", None), (None, link("c", "http://bad.com/de/1")), ("no scheme", "<p>"), ("", None), ("://", None), ("a://b://c/de/", None),
+        ("http://lonely.net/", None), ("http://lonely.net/", None),
+    ]
+    df = spark.createDataFrame([(k if k != 20 else 19, u, h, "x") for k, (u, h) in enumerate(rows)], "page_id long, url string, html string, host string")
+    got = {}
+    for r in url_filter.judge_urls(df, url_filter.rules_table(spark, RULES)).collect():
+        got.setdefault(r["page_id"], []).append(tuple(r)[1:])
+    assert sum(map(len, got.values())) == len(rows)
+    inherited = {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "block", 8: "block"}
+    for k, (u, _) in enumerate(rows):
+        host, path, rule, verdict = own_rule(u)
+        assert got[min(k, 19)][0] == (host, path, rule, verdict or inherited.get(k, "allow")), (k, u)
+    assert url_filter.judge_urls(df.where("false"), url_filter.rules_table(spark, RULES)).count() == 0
+
+
+# --- quality ----------------------------------------------------------------
+
+def slow_tokens(text):
+    out = []
+    for m in re.finditer(r"[^\W\d_]+|\d+|[^\w\s]+|_+", text.lower()):
+        out += [m.group(), "="] if out and [x for x in out if x != "="][-1] == m.group() else [m.group()]
+    return out
+
+
+def test_tokens_mark_repeats():
+    texts = ["one one, two!! 12 12", "", "a", "x x x", "one"]
+    n, ids = quality.tokens_of(pa.array(texts))
+    assert n.tolist() == [len(slow_tokens(t)) for t in texts]
+    ends = np.cumsum(n)
+    for t, lo, hi in zip(texts, ends - n, ends):
+        assert [i == quality.BUCKETS - 1 for i in ids[lo:hi]] == [x == "=" for x in slow_tokens(t)]
+    assert ids[0] == ids[2 - 1] or ids[0] == ids[-1]
+
+
+def test_contexts_match_a_plain_loop():
+    texts = ["a b c a", "b a", "", "d"]
+    n, ids = quality.tokens_of(pa.array(texts))
+    at, sign = quality.index_vectors()
+    table = np.zeros((quality.BUCKETS, quality.DIMS + 1))
+    quality.add_contexts(table, n, ids, at, sign)
+    want, ends = np.zeros_like(table), np.cumsum(n)
+    for lo, hi in zip(ends - n, ends):
+        for i in range(lo, hi):
+            want[ids[i], -1] += 1
+            for j in range(max(lo, i - quality.WINDOW), min(hi, i + quality.WINDOW + 1)):
+                for k in range(quality.NONZERO):
+                    want[ids[i], at[ids[j], k]] += sign[ids[j], k]
+    assert np.allclose(table, want)
+
+
+def quality_case(spark, n=400):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(n):
+        good = rng.random() < 0.7
+        t = prose(rng, rng.randrange(20, 80))
+        rows.append((i, t if good else " ".join(w + rng.choice(["%%%", "***", "$$"]) for w in t.split())))
+        labels.append((i, int(good)))
+    return (spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"), dict(labels))
+
+
+def test_corpus_table_counts_all_documents(spark):
+    docs, _, _ = quality_case(spark, 60)
+    table = quality.corpus_table(docs.repartition(5))
+    n, ids = quality.tokens_of(pa.array([r["text"] for r in docs.collect()]))
+    want = np.zeros_like(table)
+    quality.add_contexts(want, n, ids, *quality.index_vectors())
+    assert np.array_equal(table, want)
+
+
+def test_held_out_accuracy(spark):
+    docs, labels, truth = quality_case(spark)
+    out = quality.score_documents(docs, quality.fit(docs, labels)).collect()
+    assert len(out) == 400 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in out)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in out)
+    held = [r for r in out if r["held_out"]]
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) >= 0.95
+
+
+def test_labels_of_held_out_rows_change_nothing(spark):
+    docs, labels, _ = quality_case(spark, 150)
+    other = labels.withColumn("quality", quality.F.when(quality.held_out(quality.F.col("doc_id")), 1 - quality.F.col("quality")).otherwise(quality.F.col("quality")))
+    a, b = (quality.score_documents(docs, quality.fit(docs, x)).orderBy("doc_id").collect() for x in (labels, other))
+    assert a == b
+
+
+def test_quality_of_odd_documents(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(5, 1, 0), (6, 0, 1), (None, 1, 0), (20, None, None), (21, 1, 0), (21, 0, 0), (40, 3, 0)],
+                                   "doc_id long, quality int, toxic int")
+    model = quality.fit(odd_docs, labels)
+    out = quality.score_documents(odd_docs, model)
+    assert out.count() == odd_docs.count() and out.where("score is null or predicted is null or held_out is null").count() == 0
+    assert quality.filter_quality(odd_docs, model, threshold=0.0).schema == odd_docs.schema
+    assert quality.filter_quality(odd_docs, model, threshold=0.0).count() == odd_docs.count()
+    empty = quality.fit(no_docs, labels.where("false"))
+    assert quality.score_documents(no_docs, empty).count() == 0
+    assert {r["score"] for r in quality.score_documents(odd_docs, empty).collect()} == {0.5}
+
+
+def test_temperature_calibrates():
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((3000, 6))
+    y = (rng.random(3000) < 1 / (1 + np.exp(-2 * x[:, 0]))).astype(float)
+    net = quality.train(x, y)
+    p = net.score(x)
+    for lo in (0.1, 0.4, 0.7):
+        m = (p >= lo) & (p < lo + 0.2)
+        assert abs(p[m].mean() - y[m].mean()) < 0.08
