@@ -8,6 +8,7 @@ fills in settings that are unset, so cluster-provided values
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -25,40 +26,42 @@ _DEFAULTS = {
 }
 
 
-# Settings for a large cluster (applied by the deployment, not by this
-# library): size shuffles by data, let AQE coalesce small partitions and
-# split skewed ones, keep broadcasts small.  At ~100 TB input, 4000+
-# shuffle partitions keep each partition near the 128 MB advisory size.
-CLUSTER_SETTINGS = {
-    "spark.sql.shuffle.partitions": "4000",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    "spark.sql.files.maxPartitionBytes": "128m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.python.worker.reuse": "true",
-}
+def _submitted(key: str) -> bool:
+    """Whether the submit command, its defaults file or the environment set
+    ``key`` before Python started."""
+    flags = {"spark.master": "--master", "spark.driver.memory": "--driver-memory"}
+    args = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    if key in args or flags.get(key, key) in args:
+        return True
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:      # not started by spark-submit
+        return False
+    if key == "spark.master":
+        return True
+    from pyspark import SparkConf, SparkContext
+    SparkContext._ensure_initialized()
+    return SparkConf().contains(key)
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "reviewlake", extra_conf: dict | None = None) -> SparkSession:
-    """Return the active session, or build a local one for tests / bench."""
+    """The active session, or a new one.
+
+    A submitted master, memory or shuffle count always wins; a local
+    session gets defaults for those that nobody set."""
     active = SparkSession.getActiveSession()
     if active is not None:
         _fill_unset(active)
         return active
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .master(master or f"local[{cpus}]")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-    )
-    for k, v in {**_DEFAULTS, **(extra_conf or {})}.items():
-        builder = builder.config(k, v)
+    wanted = dict(_DEFAULTS)
+    if not _submitted("spark.master"):
+        wanted |= {"spark.master": master or f"local[{cpus}]",
+                   "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "16g"),
+                   "spark.sql.shuffle.partitions": str(shuffle_partitions or cpus)}
+    builder = SparkSession.builder.appName(app_name)
+    for k, v in {**wanted, **(extra_conf or {})}.items():
+        if not _submitted(k):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     _fill_unset(spark)
@@ -77,8 +80,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared, fault-tolerant folder there).  Only when it is unset — local
-    tests and bench — a scratch folder is created and registered.
+    shared, fault-tolerant folder there).  Where it is unset, a ``local``
+    master (tests, bench) gets a scratch folder; any other master is an
+    error, as its executors would each write to a disk of their own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -88,6 +92,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
         d = tempfile.mkdtemp(prefix="reviewlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
