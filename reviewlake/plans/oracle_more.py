@@ -42,20 +42,20 @@ LISTING = f"""SELECT 'rd_' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VA
        'reddit_' || role AS store_id, 'Forum r/' || role AS store_name, 'Online' AS store_city,
        CASE WHEN score > 100 THEN {_D('5.0')} WHEN score > 50 THEN {_D('4.0')} WHEN score > 10 THEN {_D('3.0')}
             WHEN score > 0 THEN {_D('2.0')} ELSE {_D('1.0')} END AS rating,
-       substr(t, 1, 500) AS text, 'en' AS language,
+       t AS text, 'en' AS language,
        {ISO('make_timestamp(CAST((1700000000.0 + conv_id * 3600.0 + turn * 60.0) * 1000000 AS BIGINT))')} AS date,
        'other' AS sport_category, {FETCHED} AS collected_at
 FROM (SELECT *, coalesce(nullif(text, ''), 'Conversation ' || CAST(conv_id AS VARCHAR)) AS t,
              (turn * 13) % 151 - 20 AS score FROM conversations) c
 WHERE length(t) >= 20"""
 
-REVIEW_PAGES = f"""SELECT 'tp_' || md5('user_' || CAST(doc_id AS VARCHAR) || coalesce({ISO('date')}, {FETCHED})) AS review_id,
+REVIEW_PAGES = f"""SELECT 'tp_' || md5('user_' || CAST(doc_id AS VARCHAR) || chr(31) || coalesce({ISO('date')}, {FETCHED}) || chr(31) || text) AS review_id,
        'trustpilot' AS source, 'tp_' || language AS store_id, 'Review site (' || store_city || ')' AS store_name,
        store_city, coalesce(rating, {_D('3.0')}) AS rating, text, language,
        coalesce({ISO('date')}, {FETCHED}) AS date, 'other' AS sport_category, {FETCHED} AS collected_at
 FROM reviews WHERE length(text) >= 10"""
 
-PRODUCTS = f"""SELECT 'dc_' || md5(substr(text, 1, 50)) AS review_id, 'product_site' AS source,
+PRODUCTS = f"""SELECT 'dc_' || md5(sport_category || chr(31) || coalesce({ISO('date')}, {FETCHED}) || chr(31) || text) AS review_id, 'product_site' AS source,
        'site_' || sport_category AS store_id, 'Product site (' || sport_category || ')' AS store_name,
        'Online' AS store_city, coalesce(rating, {_D('3.0')}) AS rating, text, 'pt' AS language,
        coalesce({ISO('date')}, {FETCHED}) AS date, 'other' AS sport_category, {FETCHED} AS collected_at
@@ -154,13 +154,23 @@ FROM documents""",
 
 SQL["dedup_first"] = SQL["dedup_products"]
 SQL["jsonld_extract"] = with_reviews("""SELECT p.language AS lang, p.store_city AS city, p.page, b.block, b.parsed
-FROM (SELECT DISTINCT language, store_city, doc_id // 1000 AS page FROM reviews) p
+FROM (SELECT DISTINCT language, store_city, doc_id // 100 AS page FROM reviews) p
 CROSS JOIN (VALUES (CAST(0 AS BIGINT), true), (CAST(1 AS BIGINT), false)) b(block, parsed)""")
-SQL["pages_jsonld_reviews"] = """SELECT CAST(NULL AS VARCHAR) AS review_id, 'trustpilot' AS source, CAST(NULL AS VARCHAR) AS store_id,
-       CAST(NULL AS VARCHAR) AS store_name, CAST(NULL AS VARCHAR) AS store_city, CAST(NULL AS DOUBLE) AS rating,
-       CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR) AS language, CAST(NULL AS VARCHAR) AS date,
-       'other' AS sport_category, CAST(NULL AS VARCHAR) AS collected_at
-FROM pages WHERE regexp_matches(html, '(?is)<script[^>]*type\\s*=\\s*["'']application/ld\\+json["''][^>]*>')"""
+SQL["pages_jsonld_reviews"] = f"""SELECT 'tp_' || md5('page_' || page_id || chr(31) || {FETCHED} || chr(31) || text) AS review_id,
+       'trustpilot' AS source, 'tp_' || language AS store_id, CAST(NULL AS VARCHAR) AS store_name, CAST(NULL AS VARCHAR) AS store_city,
+       CAST(page_id % 5 + 1 AS DOUBLE) AS rating, text, language, {FETCHED} AS date, 'other' AS sport_category, {FETCHED} AS collected_at
+FROM (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) || ' ' || url AS text,
+             regexp_extract(url, '/([a-z]{{2}})/', 1) AS language FROM pages) p WHERE length(text) >= 10"""
+SQL["normalise_rejects"] = with_reviews("""SELECT source, CAST(count_if(NOT bad) AS BIGINT) AS good, CAST(count_if(bad) AS BIGINT) AS rejected, count(*) AS items FROM (
+  SELECT 'google_play' AS source, doc_id % 11 = 0 AS bad FROM reviews WHERE length(CASE WHEN doc_id % 7 = 0 THEN substr(text, 1, 9) ELSE text END) >= 10
+  UNION ALL SELECT 'app_store', doc_id % 11 = 0 FROM reviews WHERE (rating IS NOT NULL OR doc_id % 11 = 0) AND length(trim(store_id || '. ' || text, '. ')) >= 10
+  UNION ALL SELECT 'trustpilot', doc_id % 11 = 0 FROM reviews WHERE length(text) >= 10
+  UNION ALL SELECT 'product_site', doc_id % 11 = 0 FROM reviews WHERE length(text) >= 10
+  UNION ALL SELECT 'reddit', false FROM conversations
+            WHERE length(coalesce(nullif(text, ''), 'Conversation ' || CAST(conv_id AS VARCHAR))) >= 20) x GROUP BY source""")
+SQL["product_ids_long_text"] = """SELECT count(*) AS rows_in, count(DISTINCT source || chr(31) || text) AS ids,
+       count(DISTINCT source || chr(31) || text) AS contents, count(DISTINCT source || chr(31) || text) AS rows_after
+FROM documents WHERE length(text) >= 10"""
 SQL["upsert_bucketed"] = SQL["upsert_sentiment"]
 SQL["store_partitioned"] = with_reviews("""SELECT sentiment_label, n,
        row_number() OVER (ORDER BY n DESC, sentiment_label ASC NULLS FIRST) AS rank

@@ -81,7 +81,7 @@ FEED_PAYLOAD = StructType([StructField("feed", StructType([
 
 PLAY_REVIEW = StructType([
     StructField("reviewId", StringType(), True),
-    StructField("score", IntegerType(), True),
+    StructField("score", StringType(), True),
     StructField("content", StringType(), True),
     StructField("at", StringType(), True),
 ])
@@ -92,32 +92,31 @@ LISTING_PAYLOAD = StructType([StructField("data", StructType([
             StructField("id", StringType(), True),
             StructField("selftext", StringType(), True),
             StructField("title", StringType(), True),
-            StructField("score", LongType(), True),
-            StructField("created_utc", DoubleType(), True),
+            StructField("score", StringType(), True),
+            StructField("created_utc", StringType(), True),
         ]), True),
     ])), True),
 ]), True)])
 
-_RATING = StructType([StructField("ratingValue", StringType(), True)])
-REVIEW_PAGE_LD = StructType([
-    StructField("review", ArrayType(StructType([
-        StructField("reviewRating", _RATING, True),
-        StructField("description", StringType(), True),
-        StructField("datePublished", StringType(), True),
-        StructField("author", StructType([StructField("name", StringType(), True)]), True),
-    ])), True),
+# JSON-LD of pages is decoded in two steps, so that one odd item does not
+# take its block with it: nested values stay JSON text until their item is
+# decoded.
+REVIEW_PAGE_LD = StructType([StructField("review", StringType(), True)])
+REVIEW_ITEM = StructType([
+    StructField("reviewRating", StringType(), True),
+    StructField("description", StringType(), True),
+    StructField("datePublished", StringType(), True),
+    StructField("author", StringType(), True),
 ])
 PRODUCT_PAGE_LD = StructType([
     StructField("@type", StringType(), True),
-    StructField("itemListElement", ArrayType(StructType([
-        StructField("item", StructType([
-            StructField("review", ArrayType(StructType([
-                StructField("reviewBody", StringType(), True),
-                StructField("reviewRating", _RATING, True),
-                StructField("datePublished", StringType(), True),
-            ])), True),
-        ]), True),
-    ])), True),
+    StructField("itemListElement", StringType(), True),
+])
+PRODUCT_ITEM = StructType([StructField("item", StructType([StructField("review", StringType(), True)]), True)])
+PRODUCT_REVIEW = StructType([
+    StructField("reviewBody", StringType(), True),
+    StructField("reviewRating", StringType(), True),
+    StructField("datePublished", StringType(), True),
 ])
 
 # Run metrics in long form.

@@ -21,7 +21,7 @@ from reviewlake.functions.timefn import iso
 from reviewlake.sources.tables import classified_reviews, read_table, reviews
 
 FETCHED_AT = "2026-01-01 00:00:00"   # landing time stamped on derived payloads
-PAGE_DOCS = 1000                     # documents per landed page (bound)
+PAGE_DOCS = 100                      # documents per landed page (bound)
 LD_OPEN = '<script type="application/ld+json">'
 LD_CLOSE = "</script>"
 
@@ -30,17 +30,23 @@ def _fetched_at():
     return F.to_timestamp(F.lit(FETCHED_AT))
 
 
+def _rating(spoil: int | None):
+    """The rating as payload text; with ``spoil`` every such document's is no number."""
+    r = F.col("rating").cast("string")
+    return r if spoil is None else F.when(F.col("doc_id") % spoil == 0, F.lit("n/a")).otherwise(r)
+
+
 def _label(c):
     return F.when(c.isNotNull(), F.struct(c.cast("string").alias("label")))
 
 
-def play_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
+def play_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None, spoil: int | None = None) -> DataFrame:
     """One JSON review per row; every 7th document lands a 9-character
     content (below the length bound)."""
     r = reviews(spark, sf) if base is None else base
     content = F.when(F.col("doc_id") % 7 == 0, F.substring("text", 1, 9)).otherwise(F.col("text"))
     body = F.struct(F.col("doc_id").cast("string").alias("reviewId"),
-                    F.floor("rating").cast("int").alias("score"),
+                    (F.floor("rating").cast("int") if spoil is None else _rating(spoil)).alias("score"),
                     content.alias("content"),
                     iso(F.col("date")).alias("at"))
     return r.select(encode(body).alias("payload"), F.col("language").alias("country"),
@@ -48,14 +54,14 @@ def play_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None) -
                     _fetched_at().alias("fetched_at"))
 
 
-def feed_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
+def feed_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None, spoil: int | None = None) -> DataFrame:
     """Feed pages per (language, city, doc_id div PAGE_DOCS): an app-info
     entry first, then one entry per review (no rating object when the
     rating is null, no ``updated`` when the date is null)."""
     r = reviews(spark, sf) if base is None else base
     entry = F.struct(
         _label(F.col("review_id")).alias("id"),
-        _label(F.col("rating")).alias("im:rating"),
+        _label(_rating(spoil)).alias("im:rating"),
         _label(F.col("store_id")).alias("title"),
         _label(F.col("text")).alias("content"),
         _label(iso(F.col("date"))).alias("updated"),
@@ -95,12 +101,12 @@ def listing_payloads(spark: SparkSession, sf: str) -> DataFrame:
                         F.lit("en").alias("lang"), "page", _fetched_at().alias("fetched_at"))
 
 
-def review_page_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
+def review_page_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None, spoil: int | None = None) -> DataFrame:
     """HTML pages per (language, city, doc_id div PAGE_DOCS) holding one
     JSON-LD block with the reviews and one broken block."""
     r = reviews(spark, sf) if base is None else base
     item = F.struct(
-        F.struct(F.col("rating").cast("string").alias("ratingValue")).alias("reviewRating"),
+        F.struct(_rating(spoil).alias("ratingValue")).alias("reviewRating"),
         F.col("text").alias("description"),
         iso(F.col("date")).alias("datePublished"),
         F.struct(F.concat(F.lit("user_"), F.col("doc_id").cast("string")).alias("name")).alias("author"),
@@ -115,13 +121,13 @@ def review_page_payloads(spark: SparkSession, sf: str, base: DataFrame | None =
                         F.col("store_city").alias("city"), "page", _fetched_at().alias("fetched_at"))
 
 
-def product_page_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
+def product_page_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None, spoil: int | None = None) -> DataFrame:
     """Category pages per (sport category, doc_id div PAGE_DOCS): an
     ``ItemList`` JSON-LD block of products (doc_id div 10) with their
     reviews, plus an unrelated ``Organization`` block."""
     r = classified_reviews(spark, sf) if base is None else base
     rv = F.struct(F.col("text").alias("reviewBody"),
-                  F.struct(F.col("rating").cast("string").alias("ratingValue")).alias("reviewRating"),
+                  F.struct(_rating(spoil).alias("ratingValue")).alias("reviewRating"),
                   iso(F.col("date")).alias("datePublished"))
     products = (r.groupBy("sport_category", (F.col("doc_id") / PAGE_DOCS).cast("long").alias("page"),
                           (F.col("doc_id") / 10).cast("long").alias("product"))

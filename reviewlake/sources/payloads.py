@@ -4,8 +4,11 @@ Each source lands one payload text per row (JSON document or HTML page)
 plus context columns (country / lang / city / subreddit / sport) and the
 ``fetched_at`` timestamp of the download.  Normalising is a pure
 column pipeline: ``from_json`` → ``explode``/``posexplode`` → predicates
-→ projection.  No row leaves the JVM; a malformed payload yields no rows
-(``PERMISSIVE`` null), never an exception.
+→ projection.  No row leaves the JVM; a payload that is not JSON yields no
+rows (``PERMISSIVE`` null), never an exception.  An item that cannot be a
+review (a rating that is no number, an item that is no object) is flagged
+with ``reject_reason`` and leaves alone: ``flag_*`` keep it, ``normalise_*``
+drop it or return it as a second frame, and jobs write it to a reject output.
 
 Defaults that depended on the wall clock now come from ``fetched_at`` so
 reruns are deterministic; ids built from hashes use the full-width
@@ -20,10 +23,11 @@ from pyspark.sql import functions as F
 from reviewlake import config as C
 from reviewlake.functions.jsonfn import decode, script_blocks
 from reviewlake.functions.numeric import vote_to_rating
-from reviewlake.functions.text import hash_id, nullif_empty, prefix, strip_chars
+from reviewlake.functions.text import hash_id, nullif_empty, strip_chars
 from reviewlake.functions.timefn import epoch_to_ts, iso
 from reviewlake.schema import (
-    FEED_PAYLOAD, LISTING_PAYLOAD, PLAY_REVIEW, PRODUCT_PAGE_LD, REVIEW, REVIEW_PAGE_LD,
+    FEED_PAYLOAD, LISTING_PAYLOAD, PLAY_REVIEW, PRODUCT_ITEM, PRODUCT_PAGE_LD, PRODUCT_REVIEW, REVIEW, REVIEW_ITEM,
+    REVIEW_PAGE_LD,
 )
 
 OUT_COLS = [f.name for f in REVIEW.fields]
@@ -46,21 +50,41 @@ def _review(review_id: Column, source: str, store_id: Column, store_name: Column
     ]
 
 
-def _rating_text(label: Column) -> Column:
-    """Rating from payload text; missing → default 3, non-numeric → null."""
-    return F.coalesce(label, F.lit(str(C.DEFAULT_RATING))).try_cast("double")
+def _content_id(prefix_: str, *parts: Column) -> Column:
+    """Id of a row without one of its own: prefix + MD5 over whole content."""
+    return hash_id(prefix_, F.concat_ws("\x1f", *[F.coalesce(p.cast("string"), F.lit("\x00")) for p in parts]))
 
 
-def _split_bad_rating(rows: DataFrame, rejects: bool):
-    """Items whose rating text is not a number (rating null after the
-    default) leave the main output — only that item, not its page; with
-    ``rejects=True`` they are returned as a second frame."""
-    good = rows.where(F.col("rating").isNotNull())
-    return (good, rows.where(F.col("rating").isNull())) if rejects else good
+def _split(rows: DataFrame, rejects: bool):
+    """Rows whose ``reject_reason`` is null, or with ``rejects`` also the
+    others: only the odd item leaves, never its page."""
+    good = rows.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return (good, rows.where(F.col("reject_reason").isNotNull())) if rejects else good
 
 
-def normalise_feed(df: DataFrame, payload: str = "payload", rejects: bool = False):
-    """App-store review feed pages.
+def _number(text: Column, default: float) -> Column:
+    """Number in a payload: missing → ``default``, not a number → null."""
+    return F.coalesce(text, F.lit(str(default))).try_cast("double")
+
+
+def _reason(rating: Column, bad_item: Column | None = None) -> Column:
+    r = F.when(rating.isNull(), F.lit("rating is not a number"))
+    return (r if bad_item is None else F.when(bad_item, F.lit("item is not an object")).otherwise(r)).alias("reject_reason")
+
+
+def _items(json_text: Column) -> Column:
+    """A JSON array's items (or the one object in its place) as JSON texts."""
+    return F.when(F.ltrim(json_text).startswith("["), F.from_json(json_text, "array<string>")) \
+            .otherwise(F.when(json_text.isNotNull(), F.array(json_text)))
+
+
+def _field(json_text: Column, name: str) -> Column:
+    """``name`` of a nested object, or the plain value that stands for it."""
+    return F.when(F.ltrim(json_text).startswith("{"), F.get_json_object(json_text, f"$.{name}")).otherwise(json_text)
+
+
+def flag_feed(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """App-store review feed pages, with ``reject_reason``.
 
     Entry 0 is app information and is skipped; entries without a rating
     object are dropped; text = ``"{title}. {content}"`` stripped of dots and
@@ -72,97 +96,133 @@ def normalise_feed(df: DataFrame, payload: str = "payload", rejects: bool = Fals
     text = strip_chars(F.concat(F.coalesce(e.entry["title"]["label"], F.lit("")), F.lit(". "),
                                 F.coalesce(e.entry["content"]["label"], F.lit(""))), ". ")
     e = e.withColumn("_text", text).where(F.length("_text") >= C.MIN_TEXT_LENGTH)
-    rid = F.coalesce(e.entry["id"]["label"], F.md5(F.concat_ws("|", F.col("country"), F.col("_text"))))
-    return _split_bad_rating(e.select(*_review(
-        F.concat(F.lit("as_"), rid), "app_store",
+    updated, rating = e.entry["updated"]["label"], _number(e.entry["im:rating"]["label"], C.DEFAULT_RATING)
+    own = F.concat(F.lit("as_"), e.entry["id"]["label"])
+    return e.select(*_review(
+        F.coalesce(own, _content_id("as_", F.col("country"), F.col("_text"), updated, e.entry["im:rating"]["label"])), "app_store",
         F.concat(F.lit("appstore_"), F.col("country")),
         F.concat(F.lit("App Store ("), F.col("city"), F.lit(")")),
-        F.col("city"), _rating_text(e.entry["im:rating"]["label"]), F.col("_text"), F.col("lang"),
-        F.coalesce(e.entry["updated"]["label"], iso(F.col("fetched_at"))), F.col("fetched_at"))), rejects)
+        F.col("city"), rating, F.col("_text"), F.col("lang"),
+        F.coalesce(updated, iso(F.col("fetched_at"))), F.col("fetched_at")), _reason(rating))
 
 
-def normalise_play(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Play-store reviews (one JSON object per row).
+def flag_play(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Play-store reviews (one JSON object per row), with ``reject_reason``.
 
     Content of at least 10 characters; score default 3; date default the
-    fetch time; id ``gp_`` + review id.  Context: ``country``, ``lang``,
-    ``city``, ``fetched_at``.
+    fetch time; id ``gp_`` + review id, or a hash of the whole content.
+    Context: ``country``, ``lang``, ``city``, ``fetched_at``.
     """
     r = df.select("*", decode(F.col(payload), PLAY_REVIEW).alias("r"))
     r = r.where(F.length(r.r["content"]) >= C.MIN_TEXT_LENGTH)
+    rating = _number(r.r["score"], C.DEFAULT_RATING)
+    own = F.concat(F.lit("gp_"), r.r["reviewId"])
     return r.select(*_review(
-        F.concat(F.lit("gp_"), r.r["reviewId"]), "google_play",
+        F.coalesce(own, _content_id("gp_", F.col("country"), F.col("city"), r.r["content"], r.r["at"], r.r["score"])), "google_play",
         F.concat(F.lit("app_"), F.col("country")),
         F.concat(F.lit("App ("), F.col("city"), F.lit(")")),
-        F.col("city"), F.coalesce(r.r["score"].cast("double"), F.lit(C.DEFAULT_RATING)),
-        r.r["content"], F.col("lang"),
-        F.coalesce(r.r["at"], iso(F.col("fetched_at"))), F.col("fetched_at")))
+        F.col("city"), rating, r.r["content"], F.col("lang"),
+        F.coalesce(r.r["at"], iso(F.col("fetched_at"))), F.col("fetched_at")), _reason(rating))
 
 
-def normalise_listing(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Forum search listing.
+def flag_listing(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Forum search listing, with ``reject_reason``.
 
-    Text = self text, or the title when the self text is empty, at least
-    20 characters, cut to 500; vote score → 1..5 rating; creation epoch →
-    UTC ISO date; city ``Online``; id ``rd_`` + post id.  Context:
-    ``subreddit``, ``lang``, ``fetched_at``.
+    Text = the whole self text, or the title when the self text is empty, at
+    least 20 characters; vote score → 1..5 rating; creation epoch → UTC ISO
+    date; city ``Online``; id ``rd_`` + post id, or a hash of the whole
+    content.  Context: ``subreddit``, ``lang``, ``fetched_at``.
     """
     p = df.select("*", F.explode(decode(F.col(payload), LISTING_PAYLOAD)["data"]["children"]).alias("c"))
     d = p.c["data"]
     text = F.coalesce(nullif_empty(d["selftext"]), d["title"], F.lit(""))
     p = p.withColumn("_text", text).where(F.length("_text") >= C.MIN_FORUM_TEXT_LENGTH)
-    rid = F.coalesce(d["id"], F.md5(F.col("_text")))
+    score, created = _number(d["score"], 0), d["created_utc"].try_cast("double")
+    own = F.concat(F.lit("rd_"), d["id"])
     return p.select(*_review(
-        F.concat(F.lit("rd_"), rid), "reddit",
+        F.coalesce(own, _content_id("rd_", F.col("subreddit"), d["title"], F.col("_text"), d["created_utc"])), "reddit",
         F.concat(F.lit("reddit_"), F.col("subreddit")),
         F.concat(F.lit("Forum r/"), F.col("subreddit")),
-        F.lit(C.FORUM_CITY), vote_to_rating(F.coalesce(d["score"], F.lit(0))),
-        prefix(F.col("_text"), C.FORUM_TEXT_MAX), F.col("lang"),
-        iso(epoch_to_ts(F.coalesce(d["created_utc"], F.lit(0.0)))), F.col("fetched_at")))
+        F.lit(C.FORUM_CITY), F.when(score.isNotNull(), vote_to_rating(score)), F.col("_text"), F.col("lang"),
+        iso(epoch_to_ts(F.coalesce(created, F.lit(0.0)))), F.col("fetched_at")), _reason(score))
 
 
 def _ld_documents(df: DataFrame, html: str, schema) -> DataFrame:
     """One row per JSON-LD script block of each page, decoded with ``schema``;
-    blocks that fail to parse are skipped."""
+    blocks that are not JSON are skipped."""
     s = df.select("*", F.explode(script_blocks(F.col(html))).alias("_script"))
     s = s.withColumn("_ld", decode(F.col("_script"), schema, corrupt=True))
     return s.where(F.col("_ld").isNotNull() & F.col("_ld")["_corrupt_record"].isNull())
 
 
-def normalise_review_pages(df: DataFrame, html: str = "html", rejects: bool = False):
-    """Review-site pages: every ``review`` of every JSON-LD block.
+def flag_review_pages(df: DataFrame, html: str = "html") -> DataFrame:
+    """Review-site pages: every ``review`` of every JSON-LD block, with
+    ``reject_reason``.
 
-    Description of at least 10 characters; rating default 3; author
-    default ``anon``; date default the fetch time; id ``tp_`` +
-    md5(author + date).  Context: ``lang``, ``city``, ``fetched_at``.
+    Items are decoded one by one; an author may be an object or a name.
+    Description of at least 10 characters; rating default 3; author default
+    ``anon``; date default the fetch time; id ``tp_`` + hash of author, date
+    and whole text.  Context: ``lang``, ``city``, ``fetched_at``.
     """
     s = _ld_documents(df, html, REVIEW_PAGE_LD)
-    r = s.select("*", F.explode(F.col("_ld")["review"]).alias("rv"))
-    r = r.where(F.length(r.rv["description"]) >= C.MIN_TEXT_LENGTH)
+    r = s.select("*", F.explode(_items(F.col("_ld")["review"])).alias("_item"))
+    r = r.withColumn("rv", decode(F.col("_item"), REVIEW_ITEM))
+    odd = ~F.ltrim(F.col("_item")).startswith("{") | F.col("_item").isNull()
+    r = r.where(odd | (F.length(r.rv["description"]) >= C.MIN_TEXT_LENGTH))
     date = F.coalesce(r.rv["datePublished"], iso(F.col("fetched_at")))
-    author = F.coalesce(r.rv["author"]["name"], F.lit(C.DEFAULT_AUTHOR))
-    return _split_bad_rating(r.select(*_review(
-        hash_id("tp_", F.concat(author, date)), "trustpilot",
+    author = F.coalesce(_field(r.rv["author"], "name"), F.lit(C.DEFAULT_AUTHOR))
+    rating = _number(_field(r.rv["reviewRating"], "ratingValue"), C.DEFAULT_RATING)
+    text = F.when(odd, F.col("_item")).otherwise(r.rv["description"])
+    return r.select(*_review(
+        _content_id("tp_", author, date, text), "trustpilot",
         F.concat(F.lit("tp_"), F.col("lang")),
         F.concat(F.lit("Review site ("), F.col("city"), F.lit(")")),
-        F.col("city"), _rating_text(r.rv["reviewRating"]["ratingValue"]), r.rv["description"],
-        F.col("lang"), date, F.col("fetched_at"))), rejects)
+        F.col("city"), rating, text, F.col("lang"), date, F.col("fetched_at")), _reason(rating, odd))
 
 
-def normalise_product_pages(df: DataFrame, html: str = "html", rejects: bool = False):
-    """Product pages: JSON-LD blocks of ``@type`` ItemList → items → reviews.
+def flag_product_pages(df: DataFrame, html: str = "html") -> DataFrame:
+    """Product pages: JSON-LD blocks of ``@type`` ItemList → items → reviews,
+    with ``reject_reason``.
 
     Body of at least 10 characters; rating default 3; date default the
-    fetch time; id ``dc_`` + md5 of the first 50 characters.
+    fetch time; id ``dc_`` + hash of category, date and whole body.
     Context: ``sport``, ``lang``, ``city``, ``fetched_at``.
     """
     s = _ld_documents(df, html, PRODUCT_PAGE_LD).where(F.col("_ld")["@type"] == "ItemList")
-    items = s.select("*", F.explode(F.col("_ld")["itemListElement"]).alias("it"))
-    r = items.select("*", F.explode(F.col("it")["item"]["review"]).alias("rv"))
-    r = r.where(F.length(r.rv["reviewBody"]) >= C.MIN_TEXT_LENGTH)
-    return _split_bad_rating(r.select(*_review(
-        hash_id("dc_", prefix(r.rv["reviewBody"], 50)), "product_site",
+    items = s.select("*", F.explode(_items(F.col("_ld")["itemListElement"])).alias("_it"))
+    r = items.select("*", F.explode(_items(decode(F.col("_it"), PRODUCT_ITEM)["item"]["review"])).alias("_item"))
+    r = r.withColumn("rv", decode(F.col("_item"), PRODUCT_REVIEW))
+    odd = ~F.ltrim(F.col("_item")).startswith("{") | F.col("_item").isNull()
+    r = r.where(odd | (F.length(r.rv["reviewBody"]) >= C.MIN_TEXT_LENGTH))
+    date = F.coalesce(r.rv["datePublished"], iso(F.col("fetched_at")))
+    rating = _number(_field(r.rv["reviewRating"], "ratingValue"), C.DEFAULT_RATING)
+    text = F.when(odd, F.col("_item")).otherwise(r.rv["reviewBody"])
+    return r.select(*_review(
+        _content_id("dc_", F.col("sport"), date, text), "product_site",
         F.concat(F.lit("site_"), F.col("sport")),
         F.concat(F.lit("Product site ("), F.col("sport"), F.lit(")")),
-        F.col("city"), _rating_text(r.rv["reviewRating"]["ratingValue"]), r.rv["reviewBody"],
-        F.col("lang"), F.coalesce(r.rv["datePublished"], iso(F.col("fetched_at"))), F.col("fetched_at"))), rejects)
+        F.col("city"), rating, text, F.col("lang"), date, F.col("fetched_at")), _reason(rating, odd))
+
+
+def normalise_feed(df: DataFrame, payload: str = "payload", rejects: bool = False):
+    return _split(flag_feed(df, payload), rejects)
+
+
+def normalise_play(df: DataFrame, payload: str = "payload", rejects: bool = False):
+    return _split(flag_play(df, payload), rejects)
+
+
+def normalise_listing(df: DataFrame, payload: str = "payload", rejects: bool = False):
+    return _split(flag_listing(df, payload), rejects)
+
+
+def normalise_review_pages(df: DataFrame, html: str = "html", rejects: bool = False):
+    return _split(flag_review_pages(df, html), rejects)
+
+
+def normalise_product_pages(df: DataFrame, html: str = "html", rejects: bool = False):
+    return _split(flag_product_pages(df, html), rejects)
+
+
+FLAGGERS = {"play": flag_play, "feed": flag_feed, "review_pages": flag_review_pages, "listing": flag_listing,
+            "product_pages": flag_product_pages}

@@ -43,9 +43,10 @@ JITTER = 0.3
 
 
 def _u(seed: int, draw: int, key: Column) -> Column:
-    """Deterministic uniform [0, 1) from (seed, draw, key)."""
-    h = F.xxhash64(F.lit(seed), F.lit(draw), key)
-    return F.pmod(h, F.lit(1_000_003)).cast("double") / F.lit(1_000_003.0)
+    """Deterministic uniform [0, 1) from (seed, draw, key): the first seven
+    hex digits of an MD5, which any SQL engine can repeat."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(str(draw)), key.cast("string")))
+    return F.conv(F.substring(h, 1, 7), 16, 10).cast("double") / F.lit(float(1 << 28))
 
 
 def _pick(values: list, u: Column) -> Column:

@@ -3,9 +3,9 @@
 The adapter turns the generic tables into review rows so every operator
 can be checked against an independent SQL oracle on the same data:
 
-* ``documents`` gives id, source, language and a length used for rating
-  and score;
-* ``orders`` (same key) gives the review date;
+* ``documents`` gives id, source, language, a length used for rating and
+  score, and the text: an own phrase, then the whole document text;
+* ``orders`` (same key, left join) gives the review date;
 * ``nation`` (25-row dimension, ``doc_id % 25``) gives the city;
 * ``labels`` (left join) gives the sentiment label.
 
@@ -86,34 +86,24 @@ def bounded_broadcast(df: DataFrame, max_rows: int, cache_key: str | None = None
     return F.broadcast(df) if small else df
 
 
-def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Give a CPU-heavy text stage at least ``per_core`` tasks per core.
-
-    A small file with one row group scans as one busy task (the other
-    splits are empty); round-robin it over ``per_core × cores`` partitions.
-    Large inputs already have more splits than that and are left alone, so
-    the extra shuffle only ever happens on small data.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism * per_core
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 — sessions without RDD access: leave the plan as is
-        return df
-    return df.repartition(target) if current < target else df
-
-
 def phrase_for(doc_id: Column) -> Column:
     from reviewlake.functions.text import pick
     return pick(F.array(*[F.lit(p) for p in PHRASES]), (doc_id % F.lit(len(PHRASES))).cast("int") + F.lit(1))
 
 
+def review_text(doc_id: Column, text: Column) -> Column:
+    """The phrase of a document, then its whole text on the next line."""
+    return F.concat(phrase_for(doc_id), F.coalesce(F.concat(F.lit("\n"), text), F.lit("")))
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``reviews`` adapter view (see module doc).
 
     Columns: review_id, source, store_id, store_city, rating, text,
     language, date, sentiment_label, sentiment_score, doc_id.
     """
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars",
+                                                     F.col("text").alias("d_text"))
     labels = read_table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("l_doc_id"), "quality", "toxic")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -124,7 +114,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Both big joins are on the same key (doc_id), so the planner reuses one
     # hash partitioning for them; the nation lookup is a broadcast that
     # keeps it.
-    j = (d.join(orders, d.doc_id == orders.o_orderkey, "inner")
+    j = (d.join(orders, d.doc_id == orders.o_orderkey, "left")
           .join(labels, d.doc_id == labels.l_doc_id, "left")
           .join(nation, (d.doc_id % 25).cast("int") == nation.n_nationkey, "inner"))
     doc_id = F.col("doc_id")
@@ -134,7 +124,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("store_"), (doc_id % 25).cast("string")).alias("store_id"),
         F.when(doc_id % 89 != 0, F.col("n_name")).alias("store_city"),
         F.when(doc_id % 97 != 0, (F.lit(1.0) + (F.col("n_chars") % 9) * F.lit(0.5)).cast("double")).alias("rating"),
-        phrase_for(doc_id).alias("text"),
+        review_text(doc_id, F.col("d_text")).alias("text"),
         F.col("lang").alias("language"),
         F.when(doc_id % 83 != 0, F.col("o_orderdate")).alias("date"),
         F.when(F.col("toxic") == 1, F.lit("negative"))
