@@ -18,6 +18,12 @@ def round_half_up(col: Column, scale: int) -> Column:
     return F.round(col.cast("decimal(38,10)"), scale).cast("double")
 
 
+def exact_mean(col: Column) -> Column:
+    """Mean of the non-null values (aggregate): exact decimal sum over count,
+    null for none.  Values are taken to six decimals."""
+    return F.try_divide(F.sum(col.cast("decimal(20,6)")).cast("double"), F.count(col).cast("double"))
+
+
 def clamp(col: Column, lo: float, hi: float) -> Column:
     """``max(lo, min(hi, x))``; null stays null."""
     return F.when(col.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), col)))

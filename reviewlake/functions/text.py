@@ -2,34 +2,16 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_REGEX_META = re.compile(r"([\\.^$|?*+()\[\]{}])")
-
-
-def regex_escape(word: str) -> str:
-    """Escape regex metacharacters; the result is valid in Java regex and RE2."""
-    return _REGEX_META.sub(r"\\\1", word)
-
-
-def any_substring_regex(words: list[str]) -> str:
-    """One alternation matching any of ``words`` as a plain substring.
-
-    Duplicates are dropped (first occurrence kept); longer words never need
-    to come first because only the existence of a match is tested.
-    """
-    seen: dict[str, None] = {}
-    for w in words:
-        seen.setdefault(w, None)
-    return "|".join(regex_escape(w) for w in seen)
-
-
 def contains_any(col: Column, words: list[str]) -> Column:
-    """True when ``col`` contains any of ``words`` (substring, case as given)."""
-    return col.rlike(any_substring_regex(words))
+    """True when ``col`` contains any of ``words`` (substring, case as given);
+    no words: false."""
+    hit = F.lit(False)
+    for w in dict.fromkeys(words):
+        hit = hit | col.contains(w)
+    return hit
 
 
 def length_cp(col: Column) -> Column:

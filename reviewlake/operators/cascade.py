@@ -1,10 +1,9 @@
 """Topic cascade and enrichment chains.
 
 ``classify_cascade``: keywords first (native), then the model only on the
-rows the keywords left unclassified, then ``"other"``.  The split is
-explicit because Catalyst does not order predicates by cost; the two
-branches are unioned (row identity is kept, no join).  When the upstream
-is expensive, persist ``df`` before calling (both branches read it).
+rows the keywords left unclassified, then ``"other"``.  It is one pass: rows
+with a keyword hit send the model a null text, which is never scored, so the
+input is read once and no union or join puts the rows together again.
 """
 
 from __future__ import annotations
@@ -16,18 +15,21 @@ from pyspark.sql import functions as F
 
 from reviewlake import config as C
 from reviewlake.operators.classify import with_keyword_category
-from reviewlake.operators.model_scoring import Scorer, zero_shot_topic
+from reviewlake.operators.model_scoring import Scorer, topic_of, with_model_answer
 from reviewlake.operators.polarity import with_polarity
 
 
 def classify_cascade(df: DataFrame, text_col: str = "text", out_col: str = "sport_category",
-                     factory: Callable[[], Scorer] | None = None, use_model: bool = True) -> DataFrame:
+                     factory: Callable[[], Scorer] | None = None, use_model: bool = True,
+                     carry: list[str] | None = None) -> DataFrame:
+    """``carry``: columns that pass through the model stage (default: all)."""
     k = with_keyword_category(df, text_col, out_col, fill=None)
     if not use_model or factory is None:
         return k.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(C.OTHER)))
-    hit = k.where(F.col(out_col).isNotNull())
-    miss = zero_shot_topic(k.where(F.col(out_col).isNull()), text_col, factory, out_col)
-    return hit.unionByName(miss)
+    kept = [c for c in (carry or df.columns) if c != out_col]
+    open_text = k.withColumn("_open", F.when(F.col(out_col).isNull(), F.col(text_col)))
+    a = with_model_answer(open_text, "_open", factory, "__answer", carry=[*kept, out_col])
+    return a.withColumn(out_col, F.coalesce(F.col(out_col), topic_of(F.col("__answer")))).drop("__answer")
 
 
 def enrich(df: DataFrame, text_col: str = "text", lexicon=None) -> DataFrame:

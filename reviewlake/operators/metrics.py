@@ -10,8 +10,10 @@ Conventions (decided once, here):
 * Shares over "all rows" are computed from the grouped frame (one row per
   key) with a key-less window — the window only ever sees the aggregated
   rows, never raw input.
-* Every aggregate is a partial + final ``HashAggregate`` pair: the map side
-  pre-aggregates, so a hot key costs one row per task in the shuffle.
+* Every aggregate has a partial form on the map side, so a hot key costs
+  one row per task in the shuffle.
+* Means are an exact decimal sum over a count (``exact_mean``), so their last
+  digit, and every rank built on them, is the same for any partitioning.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake import config as C
-from reviewlake.functions.numeric import pct, rating_band, round_half_up
+from reviewlake.functions.numeric import exact_mean, pct, rating_band, round_half_up
 from reviewlake.functions.text import bar, title_case
 from reviewlake.functions.timefn import month
 
@@ -38,7 +40,7 @@ def verify_total(df: DataFrame) -> DataFrame:
 
 
 def verify_avg_rating(df: DataFrame) -> DataFrame:
-    return df.agg(round_half_up(F.avg("rating"), 2).alias("avg_rating"))
+    return df.agg(round_half_up(exact_mean(F.col("rating")), 2).alias("avg_rating"))
 
 
 def verify_by_sentiment(df: DataFrame) -> DataFrame:
@@ -47,7 +49,7 @@ def verify_by_sentiment(df: DataFrame) -> DataFrame:
 
 
 def verify_by_city(df: DataFrame) -> DataFrame:
-    g = df.groupBy("store_city").agg(round_half_up(F.avg("rating"), 2).alias("avg_rating"),
+    g = df.groupBy("store_city").agg(round_half_up(exact_mean(F.col("rating")), 2).alias("avg_rating"),
                                      F.count(F.lit(1)).alias("total"))
     return g.orderBy(F.asc_nulls_last("avg_rating"), F.asc_nulls_first("store_city"))
 
@@ -66,7 +68,7 @@ def kpis(df_full: DataFrame, predicate: Column | None = None, target: float = C.
     agg = df_full.agg(
         F.count_if(p).alias("total"),
         F.count(F.lit(1)).alias("full_total"),
-        round_half_up(F.avg(sel(F.col("rating"))), 2).alias("avg_rating"),
+        round_half_up(exact_mean(sel(F.col("rating"))), 2).alias("avg_rating"),
         F.count_if(p & (F.col("sentiment_label") == "positive")).alias("positive_count"),
         F.count_if(p & (F.col("sentiment_label") == "negative")).alias("negative_count"),
     )
@@ -110,7 +112,7 @@ def rating_by_category(df: DataFrame) -> DataFrame:
     lowest mean first — the flagship chart query."""
     g = (df.where(F.col("sport_category").isNotNull())
            .groupBy("sport_category")
-           .agg(F.avg("rating").alias("avg_rating"), F.count("rating").alias("rating_count")))
+           .agg(exact_mean(F.col("rating")).alias("avg_rating"), F.count("rating").alias("rating_count")))
     g = g.select("sport_category", "avg_rating", "rating_count",
                  round_half_up(F.col("avg_rating"), 2).alias("avg_rating_2dp"),
                  rating_band(F.col("avg_rating")).alias("band_color"))
@@ -120,7 +122,7 @@ def rating_by_category(df: DataFrame) -> DataFrame:
 def category_rating_bars(df: DataFrame) -> DataFrame:
     """Mean rating per category ascending with a ``█ × int(2·mean)`` bar."""
     g = (df.where(F.col("sport_category").isNotNull())
-           .groupBy("sport_category").agg(F.avg("rating").alias("avg_rating")))
+           .groupBy("sport_category").agg(exact_mean(F.col("rating")).alias("avg_rating")))
     g = g.select("sport_category", round_half_up(F.col("avg_rating"), 2).alias("avg_rating"),
                  bar(F.floor(F.col("avg_rating") * 2)).alias("bar"),
                  F.col("avg_rating").alias("_m"))
@@ -151,7 +153,7 @@ def rating_trend(df: DataFrame, date_col: str = "date") -> DataFrame:
     """Per ``YYYY-MM`` of dated rows: mean rating and non-null count, by month."""
     g = (df.where(F.col(date_col).isNotNull())
            .groupBy(month(F.col(date_col)).alias("month"))
-           .agg(F.avg("rating").alias("avg_rating"), F.count("rating").alias("rating_count")))
+           .agg(exact_mean(F.col("rating")).alias("avg_rating"), F.count("rating").alias("rating_count")))
     return g.orderBy("month")
 
 
@@ -160,7 +162,7 @@ def rating_trend(df: DataFrame, date_col: str = "date") -> DataFrame:
 # --------------------------------------------------------------------------
 def _category_means(df: DataFrame) -> DataFrame:
     return (df.where(F.col("sport_category").isNotNull())
-              .groupBy("sport_category").agg(F.avg("rating").alias("m"))
+              .groupBy("sport_category").agg(exact_mean(F.col("rating")).alias("m"))
               .where(F.col("m").isNotNull()))
 
 
@@ -192,7 +194,7 @@ def insight_low_language(df: DataFrame, score_col: str = "sentiment_score") -> D
         return df.sparkSession.createDataFrame([], "language string, language_name string, value double")
     names = F.create_map(*[x for k, v in C.LANGUAGE_NAMES.items() for x in (F.lit(k), F.lit(v))])
     g = (df.where(F.col("language").isNotNull())
-           .groupBy("language").agg(F.avg(score_col).alias("m"))
+           .groupBy("language").agg(exact_mean(F.col(score_col)).alias("m"))
            .where(F.col("m").isNotNull()))
     top = g.orderBy(F.asc("m"), F.asc("language")).limit(1)
     return top.select("language", F.coalesce(names[F.col("language")], F.col("language")).alias("language_name"),
@@ -202,7 +204,7 @@ def insight_low_language(df: DataFrame, score_col: str = "sentiment_score") -> D
 def score_by_city(df: DataFrame, score_col: str = "bert_score") -> DataFrame:
     """Mean model score per city ascending, mood flag and ``int(|s|·10)`` bar."""
     g = (df.where(F.col("store_city").isNotNull())
-           .groupBy("store_city").agg(F.avg(score_col).alias("m")))
+           .groupBy("store_city").agg(exact_mean(F.col(score_col)).alias("m")))
     return g.select(
         "store_city",
         round_half_up(F.col("m"), 2).alias("avg_score"),
@@ -216,13 +218,11 @@ def score_by_city(df: DataFrame, score_col: str = "bert_score") -> DataFrame:
 # Filter widgets, counters
 # --------------------------------------------------------------------------
 def filter_options(df: DataFrame, columns=("source", "language")) -> DataFrame:
-    """Distinct non-null values per column, sorted: ``(column_name, value)`` rows."""
-    parts = [df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-               .where(F.col("value").isNotNull()) for c in columns]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.distinct().orderBy("column_name", "value")
+    """Distinct non-null values per column, sorted: ``(column_name, value)``
+    rows, from one pass over the input."""
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
+    u = df.select(*columns).selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, value)")
+    return u.where("value IS NOT NULL").distinct().orderBy("column_name", "value")
 
 
 def rating_bounds(df: DataFrame) -> DataFrame:
@@ -242,60 +242,50 @@ def classified_counts(df: DataFrame, col: str = "sport_category") -> DataFrame:
 
 def run_metrics(df: DataFrame, run_id: str, label_col: str = "bert_label", score_col: str = "bert_score",
                 load_seconds: float | None = None, inference_seconds: float | None = None,
-                logged_at: Column | None = None, model_name: str | None = None) -> DataFrame:
+                logged_at: Column | None = None, model_name: str | None = None,
+                extra: dict[str, float] | None = None) -> DataFrame:
     """Run metrics of a scoring run in long form ``(run_id, kind, name, value_num, value_str, logged_at)``.
 
-    One aggregate row is computed (counts, shares, means), then unpivoted
-    with ``stack``; percentages of an empty run are null, not an error.
-    Timings are measured by the caller and passed in.
-    """
+    One aggregate gives all metrics and parameters, then ``stack`` unpivots
+    it, so the scored input is read once; percentages of an empty run are
+    null, not an error.  Timings and ``extra`` metrics are measured by the
+    caller.  Languages and sources are listed sorted (one value of the
+    report; ``"unknown"`` when the column is absent, a plan-time check)."""
     lab = F.col(label_col)
+
+    def listed(c):
+        if c not in df.columns:
+            return F.lit("unknown")
+        return F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), ",")
+
     a = df.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(lab == "positive").alias("positive_count"),
         F.count_if(lab == "negative").alias("negative_count"),
         F.count_if(lab == "neutral").alias("neutral_count"),
-        F.sum(F.col(score_col)).alias("_score_sum"),
-        (F.avg("rating") if "rating" in df.columns else F.lit(None).cast("double")).alias("_avg_rating"),
+        F.sum(F.col(score_col).cast("decimal(20,6)")).cast("double").alias("_score_sum"),
+        (exact_mean(F.col("rating")) if "rating" in df.columns else F.lit(None).cast("double")).alias("_avg_rating"),
+        listed("language").alias("languages"), listed("source").alias("sources"),
     )
     tot = F.col("total").cast("double")
     share = lambda c: F.when(tot > 0, round_half_up(F.col(c) / tot * 100, 2))
-    metrics = a.select(
-        F.col("total").cast("double").alias("total_reviews"),
-        F.col("positive_count").cast("double").alias("positive_count"),
-        F.col("negative_count").cast("double").alias("negative_count"),
-        F.col("neutral_count").cast("double").alias("neutral_count"),
-        share("positive_count").alias("positive_pct"),
-        share("negative_count").alias("negative_pct"),
-        share("neutral_count").alias("neutral_pct"),
-        F.when(tot > 0, round_half_up(F.col("_score_sum") / tot, 4)).alias("avg_sentiment_score"),
-        round_half_up(F.col("_avg_rating"), 4).alias("avg_rating"),
-        F.lit(load_seconds).cast("double").alias("model_load_time_seconds"),
-        F.lit(inference_seconds).cast("double").alias("inference_time_seconds"),
-    )
-    names = metrics.columns
-    stack = "stack({n}, {pairs}) as (name, value_num)".format(
-        n=len(names), pairs=", ".join(f"'{c}', `{c}`" for c in names))
+    metrics = {
+        "total_reviews": tot,
+        "positive_count": F.col("positive_count"), "negative_count": F.col("negative_count"), "neutral_count": F.col("neutral_count"),
+        "positive_pct": share("positive_count"), "negative_pct": share("negative_count"), "neutral_pct": share("neutral_count"),
+        "avg_sentiment_score": F.when(tot > 0, round_half_up(F.col("_score_sum") / tot, 4)),
+        "avg_rating": round_half_up(F.col("_avg_rating"), 4),
+        "model_load_time_seconds": F.lit(load_seconds), "inference_time_seconds": F.lit(inference_seconds),
+        **{k: F.lit(v) for k, v in (extra or {}).items()},
+    }
+    params = {"model_name": F.lit(model_name), "total_reviews": F.col("total"), "languages": F.col("languages"), "sources": F.col("sources")}
+    rows = [F.struct(F.lit("metric").alias("kind"), F.lit(n).alias("name"), c.cast("double").alias("value_num"),
+                     F.lit(None).cast("string").alias("value_str")) for n, c in metrics.items()]
+    rows += [F.struct(F.lit("param").alias("kind"), F.lit(n).alias("name"), F.lit(None).cast("double").alias("value_num"),
+                      c.cast("string").alias("value_str")) for n, c in params.items()]
     ts = F.current_timestamp() if logged_at is None else logged_at
-    metric_rows = metrics.selectExpr(stack).select(
-        F.lit(run_id).alias("run_id"), F.lit("metric").alias("kind"), "name", "value_num",
-        F.lit(None).cast("string").alias("value_str"), ts.alias("logged_at"))
-    # run parameters: model, row count, distinct languages / sources (sorted;
-    # low-cardinality columns — the set is bounded by their domain), or
-    # "unknown" when the column is absent (plan-time check)
-    def distinct_list(c):
-        if c not in df.columns:
-            return F.lit("unknown")
-        return F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), ",")
-    p = df.agg(F.count(F.lit(1)).cast("string").alias("total_reviews"),
-               distinct_list("language").alias("languages"), distinct_list("source").alias("sources"))
-    p = p.withColumn("model_name", F.lit(model_name).cast("string"))
-    pstack = "stack(4, 'model_name', model_name, 'total_reviews', total_reviews, 'languages', languages, " \
-             "'sources', sources) as (name, value_str)"
-    param_rows = p.selectExpr(pstack).select(
-        F.lit(run_id).alias("run_id"), F.lit("param").alias("kind"), "name",
-        F.lit(None).cast("double").alias("value_num"), "value_str", ts.alias("logged_at"))
-    return metric_rows.unionByName(param_rows)
+    return a.select(F.inline(F.array(*rows))).select(F.lit(run_id).alias("run_id"), "kind", "name", "value_num", "value_str",
+                                                     ts.alias("logged_at"))
 
 
 # --------------------------------------------------------------------------
@@ -375,6 +365,31 @@ def lowest_scores(df: DataFrame, n: int = 3, score_col: str = "sentiment_score",
                       F.concat(F.substring("text", 1, preview_chars), F.lit("...")).alias("preview"))
 
 
+def _lowest_section(df: DataFrame, k: int, score_col: str) -> DataFrame:
+    return lowest_scores(df, k, score_col).select(
+        F.lit("lowest_scores").alias("section"), F.col("review_id").alias("item"),
+        F.lit(None).cast("double").alias("n"), F.col("score").alias("value"), F.col("pos").alias("rank"))
+
+
+def _ranked_sections(sums: DataFrame, order: dict[str, list[Column]]) -> DataFrame:
+    """Rank each section's rows (a few per group key) by its own order."""
+    out = None
+    for name, by in order.items():
+        part = sums.where(F.col("section") == name)
+        part = part.withColumn("rank", F.row_number().over(Window.partitionBy("section").orderBy(*by)).cast("long"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _section_sums(df: DataFrame, keys: dict[str, tuple[Column, Column, Column]]) -> DataFrame:
+    """Per section and item: row count ``c``, value sum and value count, all
+    sections from one pass.  ``keys``: section → (item, counts, value)."""
+    rows = F.array(*[F.struct(F.lit(s).alias("section"), item.cast("string").alias("item"), counts.alias("hit"),
+                              value.cast("decimal(20,6)").alias("v")) for s, (item, counts, value) in keys.items()])
+    return df.select(F.inline(rows)).groupBy("section", "item").agg(
+        F.count_if("hit").alias("c"), F.sum("v").cast("double").alias("_sum"), F.count("v").alias("_cnt"))
+
+
 def insight_report(df: DataFrame, k: int = 3) -> DataFrame:
     """The printed insight report as one long frame
     ``(section, item, n, value, rank)`` (``n``, ``value`` double):
@@ -383,22 +398,43 @@ def insight_report(df: DataFrame, k: int = 3) -> DataFrame:
     * ``category_rating`` mean rating per category (2 dp), lowest first;
     * ``top_negative``  the ``k`` categories with most negative reviews;
     * ``lowest_scores`` the ``k`` reviews with the smallest score.
+
+    The first three share one pass and one aggregate over the input.
     """
-    # ``n`` is absent for some sections; it is a double so the long form
-    # has one numeric type for both value columns
-    dist = label_distribution(df, "sentiment_label", "all").select(
-        F.lit("distribution").alias("section"), F.col("label").alias("item"), F.col("n").cast("double").alias("n"),
-        F.col("pct").alias("value"), "rank")
-    cat = category_rating_bars(df).select(
-        F.lit("category_rating").alias("section"), F.col("sport_category").alias("item"),
-        F.lit(None).cast("double").alias("n"), F.col("avg_rating").alias("value"), "rank")
-    neg = top_negative_categories(df, k).select(
-        F.lit("top_negative").alias("section"), F.col("sport_category").alias("item"), F.col("n").cast("double").alias("n"),
-        F.lit(None).cast("double").alias("value"), "rank")
-    low = lowest_scores(df, k).select(
-        F.lit("lowest_scores").alias("section"), F.col("review_id").alias("item"),
-        F.lit(None).cast("double").alias("n"), F.col("score").alias("value"), F.col("pos").alias("rank"))
-    return dist.unionByName(cat).unionByName(neg).unionByName(low)
+    cat, label, yes, none = F.col("sport_category"), F.col("sentiment_label"), F.lit(True), F.lit(None)
+    sums = _section_sums(df, {"distribution": (label, yes, none), "category_rating": (cat, yes, F.col("rating")),
+                              "top_negative": (cat, F.coalesce(label == "negative", F.lit(False)), none)})
+    mean = F.try_divide(F.col("_sum"), F.col("_cnt").cast("double"))
+    total = F.sum("c").over(Window.partitionBy("section"))
+    dist = F.col("section") == "distribution"
+    sums = sums.withColumn("_total", total).where(F.col("item").isNotNull() & ((F.col("section") != "top_negative") | (F.col("c") > 0)))
+    sums = sums.select("section", "item", "c", mean.alias("_m"),
+                       F.when(F.col("section") != "category_rating", F.col("c").cast("double")).alias("n"),
+                       F.when(dist, pct(F.col("c"), F.col("_total"), 1)).when(F.col("section") == "category_rating", round_half_up(mean, 2))
+                        .alias("value"))
+    ranked = _ranked_sections(sums, {"distribution": [F.desc("c"), F.asc("item")],
+                                     "category_rating": [F.asc_nulls_last("_m"), F.asc("item")],
+                                     "top_negative": [F.desc("c"), F.asc("item")]})
+    ranked = ranked.where((F.col("section") != "top_negative") | (F.col("rank") <= k)).select("section", "item", "n", "value", "rank")
+    return ranked.unionByName(_lowest_section(df, k, "sentiment_score"))
+
+
+def star_report(df: DataFrame, k: int = 5, label_col: str = "bert_label", score_col: str = "bert_score") -> DataFrame:
+    """The star model's printed report, in the form of ``insight_report``:
+
+    * ``distribution`` label count and share of all rows;
+    * ``city_score``   mean score per city (2 dp), lowest first;
+    * ``lowest_scores`` the ``k`` reviews with the smallest score.
+    """
+    sums = _section_sums(df, {"distribution": (F.col(label_col), F.lit(True), F.lit(None)),
+                              "city_score": (F.col("store_city"), F.lit(True), F.col(score_col))})
+    mean = F.try_divide(F.col("_sum"), F.col("_cnt").cast("double"))
+    dist = F.col("section") == "distribution"
+    sums = sums.withColumn("_total", F.sum("c").over(Window.partitionBy("section"))).where("item IS NOT NULL")
+    sums = sums.select("section", "item", "c", mean.alias("_m"), F.when(dist, F.col("c").cast("double")).alias("n"),
+                       F.when(dist, pct(F.col("c"), F.col("_total"), 1)).otherwise(round_half_up(mean, 2)).alias("value"))
+    ranked = _ranked_sections(sums, {"distribution": [F.desc("c"), F.asc("item")], "city_score": [F.asc_nulls_last("_m"), F.asc("item")]})
+    return ranked.select("section", "item", "n", "value", "rank").unionByName(_lowest_section(df, k, score_col))
 
 
 # --------------------------------------------------------------------------
@@ -415,9 +451,14 @@ VERIFY_SQL = {
 
 
 def verify_sql(df: DataFrame, view: str | None = None) -> dict[str, DataFrame]:
-    """Register ``df`` as a temp view and return the four check queries
-    (``spark.sql``; Catalyst plans them exactly like the DataFrame forms)."""
+    """The four check queries as SQL text over ``df`` (Catalyst plans them
+    exactly like the DataFrame forms).  ``df`` is a temp view only while the
+    queries are analysed, unless ``view`` names one to keep."""
     import uuid
-    view = view or f"reviews_{uuid.uuid4().hex[:10]}"
-    df.createOrReplaceTempView(view)
-    return {k: df.sparkSession.sql(q.format(v=view)) for k, q in VERIFY_SQL.items()}
+    name = view or f"reviews_{uuid.uuid4().hex[:10]}"
+    df.createOrReplaceTempView(name)
+    try:
+        return {k: df.sparkSession.sql(q.format(v=name)) for k, q in VERIFY_SQL.items()}
+    finally:
+        if view is None:
+            df.sparkSession.catalog.dropTempView(name)

@@ -4,29 +4,31 @@ Tokens are runs of letters of the lower-cased text.  The score is the mean
 polarity over the tokens found in the lexicon (each occurrence counts); a
 text with no lexicon token — or a null text — scores 0.0 / neutral.
 
-Two plans:
+A lexicon is given in one of two forms, and the form decides the plan:
 
-* ``dict`` lexicon of at most ``MAX_INLINE_WORDS`` entries: an inline map
-  lookup over the token array, inside one projection — no shuffle, no
-  join, nothing collected.  (A map literal is searched linearly, so larger
-  dicts switch to the join plan below, where the lookup is a hash join.)
-* ``DataFrame`` lexicon (any size): tokens are exploded, equi-joined with
-  the lexicon on the word (Spark picks broadcast or shuffle from the
-  lexicon's size), summed per text and joined back by key.
+* a ``dict`` of any size: its entries are map literals by first letters,
+  looked up over the token array inside one projection — no shuffle, no
+  join, no key column;
+* a ``DataFrame`` (a lexicon that lives in a table): tokens are counted per
+  text and word, joined with the lexicon on the word, summed per text and
+  joined back by ``key``.  Counting first makes a frequent word one row per
+  text.
 
+Words that differ only in case are one word; its polarity is their mean.
 Sums are exact (decimal), so the result does not depend on the order in
 which partial sums are combined.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake import config as C
 from reviewlake.functions.numeric import polarity_label, round_half_up
 
-MAX_INLINE_WORDS = 500
 TOKEN_SPLIT = r"[^\p{L}]+"
 _SUM_T = "decimal(20,6)"
 
@@ -47,31 +49,42 @@ def _finish(df: DataFrame, mean_col: str, score_col: str, label_col: str) -> Dat
               .drop(mean_col))
 
 
+def _lookup(lexicon: dict[str, float]):
+    """Token → polarity (null if absent).  A map literal is searched from its
+    start, so the words are spread over one map per first two letters."""
+    words: dict[str, list[Decimal]] = {}
+    for w, p in lexicon.items():
+        words.setdefault(w.lower(), []).append(Decimal(str(p)))
+    shelves: dict[str, list[Column]] = {}
+    for w, ps in words.items():
+        shelves.setdefault(w[:2], []).extend((F.lit(w), F.lit(str(sum(ps) / len(ps))).cast(_SUM_T)))
+    if not shelves:
+        return lambda t: F.lit(None).cast(_SUM_T)
+    shelf = F.create_map(*[x for k, pairs in shelves.items() for x in (F.lit(k), F.create_map(*pairs))])
+    return lambda t: shelf[F.substring(t, 1, 2)][t]
+
+
 def with_polarity(df: DataFrame, text_col: str = "text", lexicon: dict[str, float] | DataFrame | None = None,
                   key: str | None = None, score_col: str = "sentiment_score",
                   label_col: str = "sentiment_label") -> DataFrame:
     """Add ``score_col`` / ``label_col`` from the lexicon polarity of ``text_col``.
 
-    ``key`` (a unique column) is required for the join plan (a ``DataFrame``
-    lexicon, or a dict above ``MAX_INLINE_WORDS``).
+    ``key`` (a unique column) is required for a ``DataFrame`` lexicon.
     """
     lexicon = C.DEFAULT_LEXICON if lexicon is None else lexicon
-    if isinstance(lexicon, dict) and len(lexicon) > MAX_INLINE_WORDS:
-        lexicon = df.sparkSession.createDataFrame([(w, float(p)) for w, p in lexicon.items()],
-                                                  "word string, polarity double")
     if isinstance(lexicon, dict):
-        m = F.create_map(*[x for w, p in lexicon.items() for x in (F.lit(w.lower()), F.lit(str(p)).cast(_SUM_T))])
-        vals = F.filter(F.transform(tokens(F.col(text_col)), lambda t: m[t]), lambda v: v.isNotNull())
+        vals = F.filter(F.transform(tokens(F.col(text_col)), _lookup(lexicon)), lambda v: v.isNotNull())
         total = F.aggregate(F.col("_vals"), F.lit(0).cast(_SUM_T), lambda acc, v: (acc + v).cast(_SUM_T))
         # the hit list is projected once, then summed and counted
         d = df.withColumn("_vals", vals).withColumn("_mean", _mean(total, F.size("_vals"))).drop("_vals")
         return _finish(d, "_mean", score_col, label_col)
     if key is None:
         raise ValueError("a DataFrame lexicon needs a unique key column")
-    lex = lexicon.select(F.lower(F.col("word")).alias("_w"), F.col("polarity").cast(_SUM_T).alias("_p"))
+    lex = lexicon.groupBy(F.lower(F.col("word")).alias("_w")).agg(F.avg(F.col("polarity").cast(_SUM_T)).cast(_SUM_T).alias("_p"))
     toks = df.select(F.col(key).alias("_k"), F.explode(tokens(F.col(text_col))).alias("_w"))
-    per = (toks.join(lex, "_w").groupBy("_k")
-               .agg(F.sum("_p").alias("_t"), F.count(F.lit(1)).alias("_n")))
+    counted = toks.groupBy("_k", "_w").agg(F.count(F.lit(1)).alias("_c"))
+    per = (counted.join(lex, "_w").groupBy("_k")
+                  .agg(F.sum((F.col("_p") * F.col("_c")).cast(_SUM_T)).alias("_t"), F.sum("_c").alias("_n")))
     out = df.join(per, df[key] == per["_k"], "left")
     out = out.withColumn("_mean", _mean(F.coalesce(F.col("_t"), F.lit(0).cast(_SUM_T)),
                                         F.coalesce(F.col("_n"), F.lit(0))))
