@@ -3,13 +3,16 @@
 Each subcommand is one Spark job over files; the session comes from the
 environment (cluster settings win; only unset values are filled).
 
-    analyze   review file → polarity + keyword category → parquet
-    classify  review file → keyword cascade (+ optional model) → parquet
-    load      review file → upsert into a parquet review table → verification queries
-    process   stored review table → length / lower / length band → parquet
-    publish   review file → topic (kafka, or a file-backed topic folder)
-    consume   topic → decoded review files (available-now stream, checkpointed)
-    report    review file (enriched) → insight report
+    collect    landed payload folders → normalise, union, first per id → review file (+ rejects)
+    analyze    review file → polarity + keyword category → parquet
+    score      review file → star-model sentiment → parquet, run metrics appended
+    classify   review file → keyword cascade (+ optional model) → parquet
+    load       review file → upsert into a parquet review table → verification queries
+    process    stored review table → length / lower / length band → parquet
+    publish    review file → topic (kafka, or a file-backed topic folder)
+    consume    topic → decoded review files (available-now stream, checkpointed) + rejects
+    report     review file (enriched, or scored) → insight report
+    export-csv review file → CSV for BI tools
 """
 
 from __future__ import annotations
@@ -50,20 +53,52 @@ def cmd_classify(spark, a) -> None:
         .write.mode("overwrite").parquet(a.output)
 
 
+def cmd_collect(spark, a) -> None:
+    """Each source's landed payloads are parquet: payload or html text, its
+    context columns and ``fetched_at``."""
+    from reviewlake.operators.setops import dedup_first, union_sources
+    from reviewlake.plans.jobs import collect_sources
+    from reviewlake.sinks.files import write_json
+    given = {"play": a.play, "feed": a.feed, "review_pages": a.review_pages, "listing": a.listing, "product_pages": a.product_pages}
+    frames = collect_sources(spark, {k: spark.read.parquet(p) for k, p in given.items() if p}, a.rejects)
+    if not frames:
+        raise SystemExit("no payload folder given")
+    write_json(dedup_first(union_sources(frames), "review_id", ["source_priority", "date"]).drop("source_priority"), a.output)
+
+
+def cmd_score(spark, a) -> None:
+    from reviewlake.plans.jobs import scoring_run
+    scoring_run(_read_reviews(spark, a.input, a.multiline), "text", _factory(a.model), a.output, a.metrics, a.run_id, a.model,
+                a.max_chars).show(50, truncate=False)
+
+
+def cmd_export_csv(spark, a) -> None:
+    from reviewlake.sinks.files import write_csv
+    write_csv(_read_reviews(spark, a.input, a.multiline), a.output)
+
+
 def cmd_load(spark, a) -> None:
+    """The merged table is written beside the old one first, then over it; a
+    run that dies in between leaves the copy named in the message."""
     from reviewlake.operators import metrics as M
     from reviewlake.operators.merge import UPDATE_SENTIMENT, UPDATE_TOUCH_ONLY, upsert
-    from reviewlake.operators.projections import apply_sentiment_policy, to_stored
+    from reviewlake.operators.projections import split_rejects
     from reviewlake.operators.setops import dedup_first
-    from reviewlake.streaming.ingest import SnapshotTable
-    batch = apply_sentiment_policy(_read_reviews(spark, a.input, a.multiline), "fill")
-    batch = to_stored(dedup_first(batch, "review_id", ["date"]))
-    table = SnapshotTable(spark, a.table)
-    latest = table.latest()
-    merged = batch if latest is None else upsert(
-        table.read(), batch, "review_id", UPDATE_TOUCH_ONLY if a.touch_only else UPDATE_SENTIMENT)
-    table.commit(merged, (latest or 0) + 1)
-    stored = table.read()
+    from reviewlake.plans.jobs import load_reviews
+    from reviewlake.session import scratch_path
+    from reviewlake.sinks.files import first_available
+    rows = load_reviews(spark, a.input, "fill", a.multiline).where("review_id is not null")
+    batch, rejects = split_rejects(dedup_first(rows, "review_id", ["date"]))
+    if a.rejects:
+        rejects.write.mode("append").parquet(a.rejects)
+    _, table = first_available(spark, [a.table], lambda s, p: s.read.parquet(p))
+    merged = batch if table is None else upsert(table, batch, "review_id", UPDATE_TOUCH_ONLY if a.touch_only else UPDATE_SENTIMENT)
+    copy = scratch_path(spark, "load")
+    merged.write.parquet(copy)
+    print(f"new table staged in {copy}")
+    spark.read.parquet(copy).write.mode("overwrite").parquet(a.table)
+    spark.catalog.refreshByPath(a.table)
+    stored = spark.read.parquet(a.table)
     for title, df in [("total", M.verify_total(stored)), ("avg rating", M.verify_avg_rating(stored)),
                       ("by sentiment", M.verify_by_sentiment(stored)), ("by city", M.verify_by_city(stored))]:
         print(title)
@@ -86,18 +121,21 @@ def cmd_publish(spark, a) -> None:
 
 
 def cmd_consume(spark, a) -> None:
-    from reviewlake.streaming.ingest import ingest, input_rows, read_topic_stream
+    from reviewlake.streaming.ingest import ingest, read_topic_stream
     opts = {"subscribe": a.topic, "kafka.bootstrap.servers": a.servers} if a.format == "kafka" else {}
     schema = None if a.format == "kafka" else spark.read.format(a.format).load(a.path).schema
     stream = read_topic_stream(spark, a.format, schema, opts, None if a.format == "kafka" else a.path,
                                max_per_trigger=a.max_per_trigger)
-    q = ingest(stream, REVIEW, a.output, a.checkpoint)
+    q, got = ingest(stream, REVIEW, a.output, a.checkpoint, a.rejects)
     q.awaitTermination()
-    print(f"received {input_rows(q)} records")
+    print(f"received {got.records} records, {got.malformed} malformed")
 
 
 def cmd_report(spark, a) -> None:
-    from reviewlake.operators.metrics import insight_report
+    from reviewlake.operators.metrics import insight_report, star_report
+    if a.scored:
+        star_report(spark.read.parquet(a.input)).show(100, truncate=False)
+        return
     df = _read_reviews(spark, a.input, a.multiline).withColumn(
         "sport_category", F.coalesce("sport_category", F.lit("other")))
     insight_report(df).show(100, truncate=False)
@@ -117,17 +155,24 @@ def main(argv: list[str] | None = None) -> None:
     inp = (["--input"], {"required": True})
     out = (["--output"], {"required": True})
     ml = (["--multiline"], {"action": "store_true", "help": "input files are JSON arrays"})
+    rej = (["--rejects"], {"required": True, "help": "reject output"})
+    folder = [([f"--{x}"], {"default": None}) for x in ("play", "feed", "review-pages", "listing", "product-pages")]
+    add("collect", cmd_collect, out, rej, *folder)
     add("analyze", cmd_analyze, inp, out, ml)
+    add("score", cmd_score, inp, out, ml, (["--model"], {"required": True, "help": "scorer factory as package.module:function"}),
+        (["--metrics"], {"required": True}), (["--run-id"], {"required": True}), (["--max-chars"], {"type": int, "default": None}))
+    add("export-csv", cmd_export_csv, inp, out, ml)
     add("classify", cmd_classify, inp, out, ml,
         (["--model"], {"default": None, "help": "topic scorer factory as package.module:function"}))
-    add("load", cmd_load, inp, ml, (["--table"], {"required": True}), (["--touch-only"], {"action": "store_true"}))
+    add("load", cmd_load, inp, ml, (["--table"], {"required": True}), (["--touch-only"], {"action": "store_true"}),
+        (["--rejects"], {"default": None, "help": "reject output"}))
     add("process", cmd_process, inp, out)
     add("publish", cmd_publish, inp, ml, (["--topic"], {"default": "reviews.raw"}),
         (["--format"], {"default": "kafka"}), (["--servers"], {"default": ""}), (["--path"], {"default": None}))
-    add("consume", cmd_consume, out, (["--topic"], {"default": "reviews.raw"}), (["--format"], {"default": "kafka"}),
+    add("consume", cmd_consume, out, rej, (["--topic"], {"default": "reviews.raw"}), (["--format"], {"default": "kafka"}),
         (["--servers"], {"default": ""}), (["--path"], {"default": None}), (["--checkpoint"], {"required": True}),
         (["--max-per-trigger"], {"type": int, "default": None}))
-    add("report", cmd_report, inp, ml)
+    add("report", cmd_report, inp, ml, (["--scored"], {"action": "store_true", "help": "input is the output of score"}))
     a = p.parse_args(argv)
     from reviewlake.session import get_spark
     a.fn(get_spark(), a)

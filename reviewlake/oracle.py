@@ -8,10 +8,19 @@ and each query in plain SQL.  Column names match the Spark outputs.
 from __future__ import annotations
 
 from reviewlake import config as C
-from reviewlake.operators.classify import keyword_category_sql
 from reviewlake.sources.tables import PHRASES
 
 
+def keyword_category_sql(text_sql: str = "text") -> str:
+    """The keyword rule as stated, over the raw word lists in their order (no
+    pruning): categories, then positive, then negative emotions."""
+    rules = [*C.SPORT_KEYWORDS, (C.POSITIVE_EXPERIENCE, C.POSITIVE_EMOTIONS), (C.NEGATIVE_EXPERIENCE, C.NEGATIVE_EMOTIONS)]
+    quoted = lambda w: "'" + w.lower().replace("'", "''") + "'"
+    arms = " ".join("WHEN " + " OR ".join(f"contains(lower({text_sql}), {quoted(w)})" for w in words) + f" THEN '{cat}'"
+                    for cat, words in rules)
+    return f"CASE {arms} END"
+
+
 def R(expr: str, scale: int) -> str:
     """Half-up rounding on the decimal value, back to double."""
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), {scale}) AS DOUBLE)"
@@ -39,7 +48,7 @@ REVIEWS_CTE = f"""reviews AS (
          'store_' || CAST(d.doc_id % 25 AS VARCHAR) AS store_id,
          CASE WHEN d.doc_id % 89 <> 0 THEN n.n_name END AS store_city,
          CASE WHEN d.doc_id % 97 <> 0 THEN CAST(1.0 + (d.n_chars % 9) * 0.5 AS DOUBLE) END AS rating,
-         ({_PHRASES_SQL})[CAST(d.doc_id % 20 AS INTEGER) + 1] AS text,
+         ({_PHRASES_SQL})[CAST(d.doc_id % 20 AS INTEGER) + 1] || coalesce(chr(10) || d.text, '') AS text,
          d.lang AS language,
          CASE WHEN d.doc_id % 83 <> 0 THEN o.o_orderdate END AS date,
          CASE WHEN l.toxic = 1 THEN 'negative' WHEN l.quality = 1 THEN 'positive'
@@ -47,7 +56,7 @@ REVIEWS_CTE = f"""reviews AS (
          CAST((d.n_chars % 5) - 2 AS DOUBLE) / 2 AS sentiment_score,
          d.doc_id AS doc_id
   FROM documents d
-  JOIN orders o ON o.o_orderkey = d.doc_id
+  LEFT JOIN orders o ON o.o_orderkey = d.doc_id
   LEFT JOIN labels l ON l.doc_id = d.doc_id
   JOIN nation n ON n.n_nationkey = d.doc_id % 25)"""
 
@@ -215,6 +224,7 @@ DECIMAL_OUTPUTS = {
     "upsert_bucketed": ["rating", "sentiment_score"],
     "stream_upsert": ["rating", "sentiment_score"],
     "weekly_batch_load": ["rating", "sentiment_score"],
+    "batch_load_incremental": ["rating", "sentiment_score"],
     "numeric_functions": ["rating_dec", "overflow_is_null"],
 }
 

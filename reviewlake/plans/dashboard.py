@@ -1,10 +1,11 @@
 """The dashboard's page as Spark work: one filtered frame, every panel.
 
-``dashboard`` filters once, persists the filtered rows (memory, spilling to
-disk) because a dozen panels read them, and returns the panel frames.  The
-caller releases the cache with ``release`` when the page is done.  The
-unfiltered frame is only scanned for the KPI row's full-set total, inside
-the same single aggregation (no join).
+``dashboard`` filters once and persists the few columns that the charts and
+insights read (memory, spilling to disk), as a dozen panels share them.  The
+explorer page reads its own rows with the wide text.  The caller releases
+the cache with ``release`` when the page is done.  The unfiltered frame is
+only scanned for the KPI row's full-set total, inside the same single
+aggregation (no join).
 """
 
 from __future__ import annotations
@@ -16,11 +17,15 @@ from reviewlake.operators import metrics as M
 from reviewlake.operators.filters import dashboard_predicate
 
 
+PANEL_COLUMNS = ("review_id", "store_city", "rating", "language", "date", "sport_category", "sentiment_label", "sentiment_score")
+
+
 def dashboard(df_full: DataFrame, sources=None, languages=None, sentiments=None, rating_range=None,
               explorer_sentiment: str = "All", explorer_sort: str = "Most Recent", page: int = 1,
               per_page: int = 20) -> dict[str, DataFrame]:
     pred = dashboard_predicate(sources, languages, sentiments, rating_range)
-    df = df_full.where(pred).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df_full.where(pred)
+    df = rows.select(*[c for c in PANEL_COLUMNS if c in df_full.columns]).persist(StorageLevel.MEMORY_AND_DISK)
     return {
         "_filtered": df,
         "kpis": M.kpis(df_full, pred),
@@ -33,7 +38,7 @@ def dashboard(df_full: DataFrame, sources=None, languages=None, sentiments=None,
         "sentiment_by_city": M.sentiment_by_city(df),
         "negatives_by_category": M.negatives_by_category(df),
         "rating_trend": M.rating_trend(df),
-        "explorer_page": M.explorer_page(df, explorer_sentiment, explorer_sort, page, per_page),
+        "explorer_page": M.explorer_page(rows, explorer_sentiment, explorer_sort, page, per_page),
         "explorer_summary": M.explorer_summary(df, explorer_sentiment, per_page),
         "filter_options": M.filter_options(df_full),
         "rating_bounds": M.rating_bounds(df_full),
@@ -46,14 +51,13 @@ def release(panels: dict[str, DataFrame]) -> None:
 
 def load_data(spark, paths, multiline: bool = True) -> DataFrame:
     """The dashboard's data: the first review file that exists in ``paths``
-    (priority order), model sentiment overriding lexicon sentiment when
-    present, dates parsed row by row (bad → null).  No file → empty frame."""
+    (priority order), model sentiment overriding lexicon sentiment where the
+    file has it, dates parsed row by row (bad → null).  No file → empty frame."""
     from pyspark.sql import functions as F
-    from pyspark.sql.types import StructType
+
     from reviewlake.functions.timefn import parse_ts
-    from reviewlake.operators.projections import apply_sentiment_policy
-    from reviewlake.schema import ENRICHED_REVIEW, MODEL_FIELDS
-    from reviewlake.sinks.files import first_available, read_json
-    schema = StructType(ENRICHED_REVIEW.fields + MODEL_FIELDS)
-    _, df = first_available(spark, paths, lambda s, p: read_json(s, p, schema, multiline), empty_schema=schema)
-    return apply_sentiment_policy(df, "override").withColumn("date", parse_ts(F.col("date")))
+    from reviewlake.plans.jobs import load_reviews
+    from reviewlake.schema import ENRICHED_REVIEW
+    from reviewlake.sinks.files import first_available
+    _, df = first_available(spark, paths, lambda s, p: load_reviews(s, p, "override", multiline), empty_schema=ENRICHED_REVIEW)
+    return df.withColumn("date", parse_ts(F.col("date")))

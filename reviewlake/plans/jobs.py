@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.operators.cascade import enrich
 from reviewlake.operators.merge import UPDATE_SENTIMENT, upsert
-from reviewlake.operators.projections import to_stored, with_text_features
+from reviewlake.operators.projections import split_rejects, with_text_features
 from reviewlake.operators.setops import dedup_first, union_sources
 from reviewlake.session import scratch_path
 from reviewlake.sources.topic import encode_records
@@ -47,11 +47,16 @@ def processing_job(spark: SparkSession, stored: DataFrame, out_path: str) -> dic
 
 
 def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame | None = None,
-                   lexicon=None, ingested_at=None, topic_path: str | None = None) -> DataFrame:
+                   lexicon=None, ingested_at=None, topic_path: str | None = None,
+                   reject_path: str | None = None) -> DataFrame:
     """collect (union + first occurrence) → sentiment + category → publish
     (encoded records appended to ``topic_path`` when given) → load (upsert
-    into ``table``, or the first load).  Returns the loaded table."""
-    collected = dedup_first(union_sources(sources), "review_id", ["source_priority", "date"]).drop("source_priority")
+    into ``table``, or the first load).  Returns the loaded table.
+
+    Rows without an id, and rows whose numbers do not fit the stored types,
+    do not load; with ``reject_path`` they are appended there."""
+    union = union_sources(sources)
+    collected = dedup_first(union.where(F.col("review_id").isNotNull()), "review_id", ["source_priority", "date"]).drop("source_priority")
     enriched = enrich(collected, "text", lexicon)
     if topic_path:
         # publish and load both consume the enriched rows: write them once
@@ -63,7 +68,64 @@ def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame |
         enriched.write.mode("overwrite").parquet(staged)
         enriched = spark.read.parquet(staged)
         encode_records(enriched, "store_id").write.mode("append").parquet(topic_path)
-    stored = to_stored(enriched, ingested_at=ingested_at)
+    stored, unfit = split_rejects(enriched, ingested_at=ingested_at)
+    if reject_path:
+        no_id = union.where(F.col("review_id").isNull()).drop("source_priority")
+        unfit.unionByName(no_id, allowMissingColumns=True).write.mode("append").parquet(reject_path)
     if table is None:
         return stored
     return upsert(table, stored, "review_id", UPDATE_SENTIMENT, now=ingested_at)
+
+
+def collect_sources(spark: SparkSession, payloads: dict[str, DataFrame], reject_path: str) -> list[DataFrame]:
+    """Normalise landed payload frames (by source name, in collection order);
+    items that cannot be reviews are appended to ``reject_path`` with their
+    source and reason."""
+    from reviewlake.sources.payloads import FLAGGERS
+    flagged = {name: FLAGGERS[name](df) for name, df in payloads.items()}
+    rejects = None
+    for name, df in flagged.items():
+        bad = df.where(F.col("reject_reason").isNotNull()).withColumn("reject_source", F.lit(name))
+        rejects = bad if rejects is None else rejects.unionByName(bad)
+    if rejects is not None:
+        rejects.write.mode("append").parquet(reject_path)
+    return [df.where(F.col("reject_reason").isNull()).drop("reject_reason") for df in flagged.values()]
+
+
+def scoring_run(df: DataFrame, text_col: str, factory, output: str, metrics_path: str, run_id: str,
+                model_name: str | None = None, max_chars: int | None = None) -> DataFrame:
+    """Score every row with a star model, write the rows to ``output`` and
+    append the run's metrics (with measured load and inference seconds and
+    failure counts) to ``metrics_path``; returns the metric rows.
+
+    The model runs once, in the write.  Load time is that of one scorer built
+    on the driver; inference time is the wall time of the scoring write."""
+    import time
+
+    from reviewlake.operators.metrics import run_metrics
+    from reviewlake.operators.model_scoring import star_sentiment
+    t0 = time.perf_counter()
+    factory()
+    loaded = time.perf_counter() - t0
+    failures = Observation()
+    t0 = time.perf_counter()
+    star_sentiment(df, text_col, factory, max_chars=max_chars, failures=failures).write.mode("overwrite").parquet(output)
+    spent = time.perf_counter() - t0
+    scored = df.sparkSession.read.parquet(output)
+    rows = run_metrics(scored, run_id, load_seconds=loaded, inference_seconds=spent, model_name=model_name,
+                       extra={"scored_rows": failures.get["scored"], "failed_rows": failures.get["failed"]})
+    rows.write.mode("append").parquet(metrics_path)
+    return df.sparkSession.read.parquet(metrics_path).where(F.col("run_id") == run_id)
+
+
+def load_reviews(spark: SparkSession, path: str, policy: str = "fill", multiline: bool = False) -> DataFrame:
+    """A review file with the sentiment columns decided by ``policy`` from the
+    columns that the file has (see ``apply_sentiment_policy``)."""
+    from pyspark.sql.types import StructType
+
+    from reviewlake.operators.projections import apply_sentiment_policy
+    from reviewlake.schema import MODEL_FIELDS, REVIEW, SENTIMENT_FIELDS
+    from reviewlake.sinks.files import read_json_present
+    optional = SENTIMENT_FIELDS + MODEL_FIELDS
+    rows = read_json_present(spark, path, StructType(REVIEW.fields + optional), [f.name for f in optional], multiline)
+    return apply_sentiment_policy(rows, policy)

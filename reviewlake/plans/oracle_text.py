@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from reviewlake import config as C
-from reviewlake.operators.classify import keyword_category_sql
+from reviewlake.plans.lexicons import big_lexicon
+from reviewlake.oracle import keyword_category_sql
 from reviewlake.oracle import BAR, PCT, R, with_reviews  # noqa: F401
 
 _LEX_VALUES = ", ".join(f"('{w}', CAST('{p}' AS DECIMAL(20,6)))" for w, p in C.DEFAULT_LEXICON.items())
 
 
-def _polarity(src: str, key: str) -> str:
+def _polarity(src: str, key: str, lexicon: str = _LEX_VALUES) -> str:
     """CTEs: mean lexicon polarity per row of ``src`` (label from the unrounded mean)."""
-    return f"""lex(word, pol) AS (VALUES {_LEX_VALUES}),
+    return f"""lex(word, pol) AS (VALUES {lexicon}),
 toks AS (SELECT {key} AS k, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}]+')) AS w FROM {src}),
 per AS (SELECT k, sum(pol) AS t, count(*) AS n FROM toks JOIN lex ON toks.w = lex.word GROUP BY k),
 m AS (SELECT s.*, CASE WHEN coalesce(per.n, 0) > 0 THEN CAST(per.t AS DOUBLE) / CAST(per.n AS DOUBLE)
@@ -29,7 +30,12 @@ ENRICH = with_reviews(
     f"SELECT review_id, {_pol_cols()}, coalesce({keyword_category_sql('text')}, 'other') AS sport_category FROM m",
     extra=_polarity("reviews", "review_id"))
 
-_T = "substr(text, 1, 512)"
+_BIG_VALUES = ", ".join(f"('{w}', CAST('{p}' AS DECIMAL(20,6)))" for w, p in big_lexicon().items())
+ENRICH_BIG = with_reviews(
+    f"SELECT review_id, {_pol_cols()}, coalesce({keyword_category_sql('text')}, 'other') AS sport_category FROM m",
+    extra=_polarity("reviews", "review_id", _BIG_VALUES))
+
+_T = "text"
 _STARS = f"CASE WHEN text IS NOT NULL THEN 1 + (length({_T}) - length(replace({_T}, 'e', ''))) % 5 END"
 
 
@@ -58,14 +64,15 @@ _M = [("total_reviews", "CAST(total AS DOUBLE)"), ("positive_count", "CAST(pos A
       ("model_load_time_seconds", "CAST(NULL AS DOUBLE)"), ("inference_time_seconds", "CAST(NULL AS DOUBLE)")]
 _P = [("model_name", "'letter-stars'"), ("total_reviews", "CAST(total AS VARCHAR)"),
       ("languages", "langs"), ("sources", "srcs")]
+_LAB = f"""sc AS (SELECT *, {_STARS} AS s FROM reviews),
+lab AS (SELECT *, {_star_cols('s')} FROM sc)"""
 RUN_METRICS = with_reviews(
     "\nUNION ALL\n".join(
         [f"SELECT 'run-0001' AS run_id, 'metric' AS kind, '{n}' AS name, {e} AS value_num, "
          f"CAST(NULL AS VARCHAR) AS value_str, TIMESTAMP '2026-01-01 00:00:00' AS logged_at FROM a" for n, e in _M]
         + [f"SELECT 'run-0001', 'param', '{n}', CAST(NULL AS DOUBLE), {e}, TIMESTAMP '2026-01-01 00:00:00' FROM a"
            for n, e in _P]),
-    extra=f"""sc AS (SELECT *, {_STARS} AS s FROM reviews),
-lab AS (SELECT *, {_star_cols('s')} FROM sc),
+    extra=_LAB + f""",
 a AS (SELECT count(*) AS total, count_if(bert_label = 'positive') AS pos, count_if(bert_label = 'negative') AS neg,
              count_if(bert_label = 'neutral') AS neu, sum(bert_score) AS ssum, avg(rating) AS avg_rating,
              array_to_string(list_sort(list_distinct(list(language) FILTER (WHERE language IS NOT NULL))), ',') AS langs,
@@ -92,10 +99,31 @@ SELECT 'lowest_scores', review_id, CAST(NULL AS DOUBLE), sentiment_score,
        row_number() OVER (ORDER BY sentiment_score ASC NULLS LAST, review_id ASC)
 FROM (SELECT * FROM classified ORDER BY sentiment_score ASC NULLS LAST, review_id ASC LIMIT 3) l""", True)
 
+STAR_REPORT = with_reviews(f"""
+SELECT 'distribution' AS section, label AS item, CAST(n AS DOUBLE) AS n, {PCT('n', 'total')} AS value,
+       row_number() OVER (ORDER BY n DESC, label ASC) AS rank
+FROM (SELECT label, n, sum(n) OVER () AS total
+      FROM (SELECT bert_label AS label, count(*) AS n FROM lab GROUP BY 1) g) t
+UNION ALL
+SELECT 'city_score', store_city, CAST(NULL AS DOUBLE), {R('m', 2)}, row_number() OVER (ORDER BY m ASC NULLS LAST, store_city ASC)
+FROM (SELECT store_city, avg(bert_score) AS m FROM lab WHERE store_city IS NOT NULL GROUP BY 1) g
+UNION ALL
+SELECT 'lowest_scores', review_id, CAST(NULL AS DOUBLE), bert_score, row_number() OVER (ORDER BY bert_score ASC, review_id ASC)
+FROM (SELECT * FROM lab ORDER BY bert_score ASC, review_id ASC LIMIT 5) l""", extra=_LAB)
+
+RUN_METRICS_APPEND = f"""SELECT kind, name, CASE WHEN name IN ('model_load_time_seconds', 'inference_time_seconds') THEN 1.0 ELSE value_num END AS value_num,
+       value_str, 2 AS runs FROM ({RUN_METRICS}) r
+UNION ALL
+SELECT 'metric', name, CAST(v AS DOUBLE), CAST(NULL AS VARCHAR), 2
+FROM (SELECT count(text) AS scored, 0 AS failed FROM (SELECT d.text FROM documents d) t) a, LATERAL (VALUES ('scored_rows', scored), ('failed_rows', failed)) x(name, v)"""
+
 SQL: dict[str, str] = {
     "lexicon_polarity": LEXICON,
     "lexicon_polarity_join": LEXICON,
     "enrich_reviews": ENRICH,
+    "lexicon_large": ENRICH_BIG,
+    "star_report": STAR_REPORT,
+    "run_metrics_append": RUN_METRICS_APPEND,
     "star_sentiment": STAR,
     "cascade_classify": CASCADE,
     "zero_shot_fallback": ZERO_SHOT,

@@ -24,7 +24,7 @@ from reviewlake.schema import REVIEW
 from reviewlake.session import scratch_path
 from reviewlake.sinks import files as S
 from reviewlake.sources import topic as TP
-from reviewlake.sources.tables import read_table, reviews, spread
+from reviewlake.sources.tables import read_table, reviews, stage
 from reviewlake.streaming import ingest as ST
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -101,26 +101,46 @@ def q_stream_ingest(spark, sf):
     _events_topic(spark, sf).write.parquet(f"{base}/topic")
     topic_schema = spark.read.parquet(f"{base}/topic").schema
     stream = ST.read_topic_stream(spark, "parquet", topic_schema, path=f"{base}/topic", max_per_trigger=2)
-    q = ST.ingest(stream, EVENTS_SCHEMA, f"{base}/sink", f"{base}/ckpt")
+    q, _ = ST.ingest(stream, EVENTS_SCHEMA, f"{base}/sink", f"{base}/ckpt", f"{base}/rejects")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/sink")
+    return spark.read.parquet(f"{base}/sink").drop("batch")
+
+
+@register("stream_rejects")
+def q_stream_rejects(spark, sf):
+    """Some values are cut short: they go to the reject output, the rest to
+    the sink, and the counters know both."""
+    base = scratch_path(spark, "stream")
+    cut = F.when(F.col("offset") % 97 == 0, F.substring(F.col("value").cast("string"), 1, 9).cast("binary")).otherwise(F.col("value"))
+    _events_topic(spark, sf).withColumn("value", cut).write.parquet(f"{base}/topic")
+    stream = ST.read_topic_stream(spark, "parquet", spark.read.parquet(f"{base}/topic").schema, path=f"{base}/topic", max_per_trigger=1)
+    q, got = ST.ingest(stream, EVENTS_SCHEMA, f"{base}/sink", f"{base}/ckpt", f"{base}/rejects")
+    q.awaitTermination()
+    n = spark.read.parquet(f"{base}/sink").agg(F.count(F.lit(1)).alias("good"))
+    bad = spark.read.parquet(f"{base}/rejects").agg(F.count(F.lit(1)).alias("rejected"), F.max(F.length("_raw")).alias("raw_length"))
+    return n.join(bad).select(F.lit(got.records).cast("long").alias("received"), F.lit(got.malformed).cast("long").alias("malformed"),
+                              "good", "rejected", F.col("raw_length").cast("long").alias("raw_length"))
 
 
 @register("stream_upsert")
 def q_stream_upsert(spark, sf):
-    """Batch rows arrive as a stream; each micro-batch is deduplicated and
-    upserted into the snapshot table."""
+    """Two records per key arrive as a stream, in several micro-batches and
+    over a restart; the table after them has the columns of the first
+    insert and the sentiment of the latest record."""
     base = scratch_path(spark, "supsert")
-    table = ST.SnapshotTable(spark, f"{base}/table")
-    table.commit(stored_table(spark, sf), 1)
-    batch = relabel_batch(spark, sf)
-    batch.where(F.col("source") == "relabel").write.parquet(f"{base}/in")
-    batch.where(F.col("source") != "relabel").write.mode("append").parquet(f"{base}/in")
-    stream = ST.read_topic_stream(spark, "parquet", batch.schema, path=f"{base}/in", max_per_trigger=1)
-    q = ST.stream_upsert(stream, table, f"{base}/ckpt", now=F.to_timestamp(F.lit(BATCH_INGESTED_AT)),
-                         order=("source",))
-    q.awaitTermination()
-    return table.read()
+    late = relabel_batch(spark, sf)
+    early = late.withColumns({"sentiment_label": F.lit("early"), "sentiment_score": F.lit(-1).cast("decimal(5,3)"), "offset": F.lit(0).cast("long")})
+    late = late.withColumns({"review_text": F.concat(F.lit("later "), F.col("review_text")), "offset": F.lit(1).cast("long")})
+    log = early.unionByName(late).withColumns({"timestamp": F.to_timestamp(F.lit(BATCH_INGESTED_AT)), "partition": F.lit(0)})
+    log.where("offset = 1").write.parquet(f"{base}/in")             # arrival order is not log order
+    for part in (log.where("offset = 0"), None):
+        schema = spark.read.parquet(f"{base}/in").schema
+        stream = ST.read_topic_stream(spark, "parquet", schema, path=f"{base}/in", max_per_trigger=1)
+        ST.stream_changes(stream, f"{base}/changes", f"{base}/ckpt").awaitTermination()
+        if part is not None:
+            part.write.mode("append").parquet(f"{base}/in")
+    changes = spark.read.parquet(f"{base}/changes")
+    return ST.current(stored_table(spark, sf), changes, now=F.to_timestamp(F.lit(BATCH_INGESTED_AT)))
 
 
 # -------------------------------------------------------------------- jobs
@@ -134,7 +154,7 @@ def q_gates(spark, sf):
 def q_processing_job(spark, sf):
     """The processing job end to end; returns the verified output rows."""
     path = scratch_path(spark, "processed")
-    d = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
     stored = d.select(F.concat(F.lit("r_"), F.col("doc_id").cast("string")).alias("review_id"),
                       F.col("text").alias("review_text"))
     jobs.processing_job(spark, stored, path)
@@ -147,7 +167,74 @@ def q_weekly_batch_load(spark, sf):
     load of the table)."""
     return jobs.batch_load(spark, normalised_sources(spark, sf),
                                ingested_at=F.to_timestamp(F.lit(BATCH_INGESTED_AT)),
-                               topic_path=scratch_path(spark, "published"))
+                               topic_path=scratch_path(spark, "published"), reject_path=scratch_path(spark, "rejects"))
+
+
+@register("batch_load_incremental")
+def q_batch_load_incremental(spark, sf):
+    """A second weekly load into the table of the first: known reviews get
+    the new sentiment, new ones are inserted."""
+    from reviewlake.sources import landing as L
+    from reviewlake.sources import payloads as P
+    table = stage(q_weekly_batch_load(spark, sf), "loaded")
+    again = P.normalise_play(L.play_payloads(spark, sf)).withColumn("text", F.concat(F.lit("Worst, useless. "), F.col("text")))
+    fresh = again.withColumn("review_id", F.concat(F.lit("new_"), F.col("review_id")))
+    return jobs.batch_load(spark, [again, fresh], table=table, ingested_at=F.to_timestamp(F.lit("2026-03-01 00:00:00")),
+                           reject_path=scratch_path(spark, "rejects"))
+
+
+def _load(spark, sf, columns: dict, policy: str) -> DataFrame:
+    """A JSON review file with only these sentiment columns, loaded under a
+    policy that decides by the columns of the file."""
+    path = scratch_path(spark, "load")
+    S.write_json(_review_rows(spark, sf).join(reviews(spark, sf).select("review_id", *[c.alias(n) for n, c in columns.items()]), "review_id"), path)
+    return jobs.load_reviews(spark, path, policy).select("review_id", "sentiment_label", "sentiment_score")
+
+
+@register("load_lexicon_only")
+def q_load_lexicon_only(spark, sf):
+    """A file without model columns keeps its sentiment under "override"."""
+    return _load(spark, sf, {"sentiment_label": F.col("sentiment_label"), "sentiment_score": F.col("sentiment_score")}, "override")
+
+
+@register("load_model_only")
+def q_load_model_only(spark, sf):
+    """A file with model columns only gets them as its sentiment under "fill"."""
+    stars = (F.col("doc_id") % 5 + 1).cast("int")
+    return _load(spark, sf, {"bert_label": N.stars_label(stars), "bert_score": N.stars_score(stars)}, "fill")
+
+
+@register("explorer_page_after")
+def q_explorer_page_after(spark, sf):
+    """The second page by key: what follows the last row of the first."""
+    from reviewlake.operators.metrics import explorer_page_after
+    r = reviews(spark, sf)
+    last = explorer_page_after(r, None, "positive", "Lowest Rating", 20).collect()[-1]      # a page of 20 rows
+    return explorer_page_after(r, (last["sort_value"], last["review_id"]), "positive", "Lowest Rating", 20)
+
+
+@register("dashboard_page")
+def q_dashboard_page(spark, sf):
+    """All panels of one filtered page, in long form."""
+    from reviewlake.plans.dashboard import dashboard, release
+    from reviewlake.registry import DASH
+    from reviewlake.sources.tables import classified_reviews
+    p = dashboard(classified_reviews(spark, sf), **DASH, explorer_sort="Lowest Rating", per_page=10)
+
+    def long(panel, item, value):
+        return p[panel].select(F.lit(panel).alias("panel"), F.col(item).cast("string").alias("item"), F.col(value).cast("double").alias("value"))
+    parts = [long("kpis", "delta_class", "avg_rating"), long("insight_worst_category", "sport_category", "value"),
+             long("insight_best_category", "sport_category", "value"), long("insight_negative_city", "store_city", "n"),
+             long("rating_by_category", "sport_category", "avg_rating_2dp"), long("sentiment_distribution", "label", "pct"),
+             long("negatives_by_category", "sport_category", "n"), long("rating_trend", "month", "rating_count"),
+             long("explorer_page", "review_id", "pos"), long("explorer_summary", "total", "total_pages"),
+             long("filter_options", "column_name", "value").groupBy("panel", "item").agg(F.count(F.lit(1)).cast("double").alias("value"))]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    out = stage(out, "page")
+    release(p)
+    return out
 
 
 # ------------------------------------------------------- scalar functions
@@ -294,7 +381,7 @@ def q_publish_counts(spark, sf):
 
 @register("label_lookup_table")
 def q_label_lookup_table(spark, sf):
-    """Language display names from a lookup table (size-checked broadcast)."""
+    """Language display names from a lookup table (joined without a hint)."""
     from reviewlake.operators.lookup import lookup_join
     names = spark.createDataFrame(list(C.LANGUAGE_NAMES.items()), "code string, name string")
     return lookup_join(reviews(spark, sf), names, "language", "code", "name", "language_name").select(

@@ -13,7 +13,7 @@ from reviewlake.operators.setops import dedup_first, union_sources
 from reviewlake.registry import register
 from reviewlake.sources import landing as L
 from reviewlake.sources import payloads as P
-from reviewlake.sources.tables import classified_reviews, read_table, reviews, spread
+from reviewlake.sources.tables import classified_reviews, read_table, reviews
 
 TABLE_INGESTED_AT = "2026-01-01 00:00:00"
 BATCH_INGESTED_AT = "2026-02-01 00:00:00"
@@ -46,19 +46,49 @@ def q_jsonld_products(spark, sf):
 
 
 def normalised_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
-    """The five sources in collection order (= dedup priority).
+    """The five sources in collection order (= dedup priority); what cannot
+    be a review goes to a reject output.
 
     Four of them are landed from the reviews adapter; it is staged once as
     a table so its joins run once, not four times."""
+    from reviewlake.plans.jobs import collect_sources
+    from reviewlake.session import scratch_path
+    return collect_sources(spark, landed_sources(spark, sf), scratch_path(spark, "rejects"))
+
+
+def landed_sources(spark: SparkSession, sf: str, spoil: int | None = None) -> dict[str, DataFrame]:
     from reviewlake.sources.tables import stage
     base = stage(classified_reviews(spark, sf), "reviews_base")
-    return [
-        P.normalise_play(L.play_payloads(spark, sf, base)),
-        P.normalise_feed(L.feed_payloads(spark, sf, base)),
-        P.normalise_review_pages(L.review_page_payloads(spark, sf, base)),
-        P.normalise_listing(L.listing_payloads(spark, sf)),
-        P.normalise_product_pages(L.product_page_payloads(spark, sf, base)),
-    ]
+    return {"play": L.play_payloads(spark, sf, base, spoil), "feed": L.feed_payloads(spark, sf, base, spoil),
+            "review_pages": L.review_page_payloads(spark, sf, base, spoil), "listing": L.listing_payloads(spark, sf),
+            "product_pages": L.product_page_payloads(spark, sf, base, spoil)}
+
+
+@register("normalise_rejects")
+def q_normalise_rejects(spark, sf):
+    """Every 11th document's rating is no number: per source the items, what
+    became a review, and what the reject output holds."""
+    from reviewlake.plans.jobs import collect_sources
+    from reviewlake.session import scratch_path
+    landed, path = landed_sources(spark, sf, spoil=11), scratch_path(spark, "rejects")
+    good = union_sources(collect_sources(spark, landed, path)).groupBy("source").agg(F.count(F.lit(1)).alias("good"))
+    bad = spark.read.parquet(path).groupBy("source").agg(F.count(F.lit(1)).alias("rejected"))
+    out = good.join(bad, "source", "left").withColumn("rejected", F.coalesce("rejected", F.lit(0)).cast("long"))
+    return out.withColumn("items", F.col("good") + F.col("rejected"))
+
+
+@register("product_ids_long_text")
+def q_product_ids_long_text(spark, sf):
+    """Product ids over whole document texts: as many ids, and as many rows
+    after dedup, as there are distinct contents."""
+    d = read_table(spark, sf, "documents")
+    base = d.select("doc_id", "text", F.col("source").alias("sport_category"), F.lit(4.0).alias("rating"),
+                    F.lit(None).cast("timestamp").alias("date"))
+    from reviewlake.sources.tables import stage
+    p = stage(P.normalise_product_pages(L.product_page_payloads(spark, sf, base)), "products")
+    after = dedup_first(p, "review_id", ["date"]).agg(F.count(F.lit(1)).alias("rows_after"))
+    counts = p.agg(F.count(F.lit(1)).alias("rows_in"), F.countDistinct("review_id").alias("ids"), F.countDistinct("store_id", "text").alias("contents"))
+    return counts.join(after).select("rows_in", "ids", "contents", "rows_after")
 
 
 @register("union_sources")
@@ -68,7 +98,7 @@ def q_union_sources(spark, sf):
 
 @register("dedup_products")
 def q_dedup_products(spark, sf):
-    """Product reviews share ids (hash of the first 50 characters): hot keys."""
+    """Product reviews of equal content share an id."""
     return dedup_first(P.normalise_product_pages(L.product_page_payloads(spark, sf)), "review_id", ["date"])
 
 
@@ -141,7 +171,7 @@ def q_store_projection(spark, sf):
 def q_process_reviews(spark, sf):
     """The processing job over the stored layout with full document texts:
     length, lower-cased text and length band."""
-    d = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
     t = d.select(F.concat(F.lit("r_"), F.col("doc_id").cast("string")).alias("review_id"),
                  F.col("text").alias("review_text"))
     return with_text_features(t, "review_text").drop("review_text")
@@ -187,11 +217,17 @@ def q_jsonld_extract(spark, sf):
 
 @register("pages_jsonld_reviews")
 def q_pages_jsonld_reviews(spark, sf):
-    """The review-page extractor over every raw web page of ``pages``."""
+    """The review-page extractor over every raw web page of ``pages``, each
+    with a block built from the page's own title and URL added."""
     p = read_table(spark, sf, "pages")
+    title = F.regexp_extract("html", r"<title>([^<]*)</title>", 1)
+    block = F.to_json(F.struct(F.array(F.struct(F.concat(title, F.lit(" "), F.col("url")).alias("description"),
+                                                F.struct((F.col("page_id") % 5 + 1).cast("string").alias("ratingValue")).alias("reviewRating"),
+                                                F.concat(F.lit("page_"), F.col("page_id").cast("string")).alias("author"))).alias("review")))
+    p = p.withColumn("html", F.concat("html", F.lit(L.LD_OPEN), block, F.lit(L.LD_CLOSE)))
     p = p.select("html", F.regexp_extract("url", r"/([a-z]{2})/", 1).alias("lang"),
                  F.lit(None).cast("string").alias("city"), F.to_timestamp(F.lit(L.FETCHED_AT)).alias("fetched_at"))
-    return P.normalise_review_pages(spread(p), "html")
+    return P.normalise_review_pages(p, "html")
 
 
 @register("upsert_bucketed")
@@ -199,15 +235,19 @@ def q_upsert_bucketed(spark, sf):
     """The upsert against a table stored bucketed by review_id: the table
     side is read pre-partitioned and only the batch is shuffled."""
     import uuid
+
     from reviewlake.session import scratch_path
-    from reviewlake.sinks.files import save_bucketed
+    from reviewlake.sinks.files import buckets_for, save_bucketed
+    from reviewlake.sources.tables import stage
     name = f"reviews_{uuid.uuid4().hex[:10]}"
-    save_bucketed(stored_table(spark, sf), name, "review_id", BUCKETS, path=scratch_path(spark, name))
-    return upsert(spark.table(name), relabel_batch(spark, sf), "review_id", UPDATE_SENTIMENT,
-                  now=F.to_timestamp(F.lit(BATCH_INGESTED_AT)))
-
-
-BUCKETS = 16
+    table = stage(stored_table(spark, sf), "stored")
+    buckets = buckets_for(table.count())
+    save_bucketed(table, name, "review_id", buckets, path=scratch_path(spark, name))
+    try:
+        return stage(upsert(spark.table(name), relabel_batch(spark, sf), "review_id", UPDATE_SENTIMENT,
+                            now=F.to_timestamp(F.lit(BATCH_INGESTED_AT)), buckets=buckets), "upserted")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 @register("store_partitioned")

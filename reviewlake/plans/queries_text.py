@@ -11,16 +11,18 @@ from reviewlake.operators import metrics as M
 from reviewlake.operators.cascade import classify_cascade, enrich
 from reviewlake.operators.model_scoring import star_sentiment
 from reviewlake.operators.polarity import with_polarity
+from reviewlake.plans.lexicons import big_lexicon
 from reviewlake.plans.stub_models import length_topic_factory, letter_stars_factory
 from reviewlake.registry import register
-from reviewlake.sources.tables import classified_reviews, read_table, reviews, spread
+from reviewlake.session import scratch_path
+from reviewlake.sources.tables import classified_reviews, read_table, reviews, stage
 
 RUN_ID = "run-0001"
 LOGGED_AT = "2026-01-01 00:00:00"
 
 
 def _documents(spark, sf) -> DataFrame:
-    return spread(read_table(spark, sf, "documents").select("doc_id", "text"))
+    return read_table(spark, sf, "documents").select("doc_id", "text")
 
 
 @register("lexicon_polarity")
@@ -43,9 +45,38 @@ def q_enrich_reviews(spark, sf):
         "review_id", "sentiment_score", "sentiment_label", "sport_category")
 
 
+@register("lexicon_large")
+def q_lexicon_large(spark, sf):
+    """Enrichment with a dict lexicon of more than a thousand words."""
+    return enrich(reviews(spark, sf).drop("sentiment_label", "sentiment_score"), "text", big_lexicon()).select(
+        "review_id", "sentiment_score", "sentiment_label", "sport_category")
+
+
+@register("star_report")
+def q_star_report(spark, sf):
+    """The star model's report over scored reviews (scored once, staged)."""
+    scored = star_sentiment(reviews(spark, sf), "text", letter_stars_factory, carry=["review_id", "store_city", "language"])
+    return M.star_report(stage(scored.withColumn("text", F.lit("")), "scored"))
+
+
+@register("run_metrics_append")
+def q_run_metrics_append(spark, sf):
+    """Two scoring runs append to one metrics table; measured timings show as
+    1 when they are there."""
+    from reviewlake.plans.jobs import scoring_run
+    base = scratch_path(spark, "runs")
+    df = reviews(spark, sf).select("review_id", "text", "rating", "language", "source")
+    for run in ("run-0001", "run-0002"):
+        scoring_run(df, "text", letter_stars_factory, f"{base}/{run}", f"{base}/metrics", run, "letter-stars")
+    m = spark.read.parquet(f"{base}/metrics")
+    timing = F.col("name").isin("model_load_time_seconds", "inference_time_seconds")
+    value = F.when(timing, (F.col("value_num") >= 0).cast("double")).otherwise(F.col("value_num"))
+    return m.groupBy("kind", "name", value.alias("value_num"), "value_str").agg(F.countDistinct("run_id").alias("runs"))
+
+
 @register("star_sentiment")
 def q_star_sentiment(spark, sf):
-    """Star model over every document (model input cut to 512 characters)."""
+    """Star model over every document's whole text."""
     return star_sentiment(_documents(spark, sf), "text", letter_stars_factory, carry=["doc_id"]).select(
         "doc_id", "bert_label", "bert_score")
 
@@ -53,7 +84,7 @@ def q_star_sentiment(spark, sf):
 @register("cascade_classify")
 def q_cascade_classify(spark, sf):
     """Keywords, then the topic model on the unclassified rows, then "other"."""
-    return classify_cascade(reviews(spark, sf), "text", "sport_category", length_topic_factory).select(
+    return classify_cascade(reviews(spark, sf), "text", "sport_category", length_topic_factory, carry=["review_id"]).select(
         "review_id", "sport_category")
 
 
@@ -63,13 +94,13 @@ def q_zero_shot_fallback(spark, sf):
     from reviewlake.operators.classify import with_keyword_category
     from reviewlake.operators.model_scoring import zero_shot_topic
     k = with_keyword_category(reviews(spark, sf), "text", "sport_category", fill=None)
-    return zero_shot_topic(k.where(F.col("sport_category").isNull()), "text", length_topic_factory).select(
+    return zero_shot_topic(k.where(F.col("sport_category").isNull()), "text", length_topic_factory, carry=["review_id"]).select(
         "review_id", "sport_category")
 
 
 @register("run_metrics")
 def q_run_metrics(spark, sf):
-    scored = star_sentiment(reviews(spark, sf), "text", letter_stars_factory)
+    scored = star_sentiment(reviews(spark, sf), "text", letter_stars_factory, carry=["rating", "language", "source"])
     return M.run_metrics(scored, RUN_ID, logged_at=F.to_timestamp(F.lit(LOGGED_AT)), model_name="letter-stars")
 
 

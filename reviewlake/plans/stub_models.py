@@ -1,4 +1,5 @@
-"""Deterministic stand-in scorers (no model weights ship with this repo).
+"""Deterministic stand-in scorers for checks (no model weights ship with
+this repo); they prove the scoring path, not a model.
 
 They follow the scorer contract of ``operators.model_scoring`` and are
 simple enough to restate in SQL, so the scoring path — Arrow batches, one

@@ -18,18 +18,34 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def read_json_present(spark: SparkSession, path: str, schema: StructType, optional: Sequence[str],
+                      multiline: bool = False) -> DataFrame:
+    """``read_json`` without those ``optional`` columns that no record of the
+    file has: column presence is then a property of the file (one pass over
+    its records infers it)."""
+    found = set(spark.read.option("multiLine", multiline).option("primitivesAsString", "true").json(path).columns)
+    fields = [f for f in schema.fields if f.name not in optional or f.name in found]
+    return read_json(spark, path, StructType(fields), multiline)
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
     """JSON Lines (splittable), or one JSON array per file with ``multiline``."""
     return spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE").json(path)
 
 
+# Any text survives a round trip: all values are quoted, a quote is doubled,
+# line breaks and outer white space are kept, and null differs from empty.
+CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"', "nullValue": "\\N",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header row, UTF-8 (BI export).  No byte-order mark."""
-    df.write.mode(mode).option("header", "true").option("encoding", "UTF-8").csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS, quoteAll="true").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", "true").option("encoding", "UTF-8").csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true").csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
@@ -43,15 +59,17 @@ def first_available(spark: SparkSession, paths: Sequence[str], reader,
                     empty_schema: StructType | None = None) -> tuple[str | None, DataFrame | None]:
     """Read the first path that exists (``reader(spark, path)``), trying
     them in priority order.  Existence is checked when the read is planned,
-    so no job runs for the missing paths.  Returns ``(path, df)``; when none
+    so no job runs for the missing paths; a path that exists but cannot be
+    read is an error.  Returns ``(path, df)``; when none
     exists ``(None, empty frame of empty_schema)`` or ``(None, None)``."""
     for p in paths:
         try:
             df = reader(spark, p)
             df.schema  # forces the file listing
             return p, df
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     return None, (spark.createDataFrame([], empty_schema) if empty_schema is not None else None)
 
 
@@ -82,6 +100,14 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: StructType, l
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{part}{loc}")
 
 
+ROWS_PER_BUCKET = 1_000_000
+
+
+def buckets_for(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Bucket count of a table with so many rows: bounded rows per bucket."""
+    return max(1, -(-rows // rows_per_bucket))
+
+
 def save_bucketed(df: DataFrame, table_name: str, key: str, buckets: int, path: str | None = None,
                   mode: str = "overwrite") -> None:
     """Store ``df`` as a parquet table bucketed (and sorted) by ``key``.

@@ -1,27 +1,35 @@
 """Structured Streaming: topic → review files, and stream → keyed table.
 
+Both write each micro-batch to a folder named by its batch id, overwriting
+it: a batch that is replayed after a failure replaces itself.
+
 * ``ingest``: read the topic from the earliest offset (the checkpoint holds
   the position from then on — it replaces a consumer group's committed
-  offsets, and is only advanced after a batch is written), decode, append
-  to files; with ``available_now`` it stops at the end of the data.
-* ``stream_upsert``: ``foreachBatch`` → dedup the micro-batch by key →
-  upsert into the keyed table.  Each batch writes a new snapshot version
-  named by its batch id, so a replayed batch rewrites the same version
-  (idempotent); no watermark or unbounded state is needed because the
-  merge is keyed.
+  offsets, and is only advanced after a batch is written), decode, and write
+  good records to the sink and malformed ones to the reject output; with
+  ``available_now`` it stops at the end of the data.
+* ``stream_changes`` appends a keyed stream's records as they are;
+  ``current`` is the table after them: per key the columns of an insert come
+  from its earliest record in log order and the update columns from its
+  latest, whatever the micro-batches were.  ``compact`` writes that as a new
+  base.  Where the catalog has row-level operations, ``merge_into`` does the
+  same in place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reviewlake.operators.merge import upsert
-from reviewlake.operators.setops import dedup_first
+from reviewlake.operators.merge import UPDATE_SENTIMENT, upsert
 from reviewlake.sources.topic import decode_records
 
+LOG_ORDER = ("timestamp", "partition", "offset")
+
 
 def read_topic_stream(spark: SparkSession, fmt: str, schema: StructType | None = None,
                       options: dict | None = None, path: str | None = None,
@@ -39,87 +47,80 @@ def read_topic_stream(spark: SparkSession, fmt: str, schema: StructType | None =
     return r.load(path) if path else r.load()
 
 
-def ingest(stream: DataFrame, value_schema: StructType, sink_path: str, checkpoint: str,
-           available_now: bool = True, fmt: str = "parquet"):
-    """Decode the envelope and append the records to ``sink_path``.
-
-    Malformed values are written too, flagged ``_malformed`` (callers split
-    them into a reject output).  Returns the started query."""
-    decoded = decode_records(stream, value_schema)
-    w = (decoded.writeStream.format(fmt).option("path", sink_path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+def _start(stream: DataFrame, write, checkpoint: str, available_now: bool):
+    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
-def input_rows(query) -> int:
-    """Rows received by a finished stream run (sum of ``numInputRows`` over
-    its progress reports) — the consumer's "received" counter."""
-    return int(sum(p.get("numInputRows", 0) for p in (query.recentProgress or [])))
+class Received:
+    """Records per batch id, as observed while they were written."""
+
+    def __init__(self):
+        self.batches: dict[int, tuple[int, int]] = {}
 
+    @property
+    def records(self) -> int:
+        return sum(n for n, _ in self.batches.values())
 
-class SnapshotTable:
-    """A keyed table stored as numbered snapshot folders ``v=<n>``.
+    @property
+    def malformed(self) -> int:
+        return sum(m for _, m in self.batches.values())
 
-    Version n+1 is written from version n and a batch; readers take the
-    highest complete version (a ``_SUCCESS`` marker is written last by the
-    parquet committer).  Old versions stay until the caller prunes them.
-    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+def ingest(stream: DataFrame, value_schema: StructType | str, sink_path: str, checkpoint: str, reject_path: str,
+           available_now: bool = True, keep: tuple[str, ...] = ()):
+    """Decode the envelope; good records go to ``sink_path``, malformed ones
+    (key and raw value) to ``reject_path``.  Returns the started query and
+    its ``Received`` counters."""
+    counts = Received()
 
-    def _versions(self) -> list[int]:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        obs = Observation()
+        decoded = decode_records(batch.withColumn("_raw", F.col("value").cast("string")), value_schema, keep=(*keep, "_raw")) \
+            .observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col("_malformed")).alias("bad")) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            df = self.spark.read.text(f"{self.path}/versions")
-        except Exception:  # noqa: BLE001 — no version yet
-            return []
-        return sorted(int(r[0]) for r in df.collect())   # one tiny row per committed version
-
-    def latest(self) -> int | None:
-        v = self._versions()
-        return v[-1] if v else None
-
-    def read(self) -> DataFrame:
-        v = self.latest()
-        if v is None:
-            raise FileNotFoundError(self.path)
-        return self.spark.read.parquet(f"{self.path}/v={v}")
-
-    def commit(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        self.spark.createDataFrame([(str(version),)], "value string").write.mode("append").text(
-            f"{self.path}/versions")
-
-
-def upsert_batch_fn(table: SnapshotTable, key: str = "review_id", update_cols=("sentiment_label", "sentiment_score"),
-                    order: tuple[str, ...] = ("ingested_at",), prepare: Callable[[DataFrame], DataFrame] | None = None,
-                    now=None):
-    """``foreachBatch`` function: dedup → upsert → new snapshot version.
-
-    Version = base version + 1 + batch id offset, so replaying a batch id
-    rewrites the same version instead of applying it twice."""
-    base = table.latest() or 0
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import functions as F
-        b = prepare(batch) if prepare else batch
-        b = dedup_first(b, key, list(order))
-        target = base + 1 + batch_id
-        prev = [v for v in table._versions() if v < target]
-        if prev:
-            current = table.spark.read.parquet(f"{table.path}/v={prev[-1]}")
-            merged = upsert(current, b, key, update_cols, now=now)
-        else:                                   # first load of an empty table
-            stamp = F.current_timestamp() if now is None else now
-            merged = b.withColumn("ingested_at", stamp.cast("timestamp")) if "ingested_at" in b.columns else b
-        table.commit(merged, target)
-
-    return run
-
-
-def stream_upsert(stream: DataFrame, table: SnapshotTable, checkpoint: str, available_now: bool = True, **kw):
-    w = stream.writeStream.foreachBatch(upsert_batch_fn(table, **kw)).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+            decoded.where(~F.col("_malformed")).drop("_raw", "_malformed").write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
+            decoded.where(F.col("_malformed")).select(*keep, "key", "_raw").write.mode("overwrite").parquet(f"{reject_path}/batch={batch_id}")
+            counts.batches[batch_id] = (obs.get["n"], obs.get["bad"])
+        finally:
+            decoded.unpersist()
+
+    return _start(stream, write, checkpoint, available_now), counts
+
+
+def stream_changes(stream: DataFrame, changes_path: str, checkpoint: str, available_now: bool = True):
+    """Append the stream's records, one folder per micro-batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{changes_path}/batch={batch_id}")
+
+    return _start(stream, write, checkpoint, available_now)
+
+
+def fold(changes: DataFrame, key: str = "review_id", update_cols: Sequence[str] = UPDATE_SENTIMENT,
+         order: Sequence[str] = LOG_ORDER) -> DataFrame:
+    """One row per key: what applying its records one by one would insert
+    and then update.  Records equal in ``order`` are ordered by content."""
+    cols = [c for c in changes.columns if c != key]
+    at = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in cols])
+    first, last = F.min(at).alias("_first"), F.max(at).alias("_last")
+    g = changes.where(F.col(key).isNotNull()).groupBy(key).agg(first, last)
+    return g.select(key, *[F.col("_last" if c in update_cols else "_first")[c].alias(c) for c in cols])
+
+
+def current(base: DataFrame | None, changes: DataFrame, key: str = "review_id",
+            update_cols: Sequence[str] = UPDATE_SENTIMENT, order: Sequence[str] = LOG_ORDER,
+            now: Column | None = None, stamp_col: str = "ingested_at") -> DataFrame:
+    """The keyed table after all ``changes`` (null keys are left out)."""
+    batch = fold(changes, key, update_cols, order)
+    if base is None:
+        stamp = F.current_timestamp() if now is None else now
+        kept = batch.drop(*LOG_ORDER, "batch")
+        return kept.withColumn(stamp_col, stamp.cast("timestamp")) if stamp_col in kept.columns else kept
+    return upsert(base, batch, key, update_cols, now, stamp_col)
+
 
+def compact(base: DataFrame | None, changes: DataFrame, path: str, **kw) -> None:
+    """Write the table after ``changes`` as a new base at ``path``."""
+    current(base, changes, **kw).write.mode("overwrite").parquet(path)
