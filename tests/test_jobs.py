@@ -38,9 +38,9 @@ def test_stream_restart_does_not_duplicate(spark, tmp_path):
 
     def run():
         s = ST.read_topic_stream(spark, "parquet", topic_schema, path=f"{base}/topic")
-        q = ST.ingest(s, schema, f"{base}/sink", f"{base}/ckpt")
+        q, got = ST.ingest(s, schema, f"{base}/sink", f"{base}/ckpt", f"{base}/rejects")
         q.awaitTermination()
-        received.append(ST.input_rows(q))
+        received.append(got.records)
         return sorted(r.n for r in spark.read.parquet(f"{base}/sink").collect())
 
     assert run() == [1, 2]
@@ -117,11 +117,51 @@ def test_first_available_empty_fallback(spark, tmp_path):
     assert p is None and df.count() == 0 and df.schema == REVIEW
 
 
-def test_spread_only_repartitions_small_scans(spark, sf):
-    from reviewlake.sources.tables import spread
-    target = spark.sparkContext.defaultParallelism * 2
-    small = spark.read.parquet(f"{sf}/documents.parquet")
-    assert small.rdd.getNumPartitions() < target
-    assert spread(small).rdd.getNumPartitions() == target
-    many = spark.range(0, 1000, numPartitions=target + 3)
-    assert spread(many) is many                      # already enough tasks: plan untouched
+def test_an_unreadable_dataset_is_not_a_missing_one(spark, tmp_path):
+    from reviewlake.sinks import files as S
+    (tmp_path / "broken").mkdir()
+    with pytest.raises(Exception, match="INFER_SCHEMA|infer"):
+        S.first_available(spark, [str(tmp_path / "none"), str(tmp_path / "broken")], lambda s, p: s.read.parquet(p))
+
+
+def test_csv_keeps_any_text(spark, tmp_path):
+    from reviewlake.sinks import files as S
+    rows = [("a", 'line one\nline "two", and\r\nthree'), ("b", "  leading and trailing  "), ("c", ""), ("d", None), ("e", "back\\slash, \\N"), ("f", '"')]
+    df = spark.createDataFrame(rows, "id string, text string")
+    S.write_csv(df, str(tmp_path / "csv"))
+    assert sorted(tuple(r) for r in S.read_csv(spark, str(tmp_path / "csv"), df.schema).collect()) == sorted(rows)
+
+
+def test_checkpoint_dir_is_required_off_local(spark, monkeypatch):
+    from reviewlake import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("none")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
+
+
+def test_submitted_settings_survive(tmp_path):
+    """A submitted master and shuffle count reach the job of ``cli.main``."""
+    import os
+    import subprocess
+    import sys
+
+    import pyspark
+    job = tmp_path / "job.py"
+    job.write_text("import sys\nfrom reviewlake import cli\n"
+                   "cli.cmd_process = lambda spark, a: print('GOT', spark.sparkContext.master, spark.conf.get('spark.sql.shuffle.partitions'))\n"
+                   "cli.main(['process', '--input', 'x', '--output', 'y'])\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    submit = os.path.join(os.path.dirname(pyspark.__file__), "bin", "spark-submit")
+    out = subprocess.run([submit, "--master", "local[2]", "--conf", "spark.sql.shuffle.partitions=4000", "--conf", "spark.ui.enabled=false", str(job)],
+                         env=os.environ | {"PYTHONPATH": root, "PYSPARK_PYTHON": sys.executable, "PYSPARK_DRIVER_PYTHON": sys.executable}, capture_output=True, text=True, timeout=120)
+    assert "GOT local[2] 4000" in out.stdout, out.stderr[-2000:]

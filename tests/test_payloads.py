@@ -34,13 +34,19 @@ def test_feed(spark):
 
 
 def test_play(spark):
-    recs = [{"reviewId": "a", "score": None, "content": "long enough text", "at": None},
+    recs = [{"reviewId": None, "score": 4.7, "content": "no id, first text", "at": None}, {"score": "4", "content": "no id, second text"},
+            {"reviewId": "bad", "score": "bad", "content": "score is no number"},
+            {"reviewId": "a", "score": None, "content": "long enough text", "at": None},
             {"reviewId": "b", "score": 1, "content": "too short", "at": "2026-01-01T00:00:00"},
             {"reviewId": "c", "score": 4, "content": None, "at": None}]
     df = frame(spark, [(json.dumps(r), "gb", "en", "London") for r in recs],
                "payload string, country string, lang string, city string")
-    rows = P.normalise_play(df).collect()
-    assert [(r.review_id, r.rating, r.date) for r in rows] == [("gp_a", 3.0, "2026-03-01T12:00:00")]
+    good, bad = P.normalise_play(df, rejects=True)
+    rows = {r.text: r for r in good.collect()}
+    assert {t: r.rating for t, r in rows.items()} == {"no id, first text": 4.7, "no id, second text": 4.0, "long enough text": 3.0}
+    assert rows["long enough text"].review_id == "gp_a" and rows["long enough text"].date == "2026-03-01T12:00:00"
+    assert len({r.review_id for r in rows.values()}) == 3 and all(r.review_id.startswith("gp_") for r in rows.values())
+    assert [(r.review_id, r.reject_reason) for r in bad.collect()] == [("gp_bad", "rating is not a number")]
 
 
 def test_listing(spark):
@@ -54,7 +60,14 @@ def test_listing(spark):
     assert set(rows) == {"rd_p1", "rd_p2"}
     assert rows["rd_p1"].text == "A title that is long enough" and rows["rd_p1"].rating == 5.0
     assert rows["rd_p1"].date == "1970-01-01T00:00:00" and rows["rd_p1"].store_city == "Online"
-    assert len(rows["rd_p2"].text) == 500 and rows["rd_p2"].rating == 1.0
+    assert len(rows["rd_p2"].text) == 600 and rows["rd_p2"].rating == 1.0
+    odd = [{"data": {"id": f"s{i}", "selftext": "a text that is long enough", "score": s}} for i, s in enumerate((200.0, "200", "many"))]
+    odd += [{"data": {"selftext": f"no id, but a text of its own {i}", "score": 1}} for i in range(2)]
+    df = frame(spark, [(json.dumps({"data": {"children": odd}}), "running", "en")], "payload string, subreddit string, lang string")
+    good, bad = P.normalise_listing(df, rejects=True)
+    got = {r.review_id: r.rating for r in good.collect()}
+    assert got["rd_s0"] == 5.0 and got["rd_s1"] == 5.0 and len(got) == 4
+    assert [r.review_id for r in bad.collect()] == ["rd_s2"]
 
 
 def test_review_pages_skip_broken_block(spark):
@@ -116,3 +129,23 @@ def test_bad_rating_rejects_only_that_item(spark):
     assert sorted(r.text for r in ok.collect()) == ["Fine shop overall", "Kept after the bad one"]
     assert [r.text for r in bad.collect()] == ["Rating is not a number"]
     assert P.normalise_review_pages(df).count() == 2
+
+
+def test_one_odd_item_does_not_take_its_block(spark):
+    block = {"review": [{"author": "Bob", "description": "Author is a plain name", "reviewRating": 4},
+                        {"author": {"name": "Ann"}, "description": "Author is an object", "reviewRating": {"ratingValue": 5}},
+                        "just a string", {"description": "same undated text of nobody"}, {"description": "other undated text of nobody"}]}
+    html = '<script type="application/ld+json">' + json.dumps(block) + "</script>"
+    df = frame(spark, [(html, "en", "York")], "html string, lang string, city string")
+    good, bad = P.normalise_review_pages(df, rejects=True)
+    rows = good.collect()
+    assert sorted(r.rating for r in rows) == [3.0, 3.0, 4.0, 5.0] and len({r.review_id for r in rows}) == 4
+    assert [(r.text, r.reject_reason) for r in bad.collect()] == [("just a string", "item is not an object")]
+
+
+def test_product_ids_cover_the_whole_body(spark):
+    body = "x" * 60
+    block = {"@type": "ItemList", "itemListElement": {"item": {"review": [{"reviewBody": body + "a"}, {"reviewBody": body + "b"}, {"reviewBody": body + "a"}]}}}
+    html = '<script type="application/ld+json">' + json.dumps(block) + "</script>"
+    rows = P.normalise_product_pages(frame(spark, [(html, "yoga", "en", "Rome")], "html string, sport string, lang string, city string")).collect()
+    assert len(rows) == 3 and len({r.review_id for r in rows}) == 2

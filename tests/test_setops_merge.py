@@ -56,6 +56,16 @@ def test_upsert_semantics(spark):
     assert touch["r1"].sentiment_label == "neutral" and str(touch["r1"].ingested_at).startswith("2026-02-01")
 
 
+def test_batch_keys_are_checked(spark):
+    import pytest
+    t, now = _table(spark), F.to_timestamp(F.lit("2026-02-01 00:00:00"))
+    twice = spark.createDataFrame([("r1", "a", "x", None, None), ("r1", "b", "y", None, None)], SCHEMA)
+    with pytest.raises(Exception, match="repeated review_id"):
+        upsert(t, twice, now=now).collect()
+    with pytest.raises(Exception, match="null review_id"):
+        upsert(t, spark.createDataFrame([(None, "a", "x", None, None)], SCHEMA), now=now).collect()
+
+
 def test_upsert_idempotent_and_splittable(spark):
     t = _table(spark)
     b = spark.createDataFrame([(f"r{i}", "new", f"t{i}", "positive", None) for i in range(1, 6)], SCHEMA)
@@ -74,7 +84,12 @@ def test_bucketed_table_side_is_not_shuffled(spark, tmp_path):
     name = f"t_{uuid.uuid4().hex[:8]}"
     save_bucketed(_table(spark), name, "review_id", 4, path=str(tmp_path / name))
     b = spark.createDataFrame([("r1", "new", "x", "negative", None), ("r9", "new", "y", "positive", None)], SCHEMA)
-    df = upsert(spark.table(name), b, now=F.to_timestamp(F.lit("2026-02-01 00:00:00")))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1          # the batch side only
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as if the batch were large
+    try:
+        df = upsert(spark.table(name), b, now=F.to_timestamp(F.lit("2026-02-01 00:00:00")), buckets=4)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    wide = [x for x in plan.splitlines() if "FileScan parquet" in x and "text#" in x]
+    assert wide and all("Bucketed: true" in x for x in wide)     # only the key column may move
     assert {r.review_id: r.sentiment_label for r in df.collect()} == {"r1": "negative", "r2": "positive", "r9": "positive"}

@@ -68,16 +68,68 @@ def test_zero_shot_and_cascade(spark):
     assert "MapInPandas" in plan or "PythonMapInArrow" in plan
 
 
-def test_large_dict_lexicon_uses_join_plan(spark):
-    from reviewlake.operators import polarity as PL
-    big = {f"w{i}": 0.0 for i in range(PL.MAX_INLINE_WORDS + 1)}
+def test_dict_lexicon_of_any_size_has_one_plan(spark):
+    from reviewlake.operators.cascade import enrich
+    big = {f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{i}": 0.0 for i in range(1200)}
     big.update(LEX)
     df = spark.createDataFrame([(1, "good bad good"), (2, "nothing")], "id int, text string")
-    out = PL.with_polarity(df, "text", big, key="id")
-    assert "Join" in out._jdf.queryExecution().optimizedPlan().toString()
+    out = enrich(df, "text", big)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {r.id: r.sentiment_score for r in out.collect()} == {1: 0.233, 2: 0.0}
 
 
+def test_words_that_differ_in_case_are_one_word(spark):
+    df = spark.createDataFrame([(1, "GOOD good")], "id int, text string")
+    lex = {"Good": 0.2, "good": 0.6}
+    table = spark.createDataFrame(list(lex.items()), "word string, polarity double")
+    assert with_polarity(df, "text", lex).first().sentiment_score == 0.4
+    assert with_polarity(df, "text", table, key="id").first().sentiment_score == 0.4
+
+
+def constant_model(answer):
+    def build():
+        return lambda texts: [answer] * len(texts)
+    return build
+
+
+def test_two_factories_of_one_builder_are_two_models(spark):
+    df = spark.createDataFrame([(i, "text") for i in range(4)], "id int, text string").coalesce(1)
+    a = star_sentiment(df, "text", constant_model("5 stars")).collect()
+    b = star_sentiment(df, "text", constant_model("1 star")).collect()
+    assert {r.bert_label for r in a} == {"positive"} and {r.bert_label for r in b} == {"negative"}
+
+
+def broken_model():
+    def score(texts):
+        raise RuntimeError("no weights")
+    return score
+
+
+def test_broken_model_fails_the_job_and_failures_are_counted(spark):
+    import pytest
+    from pyspark.sql import Observation
+    df = spark.createDataFrame([(i, "text") for i in range(30)], "id int, text string").coalesce(1)
+    with pytest.raises(Exception, match="failed on all 30 rows"):
+        star_sentiment(df, "text", broken_model).collect()
+    seen = Observation()
+    rows = spark.createDataFrame([(1, "abcd"), (2, "boom"), (3, None)], "id int, text string")
+    star_sentiment(rows, "text", flaky_stars, failures=seen).collect()
+    assert seen.get == {"scored": 2, "failed": 1}
+
+
+def test_cascade_reads_its_input_once(spark, sf):
+    from reviewlake.sources.tables import reviews
+    df = classify_cascade(reviews(spark, sf), "text", "sport_category", topic_model, carry=["review_id"])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("MapInPandas") == 1
+
+
+def test_run_metrics_scores_once(spark, sf):
+    from reviewlake.registry import all_queries
+    plan = all_queries()["run_metrics"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+
+
 def test_carry_only_key_through_python(spark):
     df = spark.createDataFrame([(1, "abcd", "x" * 1000)], "id int, text string, big string")
     out = star_sentiment(df, "text", flaky_stars, carry=["id"])
