@@ -130,6 +130,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = stage(map_arrow(source, run, "h long, id long, crc long, place int"), "sentence-runs")
     first = rows.groupBy("h").agg(F.min(F.struct("id", "crc", "place")).alias("f"), F.max(F.struct("id", "crc", "place")).alias("l")) \
                 .where(~F.col("f").eqNullSafe(F.col("l"))).select("h", "f")
+    first = stage(first, "repeated-runs")          # joined as a table of its own, a hot hash can be split
     return rows.join(first, "h").where(~F.struct("id", "crc", "place").eqNullSafe(F.col("f"))) \
                .select("id", "crc", "place", F.col("f.id").alias("first_id")).distinct()
 
