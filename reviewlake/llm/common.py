@@ -15,7 +15,7 @@ from reviewlake.session import scratch_path, ship_package
 
 # Bytes and rows of text that one Arrow batch may carry into a Python task:
 # bounds a task's memory whatever the length of the documents.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 BATCH_ROWS = "4096"
 
 
@@ -55,6 +55,17 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+def bounded(batches: Iterator[pa.RecordBatch], text: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about ``most`` bytes of column ``text``,
+    for work that needs several times the text's memory."""
+    for b in batches:
+        total = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy())])
+        cuts = np.flatnonzero(np.diff(total // most)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+            if hi > lo or not b.num_rows:
+                yield b.slice(lo, hi - lo)
+
+
 def texts(col: pa.Array) -> pa.Array:
     """A string array without nulls (null: empty)."""
     if pa.types.is_null(col.type):

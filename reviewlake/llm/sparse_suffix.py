@@ -46,7 +46,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.llm.common import free_name, hash_values, map_arrow, prepare, run_hashes, shuffle_partitions, stage, texts
+from reviewlake.llm.common import bounded, free_name, hash_values, map_arrow, prepare, run_hashes, shuffle_partitions, stage, texts
 from reviewlake.llm.sentence_spans import REMOVED
 
 LEAST = 50               # words of a passage
@@ -117,7 +117,7 @@ def kept_suffixes(source: DataFrame) -> DataFrame:
     """(h, id, crc, place) of the kept suffixes of (id, crc, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in bounded(batches, 2):
             text, place, key = suffixes(*exact_words(b.column(2)))
             if len(text):
                 row = pa.array(text)
@@ -199,7 +199,7 @@ def _lent(texts_: DataFrame, wanted: DataFrame) -> DataFrame:
     asked = by_doc.join(texts_, (F.col("f_id") == F.col("id")) & (F.col("f_crc") == F.col("crc"))).select("f_id", "f_crc", "at", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in bounded(batches, 3):
             counts, words = exact_words(b.column(3))
             begin, row, lo, hi, left, right = np.cumsum(counts) - counts, [], [], [], [], []
             for r, at in enumerate(b.column(2).to_pylist()):
@@ -263,7 +263,7 @@ def changed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cases = per_doc.join(some, ["id", "crc"]).select("id", "crc", "text", "chains")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in bounded(batches, 2):
             counts, words = exact_words(b.column(2))
             begin = np.cumsum(counts) - counts
             row, new, gone, firsts = [], [], [], []
