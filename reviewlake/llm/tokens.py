@@ -4,7 +4,7 @@ A text is cut where the tokenizer's own pre-tokenizer always cuts (between
 a word and the white space after it), the distinct pieces of a batch are
 encoded by the library, and the ids are gathered back with numpy.  The ids
 are those of encoding each whole text; only repeated pieces are not encoded
-twice.  A bounded two-generation memo keeps pieces between batches.
+twice.  A bounded memo keeps pieces between batches.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 
 from reviewlake.llm.common import texts
 
-# Pieces one generation of a worker's memo may hold (about 50 MB).
-MEMO_PIECES = 200_000
+# Pieces that a worker's memo may hold (about 120 MB).
+MEMO_PIECES = 600_000
 # White space as the tokenizers' patterns see it: str.isspace without the
 # four ASCII separators.
 _SPACE, _OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
@@ -47,8 +47,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(json_text)
         self.keeps_space = keeps_space
-        self.new: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
+        self.codes: dict[str, int] = {}
+        self.pool, self.used = np.zeros(0, np.uint32), 0      # ids of all pieces in the memo, one after the other
 
     def _pieces(self, col: pa.Array) -> tuple[np.ndarray, pa.Array]:
         """Pieces of each text: counts and flat strings."""
@@ -72,25 +72,28 @@ class PieceEncoder:
         parts.append(flat.slice(at))
         return counts, pa.concat_arrays(parts)
 
-    def _lookup(self, pieces: list[str]) -> list[tuple]:
-        new, old = self.new, self.old
-        out = list(map(new.get, pieces))
-        missing = [i for i, v in enumerate(out) if v is None]
-        unknown = []
-        for i in missing:
-            p = pieces[i]
-            v = old.get(p)
-            if v is None:
-                unknown.append(i)
-            else:
-                out[i] = new[p] = v
+    def _lookup(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(first id in the pool, ids) of each piece."""
+        codes = list(map(self.codes.get, pieces))
+        unknown = [i for i, c in enumerate(codes) if c is None]
         if unknown:
-            enc = self.tok.encode_batch_fast([pieces[i] for i in unknown], add_special_tokens=False)
-            for i, e in zip(unknown, enc):
-                out[i] = new[pieces[i]] = tuple(e.ids)
-        if len(new) > MEMO_PIECES:
-            self.old, self.new = new, {}
-        return out
+            ids = [e.ids for e in self.tok.encode_batch_fast([pieces[i] for i in unknown], add_special_tokens=False)]
+            size = list(map(len, ids))
+            at, more = self.used, sum(size)
+            if at + more > len(self.pool):
+                self.pool = np.concatenate([self.pool[:at], np.zeros(at + 2 * more, np.uint32)])
+            self.pool[at:at + more] = np.fromiter(chain.from_iterable(ids), np.uint32, more)
+            if len(unknown) > len(pieces) // 2 and len(self.codes) >= MEMO_PIECES:
+                self.codes = {}                        # the memo holds other words than the text does now
+            room = MEMO_PIECES - len(self.codes)
+            for k, (i, n) in enumerate(zip(unknown, size)):
+                codes[i] = code = at << 24 | n         # a piece has fewer than 2^24 ids
+                if k < room:
+                    self.codes[pieces[i]] = code
+                    self.used = at + n
+                at += n
+        codes = np.fromiter(codes, np.int64, len(codes))
+        return codes >> 24, codes & 0xFFFFFF
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids per text, all ids as uint32) of a string array (null: empty)."""
@@ -99,18 +102,14 @@ class PieceEncoder:
         if not len(flat):
             return np.zeros(len(col), np.int64), np.zeros(0, np.uint32)
         enc = flat.dictionary_encode()
-        ids = self._lookup(enc.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        begin = np.cumsum(size) - size
-        pool = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        begin, size = self._lookup(enc.dictionary.to_pylist())
         which = enc.indices.to_numpy()
         n = size[which]
         total = np.concatenate([[0], np.cumsum(n)])
         at = np.repeat(begin[which] - total[:-1], n)
         at += np.arange(total[-1])
         ends = np.concatenate([[0], np.cumsum(counts)])
-        per_text = np.diff(total[ends])
-        return per_text, pool[at]
+        return np.diff(total[ends]), self.pool[at]
 
 
 _ENCODERS: dict[tuple[int, bool], PieceEncoder] = {}
