@@ -45,6 +45,14 @@ def test_oracle(spark, sf, duck, name):
     assert srows == drows and srows          # an empty result checks nothing
 
 
+def test_optional_modules(tmp_path, monkeypatch):
+    monkeypatch.syspath_prepend(str(tmp_path))
+    (tmp_path / "broken_module.py").write_text("import no_such_dependency\n")
+    assert E._optional("no_such_module_here") is None
+    with pytest.raises(ModuleNotFoundError):
+        E._optional("broken_module")
+
+
 def test_wrapper_presents_engine_neutral_types(spark, sf):
     df = E.queries()["store_projection"](spark, sf)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}

@@ -1,7 +1,6 @@
 """Gates, processing job, stream restart."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from reviewlake.plans import jobs
 from reviewlake.streaming import ingest as ST

@@ -1,6 +1,5 @@
 """Aggregates stay exact when one key holds a third of all rows."""
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from reviewlake.operators import metrics as M

@@ -3,7 +3,6 @@
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
 
 from reviewlake.operators.cascade import classify_cascade
 from reviewlake.operators.model_scoring import star_sentiment, zero_shot_topic
