@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import map_arrow, mix, prepare, run_hashes, word_hashes
+from reviewlake.llm.common import map_arrow, prepare, run_hashes, word_hashes
 
 WORDS = 5                # words of a shingle
 HASHES = 32              # MinHash functions

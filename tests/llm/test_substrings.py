@@ -14,7 +14,6 @@ from hypothesis import strategies as st
 from reviewlake.llm import sentence_spans as spans
 from reviewlake.llm import sparse_suffix as suffix
 
-from .conftest import prose
 
 
 def planted(seed=1, n=60):
