@@ -9,7 +9,7 @@ from reviewlake.operators.cascade import enrich
 from reviewlake.operators.merge import UPDATE_SENTIMENT, upsert
 from reviewlake.operators.projections import split_rejects, with_text_features
 from reviewlake.operators.setops import dedup_first, union_sources
-from reviewlake.session import scratch_path
+from reviewlake.sources.tables import stage
 from reviewlake.sources.topic import encode_records
 
 
@@ -56,17 +56,14 @@ def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame |
     Rows without an id, and rows whose numbers do not fit the stored types,
     do not load; with ``reject_path`` they are appended there."""
     union = union_sources(sources)
+    if reject_path:
+        union = stage(union, "collected")      # read twice: rows without an id, and the others
     collected = dedup_first(union.where(F.col("review_id").isNotNull()), "review_id", ["source_priority", "date"]).drop("source_priority")
-    enriched = enrich(collected, "text", lexicon)
+    # publishing, rejects and both joins of the upsert read the enriched rows:
+    # they are written once to the shared checkpoint folder and read back
+    # (survives executor loss, cuts the lineage)
+    enriched = stage(enrich(collected, "text", lexicon), "enriched")
     if topic_path:
-        # publish and load both consume the enriched rows: write them once
-        # as a table in the shared checkpoint folder (reliable, survives
-        # executor loss, cuts the lineage) and read that back for both uses.
-        # One pass — an eager reliable RDD checkpoint would compute the rows
-        # twice (count, then the checkpoint write).
-        staged = scratch_path(spark, "enriched")
-        enriched.write.mode("overwrite").parquet(staged)
-        enriched = spark.read.parquet(staged)
         encode_records(enriched, "store_id").write.mode("append").parquet(topic_path)
     stored, unfit = split_rejects(enriched, ingested_at=ingested_at)
     if reject_path:
