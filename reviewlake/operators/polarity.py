@@ -6,7 +6,7 @@ text with no lexicon token — or a null text — scores 0.0 / neutral.
 
 A lexicon is given in one of two forms, and the form decides the plan:
 
-* a ``dict`` of any size: its entries are map literals by first letters,
+* a ``dict`` of any size: its entries are nested map literals by first letters,
   looked up over the token array inside one projection — no shuffle, no
   join, no key column;
 * a ``DataFrame`` (a lexicon that lives in a table): tokens are counted per
@@ -51,17 +51,19 @@ def _finish(df: DataFrame, mean_col: str, score_col: str, label_col: str) -> Dat
 
 def _lookup(lexicon: dict[str, float]):
     """Token → polarity (null if absent).  A map literal is searched from its
-    start, so the words are spread over one map per first two letters."""
+    start, so the words are shelved by their first letter, then by their
+    first two."""
     words: dict[str, list[Decimal]] = {}
     for w, p in lexicon.items():
         words.setdefault(w.lower(), []).append(Decimal(str(p)))
-    shelves: dict[str, list[Column]] = {}
+    shelves: dict[str, dict[str, list[Column]]] = {}
     for w, ps in words.items():
-        shelves.setdefault(w[:2], []).extend((F.lit(w), F.lit(str(sum(ps) / len(ps))).cast(_SUM_T)))
+        shelves.setdefault(w[:1], {}).setdefault(w[:2], []).extend((F.lit(w), F.lit(str(sum(ps) / len(ps))).cast(_SUM_T)))
     if not shelves:
         return lambda t: F.lit(None).cast(_SUM_T)
-    shelf = F.create_map(*[x for k, pairs in shelves.items() for x in (F.lit(k), F.create_map(*pairs))])
-    return lambda t: shelf[F.substring(t, 1, 2)][t]
+    shelf = F.create_map(*[x for one, two in shelves.items() for x in (
+        F.lit(one), F.create_map(*[y for k, pairs in two.items() for y in (F.lit(k), F.create_map(*pairs))]))])
+    return lambda t: shelf[F.substring(t, 1, 1)][F.substring(t, 1, 2)][t]
 
 
 def with_polarity(df: DataFrame, text_col: str = "text", lexicon: dict[str, float] | DataFrame | None = None,

@@ -9,6 +9,8 @@ usual ``kafka.*`` options where it is on the classpath.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -56,6 +58,16 @@ def read_topic(spark: SparkSession, fmt: str = "kafka", options: dict | None = N
     return r.load(path) if path else r.load()
 
 
+def bounded_options(topic: str, starts: dict[int, int], ends: dict[int, int], max_messages: int) -> dict[str, str]:
+    """Kafka read options for ``bounded``: from the position ``starts`` of each
+    partition (as the consumer group or an earlier run left it) at most
+    ``max_messages`` records, and none beyond its present end ``ends``.  The
+    first ``max_messages`` in log order lie in them, so no more is read."""
+    ends = {p: min(ends[p], at + max_messages) for p, at in starts.items()}
+    return {"subscribe": topic, "startingOffsets": json.dumps({topic: {str(p): o for p, o in starts.items()}}),
+            "endingOffsets": json.dumps({topic: {str(p): o for p, o in ends.items()}})}
+
+
 def bounded(df: DataFrame, max_messages: int, order: list[Column] | None = None) -> DataFrame:
     """First ``max_messages`` records in log order (timestamp, partition,
     offset): a top-k, each task keeps only its first ``max_messages``."""

@@ -149,3 +149,10 @@ def test_product_ids_cover_the_whole_body(spark):
     html = '<script type="application/ld+json">' + json.dumps(block) + "</script>"
     rows = P.normalise_product_pages(frame(spark, [(html, "yoga", "en", "Rome")], "html string, sport string, lang string, city string")).collect()
     assert len(rows) == 3 and len({r.review_id for r in rows}) == 2
+
+
+def test_bounded_options_limit_every_partition():
+    from reviewlake.sources.topic import bounded_options
+    o = bounded_options("reviews.raw", {0: 5, 1: 0}, {0: 900, 1: 30}, 200)
+    assert json.loads(o["startingOffsets"]) == {"reviews.raw": {"0": 5, "1": 0}}
+    assert json.loads(o["endingOffsets"]) == {"reviews.raw": {"0": 205, "1": 30}}
