@@ -144,6 +144,14 @@ def id_counts(tokens: DataFrame, n_ids: int) -> DataFrame:
 
 # --- stage 2: shards --------------------------------------------------------
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme that Spark would take it to have."""
+    if "://" in folder or folder.startswith("file:"):
+        return folder
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return folder if default.startswith("file:") else default.rstrip("/") + folder
+
+
 def _filesystem(uri: str):
     """(pyarrow file system, path) of a folder in the shared store."""
     from pyarrow import fs
@@ -281,6 +289,6 @@ def write_token_ids(docs: DataFrame, tokenizer_json: str, end_id: int, n_ids: in
                     id_col: str = "doc_id", text_col: str = "text", keeps_space: bool = False,
                     n_shards: int | None = None) -> tuple[str, DataFrame]:
     """Tokenize, rank and write; returns (folder, manifest)."""
-    folder = folder or scratch_path(docs.sparkSession, "token-shards")
+    folder = qualified(docs.sparkSession, folder or scratch_path(docs.sparkSession, "token-shards"))
     tokens = stage(encode_documents(docs, tokenizer_json, end_id, id_col, text_col, keeps_space), "token-ids")
     return folder, write_shards(tokens, folder, n_ids, n_shards)
