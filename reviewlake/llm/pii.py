@@ -16,8 +16,9 @@ account   IBAN (mod 97), or the identifier or secret that follows a cue such as
 ========  =====================================================================
 
 The first four are the base kinds: per kind leftmost and non-overlapping,
-a match that fails its check is passed over whole.  The other two are
-added only where they touch no base span.
+a match that fails its check is passed over whole.  Of the other two the
+parts outside base spans are added, except a bare scheme and parts without
+letters and digits.
 
 Each anchor is visited once and parsers stop at the previous match of their
 kind, so the work is linear in the text.  Cases: a null or empty text has no
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -142,7 +144,7 @@ def base_and_added(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[in
                 past[span[1]] = span[2]
                 more.append(span)
     base.sort()
-    return base, _apart(base, more)
+    return base, _apart(text, base, more)
 
 
 def _scheme(text: str, at: int, end: int):
@@ -194,12 +196,23 @@ def _cue(text: str, at: int, end: int):
 _ADDED = {"scheme": _scheme, "at_word": _at_word, "street": _street, "cue": _cue}
 
 
-def _apart(base: list, more: list) -> list:
-    """The added spans that touch no base span."""
-    out, ends = [], sorted((s, e) for s, _, e in base)
-    for span in more:
-        if not any(s < span[2] and span[0] < e for s, e in ends):
-            out.append(span)
+def _apart(text: str, base: list, more: list) -> list:
+    """The parts of the added spans outside base spans."""
+    taken: list[tuple[int, int]] = []
+    for s, _, e in base:                     # sorted; base kinds may overlap each other
+        if taken and s < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(taken[-1][1], e))
+        else:
+            taken.append((s, e))
+    ends, out = [e for _, e in taken], []
+    for start, kind, end in more:
+        at, k = start, bisect_right(ends, start)
+        while at < end:
+            lo, hi = taken[k] if k < len(taken) else (end, end)
+            part = text[at:min(lo, end)]
+            if any(map(str.isalnum, part)) and part not in _SCHEMES:
+                out.append((at, kind, at + len(part)))
+            at, k = max(at, hi), k + 1
     return out
 
 

@@ -143,6 +143,18 @@ def test_added_spans(text, want):
         assert got == want
 
 
+def test_added_spans_keep_what_lies_outside_base_spans():
+    text = "see http://jane.doe:hunter2@db.example.com/x"
+    base, more = pii.base_and_added(text)
+    assert pii.span_string(base) == "email:20:42" and pii.span_string(more) == "address:4:20"
+    assert pii.redacted(text) == "see <ADDRESS><EMAIL>/x"
+    assert pii.redacted("ssh://bob:10.0.0.1@host now") == "<ADDRESS><IP><ADDRESS> now"
+    assert pii.redacted("http://jane@host.net") == "http://<EMAIL>"           # a bare scheme is no one's data
+    number = next(f"BE{c:02} {n:04} 3456 {k:04}" for c in range(2, 99) for n in range(1000, 1050) for k in range(1000, 1100)
+                  if pii.iban(f"BE{c:02} {n:04} 3456 {k:04}") and pii.luhn(f"{c:02}{n:04}3456{k:04}"))
+    assert pii.redacted(f"IBAN {number}.") == "IBAN <ACCOUNT><CARD>."
+
+
 def test_iban_and_luhn():
     assert pii.iban("DE89 3704 0044 0532 0130 00") and not pii.iban("DE88370400440532013000") and not pii.iban("x")
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
