@@ -20,8 +20,14 @@ a match that fails its check is passed over whole.  Of the other two the
 parts outside base spans are added, except a bare scheme and parts without
 letters and digits.
 
+Cues and schemes are found in any case (street words as written).  What follows a cue is
+taken to its end, however long: an identifier to the first sign that is no
+letter, digit, underscore or hyphen, a secret (token, secret, password, API
+key) to white space or one of ``"'`,;:&|<>()[]{}\\``, in quotes to white space or the closing
+quote; up to 16 groups of two to four digits or capitals may follow.
+
 Each anchor is visited once and parsers stop at the previous match of their
-kind, so the work is linear in the text.  Cases: a null or empty text has no
+kind (cues keep the run that they last saw), so the work is linear in the text.  Cases: a null or empty text has no
 spans; rows that repeat an id each give a row; an empty table gives an
 empty result; ``redact`` keeps all columns, whatever their names.
 """
@@ -64,7 +70,23 @@ _NUMBER_LEFT = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,5}[A-Za-z]?,?(?:\x20[^\W\d_]
 _NUMBER_LEFT_JOINED = re.compile(r"(?<!\w)[^\W\d_][\w.'-]*$")
 _STREET_RIGHT = re.compile(r"(?:\x20[^\W\d_][\w.'-]*){1,3},?\x20[0-9]{1,5}(?![0-9])")
 _NUMBER_RIGHT = re.compile(r"\x20[0-9]{1,5}[A-Za-z]?(?![0-9A-Za-z])")
-_AFTER_CUE = re.compile(r"(?i:\x20(?:no|nr|number|num|id|key)\.?)?\x20?[:=#]?\x20?[\"']?([A-Za-z0-9](?:[A-Za-z0-9_-]|\x20(?=[0-9A-Z]{2,4}\b)){5,63})[\"']?")
+_SECRETS = frozenset(w for w in _CUES if w[:2] in ("to", "se", "pa", "ap") and w != "passport")
+_LEAD = r"(?i:\x20(?:no|nr|number|num|id|key)\.?)?\x20?[:=#]?\x20?[\"']?"
+_FIRST = re.compile(_LEAD + r"(?=[A-Za-z0-9](?:[A-Za-z0-9_-]|\x20(?=[0-9A-Z]{2,4}\b)){5})")
+_FIRST_SECRET = re.compile(_LEAD + r"(?=[A-Za-z0-9](?:[!#$%*+./0-9=?@A-Z^_a-z~-]|\x20(?=[0-9A-Z]{2,4}\b)){5})"
+                           r"|(?i:\x20(?:no|nr|number|num|id|key)\.?)?\x20?(?:[:=]\x20?(?=[!#$%*+./0-9=?@A-Z^_a-z~-]{6})"
+                           r"|[:=#]?\x20?(?:\"(?=[^\s\"]{6})|'(?=[^\s']{6})))")
+_PLAIN = re.compile(r"[A-Za-z0-9_-]*")
+_SECRET = re.compile(r"[!#$%*+./0-9=?@A-Z^_a-z~-]*")
+_QUOTED = {q: re.compile(rf"[^\s{q}]*") for q in "\"'"}      # a secret in quotes may hold any other sign
+_GROUPS = re.compile(r"(?:\x20(?=[0-9A-Z]{2,4}\b)[A-Za-z0-9_-]+){1,16}")
+_LETTER = re.compile(r"[^\W\d_]")
+
+
+def _folded(text: str) -> str:
+    """The text in lower case, every character in its place."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
 
 
 def _automaton():
@@ -76,10 +98,9 @@ def _automaton():
     a.add_word("+", ("plus", 1))
     for kind, words in (("scheme", _SCHEMES), ("at_word", _AT_WORDS), ("street", _STREETS)):
         for w in words:
-            a.add_word(w, (kind, len(w)))
+            a.add_word(_folded(w), (kind, len(w)))
     for w in _CUES:
-        for form in {w, w.upper(), w.title(), w.capitalize()}:
-            a.add_word(form, ("cue", len(form)))
+        a.add_word(w, ("cue", len(w)))
     a.make_automaton()
     return a
 
@@ -110,8 +131,8 @@ def base_and_added(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[in
     base: list[tuple[int, int, int]] = []
     more: list[tuple[int, int, int]] = []
     past = [0] * len(KINDS)                  # end of the last match of each kind, also of failed ones
-    last_digit = -2
-    for last, (anchor, n) in _AUTOMATON.iter(text):
+    last_digit, runs = -2, {}
+    for last, (anchor, n) in _AUTOMATON.iter(_folded(text)):
         at = last - n + 1
         if anchor == "digit":
             begins, last_digit = at != last_digit + 1, at
@@ -139,7 +160,7 @@ def base_and_added(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[in
                 if 10 <= len(_NOT_DIGIT.sub("", m.group())) <= 15:
                     base.append((at, 3, m.end()))
         else:
-            span = _ADDED[anchor](text, at, last + 1)
+            span = _cue(text, at, last + 1, runs) if anchor == "cue" else _ADDED[anchor](text, at, last + 1)
             if span and span[0] >= past[span[1]]:
                 past[span[1]] = span[2]
                 more.append(span)
@@ -148,7 +169,7 @@ def base_and_added(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[in
 
 
 def _scheme(text: str, at: int, end: int):
-    pattern = _MAILTO if text[at:end] in ("mailto:", "tel:") else _USERINFO
+    pattern = _MAILTO if text[at:end].lower() in ("mailto:", "tel:") else _USERINFO
     m = pattern.match(text, end)
     return (at, 4, m.end()) if m else None
 
@@ -164,6 +185,8 @@ def _at_word(text: str, at: int, end: int):
 
 def _street(text: str, at: int, end: int):
     word, left = text[at:end], text[max(0, at - 80):at]
+    if word not in _STREETS:
+        return None
     if word in ("Calle", "Rue ", "rue "):
         m = _STREET_RIGHT.match(text, end - word.endswith(" "))
         if m:
@@ -178,22 +201,53 @@ def _street(text: str, at: int, end: int):
     return (at - len(n.group()), 4, end) if n and (end == len(text) or not text[end].isalnum()) else None
 
 
-def _cue(text: str, at: int, end: int):
+def _run(text: str, at: int, pattern: re.Pattern, runs: dict) -> tuple[int, list[int]]:
+    """(end, places of the last four digits) of the run of the pattern's
+    signs around ``at``.  The last run of each pattern is kept, as cues
+    inside a run all end with it."""
+    lo, end, digits = runs.get(pattern, (0, 0, []))
+    if not lo <= at < end:
+        end, digits = pattern.match(text, at).end(), []
+        k = end
+        while k > at and len(digits) < 4:
+            k -= 1
+            if text[k] in _DIGITS:
+                digits.append(k)
+        runs[pattern] = (at, end, digits)
+    return end, digits
+
+
+def _cue(text: str, at: int, end: int, runs: dict):
     if at and text[at - 1].isalnum():
         return None
-    m = _AFTER_CUE.match(text, end)
+    cue = text[at:end].lower()
+    m = (_FIRST_SECRET if cue in _SECRETS else _FIRST).match(text, end)
     if not m:
         return None
-    value = m.group(1)
-    if text[at:end].lower() == "iban":
-        for stop in range(len(value), 14, -1):
-            if iban(value[:stop]) and value[stop - 1] != " ":
-                return m.start(1), 5, m.start(1) + stop
+    lo = m.end()
+    stop, digits = _run(text, lo, _PLAIN, runs)
+    if cue in _SECRETS:
+        quote = text[lo - 1] if text[lo - 1] in _QUOTED else None
+        far, more = _run(text, lo, _QUOTED[quote] if quote else _SECRET, runs)
+        if not quote:
+            while far > stop and text[far - 1] in ".!?":         # ends the sentence, not the secret
+                far -= 1
+        # a date or amount with dots or slashes is no secret: what its plain part does not show needs a letter
+        if far > stop and (stop - lo >= 6 and sum(d >= lo for d in digits) >= 4 or _LETTER.search(text, lo, far)):
+            stop, digits = far, more
+    groups = _GROUPS.match(text, stop)
+    n = sum(d >= lo for d in digits) + (sum(c in _DIGITS for c in groups.group()) if groups else 0)
+    stop = groups.end() if groups else stop
+    if cue == "iban":
+        value = text[lo:min(stop, lo + 67)]                       # 34 characters and what may part them
+        for k in range(len(value), 14, -1):
+            if iban(value[:k]) and value[k - 1] != " ":
+                return lo, 5, lo + k
         return None
-    return (m.start(1), 5, m.end(1)) if sum(c in _DIGITS for c in value) >= 4 else None
+    return (lo, 5, stop) if n >= 4 and stop - lo >= 6 else None
 
 
-_ADDED = {"scheme": _scheme, "at_word": _at_word, "street": _street, "cue": _cue}
+_ADDED = {"scheme": _scheme, "at_word": _at_word, "street": _street}
 
 
 def _apart(text: str, base: list, more: list) -> list:
@@ -210,7 +264,7 @@ def _apart(text: str, base: list, more: list) -> list:
         while at < end:
             lo, hi = taken[k] if k < len(taken) else (end, end)
             part = text[at:min(lo, end)]
-            if any(map(str.isalnum, part)) and part not in _SCHEMES:
+            if any(map(str.isalnum, part)) and part.lower() not in _SCHEMES:
                 out.append((at, kind, at + len(part)))
             at, k = max(at, hi), k + 1
     return out

@@ -155,6 +155,31 @@ def test_added_spans_keep_what_lies_outside_base_spans():
     assert pii.redacted(f"IBAN {number}.") == "IBAN <ACCOUNT><CARD>."
 
 
+JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+
+
+@pytest.mark.parametrize("lead,value,tail", [
+    ("token ", "a1b2c3d4" * 12, " rest"), ("token: ", "f0" * 5000, "\n"), ("Secret=", JWT, ". Next"),
+    ("api_key = '", "Zm9v+mFy/1234567890abcd==", "' x"), ("API key ", "0123456789abcdef", ""), ("apiKey: ", "0123456789abcdef", ","),
+    ("İ password=\"", "p@ss,word:1234", "\""), ("secret=", "/+a1b2c3d4e5==", " x"), ("passport ", "X" * 70 + "12345", "/x"),
+])
+def test_cues_take_the_whole_value(lead, value, tail):
+    text = lead + value + tail
+    base, more = pii.base_and_added(text)
+    assert pii.span_string(more) == f"account:{len(lead)}:{len(lead) + len(value)}" and not base
+    assert pii.redacted(text) == lead + "<ACCOUNT>" + tail
+
+
+def test_cues_without_a_secret():
+    for t in ("the secret 2019/2020 season", "token 10.000.000 were sold", "a secret.Then 12345678", "secret plan of 1999", "street 12 of the token"):
+        assert pii.redacted(t) == t
+
+
+def test_linear_on_many_cues():
+    for t in ("token_" * 100_000, "ssn-" * 100_000 + "1234", "api key " * 50_000, "token='" * 50_000, "secret=" * 50_000, "IBAN " * 50_000, "x@y.zz " * 50_000 + "tel:030123456 " * 20_000):
+        pii.base_and_added(t)
+
+
 def test_iban_and_luhn():
     assert pii.iban("DE89 3704 0044 0532 0130 00") and not pii.iban("DE88370400440532013000") and not pii.iban("x")
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
