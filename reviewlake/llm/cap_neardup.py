@@ -26,8 +26,12 @@ vectors pass is dealt into cells of bounded size, and nothing but a count
 per vector and a spanning forest leaves a cell, never all pairs.  A pair
 that shares several filters counts in the first one only.
 
-Cases: a vector that is null, empty, zero, holds a null or non-finite
-component, or has another length than the longest one links with nothing; rows
+Vectors are compared within each length: filters are numbered by length,
+and each length of more than ``CELL`` vectors has codes of its own, while a
+rarer one is a single filter.
+
+Cases: a vector that is null, empty, zero, or holds a null or non-finite
+component links with nothing, nor do vectors of different lengths; rows
 with equal ids are separate vectors; a null id is no component's name
 unless all its members are null; an empty table gives an empty result;
 extra columns are ignored.
@@ -52,6 +56,7 @@ RECALL = 0.995           # of pairs exactly at the threshold
 CELL = 512               # rows that one cell compares with each other, at least
 CODES = 12               # independent product codes
 MAX_CODE = 4096          # code words of a block at most
+_CAP_BITS = 28           # of a filter's number within its length: CODES * MAX_CODE ** 2 < 2 ** 28
 
 
 class ProductCodes:
@@ -151,20 +156,26 @@ def _keyed(vectors: DataFrame, id_col: str, vec_col: str, kind: str) -> DataFram
                      "id long, key binary, dim int")
 
 
-def linked_vectors(distinct: DataFrame, dim: int, n: int, threshold: float, kind: str) -> tuple[DataFrame, DataFrame]:
-    """Of staged (vid, key, weight): (vid, n_links) and spanning links (x, y)."""
+def linked_vectors(distinct: DataFrame, threshold: float, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Of staged (vid, key, dim, weight): (vid, n_links) and spanning links (x, y)."""
     spark = distinct.sparkSession
-    codes = spark.sparkContext.broadcast(fitted_codes(n, dim, threshold))    # (dim + CODES * MAX_CODE) * dim numbers at most
+    common = distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL).collect()
+    codes = spark.sparkContext.broadcast({r["dim"]: fitted_codes(r["n"], r["dim"], threshold) for r in common})    # each (dim + CODES * MAX_CODE) * dim numbers at most
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                row, cap = codes.value.decode(_unit(b.column("key").to_pylist(), kind))
-                yield pa.record_batch([pa.array(cap, pa.int64()), b.column("vid").take(pa.array(row))], names=["cap", "vid"])
-
-    passed = stage(map_arrow(distinct.select("vid", "key"), listed, "cap long, vid long"), "caps")
+            dims = b.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == dim)
+                if dim in codes.value:
+                    row, cap = codes.value[dim].decode(_unit(b.column("key").take(pa.array(at)).to_pylist(), kind))
+                else:
+                    row, cap = np.arange(len(at)), np.zeros(len(at), np.int64)
+                yield pa.record_batch([pa.array((dim << _CAP_BITS) + cap, pa.int64()), b.column("vid").take(pa.array(at[row]))], names=["cap", "vid"])
+
+    passed = stage(map_arrow(distinct.select("vid", "key", "dim"), listed, "cap long, vid long"), "caps")
     lists = passed.groupBy("vid").agg(F.array_sort(F.collect_list("cap")).alias("caps"))           # a list per vector is short
-    rows = split_groups(passed, "cap", "vid", cell_rows(passed, CELL)).join(distinct.join(lists, "vid"), "vid")
+    rows = split_groups(passed, "cap", "vid", cell_rows(passed, CELL)).join(distinct.drop("dim").join(lists, "vid"), "vid")
     cells = dealt_cells(rows.select("cell", "side", "cap", "vid", "key", "weight", "caps"), "side", "vid")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,22 +224,19 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_co
     """(id, n_links, component_id, kept), one row per row of ``vectors``."""
     kind = "<f4" if vectors.schema[vec_col].dataType == ArrayType(FloatType()) else "<f8"
     keyed = stage(_keyed(vectors, id_col, vec_col, kind), "vectors")
-    dim = keyed.agg(F.max("dim")).first()[0] or 0
-    usable = F.col("dim") == dim
-    distinct = stage(keyed.where(usable).groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
+    distinct = stage(keyed.where("key is not null").groupBy("key").agg(F.first("dim").alias("dim"), F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
                      .withColumn("vid", F.monotonically_increasing_id()), "distinct-vectors")
-    n = distinct.count()
     own = F.col("id")
-    if not n:
+    if distinct.isEmpty():
         return keyed.select(own.alias(id_col), F.lit(0).cast("long").alias("n_links"), own.alias("component_id"), F.lit(True).alias("kept"))
-    counts, links = linked_vectors(distinct.select("vid", "key", "weight"), dim, n, threshold, kind)
+    counts, links = linked_vectors(distinct.select("vid", "key", "dim", "weight"), threshold, kind)
     comp = components(links, "x", "y").withColumnRenamed("node", "vid")
     named = distinct.join(comp, "vid", "left").join(counts, "vid", "left") \
                     .withColumn("component", F.coalesce("component", "vid")) \
                     .withColumn("n_links", F.coalesce("n", F.lit(0)) + F.col("weight") - 1)
     low = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.select("key", "n_links", "component").join(low, "component").select("key", "n_links", "component_id")
-    out = keyed.withColumn("key", F.when(usable, F.col("key"))).join(named, "key", "left")
+    out = keyed.join(named, "key", "left")
     linked = F.col("n_links").isNotNull()
     component = F.when(linked, F.col("component_id")).otherwise(own)
     return out.select(own.alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -185,6 +185,25 @@ def test_embedding_near_duplicates(spark):
     assert sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"]), r["kept"]) for r in got) == brute_vectors(rows)
 
 
+def test_one_long_vector_silences_no_other(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for dim, n in ((16, 700), (17, 40), (3, 25), (40, 1)):
+        base = rng.standard_normal((n, dim))
+        rows += [v.tolist() for v in base] + [(v + rng.standard_normal(dim) * 0.02).tolist() for v in base[:n // 3]] + [v.tolist() for v in base[:n // 4]]
+    rows = [(k, [float(np.float32(x)) for x in v]) for k, v in enumerate(rows)]
+    got = embedding_near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    got = {str(r["vec_id"]): (str(r["vec_id"]), r["n_links"], str(r["component_id"]), r["kept"]) for r in got}
+    for dim in (16, 17, 3, 40):
+        want = brute_vectors([r for r in rows if len(r[1]) == dim])
+        if dim == 16:                                    # the only length with codes; they miss few pairs
+            links = sum(w[1] for w in want)
+            assert links > 500 and links * 0.99 <= sum(got[w[0]][1] for w in want) <= links
+        else:
+            assert sorted(got[w[0]] for w in want) == want
+    assert len(got) == len(rows)
+
+
 def test_embeddings_empty_or_useless(spark):
     schema = "vec_id long, embedding array<float>"
     assert embedding_near_duplicates(spark.createDataFrame([], schema)).count() == 0
