@@ -7,8 +7,9 @@ each class a document is a row of windows of 3s shingles, one every s (any
 run of up to 2s shingles lies whole in one of them).  An item of which 80 %
 lie in a window is then similar enough (Jaccard 0.25 or more) for its
 MinHash to meet the window's in at least one of ``HASHES`` functions
-(missed with a probability below 1e-4 even at the edge of a class).  Where
-they meet, the item is verified exactly: the share of its distinct shingles
+(missed with a probability below 1e-4 even at the edge of a class).  Items
+of fewer than ``SMALLEST`` shingles are looked up by every shingle instead,
+so none is missed.  Where they meet, the item is verified exactly: the share of its distinct shingles
 that the whole document holds must reach the threshold.
 
 Items are worked through in blocks of at most ``ITEM_BLOCK``, each of which
@@ -38,6 +39,7 @@ from reviewlake.llm.common import map_arrow, prepare, run_hashes, word_hashes
 WORDS = 5                # words of a shingle
 HASHES = 32              # MinHash functions
 ITEM_BLOCK = 20_000      # items that are sent to the tasks at a time
+SMALLEST = 4             # shingles of an item that MinHash looks for, at least
 _BITS = 18               # of the filter in front of the exact look-up
 
 
@@ -67,6 +69,7 @@ class ItemIndex:
     ids: list
     sets: list[np.ndarray]
     classes: dict[int, list] = field(default_factory=dict)
+    few: tuple | None = None                 # filter, shingles and items of those with fewer than SMALLEST
 
     @classmethod
     def build(cls, ids: list, texts: pa.Array) -> ItemIndex:
@@ -75,10 +78,16 @@ class ItemIndex:
         sets = [np.unique(h[lo:hi]) for lo, hi in zip(ends - n, ends)]
         index = cls(ids, sets)
         size = np.array([len(s) for s in sets])
-        low = 4
+        short = np.flatnonzero((size > 0) & (size < SMALLEST))
+        if len(short):
+            v, of = np.concatenate([sets[i] for i in short]), np.repeat(short, size[short])
+            order = np.argsort(v, kind="stable")
+            seen = np.zeros(1 << _BITS, bool)
+            seen[v >> np.uint64(64 - _BITS)] = True
+            index.few = seen, v[order], of[order]
+        low = SMALLEST
         while low <= (size.max() if len(size) else 0):
-            # the first class also takes the shortest items
-            members = np.flatnonzero((size >= (low if low > 4 else 1)) & (size < 2 * low))
+            members = np.flatnonzero((size >= low) & (size < 2 * low))
             if len(members):
                 tables = []
                 for salt in salts():
@@ -92,9 +101,23 @@ class ItemIndex:
         return index
 
     def candidates(self, n: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(text, item) pairs of which a window's MinHash meets the item's."""
-        if not self.classes or not len(h):
+        """(text, item) pairs of which a window's MinHash meets the item's, or
+        a shingle is that of a short item."""
+        if not len(h) or not (self.classes or self.few):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        out = [self.short(n, h)] if self.few else []
+        out += self.by_class(n, h) if self.classes else []
+        pairs = np.unique(np.concatenate(out, axis=1), axis=1)
+        return pairs[0], pairs[1]
+
+    def short(self, n: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Pairs of a text and a short item that share a shingle."""
+        seen, values, members = self.few
+        hit = np.flatnonzero(seen[h >> np.uint64(64 - _BITS)])
+        return _met(np.searchsorted(np.cumsum(n), hit, "right"), h[hit], values, members)
+
+    def by_class(self, n: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
+        """Pairs of which a window's MinHash meets the item's, by class and function."""
         base = min(self.classes)
         full = np.flatnonzero(n)
         blocks = -(-n[full] // base)                       # windows of the smallest class share its blocks
@@ -119,12 +142,16 @@ class ItemIndex:
                         window[:-step][same] = np.minimum(window[:-step][same], low[step:][same])
                 seen, values, members = self.classes[size][k]
                 hit = np.flatnonzero(seen[window >> np.uint32(32 - _BITS)])
-                lo, hi = np.searchsorted(values, window[hit], "left"), np.searchsorted(values, window[hit], "right")
-                met = hi - lo
-                which = np.repeat(lo - (np.cumsum(met) - met), met) + np.arange(met.sum())
-                out.append(np.stack([np.repeat(of[hit], met), members[which]]))
-        pairs = np.unique(np.concatenate(out, axis=1), axis=1)
-        return pairs[0], pairs[1]
+                out.append(_met(of[hit], window[hit], values, members))
+        return out
+
+
+def _met(text: np.ndarray, found: np.ndarray, values: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """(text, member) of every value found among the sorted ``values``."""
+    lo, hi = np.searchsorted(values, found, "left"), np.searchsorted(values, found, "right")
+    met = hi - lo
+    which = np.repeat(lo - (np.cumsum(met) - met), met) + np.arange(met.sum())
+    return np.stack([np.repeat(text, met), members[which]])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",

@@ -65,6 +65,23 @@ def test_leaks_match_brute_force(spark):
     assert sorted(map(str, (r["doc_id"] for r in clean.collect()))) == sorted(str(i) for i, _ in docs if i not in dirty)
 
 
+def test_every_short_item_is_found():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("bcdfghklmnprstvz") + rng.choice("aeiou") for _ in range(3))
+    docs = [[word() for _ in range(600)] for _ in range(40)]
+    items, want = [], set()
+    for t, d in enumerate(docs):
+        for k in range(0, 590, 6):
+            want.add((t, len(items)))
+            items.append(" ".join(d[k:k + 5 + k % 3]))
+    items.append(" ".join(docs[0][:20]))
+    want.add((0, len(items) - 1))
+    index = decontaminate.ItemIndex.build(list(range(len(items))), pa.array(items))
+    assert {r[:2] for r in decontaminate.verified(index, pa.array([" ".join(d) for d in docs]), 0.8)} >= want
+    only_short = decontaminate.ItemIndex.build([0], pa.array([items[0]]))
+    assert [r[:4] for r in decontaminate.verified(only_short, pa.array(["", " ".join(docs[0]), " ".join(docs[1])]), 0.8)] == [(1, 0, 1, 1)]
+
+
 def test_items_in_blocks_give_the_same(spark, monkeypatch):
     docs, items = leak_case()
     d, q = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
