@@ -112,11 +112,22 @@ PRODUCT_PAGE_LD = StructType([
     StructField("@type", StringType(), True),
     StructField("itemListElement", StringType(), True),
 ])
-PRODUCT_ITEM = StructType([StructField("item", StructType([StructField("review", StringType(), True)]), True)])
+PRODUCT_ITEM = StructType([
+    StructField("url", StringType(), True),
+    StructField("name", StringType(), True),
+    StructField("item", StructType([
+        StructField("review", StringType(), True),
+        StructField("@id", StringType(), True),
+        StructField("url", StringType(), True),
+        StructField("sku", StringType(), True),
+        StructField("name", StringType(), True),
+    ]), True),
+])
 PRODUCT_REVIEW = StructType([
     StructField("reviewBody", StringType(), True),
     StructField("reviewRating", StringType(), True),
     StructField("datePublished", StringType(), True),
+    StructField("author", StringType(), True),
 ])
 
 # Run metrics in long form.

@@ -185,20 +185,28 @@ def flag_product_pages(df: DataFrame, html: str = "html") -> DataFrame:
     with ``reject_reason``.
 
     Body of at least 10 characters; rating default 3; date default the
-    fetch time; id ``dc_`` + hash of category, date and whole body.
+    fetch time; id ``dc_`` + hash of category, date, whole body and, where
+    the page names them, product (``@id``, url, sku or name) and author.
+    Without either, equal texts of one category and date share an id.
     Context: ``sport``, ``lang``, ``city``, ``fetched_at``.
     """
     s = _ld_documents(df, html, PRODUCT_PAGE_LD).where(F.col("_ld")["@type"] == "ItemList")
     items = s.select("*", F.explode(_items(F.col("_ld")["itemListElement"])).alias("_it"))
-    r = items.select("*", F.explode(_items(decode(F.col("_it"), PRODUCT_ITEM)["item"]["review"])).alias("_item"))
+    items = items.withColumn("_p", decode(F.col("_it"), PRODUCT_ITEM))
+    r = items.select("*", F.explode(_items(F.col("_p")["item"]["review"])).alias("_item"))
     r = r.withColumn("rv", decode(F.col("_item"), PRODUCT_REVIEW))
     odd = ~F.ltrim(F.col("_item")).startswith("{") | F.col("_item").isNull()
     r = r.where(odd | (F.length(r.rv["reviewBody"]) >= C.MIN_TEXT_LENGTH))
     date = F.coalesce(r.rv["datePublished"], iso(F.col("fetched_at")))
     rating = _number(_field(r.rv["reviewRating"], "ratingValue"), C.DEFAULT_RATING)
     text = F.when(odd, F.col("_item")).otherwise(r.rv["reviewBody"])
+    p = F.col("_p")
+    product = F.coalesce(*[nullif_empty(x) for x in (p["item"]["@id"], p["item"]["url"], p["url"], p["item"]["sku"], p["item"]["name"], p["name"])])
+    author = nullif_empty(_field(r.rv["author"], "name"))
+    named = F.when(product.isNotNull() | author.isNotNull(), F.concat_ws(
+        "\x1f", text, F.coalesce(product, F.lit("\x00")), F.coalesce(author, F.lit("\x00"))))
     return r.select(*_review(
-        _content_id("dc_", F.col("sport"), date, text), "product_site",
+        _content_id("dc_", F.col("sport"), date, F.coalesce(named, text)), "product_site",
         F.concat(F.lit("site_"), F.col("sport")),
         F.concat(F.lit("Product site ("), F.col("sport"), F.lit(")")),
         F.col("city"), rating, text, F.col("lang"), date, F.col("fetched_at")), _reason(rating, odd))

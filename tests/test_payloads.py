@@ -151,6 +151,17 @@ def test_product_ids_cover_the_whole_body(spark):
     assert len(rows) == 3 and len({r.review_id for r in rows}) == 2
 
 
+def test_equal_texts_on_two_products_have_two_ids(spark):
+    from reviewlake.operators.setops import dedup_first
+    rv = {"reviewBody": "Great product!"}
+    items = [{"item": {"name": "Ball", "review": [rv, rv]}}, {"item": {"url": "/net", "name": "Ball", "review": rv}}, {"url": "/bat", "item": {"review": [rv]}},
+             {"item": {"name": "Ball", "review": [rv | {"author": "Ann"}, rv | {"author": {"name": "Bob"}}, rv | {"author": {"name": "Ann"}}]}},
+             {"item": {"review": [rv, rv | {"author": ""}]}}, {"item": {"review": [rv | {"author": "Ann"}]}}]
+    html = '<script type="application/ld+json">' + json.dumps({"@type": "ItemList", "itemListElement": items}) + "</script>"
+    rows = P.normalise_product_pages(frame(spark, [(html, "ball", "en", "Rome")], "html string, sport string, lang string, city string"))
+    assert rows.count() == 10 and dedup_first(rows, "review_id", ["date"]).count() == 7
+
+
 def test_bounded_options_limit_every_partition():
     from reviewlake.sources.topic import bounded_options
     o = bounded_options("reviews.raw", {0: 5, 1: 0}, {0: 900, 1: 30}, 200)
