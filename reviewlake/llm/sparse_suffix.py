@@ -12,19 +12,18 @@
    suffix before, the suffix matches the head of the run, which is its
    earliest occurrence.  A run that crosses partitions takes its head from
    the partition where it began (one row per partition is kept for this).
-3. Matches of one document with another at one distance are chained, and a
-   chain is extended left and right, word by word against the text of its
-   head, as far as the words are equal.
-4. Chains of at least ``LEAST`` words are removed from the later document.
+3. Of suffixes that match, and of their heads, every run of ``LEAST`` words
+   that holds the prefix whole is fingerprinted and sorted in the same way.
+   So a phrase that stands earlier by itself does not hide the longer
+   passage around it, which has an earliest occurrence of its own.
+4. Every such run of words that stands earlier is removed.
 
-Words are what ASCII white space separates, compared exactly.  Sorted rows
-are a fingerprint with its place; texts of documents that have matches move
-once, heads lend only the ``REACH`` words around a chain.
+Words are what ASCII white space separates, compared exactly (by hash).
+Sorted rows are a fingerprint with its place; texts of documents that have
+matches move once, to fingerprint them, and those that lose words again.
 
-Guarantee: a word is removed only if it lies in a passage of at least
-``LEAST`` words that also stands earlier (by id, then place), and every
-occurrence after the first of a passage that has the same earliest
-occurrence throughout is removed whole.
+Guarantee: a word is removed if, and only if, it lies in a passage of
+``LEAST`` words that also stands earlier (by id, then place).
 
 Cases: null and empty texts have no suffixes; rows with one id and
 different texts are separate documents (the CRC-32 of the text tells them
@@ -42,7 +41,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,7 +51,6 @@ LEAST = 50               # words of a passage
 PREFIX = 32              # words of a suffix that are compared by fingerprint
 WINDOW = 17              # places of which one is selected: WINDOW + PREFIX - 1 < LEAST
 GRAM = 6                 # words that select a place
-REACH = 64               # words around a chain that its head lends
 NO_ID = -(1 << 63)       # stands for a null id
 _TOKEN = re.compile(r"[^ \t\n\r\v\f]+")
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -128,7 +125,7 @@ def kept_suffixes(source: DataFrame) -> DataFrame:
 
 
 def neighbour_matches(rows: DataFrame) -> DataFrame:
-    """Sort the staged suffixes and match each with the head of its run:
+    """Sort the staged fingerprints and match each with the head of its run:
     (id, crc, place, f_id, f_crc, f_place)."""
     spark = rows.sparkSession
     order = ["h", "id", "crc", "place"]
@@ -180,51 +177,36 @@ def _matches(kind, part, h, i, c, p, f_i, f_c, f_p) -> pa.RecordBatch:
                            names=["kind", "part", "h", "id", "crc", "place", "f_id", "f_crc", "f_place"])
 
 
-def chains(matches: DataFrame) -> DataFrame:
-    """Matches of a document and a head at one distance, joined while their
-    prefixes touch: (id, crc, lo, hi, f_id, f_crc, f_lo, f_hi) in words, hi
-    exclusive."""
-    same = ["id", "crc", "f_id", "f_crc", "delta"]
-    m = matches.withColumn("delta", F.col("place") - F.col("f_place")).select(*same, "place").distinct()
-    w = W.partitionBy(*same).orderBy("place")
-    cut = m.withColumn("new", F.coalesce((F.col("place") - F.lag("place").over(w) > PREFIX).cast("int"), F.lit(1)))
-    c = cut.withColumn("chain", F.sum("new").over(w)).groupBy(*same, "chain") \
-           .agg(F.min("place").alias("lo"), (F.max("place") + PREFIX).alias("hi"))
-    return c.select("id", "crc", "lo", "hi", "f_id", "f_crc", (F.col("lo") - F.col("delta")).alias("f_lo"), (F.col("hi") - F.col("delta")).alias("f_hi"))
+def window_starts(places: np.ndarray, count: int) -> np.ndarray:
+    """Starts of the runs of LEAST words, in a text of ``count`` words, that
+    hold the prefix at one of the places whole."""
+    edge = np.zeros(count + 2, np.int64)
+    np.add.at(edge, np.maximum(places - (LEAST - PREFIX), 0), 1)
+    np.add.at(edge, places + 1, -1)
+    return np.flatnonzero(np.cumsum(edge)[:max(0, count - LEAST + 1)] > 0)
 
 
-def _lent(texts_: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The REACH words before f_lo and from f_hi of the heads' texts."""
-    by_doc = wanted.select("f_id", "f_crc", "f_lo", "f_hi").distinct().groupBy("f_id", "f_crc").agg(F.collect_list(F.struct("f_lo", "f_hi")).alias("at"))
-    asked = by_doc.join(texts_, (F.col("f_id") == F.col("id")) & (F.col("f_crc") == F.col("crc"))).select("f_id", "f_crc", "at", "text")
+def kept_windows(texts_: DataFrame, places: DataFrame) -> DataFrame:
+    """(h, id, crc, place) of the runs of LEAST words around the places
+    (id, crc, place) of the staged (id, crc, text)."""
+    at = places.groupBy("id", "crc").agg(F.collect_set("place").alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in bounded(batches, 3):
-            counts, words = exact_words(b.column(3))
-            begin, row, lo, hi, left, right = np.cumsum(counts) - counts, [], [], [], [], []
-            for r, at in enumerate(b.column(2).to_pylist()):
-                own = words[begin[r]:begin[r] + counts[r]]
-                for a in at:
-                    row.append(r)
-                    lo.append(a["f_lo"])
-                    hi.append(a["f_hi"])
-                    left.append(own[max(0, a["f_lo"] - REACH):a["f_lo"]].tobytes())
-                    right.append(own[a["f_hi"]:a["f_hi"] + REACH].tobytes())
-            row = pa.array(row, pa.int64())
-            yield pa.record_batch([b.column(0).take(row), b.column(1).take(row), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()),
-                                   pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["g_id", "g_crc", "g_lo", "g_hi", "left", "right"])
-
-    return map_arrow(asked, run, "g_id long, g_crc long, g_lo int, g_hi int, left binary, right binary")
-
-
-def extended(own: np.ndarray, lo: int, hi: int, left: np.ndarray, right: np.ndarray) -> tuple[int, int]:
-    """The chain [lo, hi) of word hashes extended as far as the head agrees."""
-    before = own[max(0, lo - len(left)):lo][::-1]
-    differ = np.flatnonzero(before != left[::-1][:len(before)])
-    lo -= int(differ[0]) if len(differ) else len(before)
-    after = own[hi:hi + len(right)]
-    differ = np.flatnonzero(after != right[:len(after)])
-    return lo, hi + (int(differ[0]) if len(differ) else len(after))
+        for b in bounded(batches, 2):
+            counts, words = exact_words(b.column(2))
+            begin, row, place, key = np.cumsum(counts) - counts, [], [], []
+            every = run_hashes(words, LEAST).view(np.int64)
+            for r, at in enumerate(b.column(3).to_pylist()):
+                p = window_starts(np.array(at, np.int64), int(counts[r]))
+                row.append(np.full(len(p), r))
+                place.append(p)
+                key.append(every[begin[r] + p] if len(p) else np.zeros(0, np.int64))
+            if row:
+                row = pa.array(np.concatenate(row))
+                yield pa.record_batch([pa.array(np.concatenate(key)), b.column(0).take(row), b.column(1).take(row),
+                                       pa.array(np.concatenate(place), pa.int32())], names=["h", "id", "crc", "place"])
+
+    return map_arrow(texts_.join(at, ["id", "crc"]).select("id", "crc", "text", "at"), run, "h long, id long, crc long, place int")
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -253,33 +235,22 @@ def changed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, crc, text, removed, first_ids) of the documents that lose words."""
     prepare(docs.sparkSession)
     source = _sources(docs, id_col, text_col)
-    chain = stage(chains(neighbour_matches(stage(kept_suffixes(source), "suffixes"))), "suffix-chains")
-    needed = chain.select("id", "crc").union(chain.select("f_id", "f_crc")).distinct()
-    some = stage(source.join(needed, ["id", "crc"], "left_semi").dropDuplicates(["id", "crc"]), "suffix-texts")
-    lent = _lent(some, chain)
-    full = chain.join(lent, (F.col("f_id") == F.col("g_id")) & (F.col("f_crc") == F.col("g_crc")) &
-                      (F.col("f_lo") == F.col("g_lo")) & (F.col("f_hi") == F.col("g_hi")))
-    per_doc = full.groupBy("id", "crc").agg(F.collect_list(F.struct("lo", "hi", "left", "right", "f_id")).alias("chains"))
-    cases = per_doc.join(some, ["id", "crc"]).select("id", "crc", "text", "chains")
+    matches = neighbour_matches(stage(kept_suffixes(source), "suffixes"))
+    places = stage(matches.select("id", "crc", "place").union(matches.select("f_id", "f_crc", "f_place")).distinct(), "suffix-places")
+    some = stage(source.join(places.select("id", "crc").distinct(), ["id", "crc"], "left_semi").dropDuplicates(["id", "crc"]), "suffix-texts")
+    again = neighbour_matches(stage(kept_windows(some, places), "suffix-windows"))
+    per_doc = again.groupBy("id", "crc").agg(F.collect_list("place").alias("at"), F.collect_set("f_id").alias("f_ids"))
+    cases = some.join(per_doc, ["id", "crc"]).select("id", "crc", "text", "at", "f_ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in bounded(batches, 2):
-            counts, words = exact_words(b.column(2))
-            begin = np.cumsum(counts) - counts
-            row, new, gone, firsts = [], [], [], []
-            for r, (text, found) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-                own = words[begin[r]:begin[r] + counts[r]]
-                spans = [(*extended(own, x["lo"], x["hi"], np.frombuffer(x["left"], np.uint64), np.frombuffer(x["right"], np.uint64)), x["f_id"])
-                         for x in found]
-                spans = [s for s in spans if s[1] - s[0] >= LEAST]
-                if spans:
-                    t, ranges = without(text, merged([s[:2] for s in spans]))
-                    row.append(r)
-                    new.append(t)
-                    gone.append([{"start": lo, "end": hi} for lo, hi in ranges])
-                    firsts.append(sorted({s[2] for s in spans if s[2] != NO_ID}))
-            at = pa.array(row, pa.int64())
-            yield pa.record_batch([b.column(0).take(at), b.column(1).take(at), pa.array(new, pa.string()),
+            new, gone, firsts = [], [], []
+            for text, at, f_ids in zip(*(b.column(k).to_pylist() for k in (2, 3, 4))):
+                t, ranges = without(text, merged([(p, p + LEAST) for p in at]))
+                new.append(t)
+                gone.append([{"start": lo, "end": hi} for lo, hi in ranges])
+                firsts.append(sorted(f for f in f_ids if f != NO_ID))
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(new, pa.string()),
                                    pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                                    pa.array(firsts, pa.list_(pa.int64()))], names=["id", "crc", "text", "removed", "first_ids"])
 

@@ -166,6 +166,21 @@ def test_runs_that_cross_partitions_have_one_head(spark):
     assert all(r["text"].split() == rows[i][1].split()[:40] and r["first_ids"][0] == 0 for i, r in got.items())
 
 
+def test_phrases_that_stand_earlier_do_not_hide_a_passage(spark):
+    """Passages around a phrase of 32 to 49 words that an earlier document holds."""
+    rng, rows = random.Random(12), []
+    words = lambda n: [f"{rng.random():.9f}" for _ in range(n)]
+    for k in range(120):
+        size, inner = rng.choice([(50, 40), (60, 49), (60, 40), (100, 90)])
+        passage, at = words(size), rng.choice([0, (size - inner) // 2, size - inner])
+        rows.append((k, " ".join(words(20) + passage[at:at + inner] + words(20))))
+        rows += [(1000 * c + k, " ".join(words(15) + passage + words(15))) for c in (1, 2, 3)]
+    rows.append((9000, "again " * 200))
+    out = {r["id"]: r for r in suffix.changed_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for (i, t), want in brute_windows(rows).items():
+        assert (removed_words(t, out[i]["removed"] if i in out else []) == want).all(), i
+
+
 def test_suffixes_of_odd_documents(odd_docs, no_docs):
     out = suffix.remove_repeats(odd_docs)
     assert out.columns == [c for c in odd_docs.columns if c != "removed"] + ["removed", "first_ids"]
