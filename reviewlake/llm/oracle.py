@@ -78,7 +78,70 @@ SELECT doc_id, item_id, n AS n_item, n_shared, n_shared / n AS containment
 FROM shared JOIN n ON n.id = item_id WHERE n_shared >= 0.8 * n
 """
 
+# Every order applied to counts of documents by the letters they fail.
+_OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), l AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY 1
+), failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END ||
+    CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) THEN 'C' ELSE '' END ||
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END ||
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS f
+  FROM d LEFT JOIN l USING (doc_id)
+), counted AS (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM failing GROUP BY ALL
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c
+), orders AS (
+  SELECT p.c || q.c || r.c || s.c || t.c AS o FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.c, q.c, r.c, s.c, t.c])) = 5
+), steps AS (
+  SELECT o AS filter_order, k::INTEGER AS step, o[k] AS c, CASE WHEN k > 1 THEN o[1:k - 1] ELSE '' END AS earlier FROM orders, range(1, 6) AS s(k)
+), told AS (
+  SELECT part, filter_order, step, c, n, g, x, f, contains(f, c) AS fails,
+         earlier = '' OR NOT regexp_matches(f, '[' || CASE WHEN earlier = '' THEN '-' ELSE earlier END || ']') AS there
+  FROM counted, steps
+), summed AS (
+  SELECT part, filter_order, step, c, coalesce(sum(n) FILTER (there AND NOT fails), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (there AND fails), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (fails AND NOT there), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (f = c), 0)::BIGINT AS unique_fails, coalesce(sum(g) FILTER (there AND fails), 0)::BIGINT AS good_lost,
+    coalesce(sum(x) FILTER (there AND fails), 0)::BIGINT AS toxic_lost
+  FROM told GROUP BY 1, 2, 3, 4
+)
+SELECT * EXCLUDE (c), (sum(removed) OVER (PARTITION BY part, c))::BIGINT AS shapley FROM summed
+"""
+
+
+def _rounds(k: int, rounds: int) -> str:
+    """Lloyd's rounds as a chain of tables: all distances, all means."""
+    near = """a{r} AS MATERIALIZED (
+  SELECT n, any_value(vec_id) AS vec_id, any_value(e) AS e,
+         min({{'d': list_dot_product(e::DOUBLE[], e::DOUBLE[]) - 2 * list_dot_product(e::DOUBLE[], c::DOUBLE[])
+                    + list_dot_product(c::DOUBLE[], c::DOUBLE[]), 'k': k}}) AS m
+  FROM v, c{r} GROUP BY n)"""
+    moved = """c{s} AS MATERIALIZED (
+  SELECT o.k, coalesce(x.c, o.c) AS c FROM c{r} o LEFT JOIN (
+    SELECT k, list(((t - ((t % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM (
+      SELECT m.k AS k, i, sum(e[i])::BIGINT AS t, count(*) AS n FROM a{r}, range(1, 65) AS r(i) GROUP BY ALL) GROUP BY k) x USING (k))"""
+    parts = [f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+             f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k, e AS c FROM v ORDER BY k LIMIT {k})"""]
+    for r in range(rounds):
+        parts += [near.format(r=r), moved.format(r=r, s=r + 1)]
+    parts.append(near.format(r=rounds))
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, m.k::INTEGER AS cluster, m.d::BIGINT AS distance, (sum(m.d) OVER (PARTITION BY m.k))::BIGINT AS cluster_inertia,
+       (sum(m.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON m.k = k"""
+
+
 SQL: dict[str, str] = {
+    "op11_filter_audit": _OP11,
+    "op13_ptolemy_clusters": _rounds(8, 10),
     "op5_decontaminate": _OP5,
     "op2_cap_neardup": _OP2,
     "op6_url_redirects": _OP6,

@@ -96,9 +96,32 @@ def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(read_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents in every order."""
+    from reviewlake.llm.filter_audit import audit_filters
+    return audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near-equal bytes."""
+    from reviewlake.llm.kd_shards import place
+    placed = place(read_table(spark, sf_dir, "documents"), shards=8)
+    return placed.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"),
+                         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_ptolemy_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all usable embeddings after ten rounds."""
+    from reviewlake.llm.ptolemy_clusters import cluster, with_inertia
+    assigned, centroids = cluster(read_table(spark, sf_dir, "embeddings"), k=8, rounds=10)
+    return with_inertia(assigned, centroids).select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                                                    "centroid_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_binary, op2_cap_neardup, op3_sentence_spans, op4_sparse_suffix, op5_decontaminate, op6_url_redirects,
-        op7_vector_packing, op8_simhash_vp, op9_quality, op10_pii_anchors,
+        op7_vector_packing, op8_simhash_vp, op9_quality, op10_pii_anchors, op11_filter_audit, op12_kd_shards,
+        op13_ptolemy_clusters,
     )
 }

@@ -33,12 +33,15 @@ COLUMNS = {
     "op8_simhash_vp": ["doc_id", "fingerprint", "component_id"],
     "op9_quality": ["doc_id", "held_out", "score", "predicted"],
     "op10_pii_anchors": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+    "op11_filter_audit": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
+    "op12_kd_shards": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op13_ptolemy_clusters": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
 }
 
 
 def test_every_operator_has_one_query():
     names = entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)} and set(QUERIES) <= set(names) and "pipeline" in names
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)} and set(QUERIES) <= set(names) and "pipeline" in names
     assert set(SQL) <= set(entry.oracle_sql())
 
 
