@@ -27,8 +27,8 @@ per vector and a spanning forest leaves a cell, never all pairs.  A pair
 that shares several filters counts in the first one only.
 
 Vectors are compared within each length: filters are numbered by length,
-and each length of more than ``CELL`` vectors has codes of its own, while a
-rarer one is a single filter.
+and each length has codes of its own.  (``all_pairs_up_to``, 0 unless given,
+makes a length of at most so many vectors a single filter, which is exact.)
 
 Cases: a vector that is null, empty, zero, or holds a null or non-finite
 component links with nothing, nor do vectors of different lengths; rows
@@ -41,6 +41,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +56,8 @@ BUCKET = 512             # vectors in a cap, about, if evenly spread
 RECALL = 0.995           # of pairs exactly at the threshold
 CELL = 512               # rows that one cell compares with each other, at least
 CODES = 12               # independent product codes
-MAX_CODE = 4096          # code words of a block at most
-_CAP_BITS = 28           # of a filter's number within its length: CODES * MAX_CODE ** 2 < 2 ** 28
+MAX_CODE = 4096          # code words of a block at most; a larger table has more codes
+_CAP_BITS = 40           # of a filter's number within its length: codes * MAX_CODE ** 2 < 2 ** 40
 
 
 class ProductCodes:
@@ -107,6 +108,15 @@ class ProductCodes:
         return np.isin(np.arange(len(x)), both // size)
 
 
+def cap_height(dim: int, share: float) -> float:
+    """Height of the cap that covers ``share`` of the unit sphere."""
+    angle = np.linspace(-np.pi / 2, np.pi / 2, 400_001)[1:-1]
+    weight = np.cos(angle) ** (dim - 2) if dim > 1 else np.ones(len(angle))
+    above = np.cumsum(weight[::-1])
+    return float(np.sin(angle[::-1][np.searchsorted(above, share * above[-1])]))
+
+
+@lru_cache(maxsize=64)
 def fitted_codes(n: int, dim: int, threshold: float) -> ProductCodes:
     """The codes for ``n`` vectors (see the module text)."""
     rng = np.random.default_rng(7)
@@ -116,18 +126,16 @@ def fitted_codes(n: int, dim: int, threshold: float) -> ProductCodes:
     z -= (z * x).sum(axis=1, keepdims=True) * x
     z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-30)
     y = threshold * x + math.sqrt(max(0.0, 1 - threshold * threshold)) * z
-    share = min(0.06, max(1e-6, BUCKET / max(n, 1)))        # of the sphere that a cap covers
-    a, b = next(ProductCodes(dim, 256, 0.0, 1).products(x[:400]))
-    cap = float(np.quantile((a[:, :, None] + b[:, None, :])[:, ::3, ::3], 1 - share))
-    lists = 5.0
+    share = min(0.06, BUCKET / max(n, 1))                   # of the sphere that a cap covers
+    cap, lists = cap_height(dim, share), 5.0
     while True:
-        words = min(MAX_CODE, max(2, math.ceil(math.sqrt(lists / share / CODES))))
-        codes = ProductCodes(dim, words, cap)
+        many = max(CODES, math.ceil(lists / share / MAX_CODE ** 2))
+        codes = ProductCodes(dim, min(MAX_CODE, max(2, math.ceil(math.sqrt(lists / share / many)))), cap, many)
         if np.mean(codes.share_filter(x, y)) >= RECALL:
             return codes
-        if words == MAX_CODE:
-            cap *= 0.97
         lists *= 1.2
+        if lists > 60:                                      # few dimensions: pairs of words leave parts of the sphere out
+            cap, lists = cap - 0.1, 5.0
 
 
 def _unit(raw: list[bytes], kind: str) -> np.ndarray:
@@ -156,19 +164,17 @@ def _keyed(vectors: DataFrame, id_col: str, vec_col: str, kind: str) -> DataFram
                      "id long, key binary, dim int")
 
 
-def linked_vectors(distinct: DataFrame, threshold: float, kind: str) -> tuple[DataFrame, DataFrame]:
+def linked_vectors(distinct: DataFrame, threshold: float, kind: str, all_pairs_up_to: int = 0) -> tuple[DataFrame, DataFrame]:
     """Of staged (vid, key, dim, weight): (vid, n_links) and spanning links (x, y)."""
-    spark = distinct.sparkSession
-    common = distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL).collect()
-    codes = spark.sparkContext.broadcast({r["dim"]: fitted_codes(r["n"], r["dim"], threshold) for r in common})    # each (dim + CODES * MAX_CODE) * dim numbers at most
+    sizes = dict(distinct.groupBy("dim").agg(F.count(F.lit(1))).where(F.col("count(1)") > all_pairs_up_to).collect())   # a row per length
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             dims = b.column("dim").to_numpy()
             for dim in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == dim)
-                if dim in codes.value:
-                    row, cap = codes.value[dim].decode(_unit(b.column("key").take(pa.array(at)).to_pylist(), kind))
+                if dim in sizes:
+                    row, cap = fitted_codes(sizes[dim], dim, threshold).decode(_unit(b.column("key").take(pa.array(at)).to_pylist(), kind))
                 else:
                     row, cap = np.arange(len(at)), np.zeros(len(at), np.int64)
                 yield pa.record_batch([pa.array((dim << _CAP_BITS) + cap, pa.int64()), b.column("vid").take(pa.array(at[row]))], names=["cap", "vid"])
@@ -220,7 +226,7 @@ def _first_shared(t: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-                              threshold: float = 0.95) -> DataFrame:
+                              threshold: float = 0.95, all_pairs_up_to: int = 0) -> DataFrame:
     """(id, n_links, component_id, kept), one row per row of ``vectors``."""
     kind = "<f4" if vectors.schema[vec_col].dataType == ArrayType(FloatType()) else "<f8"
     keyed = stage(_keyed(vectors, id_col, vec_col, kind), "vectors")
@@ -229,7 +235,7 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_co
     own = F.col("id")
     if distinct.isEmpty():
         return keyed.select(own.alias(id_col), F.lit(0).cast("long").alias("n_links"), own.alias("component_id"), F.lit(True).alias("kept"))
-    counts, links = linked_vectors(distinct.select("vid", "key", "dim", "weight"), threshold, kind)
+    counts, links = linked_vectors(distinct.select("vid", "key", "dim", "weight"), threshold, kind, all_pairs_up_to)
     comp = components(links, "x", "y").withColumnRenamed("node", "vid")
     named = distinct.join(comp, "vid", "left").join(counts, "vid", "left") \
                     .withColumn("component", F.coalesce("component", "vid")) \

@@ -148,7 +148,8 @@ def place(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
     if (shards is None) == (target_bytes is None) or (shards or target_bytes) < 1:
         raise ValueError("give either shards or target_bytes, 1 or more")
     slim = rows_to_place(docs, id_col, text_col, dims, F.monotonically_increasing_id() if row is None else row)
-    slim = stage(slim.withColumn("mix", F.xxhash64("row").bitwiseAND((1 << DIGIT * DIGITS) - 1)), "kd-rows")
+    slim = slim.withColumns({"mix": F.xxhash64("row").bitwiseAND((1 << DIGIT * DIGITS) - 1), "node": F.lit(0)})
+    slim = stage(slim, "kd-rows")                # the root's number is a column too, so that nodes are joined on a key
     seen = slim.agg(F.count(F.lit(1)), F.sum("size"),
                     *[f(f"c{k}") for k in range(len(dims)) for f in (F.min, F.max)]).first()      # one row
     if shards is None:
@@ -158,7 +159,7 @@ def place(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
         low, high = seen[2 + 2 * k], seen[3 + 2 * k]
         scaled = (F.col(f"c{k}") - F.lit(low)) / F.lit(high - low) if low is not None and high > low else F.lit(0.0)
         rows = rows.withColumn(f"c{k}", F.coalesce(scaled, F.lit(0.0)))
-    rows = rows.withColumns({"node": F.lit(0), "parts": F.lit(shards)})
+    rows = rows.withColumn("parts", F.lit(shards))
     for _ in range((shards - 1).bit_length()):
         rows = split_level(rows, len(dims))
     placed = stage(rows.select("id", "size", "crc", "row", "tie", "mix", "node"), "kd-placed")

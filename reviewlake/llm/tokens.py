@@ -4,7 +4,8 @@ A text is cut where the tokenizer's own pre-tokenizer always cuts (between
 a word and the white space after it), the distinct pieces of a batch are
 encoded by the library, and the ids are gathered back with numpy.  The ids
 are those of encoding each whole text; only repeated pieces are not encoded
-twice.  A bounded memo keeps pieces between batches.
+twice.  A memo, bounded in pieces, ids and the length of a piece, keeps them
+between batches; what one batch adds beyond it is written over by the next.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ import pyarrow.compute as pc
 
 from reviewlake.llm.common import texts
 
-# Pieces that a worker's memo may hold (about 120 MB).
-MEMO_PIECES = 600_000
+# What a worker's memo may hold: pieces (about 120 MB), ids of them (32 MB),
+# and characters of one piece, so that unbroken texts do not stay in it.
+MEMO_PIECES, MEMO_IDS, MEMO_LONGEST = 600_000, 8_000_000, 64
 # White space as the tokenizers' patterns see it: str.isspace without the
 # four ASCII separators.
 _SPACE, _OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
@@ -49,6 +51,7 @@ class PieceEncoder:
         self.keeps_space = keeps_space
         self.codes: dict[str, int] = {}
         self.pool, self.used = np.zeros(0, np.uint32), 0      # ids of all pieces in the memo, one after the other
+        self.stale = False                                    # memo and pool start anew with the next batch
 
     def _pieces(self, col: pa.Array) -> tuple[np.ndarray, pa.Array]:
         """Pieces of each text: counts and flat strings."""
@@ -74,24 +77,27 @@ class PieceEncoder:
 
     def _lookup(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(first id in the pool, ids) of each piece."""
+        if self.stale:                                 # the memo holds other words than the text does now
+            self.codes, self.pool, self.used, self.stale = {}, np.zeros(0, np.uint32), 0, False
         codes = list(map(self.codes.get, pieces))
         unknown = [i for i, c in enumerate(codes) if c is None]
         if unknown:
+            unknown.sort(key=lambda i: len(pieces[i]) > MEMO_LONGEST)         # those that may stay come first
             ids = [e.ids for e in self.tok.encode_batch_fast([pieces[i] for i in unknown], add_special_tokens=False)]
             size = list(map(len, ids))
             at, more = self.used, sum(size)
             if at + more > len(self.pool):
                 self.pool = np.concatenate([self.pool[:at], np.zeros(at + 2 * more, np.uint32)])
             self.pool[at:at + more] = np.fromiter(chain.from_iterable(ids), np.uint32, more)
-            if len(unknown) > len(pieces) // 2 and len(self.codes) >= MEMO_PIECES:
-                self.codes = {}                        # the memo holds other words than the text does now
             room = MEMO_PIECES - len(self.codes)
             for k, (i, n) in enumerate(zip(unknown, size)):
                 codes[i] = code = at << 24 | n         # a piece has fewer than 2^24 ids
-                if k < room:
-                    self.codes[pieces[i]] = code
-                    self.used = at + n
                 at += n
+                if k < room and at <= MEMO_IDS and len(pieces[i]) <= MEMO_LONGEST:
+                    self.codes[pieces[i]] = code
+                    self.used = at
+            full = len(self.codes) >= MEMO_PIECES or self.used + MEMO_LONGEST >= MEMO_IDS
+            self.stale = full and len(unknown) > len(pieces) // 2
         codes = np.fromiter(codes, np.int64, len(codes))
         return codes >> 24, codes & 0xFFFFFF
 

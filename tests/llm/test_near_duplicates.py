@@ -196,14 +196,31 @@ def test_one_long_vector_silences_no_other(spark):
     got = {str(r["vec_id"]): (str(r["vec_id"]), r["n_links"], str(r["component_id"]), r["kept"]) for r in got}
     for dim in (16, 17, 3, 40):
         want = brute_vectors([r for r in rows if len(r[1]) == dim])
-        if dim == 16:                                    # the only length with codes; they miss few pairs
-            links = sum(w[1] for w in want)
-            assert links > 500 and links * 0.99 <= sum(got[w[0]][1] for w in want) <= links
-        else:
-            assert sorted(got[w[0]] for w in want) == want
+        links = sum(w[1] for w in want)                  # every length has codes, which miss few pairs
+        assert links * 0.99 <= sum(got[w[0]][1] for w in want) <= links
+        if dim == 16:
+            assert links > 500
+    exact = embedding_near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), all_pairs_up_to=10_000)
+    exact = {str(r["vec_id"]): (str(r["vec_id"]), r["n_links"], str(r["component_id"]), r["kept"]) for r in exact.collect()}
+    for dim in (16, 17, 3, 40):
+        want = brute_vectors([r for r in rows if len(r[1]) == dim])
+        assert sorted(exact[w[0]] for w in want) == want
     assert len(got) == len(rows)
 
 
+def test_recall_of_pairs_between_the_threshold_and_one(spark):
+    rng = np.random.default_rng(21)
+    x = rng.standard_normal((1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.standard_normal((1500, 64))
+    z -= (z * x).sum(1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    c = rng.uniform(0.9502, 1, (1500, 1))
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([x, c * x + np.sqrt(1 - c * c) * z]))]
+    got = embedding_near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sum(r["n_links"] for r in got) >= 0.995 * 3000 and all(r["component_id"] == r["vec_id"] % 1500 for r in got if r["n_links"])
+
+
 def test_embeddings_empty_or_useless(spark):
     schema = "vec_id long, embedding array<float>"
     assert embedding_near_duplicates(spark.createDataFrame([], schema)).count() == 0

@@ -21,6 +21,22 @@ WORD, BYTE = (tokenizer_json(public_tokenizers.path(x)) for x in ("word_bpe_49k.
 ENCODERS = {"word": PieceEncoder(WORD, False), "byte": PieceEncoder(BYTE, True)}
 
 
+def test_memo_is_bounded(monkeypatch):
+    """Batches of ever new words, and unbroken texts, leave a bounded memo."""
+    from reviewlake.llm import tokens
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 500)
+    monkeypatch.setattr(tokens, "MEMO_IDS", 4000)
+    enc, largest = PieceEncoder(BYTE, True), 0
+    for k in range(200):
+        own = [" ".join(f"w{k}x{j * 7919}" for j in range(60)), f"{k}" + "ab" * 400, "the same words every time"]
+        n, ids = enc.encode(pa.array(own))
+        want = [e.ids for e in enc.tok.encode_batch(own, add_special_tokens=False)]
+        assert n.tolist() == [len(w) for w in want] and ids.tolist() == [x for w in want for x in w]
+        largest = max(largest, len(enc.pool))
+        assert len(enc.codes) <= 500 and enc.used <= 4000 and all(len(p) <= 64 for p in enc.codes)
+    assert largest < 12_000
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from(list("aBéßİ.,!?'s1 \n\t\x0b\x1c\x1e\x85 ́ 　日<|>"), ) | st.characters(codec="utf-8"), max_size=24),
                 min_size=1, max_size=8))
