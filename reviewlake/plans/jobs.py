@@ -89,24 +89,35 @@ def collect_sources(spark: SparkSession, payloads: dict[str, DataFrame], reject_
     return [df.where(F.col("reject_reason").isNull()).drop("reject_reason") for df in flagged.values()]
 
 
-def scoring_run(df: DataFrame, text_col: str, factory, output: str, metrics_path: str, run_id: str,
+def scoring_run(df: DataFrame, text_col: str, model, output: str, metrics_path: str, run_id: str,
                 model_name: str | None = None, max_chars: int | None = None) -> DataFrame:
-    """Score every row with a star model, write the rows to ``output`` and
-    append the run's metrics (with measured load and inference seconds and
+    """Score every row with a star model (a fitted ``StarModel`` or a scorer
+    factory), write the rows to ``output`` and append the run's metrics (with measured load and inference seconds and
     failure counts) to ``metrics_path``; returns the metric rows.
 
     The model runs once, in the write.  Load time is that of one scorer built
-    on the driver; inference time is the wall time of the scoring write."""
+    on the driver, or of reading the fitted weights once; inference time is
+    the wall time of the scoring write.  With a fitted model the rows are
+    written without their text, and a text without a known word has failed."""
     import time
 
     from reviewlake.operators.metrics import run_metrics
     from reviewlake.operators.model_scoring import star_sentiment
+    from reviewlake.operators.text_models import StarModel, score_stars, star_labels_of
+    failures, fitted = Observation(), isinstance(model, StarModel)
     t0 = time.perf_counter()
-    factory()
+    _ = model.words.count() if fitted else model()
     loaded = time.perf_counter() - t0
-    failures = Observation()
     t0 = time.perf_counter()
-    star_sentiment(df, text_col, factory, max_chars=max_chars, failures=failures).write.mode("overwrite").parquet(output)
+    if fitted:
+        text = F.col(text_col) if max_chars is None else F.substring(text_col, 1, max_chars)
+        named = df.withColumn(text_col, text).withColumn("_has_text", F.col(text_col).isNotNull())
+        stars = score_stars(named, model, text_col, stars_col="_stars").observe(
+            failures, F.count_if("_has_text").alias("scored"), F.count_if(F.col("_has_text") & F.col("_stars").isNull()).alias("failed"))
+        scored = star_labels_of(stars, "_stars").drop("_stars", "_has_text")
+    else:
+        scored = star_sentiment(df, text_col, model, max_chars=max_chars, failures=failures)
+    scored.write.mode("overwrite").parquet(output)
     spent = time.perf_counter() - t0
     scored = df.sparkSession.read.parquet(output)
     rows = run_metrics(scored, run_id, load_seconds=loaded, inference_seconds=spent, model_name=model_name,

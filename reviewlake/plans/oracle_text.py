@@ -35,8 +35,30 @@ ENRICH_BIG = with_reviews(
     f"SELECT review_id, {_pol_cols()}, coalesce({keyword_category_sql('text')}, 'other') AS sport_category FROM m",
     extra=_polarity("reviews", "review_id", _BIG_VALUES))
 
-_T = "text"
-_STARS = f"CASE WHEN text IS NOT NULL THEN 1 + (length({_T}) - length(replace({_T}, 'e', ''))) % 5 END"
+def _words(src: str, key: str) -> str:
+    return (f"SELECT {key} AS k, unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda x: x <> ''))) AS w "
+            f"FROM {src}")
+
+
+def _stars(src: str, key: str) -> str:
+    """CTEs: stars (null: no answer) of every row of ``src`` by log odds per word."""
+    ln = lambda x: f"CAST(floor(1000 * ln({x}) + 0.5) AS BIGINT)"
+    word = lambda t: f"CASE WHEN hi{t} > 0 AND lo{t} > 0 AND {apart(t)} * {apart(t)} > 20.0 * n::DOUBLE * hi{t} * lo{t} THEN {ln(f'((a{t}::DOUBLE * (hi{t} + lo{t}) + hi{t}) * lo{t}) / (((n - a{t})::DOUBLE * (hi{t} + lo{t}) + lo{t}) * hi{t})')} ELSE 0 END AS w{t}"
+    apart = lambda t: f"(a{t}::DOUBLE * (hi{t} + lo{t}) - n::DOUBLE * hi{t})"
+    bias = lambda t: f"CASE WHEN hi{t} = 0 THEN -1 WHEN lo{t} = 0 THEN 1 ELSE {ln(f'(hi{t} + 1)::DOUBLE / (lo{t} + 1)')} END AS b{t}"
+    ts = (1, 2, 3, 4)
+    return f"""told AS (SELECT d.doc_id, text, CASE WHEN toxic = 1 THEN 1 + quality ELSE 3 + 2 * quality END AS s
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE text IS NOT NULL AND quality IS NOT NULL),
+sizes AS (SELECT {", ".join(f"count(*) FILTER (s > {t}) AS hi{t}, count(*) FILTER (s <= {t}) AS lo{t}" for t in ts)} FROM told),
+told_words AS ({_words('told', 'doc_id')}),
+counted AS (SELECT w, count(*) AS n, {", ".join(f"count(*) FILTER (s > {t}) AS a{t}" for t in ts)}
+  FROM told_words JOIN told ON k = doc_id GROUP BY w HAVING count(*) >= 2),
+weighed AS (SELECT w, {", ".join(word(t) for t in ts)} FROM counted, sizes),
+bias AS (SELECT {", ".join(bias(t) for t in ts)} FROM sizes),
+own_words AS ({_words(src, key)}),
+sums AS (SELECT k, {", ".join(f"sum(w{t}) AS s{t}" for t in ts)} FROM own_words JOIN weighed USING (w) GROUP BY k),
+sc AS (SELECT r.*, CASE WHEN sums.k IS NOT NULL THEN 1 + {" + ".join(f"(s{t} + b{t} > 0)::INTEGER" for t in ts)} END AS s
+  FROM {src} r CROSS JOIN bias LEFT JOIN sums ON sums.k = r.{key})"""
 
 
 def _star_cols(stars: str) -> str:
@@ -44,15 +66,35 @@ def _star_cols(stars: str) -> str:
             f"coalesce({R(f'(CAST({stars} AS DOUBLE) - 3.0) / 2.0', 3)}, CAST(0.0 AS DOUBLE)) AS bert_score")
 
 
-STAR = f"SELECT doc_id, {_star_cols('s')} FROM (SELECT doc_id, {_STARS} AS s FROM documents) d"
-
-_LABELS = "[" + ", ".join(f"'{x}'" for x in C.ZERO_SHOT_LABELS) + "]"
-_TOPIC = (f"CASE WHEN text IS NULL OR contains({_T}, '1') THEN 'other' "
-          f"ELSE {_LABELS}[length({_T}) % {len(C.ZERO_SHOT_LABELS)} + 1] END")
-
-CASCADE = with_reviews(f"SELECT review_id, coalesce({keyword_category_sql('text')}, {_TOPIC}) AS sport_category FROM reviews")
-ZERO_SHOT = with_reviews(f"SELECT review_id, {_TOPIC} AS sport_category FROM reviews "
-                         f"WHERE ({keyword_category_sql('text')}) IS NULL")
+STAR = f"WITH {_stars('documents', 'doc_id')} SELECT doc_id, {_star_cols('s')} FROM sc"
+
+
+def _topics() -> str:
+    """CTEs: cosine of every unclassified review with the ten prototypes."""
+    labels = ", ".join(f"({k}, '{c}')" for k, c in enumerate(C.ZERO_SHOT_LABELS))
+    every = ", ".join(f"'{c}'" for c in C.ZERO_SHOT_LABELS)
+    return f"""cand(i, label) AS (VALUES {labels}),
+cat AS (SELECT *, {keyword_category_sql('text')} AS kw FROM reviews),
+lab AS (SELECT review_id, CASE WHEN kw IN ({every}) THEN kw WHEN kw IS NOT NULL THEN 'other' END AS label FROM cat WHERE text IS NOT NULL),
+sizes AS (SELECT label, count(*) AS n FROM lab GROUP BY 1),
+words AS ({_words('cat', 'review_id')}),
+freq AS (SELECT w, CAST(floor(100 * ln((SELECT count(*) FROM lab)::DOUBLE / count(*)) + 0.5) AS BIGINT) AS idf FROM words GROUP BY w),
+proto AS (SELECT i, w, (count(*) * 1000) // any_value(n) AS share FROM words JOIN lab ON k = review_id JOIN sizes USING (label) JOIN cand USING (label)
+          GROUP BY i, w HAVING (count(*) * 1000) // any_value(n) > 0),
+norms AS (SELECT i, sum(share * share * idf * idf)::DOUBLE AS norm FROM proto JOIN freq USING (w) GROUP BY i),
+mine AS (SELECT k, w, idf FROM words JOIN cat ON k = review_id JOIN freq USING (w) WHERE kw IS NULL AND w IN (SELECT w FROM proto)),
+lens AS (SELECT k, sum(idf * idf)::DOUBLE AS len FROM mine GROUP BY k),
+dots AS (SELECT k, i, sum(idf * idf * share)::DOUBLE AS dot FROM mine JOIN proto USING (w) GROUP BY k, i),
+scored AS (SELECT k, i, label, CASE WHEN len > 0 AND norm > 0 THEN {R('coalesce(dot, 0) / (sqrt(len) * sqrt(norm))', 6)} ELSE CAST(0.0 AS DOUBLE) END AS score
+  FROM lens CROSS JOIN cand LEFT JOIN dots USING (k, i) LEFT JOIN norms USING (i)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, i) - 1 AS place FROM scored),
+best AS (SELECT k, CASE WHEN score > 0 THEN label ELSE 'other' END AS topic FROM ranked WHERE place = 0)"""
+
+
+CASCADE = with_reviews("SELECT review_id, coalesce(kw, topic, 'other') AS sport_category FROM cat LEFT JOIN best ON k = review_id", extra=_topics())
+ZERO_SHOT = with_reviews("SELECT review_id, coalesce(topic, 'other') AS sport_category FROM cat LEFT JOIN best ON k = review_id WHERE kw IS NULL",
+                         extra=_topics())
+ZERO_SHOT_SCORES = with_reviews("SELECT k AS review_id, place::INTEGER AS place, label, score FROM ranked", extra=_topics())
 
 _M = [("total_reviews", "CAST(total AS DOUBLE)"), ("positive_count", "CAST(pos AS DOUBLE)"),
       ("negative_count", "CAST(neg AS DOUBLE)"), ("neutral_count", "CAST(neu AS DOUBLE)"),
@@ -62,9 +104,9 @@ _M = [("total_reviews", "CAST(total AS DOUBLE)"), ("positive_count", "CAST(pos A
       ("avg_sentiment_score", f"CASE WHEN total > 0 THEN {R('ssum / CAST(total AS DOUBLE)', 4)} END"),
       ("avg_rating", R("avg_rating", 4)),
       ("model_load_time_seconds", "CAST(NULL AS DOUBLE)"), ("inference_time_seconds", "CAST(NULL AS DOUBLE)")]
-_P = [("model_name", "'letter-stars'"), ("total_reviews", "CAST(total AS VARCHAR)"),
+_P = [("model_name", "'cumulative-bayes'"), ("total_reviews", "CAST(total AS VARCHAR)"),
       ("languages", "langs"), ("sources", "srcs")]
-_LAB = f"""sc AS (SELECT *, {_STARS} AS s FROM reviews),
+_LAB = f"""{_stars('reviews', 'review_id')},
 lab AS (SELECT *, {_star_cols('s')} FROM sc)"""
 RUN_METRICS = with_reviews(
     "\nUNION ALL\n".join(
@@ -111,11 +153,12 @@ UNION ALL
 SELECT 'lowest_scores', review_id, CAST(NULL AS DOUBLE), bert_score, row_number() OVER (ORDER BY bert_score ASC, review_id ASC)
 FROM (SELECT * FROM lab ORDER BY bert_score ASC, review_id ASC LIMIT 5) l""", extra=_LAB)
 
+UNKNOWN = with_reviews("SELECT s IS NOT NULL AS known FROM sc WHERE text IS NOT NULL", extra=_stars("reviews", "review_id"))
 RUN_METRICS_APPEND = f"""SELECT kind, name, CASE WHEN name IN ('model_load_time_seconds', 'inference_time_seconds') THEN 1.0 ELSE value_num END AS value_num,
        value_str, 2 AS runs FROM ({RUN_METRICS}) r
 UNION ALL
 SELECT 'metric', name, CAST(v AS DOUBLE), CAST(NULL AS VARCHAR), 2
-FROM (SELECT count(text) AS scored, 0 AS failed FROM (SELECT d.text FROM documents d) t) a, LATERAL (VALUES ('scored_rows', scored), ('failed_rows', failed)) x(name, v)"""
+FROM (SELECT count(*) AS scored, count(*) FILTER (NOT known) AS failed FROM ({UNKNOWN}) t) a, LATERAL (VALUES ('scored_rows', scored), ('failed_rows', failed)) x(name, v)"""
 
 SQL: dict[str, str] = {
     "lexicon_polarity": LEXICON,
@@ -127,6 +170,7 @@ SQL: dict[str, str] = {
     "star_sentiment": STAR,
     "cascade_classify": CASCADE,
     "zero_shot_fallback": ZERO_SHOT,
+    "zero_shot_scores": ZERO_SHOT_SCORES,
     "run_metrics": RUN_METRICS,
     "insight_report": INSIGHT,
 }

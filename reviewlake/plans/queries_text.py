@@ -8,23 +8,40 @@ from pyspark.sql import functions as F
 
 from reviewlake import config as C
 from reviewlake.operators import metrics as M
-from reviewlake.operators.cascade import classify_cascade, enrich
-from reviewlake.operators.model_scoring import star_sentiment
+from reviewlake.operators.cascade import enrich, fill_topics
 from reviewlake.operators.polarity import with_polarity
+from reviewlake.operators.text_models import StarModel, fit_stars, fit_topics, score_topics, star_labels
 from reviewlake.plans.lexicons import big_lexicon
-from reviewlake.plans.stub_models import length_topic_factory, letter_stars_factory
 from reviewlake.registry import register
 from reviewlake.session import scratch_path
 from reviewlake.sources.tables import classified_reviews, read_table, reviews, stage
 
 RUN_ID = "run-0001"
 LOGGED_AT = "2026-01-01 00:00:00"
+MODEL_NAME = "cumulative-bayes"
 
 
 def _documents(spark, sf) -> DataFrame:
     return read_table(spark, sf, "documents").select("doc_id", "text")
 
 
+def star_model(spark, sf) -> StarModel:
+    """Fitted on every labelled document: toxic ones have one star (two if
+    their quality is good), the others three or five by quality."""
+    labels = read_table(spark, sf, "labels").select("doc_id", F.when(F.col("toxic") == 1, 1 + F.col("quality")).otherwise(
+        3 + 2 * F.col("quality")).alias("stars"))
+    return fit_stars(_documents(spark, sf).join(labels, "doc_id"))
+
+
+def topic_rows(spark, sf):
+    """Reviews with the keyword cascade's answer (found once, staged), and
+    prototypes fitted on all of them."""
+    from reviewlake.operators.classify import with_keyword_category
+    rows = reviews(spark, sf).select("review_id", "text")
+    rows = stage(with_keyword_category(rows, "text", "sport_category", fill=None), "topic-rows")
+    return rows, fit_topics(rows)
+
+
 @register("lexicon_polarity")
 def q_lexicon_polarity(spark, sf):
     """Lexicon polarity of every document's full text (inline lexicon)."""
@@ -55,7 +72,7 @@ def q_lexicon_large(spark, sf):
 @register("star_report")
 def q_star_report(spark, sf):
     """The star model's report over scored reviews (scored once, staged)."""
-    scored = star_sentiment(reviews(spark, sf), "text", letter_stars_factory, carry=["review_id", "store_city", "language"])
+    scored = star_labels(reviews(spark, sf), star_model(spark, sf), carry=["review_id", "store_city", "language"])
     return M.star_report(stage(scored.withColumn("text", F.lit("")), "scored"))
 
 
@@ -65,9 +82,9 @@ def q_run_metrics_append(spark, sf):
     1 when they are there."""
     from reviewlake.plans.jobs import scoring_run
     base = scratch_path(spark, "runs")
-    df = reviews(spark, sf).select("review_id", "text", "rating", "language", "source")
+    df, model = reviews(spark, sf).select("review_id", "text", "rating", "language", "source"), star_model(spark, sf)
     for run in ("run-0001", "run-0002"):
-        scoring_run(df, "text", letter_stars_factory, f"{base}/{run}", f"{base}/metrics", run, "letter-stars")
+        scoring_run(df, "text", model, f"{base}/{run}", f"{base}/metrics", run, MODEL_NAME)
     m = spark.read.parquet(f"{base}/metrics")
     timing = F.col("name").isin("model_load_time_seconds", "inference_time_seconds")
     value = F.when(timing, (F.col("value_num") >= 0).cast("double")).otherwise(F.col("value_num"))
@@ -77,31 +94,35 @@ def q_run_metrics_append(spark, sf):
 @register("star_sentiment")
 def q_star_sentiment(spark, sf):
     """Star model over every document's whole text."""
-    return star_sentiment(_documents(spark, sf), "text", letter_stars_factory, carry=["doc_id"]).select(
-        "doc_id", "bert_label", "bert_score")
+    return star_labels(_documents(spark, sf), star_model(spark, sf), carry=["doc_id"])
 
 
 @register("cascade_classify")
 def q_cascade_classify(spark, sf):
     """Keywords, then the topic model on the unclassified rows, then "other"."""
-    return classify_cascade(reviews(spark, sf), "text", "sport_category", length_topic_factory, carry=["review_id"]).select(
-        "review_id", "sport_category")
+    rows, model = topic_rows(spark, sf)
+    return fill_topics(rows, model, "text", "sport_category", ["review_id"])
 
 
 @register("zero_shot_fallback")
 def q_zero_shot_fallback(spark, sf):
     """Only the model branch: rows the keywords missed, with the model's topic."""
-    from reviewlake.operators.classify import with_keyword_category
-    from reviewlake.operators.model_scoring import zero_shot_topic
-    k = with_keyword_category(reviews(spark, sf), "text", "sport_category", fill=None)
-    return zero_shot_topic(k.where(F.col("sport_category").isNull()), "text", length_topic_factory, carry=["review_id"]).select(
-        "review_id", "sport_category")
+    rows, model = topic_rows(spark, sf)
+    return fill_topics(rows.where(F.col("sport_category").isNull()), model, "text", "sport_category", ["review_id"])
+
+
+@register("zero_shot_scores")
+def q_zero_shot_scores(spark, sf):
+    """All ten scores of the rows that the keywords missed, best first."""
+    rows, model = topic_rows(spark, sf)
+    scored = score_topics(rows.where(F.col("sport_category").isNull()), model, F.col("text"), ["review_id"])
+    return scored.select("review_id", F.posexplode("topic_scores").alias("place", "s")).select("review_id", "place", "s.label", "s.score")
 
 
 @register("run_metrics")
 def q_run_metrics(spark, sf):
-    scored = star_sentiment(reviews(spark, sf), "text", letter_stars_factory, carry=["rating", "language", "source"])
-    return M.run_metrics(scored, RUN_ID, logged_at=F.to_timestamp(F.lit(LOGGED_AT)), model_name="letter-stars")
+    scored = star_labels(reviews(spark, sf), star_model(spark, sf), carry=["review_id", "rating", "language", "source"])
+    return M.run_metrics(scored, RUN_ID, logged_at=F.to_timestamp(F.lit(LOGGED_AT)), model_name=MODEL_NAME)
 
 
 @register("insight_report")

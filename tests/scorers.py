@@ -1,12 +1,4 @@
-"""Deterministic stand-in scorers for checks (no model weights ship with
-this repo); they prove the scoring path, not a model.
-
-They follow the scorer contract of ``operators.model_scoring`` and are
-simple enough to restate in SQL, so the scoring path — Arrow batches, one
-scorer per worker, per-row failure fallback, native post-processing — is
-checked end to end.  A real deployment passes a factory that loads its
-model (e.g. an ONNX session) instead.
-"""
+"""Scorers of the factory contract, for tests of the scoring path only."""
 
 from __future__ import annotations
 

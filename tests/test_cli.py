@@ -1,6 +1,7 @@
 """Command-line jobs end to end on a review file like the collectors write."""
 
 import json
+import os
 
 from reviewlake import cli
 
@@ -39,12 +40,17 @@ def test_cli_jobs(spark, tmp_path, capsys):
     assert {r.length_category for r in spark.read.parquet(str(tmp_path / "processed")).collect()} == {"short"}
 
 
+def scorers_on_workers(spark):
+    spark.sparkContext.addPyFile(os.path.join(os.path.dirname(os.path.abspath(__file__)), "scorers.py"))
+
+
 def test_cli_classify_with_model(spark, tmp_path):
+    scorers_on_workers(spark)
     src = tmp_path / "r.json"
     src.write_text("\n".join(json.dumps(r) for r in [
         {"review_id": "a", "text": "bike ride"}, {"review_id": "b", "text": "It is a plain box"}]), encoding="utf-8")
     cli.main(["classify", "--input", str(src), "--output", str(tmp_path / "c"),
-              "--model", "reviewlake.plans.stub_models:length_topic_factory"])
+              "--model", "scorers:length_topic_factory"])
     got = {r.review_id: r.sport_category for r in spark.read.parquet(str(tmp_path / "c")).collect()}
     # keyword hit for "a"; "b" goes to the stub model: 17 characters → label index 7
     assert got == {"a": "cycling", "b": "water_sports"}
@@ -72,7 +78,8 @@ def test_collect_score_report_export(spark, tmp_path, capsys):
     assert spark.read.json(str(tmp_path / "reviews")).count() == 3
     assert {r.reject_source for r in spark.read.parquet(str(tmp_path / "rejects")).collect()} == {"play", "review_pages"}
 
-    score = ["score", "--input", str(tmp_path / "reviews"), "--model", "reviewlake.plans.stub_models:letter_stars_factory", "--metrics", str(tmp_path / "metrics")]
+    scorers_on_workers(spark)
+    score = ["score", "--input", str(tmp_path / "reviews"), "--model", "scorers:letter_stars_factory", "--metrics", str(tmp_path / "metrics")]
     for run in ("r1", "r2"):
         cli.main([*score, "--output", str(tmp_path / run), "--run-id", run])
     m = spark.read.parquet(str(tmp_path / "metrics"))
