@@ -59,15 +59,34 @@ def test_pruning_is_exact():
 
 def test_matches_brute_force_on_documents(spark, sf):
     d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    got = {r.doc_id: r.c for r in with_keyword_category(d, "text", "c", fill=None).collect()}
     want = {r.doc_id: first_match(r.text) for r in d.collect()}
-    assert got == want
+    for native in (False, True):
+        assert {r.doc_id: r.c for r in with_keyword_category(d, "text", "c", fill=None, native=native).collect()} == want
 
 
-def test_filter_on_category_plan_has_no_python(spark, sf):
+def test_nested_and_overlapping_words(spark):
+    """Words inside words, over each other's ends, equal in two categories,
+    and texts that end inside a word."""
+    rules = [("a", ["abcd", "xyz", "é b"]), ("b", ["bc", "yzw", "same", "zz"]), ("c", ["c", "same", "bcde", "\U0001F600"])]
+    texts = ["abcd", "abc", "xbcdey", "xyzw", "yzw", "same", "sam", "c", "é b", "é  b", "x\U0001F600", "zzz", "", None, "ABCD", "d" * 100_000 + "bc", "xy"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    want = {i: None if t is None else next((n for n, ws in rules if any(w in t.lower() for w in ws)), None) for i, t in enumerate(texts)}
+    for native in (False, True):
+        assert {r.i: r.c for r in with_keyword_category(df, "text", "c", fill=None, rules=rules, native=native).collect()} == want
+
+
+def test_filter_on_category(spark, sf):
     from reviewlake.sources.tables import reviews
-    df = with_keyword_category(reviews(spark, sf), "text", "c", fill=None).where(F.col("c").isNull())
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     want = sum(first_match(r.text) is None for r in reviews(spark, sf).select("text").collect())
-    assert df.count() == want > 0
+    for native in (False, True):
+        df = with_keyword_category(reviews(spark, sf), "text", "c", fill=None, native=native).where(F.col("c").isNull())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert ("ArrowEvalPython" in plan) != native and df.count() == want > 0
+
+
+def test_only_the_text_crosses_to_python(spark, sf):
+    from reviewlake.sources.tables import classified_reviews
+    df = classified_reviews(spark, sf).groupBy("sport_category").agg(F.avg("rating"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "ArrowEvalPython" in x)
+    assert scan.count("category(") == 1 and "store_id" not in plan
