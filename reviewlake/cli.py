@@ -87,12 +87,13 @@ def cmd_load(spark, a) -> None:
     from reviewlake.plans.jobs import load_reviews
     from reviewlake.session import scratch_path
     from reviewlake.sinks.files import first_available
+    from reviewlake.sources.tables import stage
     rows = load_reviews(spark, a.input, "fill", a.multiline).where("review_id is not null")
     batch, rejects = split_rejects(dedup_first(rows, "review_id", ["date"]))
     if a.rejects:
         rejects.write.mode("append").parquet(a.rejects)
     _, table = first_available(spark, [a.table], lambda s, p: s.read.parquet(p))
-    merged = batch if table is None else upsert(table, batch, "review_id", UPDATE_TOUCH_ONLY if a.touch_only else UPDATE_SENTIMENT)
+    merged = batch if table is None else upsert(table, stage(batch, "load-batch"), "review_id", UPDATE_TOUCH_ONLY if a.touch_only else UPDATE_SENTIMENT)
     copy = scratch_path(spark, "load")
     merged.write.parquet(copy)
     print(f"new table staged in {copy}")

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
-# <script type="application/ld+json"> ... </script>, case-insensitive, across lines.
-LD_JSON_SCRIPT = r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
-
-
 # Timestamps travel at full microsecond precision (the JSON default keeps
 # milliseconds only); zoned timestamps carry their offset.
 TS_OPTIONS = {
@@ -40,6 +36,8 @@ def decode(col: Column, schema: DataType | str, corrupt: bool = False) -> Column
     return F.from_json(col, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **TS_OPTIONS})
 
 
-def script_blocks(html: Column) -> Column:
-    """All JSON-LD script bodies of an HTML page, as an array of strings."""
-    return F.regexp_extract_all(html, F.lit(LD_JSON_SCRIPT), 1)
+def bind(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once per row, however many
+    predicates and columns read it: a plain projection is copied into each
+    of them, a generator's output is not."""
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))

@@ -8,11 +8,13 @@ Semantics, per key of the union of both sides:
   incoming null overwrites, as SQL does) and a new ``ingested_at``.
 
 The batch must hold each key once and no null key (``dedup_first`` first —
-one SQL statement cannot touch a row twice either); the job fails if not.
+one SQL statement cannot touch a row twice either); the call fails if not.
 
 Plan: table LEFT JOIN batch gives the stored rows, batch LEFT ANTI table the
 inserts.  Unlike a full outer join, AQE can split a skewed partition of
 either, and a table that is stored bucketed by the key is not shuffled.
+The key check and both joins read the batch: pass one that is stored (see
+``sources.tables.stage``) where computing it is dear, as the jobs do.
 """
 
 from __future__ import annotations
@@ -26,26 +28,25 @@ UPDATE_SENTIMENT = ("sentiment_label", "sentiment_score")   # variant A
 UPDATE_TOUCH_ONLY: tuple[str, ...] = ()                     # variant B
 
 
-def checked_batch(batch: DataFrame, key: str) -> DataFrame:
-    """``batch``, failing when it runs over a null or repeated key."""
-    cols = [c for c in batch.columns if c != key]
-    g = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*cols)).alias("_r"))
-    fault = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"null {key} in the batch"))) \
-             .when(F.col("_n") > 1, F.raise_error(F.concat(F.lit(f"repeated {key} in the batch: "), F.col(key).cast("string"))))
-    return g.where(fault.cast("string").isNull()).select(*[F.col(c) if c == key else F.col("_r")[c].alias(c) for c in batch.columns])
+def check_keys(batch: DataFrame, key: str) -> None:
+    """Raise if a key of the batch is null or repeated; reads the key column only."""
+    fault = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col(key).isNull() | (F.col("_n") > 1)).select(key).first()
+    if fault is not None:
+        raise ValueError(f"null {key} in the batch" if fault[0] is None else f"repeated {key} in the batch: {fault[0]}")
 
 
 def upsert(table: DataFrame, batch: DataFrame, key: str = "review_id",
            update_cols: Sequence[str] = UPDATE_SENTIMENT, now: Column | None = None,
            stamp_col: str = "ingested_at", buckets: int | None = None) -> DataFrame:
-    """Return the table after the upsert (a new DataFrame; nothing written).
+    """Return the table after the upsert (a new DataFrame; the table is not written).
 
     ``buckets``: the bucket count of a table bucketed by ``key``; the batch
     is then dealt into as many partitions and the rows of the table stay where
     they are (the anti join moves its key column only)."""
     now = F.current_timestamp() if now is None else now
     cols, types = table.columns, {f.name: f.dataType for f in table.schema.fields}
-    s = checked_batch(batch, key)
+    check_keys(batch, key)
+    s = batch
     if buckets:
         s = s.repartition(buckets, key)
     s = s.select(*[(F.col(c) if c in s.columns else F.lit(None)).cast(types[c]).alias(c) for c in cols])

@@ -71,15 +71,16 @@ def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame |
         unfit.unionByName(no_id, allowMissingColumns=True).write.mode("append").parquet(reject_path)
     if table is None:
         return stored
-    return upsert(table, stored, "review_id", UPDATE_SENTIMENT, now=ingested_at)
+    return upsert(table, stage(stored, "stored-batch"), "review_id", UPDATE_SENTIMENT, now=ingested_at)
 
 
 def collect_sources(spark: SparkSession, payloads: dict[str, DataFrame], reject_path: str) -> list[DataFrame]:
     """Normalise landed payload frames (by source name, in collection order);
     items that cannot be reviews are appended to ``reject_path`` with their
-    source and reason."""
+    source and reason.  Each source is decoded once: its flagged rows are
+    written to the shared checkpoint folder, and rejects and reviews read from there."""
     from reviewlake.sources.payloads import FLAGGERS
-    flagged = {name: FLAGGERS[name](df) for name, df in payloads.items()}
+    flagged = {name: stage(FLAGGERS[name](df), f"flagged-{name}") for name, df in payloads.items()}
     rejects = None
     for name, df in flagged.items():
         bad = df.where(F.col("reject_reason").isNotNull()).withColumn("reject_source", F.lit(name))

@@ -171,6 +171,17 @@ SQL["normalise_rejects"] = with_reviews("""SELECT source, CAST(count_if(NOT bad)
 SQL["product_ids_long_text"] = """SELECT count(*) AS rows_in, count(DISTINCT source || chr(31) || text) AS ids,
        count(DISTINCT source || chr(31) || text) AS contents, count(DISTINCT source || chr(31) || text) AS rows_after
 FROM documents WHERE length(text) >= 10"""
+SQL["feed_page_stop"] = with_reviews(f"""SELECT 'as_' || review_id AS review_id, 'appstore_' || language AS store_id, store_city, rating,
+       trim(store_id || '. ' || text, '. ') AS text,
+       CASE WHEN doc_id // 100 > s.stop THEN 'page after the first empty page' END AS reject_reason
+FROM (SELECT *, doc_id // 100 AS page FROM reviews) r
+LEFT JOIN (SELECT language AS l, store_city AS c, min(doc_id // 100) AS stop FROM reviews
+           WHERE (doc_id // 100) % 4 = 1 OR (doc_id // 100) % 7 = 6 GROUP BY 1, 2) s
+       ON l IS NOT DISTINCT FROM language AND c IS NOT DISTINCT FROM store_city
+WHERE page % 4 <> 1 AND page % 7 <> 6 AND rating IS NOT NULL AND length(trim(store_id || '. ' || text, '. ')) >= 10""")
+SQL["pages_script_forms"] = """SELECT page_id, CAST(count_if(page_id % 10 < 6) AS BIGINT) AS blocks,
+       max(CASE WHEN page_id % 10 < 6 THEN '{"page": ' || CAST(page_id AS VARCHAR) || ', "tag": "<!--"}' END) AS first_block
+FROM pages GROUP BY page_id"""
 SQL["upsert_bucketed"] = SQL["upsert_sentiment"]
 SQL["store_partitioned"] = with_reviews("""SELECT sentiment_label, n,
        row_number() OVER (ORDER BY n DESC, sentiment_label ASC NULLS FIRST) AS rank

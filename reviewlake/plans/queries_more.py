@@ -13,7 +13,7 @@ from reviewlake.operators.setops import dedup_first, union_sources
 from reviewlake.registry import register
 from reviewlake.sources import landing as L
 from reviewlake.sources import payloads as P
-from reviewlake.sources.tables import classified_reviews, read_table, reviews
+from reviewlake.sources.tables import classified_reviews, read_table, reviews, stage
 
 TABLE_INGESTED_AT = "2026-01-01 00:00:00"
 BATCH_INGESTED_AT = "2026-02-01 00:00:00"
@@ -30,6 +30,16 @@ def q_feed_normalise(spark, sf):
     return P.normalise_feed(L.feed_payloads(spark, sf))
 
 
+@register("feed_page_stop")
+def q_feed_page_stop(spark, sf):
+    """The feed with empty and unreadable pages: what lies behind the first
+    one of a country and city is rejected, and says so."""
+    pages = L.feed_payloads(spark, sf)
+    hole = F.when(F.col("page") % 4 == 1, F.lit('{"feed": {"entry": []}}')).when(F.col("page") % 7 == 6, F.lit("<html>busy"))
+    out = P.flag_feed(pages.withColumn("payload", F.coalesce(hole, F.col("payload"))))
+    return out.select("review_id", "store_id", "store_city", "rating", "text", "reject_reason")
+
+
 @register("listing_normalise")
 def q_listing_normalise(spark, sf):
     return P.normalise_listing(L.listing_payloads(spark, sf))
@@ -57,7 +67,6 @@ def normalised_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
 
 
 def landed_sources(spark: SparkSession, sf: str, spoil: int | None = None) -> dict[str, DataFrame]:
-    from reviewlake.sources.tables import stage
     base = stage(classified_reviews(spark, sf), "reviews_base")
     return {"play": L.play_payloads(spark, sf, base, spoil), "feed": L.feed_payloads(spark, sf, base, spoil),
             "review_pages": L.review_page_payloads(spark, sf, base, spoil), "listing": L.listing_payloads(spark, sf),
@@ -84,7 +93,6 @@ def q_product_ids_long_text(spark, sf):
     d = read_table(spark, sf, "documents")
     base = d.select("doc_id", "text", F.col("source").alias("sport_category"), F.lit(4.0).alias("rating"),
                     F.lit(None).cast("timestamp").alias("date"))
-    from reviewlake.sources.tables import stage
     p = stage(P.normalise_product_pages(L.product_page_payloads(spark, sf, base)), "products")
     after = dedup_first(p, "review_id", ["date"]).agg(F.count(F.lit(1)).alias("rows_after"))
     counts = p.agg(F.count(F.lit(1)).alias("rows_in"), F.countDistinct("review_id").alias("ids"), F.countDistinct("store_id", "text").alias("contents"))
@@ -152,13 +160,13 @@ def relabel_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("upsert_sentiment")
 def q_upsert_sentiment(spark, sf):
-    return upsert(stored_table(spark, sf), relabel_batch(spark, sf), "review_id", UPDATE_SENTIMENT,
+    return upsert(stored_table(spark, sf), stage(relabel_batch(spark, sf), "relabel-batch"), "review_id", UPDATE_SENTIMENT,
                   now=F.to_timestamp(F.lit(BATCH_INGESTED_AT)))
 
 
 @register("upsert_touch")
 def q_upsert_touch(spark, sf):
-    return upsert(stored_table(spark, sf), relabel_batch(spark, sf), "review_id", UPDATE_TOUCH_ONLY,
+    return upsert(stored_table(spark, sf), stage(relabel_batch(spark, sf), "relabel-batch"), "review_id", UPDATE_TOUCH_ONLY,
                   now=F.to_timestamp(F.lit(BATCH_INGESTED_AT)))
 
 
@@ -207,7 +215,8 @@ def q_dedup_first(spark, sf):
 @register("jsonld_extract")
 def q_jsonld_extract(spark, sf):
     """Every JSON-LD block of every review page, and whether it parses."""
-    from reviewlake.functions.jsonfn import decode, script_blocks
+    from reviewlake.functions.html import script_blocks
+    from reviewlake.functions.jsonfn import decode
     from reviewlake.schema import REVIEW_PAGE_LD
     pages = L.review_page_payloads(spark, sf)
     b = pages.select("lang", "city", "page", F.posexplode(script_blocks(F.col("html"))).alias("block", "body"))
@@ -230,6 +239,24 @@ def q_pages_jsonld_reviews(spark, sf):
     return P.normalise_review_pages(p, "html")
 
 
+@register("pages_script_forms")
+def q_pages_script_forms(spark, sf):
+    """Script blocks of every raw web page of ``pages``, each behind a block
+    written in one of ten ways that an HTML parser tells apart."""
+    from reviewlake.functions.html import script_blocks
+    body = F.concat(F.lit('{"page": '), F.col("page_id").cast("string"), F.lit(', "tag": "<!--"}'))
+    forms = [('<script type="application/ld+json">', "</script>"), ("<script type=application/ld+json>", "</script>"),
+             ('<script data-rule="a > b" type="application/ld+json">', "</script>"),
+             ('<script type="application/ld+json">', "</script >"), ("<SCRIPT async TYPE = 'Application/LD+JSON'\n>", "</ScRiPt/>"),
+             ('<script type="application&#47;ld&#43;json">', "</script>"),
+             ('<!-- <script type="application/ld+json">', "</script> -->"), ("<i title='<script type=\"application/ld+json\">", "</script>'></i>"),
+             ('<textarea><script type="application/ld+json">', "</script></textarea>"),
+             ('<script data-type="application/ld+json">', "</script>")]
+    wrapped = F.concat(*[F.when(F.col("page_id") % len(forms) == k, F.concat(F.lit(a), body, F.lit(b))).otherwise("") for k, (a, b) in enumerate(forms)])
+    p = read_table(spark, sf, "pages").select("page_id", script_blocks(F.concat(wrapped, F.coalesce("html", F.lit("")))).alias("blocks"))
+    return p.select("page_id", F.size("blocks").cast("long").alias("blocks"), F.get("blocks", F.lit(0)).alias("first_block"))
+
+
 @register("upsert_bucketed")
 def q_upsert_bucketed(spark, sf):
     """The upsert against a table stored bucketed by review_id: the table
@@ -238,13 +265,12 @@ def q_upsert_bucketed(spark, sf):
 
     from reviewlake.session import scratch_path
     from reviewlake.sinks.files import buckets_for, save_bucketed
-    from reviewlake.sources.tables import stage
     name = f"reviews_{uuid.uuid4().hex[:10]}"
     table = stage(stored_table(spark, sf), "stored")
     buckets = buckets_for(table.count())
     save_bucketed(table, name, "review_id", buckets, path=scratch_path(spark, name))
     try:
-        return stage(upsert(spark.table(name), relabel_batch(spark, sf), "review_id", UPDATE_SENTIMENT,
+        return stage(upsert(spark.table(name), stage(relabel_batch(spark, sf), "relabel-batch"), "review_id", UPDATE_SENTIMENT,
                             now=F.to_timestamp(F.lit(BATCH_INGESTED_AT)), buckets=buckets), "upserted")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -4,8 +4,8 @@ Each source lands one payload text per row (JSON document or HTML page)
 plus context columns (country / lang / city / subreddit / sport) and the
 ``fetched_at`` timestamp of the download.  Normalising is a pure
 column pipeline: ``from_json`` → ``explode``/``posexplode`` → predicates
-→ projection.  No row leaves the JVM; a payload that is not JSON yields no
-rows (``PERMISSIVE`` null), never an exception.  An item that cannot be a
+→ projection, each JSON text decoded once.  Only HTML leaves the JVM, for
+its script blocks; a payload that is not JSON yields no rows (``PERMISSIVE`` null), never an exception.  An item that cannot be a
 review (a rating that is no number, an item that is no object) is flagged
 with ``reject_reason`` and leaves alone: ``flag_*`` keep it, ``normalise_*``
 drop it or return it as a second frame, and jobs write it to a reject output.
@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake import config as C
-from reviewlake.functions.jsonfn import decode, script_blocks
+from reviewlake.functions.html import script_blocks
+from reviewlake.functions.jsonfn import bind, decode
 from reviewlake.functions.numeric import vote_to_rating
 from reviewlake.functions.text import hash_id, nullif_empty, strip_chars
 from reviewlake.functions.timefn import epoch_to_ts, iso
@@ -31,6 +32,7 @@ from reviewlake.schema import (
 )
 
 OUT_COLS = [f.name for f in REVIEW.fields]
+LATE_PAGE = "page after the first empty page"
 
 
 def _review(review_id: Column, source: str, store_id: Column, store_name: Column, city: Column,
@@ -89,8 +91,14 @@ def flag_feed(df: DataFrame, payload: str = "payload") -> DataFrame:
     Entry 0 is app information and is skipped; entries without a rating
     object are dropped; text = ``"{title}. {content}"`` stripped of dots and
     spaces at both ends, at least 10 characters; id ``as_`` + entry id.
-    Context: ``country``, ``lang``, ``city``, ``fetched_at``.
+    Context: ``country``, ``lang``, ``city``, ``fetched_at``, and ``page``
+    where pages are numbered: collecting a country and city ends at its
+    first page without entries (or that is not JSON), so entries of later
+    pages are rejected.
     """
+    late = F.lit(False)
+    if "page" in df.columns:
+        df, late = _with_last_page(df, payload), F.col("page") > F.col("_last_page")
     e = (df.select("*", F.posexplode(decode(F.col(payload), FEED_PAYLOAD)["feed"]["entry"]).alias("pos", "entry"))
            .where((F.col("pos") > 0) & F.col("entry")["im:rating"].isNotNull()))
     text = strip_chars(F.concat(F.coalesce(e.entry["title"]["label"], F.lit("")), F.lit(". "),
@@ -103,7 +111,18 @@ def flag_feed(df: DataFrame, payload: str = "payload") -> DataFrame:
         F.concat(F.lit("appstore_"), F.col("country")),
         F.concat(F.lit("App Store ("), F.col("city"), F.lit(")")),
         F.col("city"), rating, F.col("_text"), F.col("lang"),
-        F.coalesce(updated, iso(F.col("fetched_at"))), F.col("fetched_at")), _reason(rating))
+        F.coalesce(updated, iso(F.col("fetched_at"))), F.col("fetched_at")),
+        F.when(late, F.lit(LATE_PAGE)).otherwise(_reason(rating)).alias("reject_reason"))
+
+
+def _with_last_page(df: DataFrame, payload: str) -> DataFrame:
+    """``df`` with ``_last_page``: the first page without entries of the row's
+    country and city, null where there is none (or no page number)."""
+    entries = decode(F.col(payload), FEED_PAYLOAD)["feed"]["entry"]
+    stops = (df.where(F.coalesce(F.size(entries), F.lit(0)) <= 0)
+               .groupBy(F.col("country").alias("_country"), F.col("city").alias("_city")).agg(F.min("page").alias("_last_page")))
+    on = F.col("country").eqNullSafe(F.col("_country")) & F.col("city").eqNullSafe(F.col("_city"))
+    return df.join(stops, on, "left").drop("_country", "_city")
 
 
 def flag_play(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -113,7 +132,7 @@ def flag_play(df: DataFrame, payload: str = "payload") -> DataFrame:
     fetch time; id ``gp_`` + review id, or a hash of the whole content.
     Context: ``country``, ``lang``, ``city``, ``fetched_at``.
     """
-    r = df.select("*", decode(F.col(payload), PLAY_REVIEW).alias("r"))
+    r = bind(df, "r", decode(F.col(payload), PLAY_REVIEW))
     r = r.where(F.length(r.r["content"]) >= C.MIN_TEXT_LENGTH)
     rating = _number(r.r["score"], C.DEFAULT_RATING)
     own = F.concat(F.lit("gp_"), r.r["reviewId"])
@@ -151,7 +170,7 @@ def _ld_documents(df: DataFrame, html: str, schema) -> DataFrame:
     """One row per JSON-LD script block of each page, decoded with ``schema``;
     blocks that are not JSON are skipped."""
     s = df.select("*", F.explode(script_blocks(F.col(html))).alias("_script"))
-    s = s.withColumn("_ld", decode(F.col("_script"), schema, corrupt=True))
+    s = bind(s, "_ld", decode(F.col("_script"), schema, corrupt=True))
     return s.where(F.col("_ld").isNotNull() & F.col("_ld")["_corrupt_record"].isNull())
 
 
@@ -166,7 +185,7 @@ def flag_review_pages(df: DataFrame, html: str = "html") -> DataFrame:
     """
     s = _ld_documents(df, html, REVIEW_PAGE_LD)
     r = s.select("*", F.explode(_items(F.col("_ld")["review"])).alias("_item"))
-    r = r.withColumn("rv", decode(F.col("_item"), REVIEW_ITEM))
+    r = bind(r, "rv", decode(F.col("_item"), REVIEW_ITEM))
     odd = ~F.ltrim(F.col("_item")).startswith("{") | F.col("_item").isNull()
     r = r.where(odd | (F.length(r.rv["description"]) >= C.MIN_TEXT_LENGTH))
     date = F.coalesce(r.rv["datePublished"], iso(F.col("fetched_at")))
@@ -192,9 +211,9 @@ def flag_product_pages(df: DataFrame, html: str = "html") -> DataFrame:
     """
     s = _ld_documents(df, html, PRODUCT_PAGE_LD).where(F.col("_ld")["@type"] == "ItemList")
     items = s.select("*", F.explode(_items(F.col("_ld")["itemListElement"])).alias("_it"))
-    items = items.withColumn("_p", decode(F.col("_it"), PRODUCT_ITEM))
+    items = bind(items, "_p", decode(F.col("_it"), PRODUCT_ITEM))
     r = items.select("*", F.explode(_items(F.col("_p")["item"]["review"])).alias("_item"))
-    r = r.withColumn("rv", decode(F.col("_item"), PRODUCT_REVIEW))
+    r = bind(r, "rv", decode(F.col("_item"), PRODUCT_REVIEW))
     odd = ~F.ltrim(F.col("_item")).startswith("{") | F.col("_item").isNull()
     r = r.where(odd | (F.length(r.rv["reviewBody"]) >= C.MIN_TEXT_LENGTH))
     date = F.coalesce(r.rv["datePublished"], iso(F.col("fetched_at")))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reviewlake.operators.merge import UPDATE_SENTIMENT, upsert
+from reviewlake.sources.tables import stage
 from reviewlake.sources.topic import decode_records
 
 LOG_ORDER = ("timestamp", "partition", "offset")
@@ -118,9 +119,11 @@ def current(base: DataFrame | None, changes: DataFrame, key: str = "review_id",
         stamp = F.current_timestamp() if now is None else now
         kept = batch.drop(*LOG_ORDER, "batch")
         return kept.withColumn(stamp_col, stamp.cast("timestamp")) if stamp_col in kept.columns else kept
-    return upsert(base, batch, key, update_cols, now, stamp_col)
+    return upsert(base, stage(batch, "folded-changes"), key, update_cols, now, stamp_col)
 
 
 def compact(base: DataFrame | None, changes: DataFrame, path: str, **kw) -> None:
-    """Write the table after ``changes`` as a new base at ``path``."""
-    current(base, changes, **kw).write.mode("overwrite").parquet(path)
+    """Write the table after ``changes`` as a new base at ``path``, which may
+    be the folder of the old one: the result is written beside it first, and
+    a run that dies while replacing it leaves that copy in the shared folder."""
+    stage(current(base, changes, **kw), "compacted").write.mode("overwrite").parquet(path)

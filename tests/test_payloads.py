@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from reviewlake.sources import payloads as P
@@ -167,3 +169,32 @@ def test_bounded_options_limit_every_partition():
     o = bounded_options("reviews.raw", {0: 5, 1: 0}, {0: 900, 1: 30}, 200)
     assert json.loads(o["startingOffsets"]) == {"reviews.raw": {"0": 5, "1": 0}}
     assert json.loads(o["endingOffsets"]) == {"reviews.raw": {"0": 205, "1": 30}}
+
+
+def test_feed_ends_at_the_first_empty_page(spark):
+    """Entries behind a page without entries, or one that is no JSON, are
+    rejected, in that country and city alone; a missing number is no end."""
+    entry = '{"im:rating": {"label": "4"}, "title": {"label": "Fine shoes"}, "content": {"label": "good"}, "id": {"label": "%s"}}'
+    page = '{"feed": {"entry": [{"id": {"label": "app"}}, ' + entry + "]}}"
+    rows = [("fr", "x", 1, page % "a"), ("fr", "x", 2, '{"feed": {}}'), ("fr", "x", 3, page % "b"), ("fr", "x", 5, '{"feed": {"entry": []}}'),
+            ("fr", "y", 3, page % "c"), ("de", None, 1, page % "d"), ("de", None, 4, "<html>"), ("de", None, 9, page % "e"),
+            ("es", "z", 1, page % "f"), ("es", "z", 7, page % "g"), ("es", "z", None, page % "h"), ("pt", "w", 2, None), ("pt", "w", 3, page % "i")]
+    df = spark.createDataFrame(rows, "country string, city string, page int, payload string") \
+              .withColumn("lang", F.col("country")).withColumn("fetched_at", F.to_timestamp(F.lit("2026-01-01 00:00:00")))
+    good, bad = P.normalise_feed(df, rejects=True)
+    assert {r.review_id for r in good.collect()} == {"as_a", "as_c", "as_d", "as_f", "as_g", "as_h"}
+    assert {(r.review_id, r.reject_reason) for r in bad.collect()} == {(f"as_{x}", P.LATE_PAGE) for x in "bei"}
+    assert P.normalise_feed(df.drop("page")).count() == 9
+
+
+@pytest.mark.parametrize("flag,columns,texts", [
+    (P.flag_play, "payload string, country string, lang string, city string", 1),
+    (P.flag_review_pages, "html string, lang string, city string", 2),
+    (P.flag_product_pages, "html string, sport string, lang string, city string", 3),
+])
+def test_each_json_text_is_decoded_once(spark, flag, columns, texts):
+    df = spark.createDataFrame([], columns).withColumn("fetched_at", F.to_timestamp(F.lit("2026-01-01 00:00:00")))
+    df = spark.createDataFrame(df.rdd, df.schema).where("lang is not null")
+    plan = flag(df)._jdf.queryExecution().optimizedPlan().toString()
+    wide = [x for x in plan.split("from_json(")[1:] if not x.startswith("ArrayType(StringType")]
+    assert len(wide) == texts, plan

@@ -101,3 +101,11 @@ def test_compact_writes_the_table_after_the_changes(spark, tmp_path):
     table = log(spark, [("a", "neutral", "stored", 0)]).drop("timestamp", "partition", "offset")
     ST.compact(table, log(spark, [("a", "positive", "x", 1)]), str(tmp_path / "base"), update_cols=("sentiment_label",), now=now())
     assert [(r.review_id, r.sentiment_label) for r in spark.read.parquet(str(tmp_path / "base")).collect()] == [("a", "positive")]
+
+
+def test_compact_replaces_the_base_it_reads(spark, tmp_path):
+    path = str(tmp_path / "base")
+    log(spark, [("a", "neutral", "old", 0), ("b", "neutral", "kept", 0)]).drop("timestamp", "partition", "offset").write.parquet(path)
+    ST.compact(spark.read.parquet(path), log(spark, [("a", "positive", "x", 1)]), path, update_cols=("sentiment_label",), now=now())
+    spark.catalog.refreshByPath(path)
+    assert {(r.review_id, r.sentiment_label) for r in spark.read.parquet(path).collect()} == {("a", "positive"), ("b", "neutral")}
