@@ -11,8 +11,11 @@ card      14 to 19 digits, single spaces or hyphens between, Luhn check digit
 phone     a plus sign and 10 to 15 digits with usual separators
 address   ``mailto:`` / ``tel:`` links, user names in URLs, "name (at) host (dot)
           tld", and house number with street name
-account   IBAN (mod 97), or the identifier or secret that follows a cue such as
-          "account", "SSN", "passport", "token"
+account   IBAN (mod 97), Spanish tax and identity numbers (check letter), the
+          identifier or secret that follows a cue such as "account", "SSN",
+          "tax id", "token", "pwd", "Bearer", "access key", and what shows
+          itself as a secret: private keys in PEM blocks, web tokens
+          (``eyJ...``), keys with a known prefix (AKIA, ``ghp_``, ``sk_live_``, ``xoxb-``)
 ========  =====================================================================
 
 The first four are the base kinds: per kind leftmost and non-overlapping,
@@ -24,7 +27,18 @@ Cues and schemes are found in any case (street words as written).  What follows
 taken to its end, however long: an identifier to the first sign that is no
 letter, digit, underscore or hyphen, a secret (token, secret, password, API
 key) to white space or one of ``"'`,;:&|<>()[]{}\\``, in quotes to white space or the closing
-quote; up to 16 groups of two to four digits or capitals may follow.
+quote; groups of two to four digits or capitals may follow.  Taken are
+
+* identifiers of six or more characters with four or more digits;
+* secrets like them; behind ``:``, ``=``, a quote or "Bearer" also those of eight or
+  more characters with a letter and a digit, anywhere those of sixteen or more;
+* passwords (password, passwd, pwd, passphrase) behind ``:`` or ``=`` whatever their
+  signs, of twelve or more characters, or of six or more in quotes.
+
+A PEM block without its end line reaches to its last line of 16 or more
+base64 signs.  A house number is looked for in the 80 characters before the street word;
+before an abbreviation (St., Ave., Rd., Blvd., Ln.) the street's names begin
+with capitals.
 
 Each anchor is visited once and parsers stop at the previous match of their
 kind (cues keep the run that they last saw), so the work is linear in the text.  Cases: a null or empty text has no
@@ -60,26 +74,38 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 _SCHEMES = ("mailto:", "tel:", "http://", "https://", "ftp://", "ssh://")
 _AT_WORDS = ("(at)", "[at]", "{at}")
-_STREETS = ("Street", "Avenue", "Road", "Boulevard", "Lane", "Drive", "Straße", "straße", "Calle", "Rue ", "rue ")
-_CUES = ("iban", "account", "acct", "konto", "cuenta", "compte", "ssn", "passport", "token", "secret", "password", "api_key",
-         "api key", "apikey")
+_STREETS = ("Street", "Avenue", "Road", "Boulevard", "Lane", "Drive", "Straße", "straße", "Calle", "Rue ", "rue ", "St.", "Ave.", "Rd.", "Blvd.", "Ln.")
+_PASSWORDS = ("password", "passwd", "pwd", "passphrase")
+_SECRETS = ("token", "secret", "api_key", "api key", "api-key", "apikey", "access_key", "access key", "access-key", "accesskey", "bearer", *_PASSWORDS)
+_SPANISH = ("nif", "nie", "dni")
+_CUES = ("iban", "account", "acct", "konto", "cuenta", "compte", "ssn", "passport", "tax id", "tax_id", "taxpayer id",
+         "steuer-id", "steuernummer", "national id", "national insurance", *_SPANISH, *_SECRETS)
+#: Prefixes of keys that services hand out, with the signs that follow.
+_KEYS = {"akia": r"AKIA[0-9A-Z]{16,}", "asia": r"ASIA[0-9A-Z]{16,}", "ghp_": r"ghp_[A-Za-z0-9]{20,}", "gho_": r"gho_[A-Za-z0-9]{20,}",
+         "ghs_": r"ghs_[A-Za-z0-9]{20,}", "ghu_": r"ghu_[A-Za-z0-9]{20,}", "github_pat_": r"github_pat_\w{20,}", "sk_live_": r"sk_live_[A-Za-z0-9]{16,}",
+         "rk_live_": r"rk_live_[A-Za-z0-9]{16,}", "xoxb-": r"xoxb-[A-Za-z0-9-]{16,}", "xoxp-": r"xoxp-[A-Za-z0-9-]{16,}", "aiza": r"AIza[A-Za-z0-9_-]{30,}",
+         "eyj": r"eyJ[A-Za-z0-9_-]{5,}\.eyJ[A-Za-z0-9_-]{5,}(?:\.[A-Za-z0-9_-]*)?",
+         "-----begin ": r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----(?:(?:[^-]|-(?!----))*+-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----"
+                        r"|(?:\s+[A-Za-z0-9+/=]{16,})*)"}
 _MAILTO = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+|\+?[0-9][0-9().\x20-]{5,}[0-9]")
 _USERINFO = re.compile(r"[^\s/@:]+(?::[^\s/@]*)?@[A-Za-z0-9.-]+")
 _DOT_WORD = re.compile(r"[\x20]?[\x20]?([A-Za-z0-9-]+(?:(?:\x20?[(\[{]dot[)\]}]\x20?|\.)[A-Za-z0-9-]+)+)")
 _NUMBER_LEFT = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,5}[A-Za-z]?,?(?:\x20[^\W\d_][\w.'-]*){1,3}\x20$")
+_NUMBER_LEFT_CAPITALS = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,5}[A-Za-z]?,?(?:\x20[^\W\d_a-z][\w'-]*){1,3}\x20$")
 _NUMBER_LEFT_JOINED = re.compile(r"(?<!\w)[^\W\d_][\w.'-]*$")
 _STREET_RIGHT = re.compile(r"(?:\x20[^\W\d_][\w.'-]*){1,3},?\x20[0-9]{1,5}(?![0-9])")
 _NUMBER_RIGHT = re.compile(r"\x20[0-9]{1,5}[A-Za-z]?(?![0-9A-Za-z])")
-_SECRETS = frozenset(w for w in _CUES if w[:2] in ("to", "se", "pa", "ap") and w != "passport")
-_LEAD = r"(?i:\x20(?:no|nr|number|num|id|key)\.?)?\x20?[:=#]?\x20?[\"']?"
+_NAMED = r"(?i:[\x20_-]?(?:number|nummer|num|nr|no|id|key)\.?)?(?![^\W\d_])"
+_LEAD = _NAMED + r"\x20?[:=#]?\x20?[\"']?"
 _FIRST = re.compile(_LEAD + r"(?=[A-Za-z0-9](?:[A-Za-z0-9_-]|\x20(?=[0-9A-Z]{2,4}\b)){5})")
 _FIRST_SECRET = re.compile(_LEAD + r"(?=[A-Za-z0-9](?:[!#$%*+./0-9=?@A-Z^_a-z~-]|\x20(?=[0-9A-Z]{2,4}\b)){5})"
-                           r"|(?i:\x20(?:no|nr|number|num|id|key)\.?)?\x20?(?:[:=]\x20?(?=[!#$%*+./0-9=?@A-Z^_a-z~-]{6})"
+                           r"|" + _NAMED + r"\x20?(?:[:=]\x20?(?=[!#$%*+./0-9=?@A-Z^_a-z~-]{6})"
                            r"|[:=#]?\x20?(?:\"(?=[^\s\"]{6})|'(?=[^\s']{6})))")
 _PLAIN = re.compile(r"[A-Za-z0-9_-]*")
 _SECRET = re.compile(r"[!#$%*+./0-9=?@A-Z^_a-z~-]*")
 _QUOTED = {q: re.compile(rf"[^\s{q}]*") for q in "\"'"}      # a secret in quotes may hold any other sign
-_GROUPS = re.compile(r"(?:\x20(?=[0-9A-Z]{2,4}\b)[A-Za-z0-9_-]+){1,16}")
+_GROUPS = re.compile(r"(?:\x20(?=[0-9A-Z]{2,4}\b)[A-Za-z0-9_-]+)*")
+_SPANISH_ID = re.compile(_LEAD + r"([XYZxyz]?)-?([0-9]{7,8})[\x20-]?([A-Za-z])(?![A-Za-z0-9])")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -101,11 +127,14 @@ def _automaton():
             a.add_word(_folded(w), (kind, len(w)))
     for w in _CUES:
         a.add_word(w, ("cue", len(w)))
+    for w in _KEYS:
+        a.add_word(w, ("key", len(w)))
     a.make_automaton()
     return a
 
 
 _AUTOMATON = None
+_KEY = {w: re.compile(p) for w, p in _KEYS.items()}
 
 
 def luhn(digits: str) -> bool:
@@ -123,6 +152,13 @@ def iban(s: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def spanish_id(first: str, digits: str, letter: str) -> bool:
+    """Check letter of a Spanish tax or identity number."""
+    if len(first + digits) != 8:
+        return False
+    return "TRWAGMYFPDXBNJZSQVHLCKE"[int(str("XYZ".index(first.upper())) + digits if first else digits) % 23] == letter.upper()
+
+
 def base_and_added(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """((start, kind number, end) of base spans, the same of added ones)."""
     global _AUTOMATON
@@ -197,57 +233,78 @@ def _street(text: str, at: int, end: int):
     if word.lower() == "straße":
         n, m = _NUMBER_LEFT_JOINED.search(left), _NUMBER_RIGHT.match(text, end)
         return (at - (len(n.group()) if n else 0), 4, m.end()) if m else None
-    n = _NUMBER_LEFT.search(left)
+    n = (_NUMBER_LEFT_CAPITALS if word.endswith(".") else _NUMBER_LEFT).search(left)
     return (at - len(n.group()), 4, end) if n and (end == len(text) or not text[end].isalnum()) else None
 
 
-def _run(text: str, at: int, pattern: re.Pattern, runs: dict) -> tuple[int, list[int]]:
-    """(end, places of the last four digits) of the run of the pattern's
-    signs around ``at``.  The last run of each pattern is kept, as cues
-    inside a run all end with it."""
-    lo, end, digits = runs.get(pattern, (0, 0, []))
+def _key(text: str, at: int, end: int):
+    if at and text[at - 1].isalnum():
+        return None
+    m = _KEY[text[at:end].lower()].match(text, at)
+    return (at, 5, m.end()) if m else None
+
+
+def _run(text: str, at: int, pattern: re.Pattern, runs: dict) -> tuple[int, list[int], int]:
+    """(end, places of the last four digits, place of the last letter) of the
+    run of the pattern's signs around ``at``.  The last run of each pattern is
+    kept, as cues inside a run all end with it."""
+    lo, end, digits, letter = runs.get(pattern, (0, 0, [], -1))
     if not lo <= at < end:
-        end, digits = pattern.match(text, at).end(), []
+        end, digits, letter = pattern.match(text, at).end(), [], -1
         k = end
-        while k > at and len(digits) < 4:
+        while k > at and (len(digits) < 4 or letter < 0):
             k -= 1
             if text[k] in _DIGITS:
                 digits.append(k)
-        runs[pattern] = (at, end, digits)
-    return end, digits
+            elif letter < 0 and text[k].isalpha():
+                letter = k
+        digits = digits[:4]
+        runs[pattern] = (at, end, digits, letter)
+    return end, digits, letter
 
 
 def _cue(text: str, at: int, end: int, runs: dict):
     if at and text[at - 1].isalnum():
         return None
     cue = text[at:end].lower()
+    if cue in _SPANISH:
+        m = _SPANISH_ID.match(text, end)
+        return (m.start(1), 5, m.end()) if m and spanish_id(*m.groups()) else None
     m = (_FIRST_SECRET if cue in _SECRETS else _FIRST).match(text, end)
     if not m:
         return None
     lo = m.end()
-    stop, digits = _run(text, lo, _PLAIN, runs)
+    stop, digits, letter = _run(text, lo, _PLAIN, runs)
+    quote = None
     if cue in _SECRETS:
         quote = text[lo - 1] if text[lo - 1] in _QUOTED else None
-        far, more = _run(text, lo, _QUOTED[quote] if quote else _SECRET, runs)
+        far, more, last = _run(text, lo, _QUOTED[quote] if quote else _SECRET, runs)
         if not quote:
             while far > stop and text[far - 1] in ".!?":         # ends the sentence, not the secret
                 far -= 1
         # a date or amount with dots or slashes is no secret: what its plain part does not show needs a letter
         if far > stop and (stop - lo >= 6 and sum(d >= lo for d in digits) >= 4 or _LETTER.search(text, lo, far)):
-            stop, digits = far, more
-    groups = _GROUPS.match(text, stop)
-    n = sum(d >= lo for d in digits) + (sum(c in _DIGITS for c in groups.group()) if groups else 0)
-    stop = groups.end() if groups else stop
+            stop, digits, letter = far, more, last
+    size, n, whole = stop - lo, sum(d >= lo for d in digits), stop
+    stop, digits, _ = _run(text, whole, _GROUPS, runs)
+    mixed, n = n and letter >= lo, n + sum(d >= whole for d in digits)
     if cue == "iban":
         value = text[lo:min(stop, lo + 67)]                       # 34 characters and what may part them
         for k in range(len(value), 14, -1):
             if iban(value[:k]) and value[k - 1] != " ":
                 return lo, 5, lo + k
         return None
-    return (lo, 5, stop) if n >= 4 and stop - lo >= 6 else None
+    if n >= 4 and stop - lo >= 6:
+        return lo, 5, stop
+    if cue not in _SECRETS:
+        return None
+    told = set(":=\"'") & set(m.group())
+    if mixed and (size >= 16 or size >= 8 and (told or cue == "bearer")):
+        return lo, 5, whole
+    return (lo, 5, whole) if cue in _PASSWORDS and told & {":", "="} and size >= (6 if quote else 12) else None
 
 
-_ADDED = {"scheme": _scheme, "at_word": _at_word, "street": _street}
+_ADDED = {"scheme": _scheme, "at_word": _at_word, "street": _street, "key": _key}
 
 
 def _apart(text: str, base: list, more: list) -> list:
