@@ -4,7 +4,8 @@ Each source lands one payload text per row (JSON document or HTML page)
 plus context columns (country / lang / city / subreddit / sport) and the
 ``fetched_at`` timestamp of the download.  Normalising is a pure
 column pipeline: ``from_json`` → ``explode``/``posexplode`` → predicates
-→ projection, each JSON text decoded once.  Only HTML leaves the JVM, for
+→ projection, each JSON text decoded once (a feed with
+page numbers a second time, to find its last page).  Only HTML leaves the JVM, for
 its script blocks; a payload that is not JSON yields no rows (``PERMISSIVE`` null), never an exception.  An item that cannot be a
 review (a rating that is no number, an item that is no object) is flagged
 with ``reject_reason`` and leaves alone: ``flag_*`` keep it, ``normalise_*``
