@@ -11,14 +11,20 @@ are found exactly:
   distance to vantage points.  A point beyond a ball's boundary by at most
   the radius also visits the inside; by the triangle inequality no closer
   pair can be apart then, so all other branches are pruned;
-* each leaf is a shard.  A shard that is too large for one task is dealt
-  into chunks, and each two chunks meet in a task of their own;
+* each leaf is a shard.  A first tree is fitted on a bounded sample of all
+  fingerprints; every shard that still holds more than ``2 * LEAF`` rows,
+  visitors included, gets a subtree of its own, fitted in a task on a bounded
+  sample of that shard, level by level, so that shards hold a bounded number
+  of rows however many fingerprints there are;
+* a shard that no ball can split (its half-fingerprints are nearly the same)
+  is dealt into chunks, and each two chunks meet in a task of their own;
 * within a task all fingerprints are compared over all 64 bits, and a
   spanning forest of the links is sent on instead of all pairs.
 
-Trees are fitted on a bounded sample of the distinct fingerprints
-(``SAMPLE``); they only steer the partitioning and every fingerprint passes
-through them, so the links do not depend on the sample.
+Samples (``SAMPLE`` rows of the table, ``SUBSAMPLE`` of a shard) only steer the
+partitioning: every fingerprint passes through the trees, so the links do not
+depend on them.  Subtrees are rows of a table beside the points that they
+route; only the first trees are seen by the driver.
 
 Cases: a null or wordless text has fingerprint zero and is linked like any
 other; texts with fewer words than a shingle are one shingle; rows with
@@ -37,13 +43,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import cell_rows, dealt_cells, free_name, local_forest, map_arrow, meeting, prepare, sorted_groups, split_groups, stage, texts
+from reviewlake.llm.common import (dealt_cells, free_name, local_forest, map_arrow, meeting, mix, prepare, shuffle_partitions,
+                                   sorted_groups, split_groups, stage, texts)
 from reviewlake.llm.components import components
 
 SEED = 42                # of the shingle hash
-SAMPLE = 65_536          # distinct fingerprints that the trees are fitted on, about
-LEAF = 512               # fingerprints of a leaf to aim for
-CELL = 512               # rows of a group that are compared with each other in one go, at least
+SAMPLE = 65_536          # distinct fingerprints that the first trees are fitted on, about
+SUBSAMPLE = 8_192        # rows of a shard that its subtree is fitted on, about
+LEAF = 1_024             # rows of a leaf to aim for, visitors included
+ROUTED = 1 << 20         # rows of a shard that one task routes, about
+GATHER = 65_536          # rows that go through a tree at once
 HALVES = 2
 
 
@@ -85,7 +94,8 @@ def with_fingerprint(docs: DataFrame, out: str, text_col: str = "text", words: i
 def fit_tree(points: np.ndarray, leaf: int, radius: int) -> list[tuple]:
     """Nodes (vantage, boundary, inside, outside); a child below zero is the
     leaf -child - 1.  Of a few vantage points and their middle distances it
-    takes the pair that sends the fewest points into the larger side."""
+    takes the pair that leaves the fewest comparisons.  Points that visit the
+    inside from beyond its boundary count there, so a leaf holds them too."""
     nodes: list = []
     leaves = 0
 
@@ -94,12 +104,12 @@ def fit_tree(points: np.ndarray, leaf: int, radius: int) -> list[tuple]:
         best = None
         if len(p) > leaf:
             for v in p[np.linspace(0, len(p) - 1, 7).astype(int)]:
-                d = np.bitwise_count(p ^ v)
-                for t in np.unique(np.quantile(d, [0.3, 0.5, 0.7]).astype(int)):
-                    inside, outside = int((d <= t + radius).sum()), int((d > t).sum())
+                upto = np.cumsum(np.bincount(np.bitwise_count(p ^ v), minlength=66))        # points within each distance
+                for t in set(np.searchsorted(upto, np.array([0.3, 0.5, 0.7]) * len(p)).tolist()):
+                    inside, outside = int(upto[min(t + radius, 65)]), len(p) - int(upto[t])
                     score = inside * inside + outside * outside
-                    if outside and int((d <= t).sum()) and (best is None or score < best[0]):
-                        best = (score, v, int(t))
+                    if outside and (best is None or score < best[0]):
+                        best = (score, v, t)
         if best is None or best[0] >= 0.95 * len(p) ** 2:
             leaves += 1
             return -leaves
@@ -107,7 +117,7 @@ def fit_tree(points: np.ndarray, leaf: int, radius: int) -> list[tuple]:
         at = len(nodes)
         nodes.append(None)
         d = np.bitwise_count(p ^ v)
-        nodes[at] = (int(v), t, grow(p[d <= t]), grow(p[d > t]))
+        nodes[at] = (int(v), t, grow(p[d <= t + radius]), grow(p[d > t]))
         return at
 
     grow(np.sort(points))
@@ -140,25 +150,105 @@ def halves(fp: np.ndarray) -> list[np.ndarray]:
     return [(u >> np.uint64(32)).astype(np.uint32), (u & np.uint64(0xFFFFFFFF)).astype(np.uint32)]
 
 
-def linked_fingerprints(distinct: DataFrame, fp: str, max_distance: int = 3) -> DataFrame:
-    """Spanning links (x, y) of the distinct long fingerprints in ``fp``."""
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of small rows put together, so that a tree is walked seldom."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _subtrees(big: DataFrame, radius: int, leaf: int) -> DataFrame:
+    """(shard, _n, nodes) of every shard of the rows (x, shard, _n): a tree
+    fitted on a sample of the shard's own rows; no nodes if none splits it."""
+    share = F.least(F.lit(1.0), F.lit(SUBSAMPLE) / F.col("_n"))
+    sample = big.where(F.pmod(F.xxhash64("x", "shard", F.lit(7)), F.lit(1 << 30)) < share * (1 << 30))
+    whole = sample.repartition(shuffle_partitions(big.sparkSession), "shard").sortWithinPartitions("shard")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, t in sorted_groups(batches, "shard"):
+            n, p = t.column("_n")[0].as_py(), halves(t.column("x").to_numpy())[shard % HALVES]
+            nodes = np.array(fit_tree(p, max(16, leaf * len(p) // n), radius), np.int64)
+            yield pa.record_batch([pa.array([shard], pa.int64()), pa.array([n], pa.int64()), pa.array([nodes.tobytes()], pa.binary())],
+                                  names=["shard", "_n", "nodes"])
+
+    return map_arrow(whole, fit, "shard long, _n long, nodes binary")
+
+
+def _descended(big: DataFrame, trees: DataFrame, radius: int) -> DataFrame:
+    """The rows (x, shard, _n) routed through the subtrees of their shards.
+    A large shard is routed by several tasks, each with a copy of its tree."""
+    tasks = F.ceil(F.col("_n") / F.lit(ROUTED)).cast("int")
+    points = big.select("shard", F.pmod(F.xxhash64("x", F.lit(13)), tasks).cast("int").alias("task"), "x", F.lit(None).cast("binary").alias("nodes"))
+    roots = trees.select("shard", F.explode(F.sequence(F.lit(0), tasks - 1)).alias("task"), F.lit(None).cast("long").alias("x"), "nodes")
+    beside = points.unionByName(roots).repartition(shuffle_partitions(big.sparkSession), "shard", "task") \
+                   .sortWithinPartitions("shard", "task", F.col("nodes").isNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes: list[tuple] = []
+        for b in _gathered(batches, GATHER):
+            shard, x = b.column("shard").to_numpy(), b.column("x").fill_null(0).to_numpy()
+            root = b.column("nodes").is_valid().to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(root).tolist()
+            for lo, hi in zip([0, *starts], [*starts, b.num_rows]):
+                if lo < hi and root[lo]:
+                    nodes = [tuple(r) for r in np.frombuffer(b.column("nodes")[lo].as_py(), np.int64).reshape(-1, 4).tolist()]
+                    lo += 1
+                if lo < hi:
+                    half = int(shard[lo]) % HALVES
+                    i, at = route(nodes, halves(x[lo:hi])[half], radius)
+                    deeper = mix(mix(np.full(len(at), shard[lo]).view(np.uint64)) + at.astype(np.uint64))    # equal names would only join two shards
+                    deeper = (deeper & ~np.uint64(1) | np.uint64(half)).view(np.int64)
+                    yield pa.record_batch([pa.array(x[lo:hi][i]), pa.array(deeper)], names=["x", "shard"])
+
+    return map_arrow(beside, run, "x long, shard long")
+
+
+def shards(distinct: DataFrame, fp: str, radius: int, sample_rows: int = SAMPLE, leaf_rows: int = LEAF) -> DataFrame:
+    """(x, shard) of the distinct long fingerprints in ``fp``: two that differ
+    in at most ``radius`` bits of a half share a shard.  The last bit of a
+    shard's name is the half that it is for.  A shard holds ``2 * leaf_rows``
+    rows at most, unless no ball splits it."""
     spark = distinct.sparkSession
-    n, radius = distinct.count(), max_distance // HALVES
-    share = min(1.0, SAMPLE / max(n, 1))
-    sample = distinct.where(F.pmod(F.xxhash64(fp, F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * SAMPLE)
+    n = distinct.count()
+    share = min(1.0, sample_rows / max(n, 1))
+    sample = distinct.where(F.pmod(F.xxhash64(fp, F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * sample_rows)
     seen = sample.select(fp).toPandas()[fp].to_numpy(np.int64)
-    leaf = max(16, int(LEAF * len(seen) / max(n, 1)))
-    trees = spark.sparkContext.broadcast([fit_tree(p, leaf, radius) for p in halves(seen)])   # about SAMPLE / 16 nodes at most
+    leaf = max(16, int(leaf_rows * len(seen) / max(n, 1)))
+    trees = spark.sparkContext.broadcast([fit_tree(p, leaf, radius) for p in halves(seen)])   # a few times SAMPLE / 16 nodes at most
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _gathered(batches, GATHER):
             x = b.column(0).to_numpy()
             for k, p in enumerate(halves(x)):
                 i, at = route(trees.value[k], p, radius)
                 yield pa.record_batch([pa.array(x[i]), pa.array(at * HALVES + k, pa.int64())], names=["x", "shard"])
 
-    visits = stage(map_arrow(distinct.select(fp), visit, "x long, shard long"), "vp-visits")
-    cells = dealt_cells(split_groups(visits, "shard", "x", cell_rows(visits, CELL)).select("cell", "side", "x"), "side", "x")
+    rows = stage(map_arrow(distinct.select(fp), visit, "x long, shard long"), "vp-visits")
+    done = None
+    while True:
+        large = stage(rows.groupBy("shard").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 2 * leaf_rows), "vp-large")
+        if large.isEmpty():
+            return rows if done is None else done.unionByName(rows)
+        big = rows.join(large, "shard")
+        found = stage(_subtrees(big, radius, leaf_rows), "vp-subtrees")
+        splits = found.where(F.length("nodes") > 0)
+        if splits.isEmpty():
+            return rows if done is None else done.unionByName(rows)
+        ended = rows.join(splits.select("shard"), "shard", "left_anti")
+        done = ended if done is None else done.unionByName(ended)
+        rows = stage(_descended(big.join(splits.select("shard"), "shard", "left_semi"), splits, radius), "vp-visits")
+
+
+def linked_fingerprints(distinct: DataFrame, fp: str, max_distance: int = 3, sample_rows: int = SAMPLE, leaf_rows: int = LEAF) -> DataFrame:
+    """Spanning links (x, y) of the distinct long fingerprints in ``fp``."""
+    visits = shards(distinct, fp, max_distance // HALVES, sample_rows, leaf_rows)
+    cells = dealt_cells(split_groups(visits, "shard", "x", 2 * leaf_rows).select("cell", "side", "x"), "side", "x")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in sorted_groups(batches, "cell"):

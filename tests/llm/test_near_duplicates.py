@@ -10,11 +10,12 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from reviewlake.llm.cap_neardup import embedding_near_duplicates, fitted_codes
 from reviewlake.llm.common import dealt_cells, local_forest, meeting, split_groups
 from reviewlake.llm.components import components
-from reviewlake.llm.simhash_vp import fit_tree, linked_fingerprints, near_duplicates, route, simhash_components, text_fingerprint
+from reviewlake.llm.simhash_vp import fit_tree, linked_fingerprints, near_duplicates, route, shards, simhash_components, text_fingerprint
 
 
 def roots(n, pairs):
@@ -106,6 +107,22 @@ def test_linked_fingerprints_are_exact(spark):
     got = [(at[r[0]], at[r[1]]) for r in linked_fingerprints(df, "fp", 3).collect()]
     want = [(a, b) for a in range(len(fp)) for b in np.flatnonzero(np.bitwise_count(fp[:a] ^ fp[a]) <= 3)]
     assert roots(len(fp), got) == roots(len(fp), want)
+    got = [(at[r[0]], at[r[1]]) for r in linked_fingerprints(df, "fp", 3, sample_rows=64, leaf_rows=16).collect()]    # subtrees of subtrees
+    assert roots(len(fp), got) == roots(len(fp), want)
+
+
+def test_shards_stay_small_when_the_table_grows(spark):
+    """Random fingerprints: a first tree of few points, subtrees for the rest."""
+    size = {}
+    for n in (4_000, 32_000):
+        df = spark.range(n).select(F.xxhash64("id").alias("fp"))
+        rows = shards(df, "fp", 1, sample_rows=256, leaf_rows=64)
+        per = rows.groupBy("shard").agg(F.count("*").alias("n")).agg(F.max("n"), F.sum(F.col("n") * F.col("n"))).first()
+        assert per[0] <= 128 and rows.select("x").distinct().count() == n
+        size[n] = per[1] / n
+    assert size[32_000] < 2.5 * size[4_000]                  # comparisons per row; eight times the rows
+    same = spark.range(600).select(F.col("id").alias("fp"))  # one value in all upper halves: no ball splits it
+    assert shards(same, "fp", 1, sample_rows=64, leaf_rows=16).where("shard % 2 = 0").select("x").distinct().count() == 600
 
 
 def brute_components(rows):
