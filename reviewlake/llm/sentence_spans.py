@@ -6,11 +6,17 @@ in the corpus, in whatever documents, is repeated.  Its first
 occurrence (by document id, then place) stays; sentences covered by any
 other occurrence are removed from their documents.
 
-Sentences end at ``.``, ``!`` or ``?`` before white space, at a line break,
-and after ``LONGEST`` words, so that text without punctuation has spans too.
-They are compared lower-cased with white space collapsed.
-
-The rows that move are 64-bit hashes with their place; first occurrences
+Sentences end at ``.``, ``!`` or ``?`` before white space, behind a
+full-width stop, and at a line break.  A sentence of more than ``LONGEST``
+words is cut where its words say so: before each word whose hash is the
+smallest of some ``LONGEST`` neighbours.  So a passage without punctuation is
+cut alike behind any lead, save within ``LONGEST`` words of its ends.  Words
+are what white space separates; a sign of a script that is written without
+spaces is a word, and so is each sign of a run of more than ``WORD`` signs
+(two such signs count as one word towards ``LEAST``).  Sentences are compared
+lower-cased with white space collapsed.
+
+The rows that move are 128-bit hashes with their place; first occurrences
 are a minimum with map-side combine, joined back on the hash, so a passage
 that a third of all documents share is split by the skew join.  Texts move
 once, joined with the places to cut.
@@ -20,7 +26,7 @@ Cases: null and empty texts have no sentences; a text with fewer than
 separate documents (the CRC-32 of the text tells them apart), rows equal in
 both are one document and cut alike; a null id sorts first; an empty table
 gives an empty result; ``remove_repeats`` keeps all columns, whatever
-their names.
+their names (its own get another name where one is taken).
 """
 
 from __future__ import annotations
@@ -37,15 +43,52 @@ from pyspark.sql import types as T
 from reviewlake.llm.common import free_name, map_arrow, mix, stage, texts
 
 SPAN = 3                 # sentences of a run at least
-LONGEST = 16             # words after which a sentence is cut
+LONGEST = 16             # words of a sentence at most
 LEAST = 20               # words of a run at least
+WORD = 32                # signs of a word at most
 #: Columns that tell what was removed.
 REMOVED = T.StructType([
     T.StructField("removed", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))),
     T.StructField("first_ids", T.ArrayType(T.LongType())),
 ])
-_END = re.compile(r"[.!?]+(?=\s)|\n")
-_WORD = re.compile(r"\S+")
+_END = re.compile(r"[.!?]+(?=\s)|[\u3002\uff01\uff1f\uff0e]+|\n")
+#: Scripts written without spaces: Thai and Lao, Burmese, Khmer, kana, Han.
+_UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_WORD = re.compile(f"[{_UNSPACED}]|[^\\s{_UNSPACED}]+")
+
+
+def word_spans(part: str) -> list[tuple[int, int]]:
+    """(start, end) of every word."""
+    out = []
+    for m in _WORD.finditer(part):
+        lo, hi = m.span()
+        out += [(lo, hi)] if hi - lo <= WORD else [(k, k + 1) for k in range(lo, hi)]
+    return out
+
+
+def word_count(part: str) -> int:
+    """Words of a sentence, signs of unspaced runs as half a word each."""
+    plain = part.split()
+    if max(map(len, plain), default=0) <= WORD and not _HAS_UNSPACED.search(part):
+        return len(plain)
+    signs = words = 0
+    for m in _WORD.finditer(part):
+        n = m.end() - m.start()
+        one = n > WORD or _HAS_UNSPACED.match(part, m.start())
+        signs, words = signs + (n if one else 0), words + (not one)
+    return words + (signs + 1) // 2
+
+
+def _cuts(words: list[str]) -> list[int]:
+    """Words before which a long sentence is cut: those whose hash is the
+    smallest of a window of LONGEST words."""
+    import xxhash
+    h = np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in words), np.uint64, len(words))
+    low = np.lib.stride_tricks.sliding_window_view(h, LONGEST).min(axis=1)
+    pad = np.zeros(LONGEST - 1, np.uint64)                  # a window that leaves the sentence selects nothing
+    high = np.lib.stride_tricks.sliding_window_view(np.concatenate([pad, low, pad]), LONGEST).max(axis=1)
+    return np.flatnonzero(high == h).tolist()
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -53,15 +96,21 @@ def sentences(text: str) -> list[tuple[int, int]]:
     out, at = [], 0
     for stop in [m.end() for m in _END.finditer(text)] + [len(text)]:
         part = text[at:stop]
-        if part.count(" ") >= LONGEST:                  # it may have more words than a sentence can
-            words = [m.span() for m in _WORD.finditer(part)]
-            out += [(at + words[k][0], at + words[min(k + LONGEST, len(words)) - 1][1]) for k in range(0, len(words), LONGEST)]
+        words = word_spans(part) if len(part) > LONGEST and _may_be_long(part) else []
+        if len(words) > LONGEST:
+            cuts = [0, *(k for k in _cuts([part[lo:hi].lower() for lo, hi in words]) if k), len(words)]
+            out += [(at + words[lo][0], at + words[hi - 1][1]) for lo, hi in zip(cuts, cuts[1:])]
         elif part and not part.isspace():
             out.append((at + len(part) - len(part.lstrip()), at + len(part.rstrip())))
         at = stop
     return out
 
 
+def _may_be_long(part: str) -> bool:
+    plain = part.split()
+    return len(plain) > LONGEST or max(map(len, plain), default=0) > WORD or _HAS_UNSPACED.search(part) is not None
+
+
 def run_ends(words: np.ndarray) -> np.ndarray:
     """For each sentence (given its words) the end of the run that starts
     there: the shortest with SPAN sentences and LEAST words.  Sentences too
@@ -72,18 +121,18 @@ def run_ends(words: np.ndarray) -> np.ndarray:
 
 
 def run_keys(text: str) -> np.ndarray:
-    """Hashes of the runs of one text; run k starts at sentence k."""
+    """Two 64-bit hashes of each run of one text; run k starts at sentence k."""
     import xxhash
-    f, n, h = xxhash.xxh64_intdigest, [], []
+    f, n, h = xxhash.xxh128_digest, [], []
     for lo, hi in sentences(text):
-        words = text[lo:hi].lower().split()
-        n.append(len(words))
-        h.append(f(" ".join(words)))
+        part = text[lo:hi].lower()
+        n.append(word_count(text[lo:hi]))
+        h.append(f(" ".join(part.split()).encode("utf-8", "surrogatepass")))
     end = run_ends(np.array(n, np.int64))
     if not len(end):
-        return np.zeros(0, np.int64)
-    keys = np.zeros(len(end), np.uint64)
-    h, size = np.array(h, np.uint64), end - np.arange(len(end))
+        return np.zeros((0, 2), np.int64)
+    keys = np.zeros((len(end), 2), np.uint64)
+    h, size = np.frombuffer(b"".join(h), "<u8").reshape(-1, 2), end - np.arange(len(end))
     with np.errstate(over="ignore"):
         for k in range(int(size.max())):              # the k-th sentence of all runs that have one
             more = np.flatnonzero(size > k)
@@ -95,7 +144,7 @@ def without(text: str, runs: list[int]) -> tuple[str, list[tuple[int, int]]]:
     """The text without the sentences of the numbered runs, and the character
     ranges taken out of it (each with the white space behind it)."""
     spans = sentences(text)
-    end = run_ends(np.array([len(text[lo:hi].split()) for lo, hi in spans], np.int64))
+    end = run_ends(np.array([word_count(text[lo:hi]) for lo, hi in spans], np.int64))
     cut = np.zeros(len(spans), bool)
     for k in runs:
         cut[k:end[k]] = True
@@ -122,23 +171,25 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             row = pa.array(np.repeat(np.arange(b.num_rows), [len(k) for k in found]))
             if len(row):
                 place = np.concatenate([np.arange(len(k), dtype=np.int32) for k in found])
-                yield pa.record_batch([pa.array(np.concatenate(found)), b.column(0).take(row), b.column(2).take(row), pa.array(place)],
-                                      names=["h", "id", "crc", "place"])
+                key = np.concatenate(found)
+                yield pa.record_batch([pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()), b.column(0).take(row), b.column(2).take(row), pa.array(place)],
+                                      names=["h", "g", "id", "crc", "place"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")) \
                  .withColumn("crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    rows = stage(map_arrow(source, run, "h long, id long, crc long, place int"), "sentence-runs")
-    first = rows.groupBy("h").agg(F.min(F.struct("id", "crc", "place")).alias("f"), F.max(F.struct("id", "crc", "place")).alias("l")) \
-                .where(~F.col("f").eqNullSafe(F.col("l"))).select("h", "f")
+    rows = stage(map_arrow(source, run, "h long, g long, id long, crc long, place int"), "sentence-runs")
+    first = rows.groupBy("h", "g").agg(F.min(F.struct("id", "crc", "place")).alias("f"), F.max(F.struct("id", "crc", "place")).alias("l")) \
+                .where(~F.col("f").eqNullSafe(F.col("l"))).select("h", "g", "f")
     first = stage(first, "repeated-runs")          # joined as a table of its own, a hot hash can be split
-    return rows.join(first, "h").where(~F.struct("id", "crc", "place").eqNullSafe(F.col("f"))) \
+    return rows.join(first, ["h", "g"]).where(~F.struct("id", "crc", "place").eqNullSafe(F.col("f"))) \
                .select("id", "crc", "place", F.col("f.id").alias("first_id")).distinct()
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", changed_only: bool = False) -> DataFrame:
     """``docs`` with repeated sentences removed from ``text_col``, and columns
     ``removed`` (array of start, end in the old text, in code points) and
-    ``first_ids`` (documents that keep what was removed)."""
+    ``first_ids`` (documents that keep what was removed); a name that ``docs``
+    has already gets underscores."""
     cuts = repeated_runs(docs, id_col, text_col).groupBy("id", "crc") \
         .agg(F.collect_list("place").alias("places"), F.array_sort(F.collect_set("first_id")).alias("first_ids"))
     i, c, p, f = (free_name(docs, x) for x in ("_id", "_crc", "_places", "_firsts"))
@@ -146,7 +197,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     on = F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")) == F.col(c))
     joined = docs.join(cuts, on, "inner" if changed_only else "left").drop(i, c)
     names, at, n = docs.columns, docs.columns.index(text_col), len(docs.columns)
-    kept = [x for x in docs.columns if x not in ("removed", "first_ids")]
+    added = [free_name(docs, x.name) for x in REMOVED]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -157,10 +208,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 new.append(t)
                 gone.append([{"start": lo, "end": hi} for lo, hi in ranges])
             cols[at] = pa.array(new, pa.string())
-            by = dict(zip(names, cols))
-            yield pa.record_batch([*(by[x] for x in kept), pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                                   b.column(n + 1)], names=[*kept, "removed", "first_ids"])
+            yield pa.record_batch([*cols, pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                                   b.column(n + 1)], names=[*names, *added])
 
-    schema = docs.select(*[F.col(f"`{x}`").cast("string") if x == text_col else F.col(f"`{x}`") for x in kept]).schema
-    schema = T.StructType([*schema.fields, *REMOVED.fields])
+    schema = docs.select(*[F.col(f"`{x}`").cast("string") if x == text_col else F.col(f"`{x}`") for x in names]).schema
+    schema = T.StructType([*schema.fields, *(T.StructField(x, f.dataType) for x, f in zip(added, REMOVED))])
     return map_arrow(joined, run, schema)

@@ -43,7 +43,7 @@ def brute_spans(rows):
     for i, t in sorted(set(rows), key=lambda d: (d[0], zlib.crc32(d[1].encode()))):
         s = spans.sentences(t)
         norm = [" ".join(t[a:b].lower().split()) for a, b in s]
-        n = [len(x.split()) for x in norm]
+        n = [spans.word_count(x) for x in norm]
         gone = set()
         for k in range(len(s)):
             e = k + 3
@@ -61,12 +61,41 @@ def brute_spans(rows):
 
 
 def test_sentences_cover_all_words():
-    for t in ("One. Two! Three?\nFour", "a " * 40, "", " \n ", "x.y z. ", "A. B.\n\nC", "long " * 16 + "end. next"):
+    for t in ("One. Two! Three?\nFour", "a " * 40, "", " \n ", "x.y z. ", "A. B.\n\nC", "long " * 16 + "end. next", "tab\t" * 40, " ".join(map(str, range(99)))):
         got = [w for a, b in spans.sentences(t) for w in t[a:b].split()]
         assert got == t.split()
         assert all(len(t[a:b].split()) <= spans.LONGEST for a, b in spans.sentences(t))
 
 
+def shared_keys(a, b):
+    return len({tuple(k) for k in spans.run_keys(a).tolist()} & {tuple(k) for k in spans.run_keys(b).tolist()})
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(0, 40), st.integers(0, 40), st.sampled_from([" ", "\t", " \u3000"]))
+def test_a_passage_without_stops_has_common_runs_behind_any_lead(seed, before, after, space):
+    rng = random.Random(seed)
+    w = lambda n: [str(rng.randrange(10**6)) for _ in range(n)]
+    passage = w(120)
+    assert shared_keys(space.join(w(before) + passage + w(after)), space.join(w(after) + passage + w(before)))
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10**6), st.integers(0, 40), st.integers(0, 40), st.sampled_from([0, 12]))
+def test_text_without_spaces_has_common_runs(seed, before, after, stop):
+    """Chinese with full-width stops and without any; a long unspaced run."""
+    rng = random.Random(seed)
+
+    def han(n, first=0x4E00, last=0x9FA5):
+        signs = [chr(rng.randrange(first, last)) for _ in range(n)]
+        return "".join(c + ("\u3002" if stop and k % stop == stop - 1 else "") for k, c in enumerate(signs))
+    passage = han(240)
+    assert shared_keys(han(before) + passage + han(after), han(after) + passage + han(before))
+    code = "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(400))
+    assert shared_keys("x" * before + code + "yz" * after, "q" * after + code + "y" * before)
+    assert spans.word_count(passage.replace("\u3002", "")) == 120 and spans.word_count("a b " + "c" * 33) == 19
+
+
 def kept_text(t, gone):
     s = spans.sentences(t)
     out, last = [], 0
@@ -91,7 +120,7 @@ def test_repeated_spans_are_removed(spark):
 
 def test_spans_of_odd_documents(odd_docs, no_docs):
     out = spans.remove_repeats(odd_docs)
-    assert out.columns == [c for c in odd_docs.columns if c != "removed"] + ["removed", "first_ids"]
+    assert out.columns == [*odd_docs.columns, "removed_", "first_ids"] and out.dtypes[:-2] == odd_docs.dtypes
     rows = out.collect()
     assert len(rows) == odd_docs.count()
     assert sum(r["text"] is None for r in rows) == 2
