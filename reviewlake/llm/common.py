@@ -135,6 +135,16 @@ def run_hashes(h: np.ndarray, k: int) -> np.ndarray:
         return mix(acc)
 
 
+def sliding(h: np.ndarray, width: int, pick) -> np.ndarray:
+    """Extreme (``pick``: np.minimum or np.maximum) of every ``width`` consecutive values, by doubling."""
+    have, out = 1, h
+    while have < width:
+        step = min(have, width - have)
+        out = pick(out[:-step], out[step:])
+        have += step
+    return out
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.Table]]:
     """Runs of equal ``key`` (a non-null integer column) in sorted batches."""
     held: list[pa.RecordBatch] = []

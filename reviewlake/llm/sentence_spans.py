@@ -13,8 +13,8 @@ smallest of some ``LONGEST`` neighbours.  So a passage without punctuation is
 cut alike behind any lead, save within ``LONGEST`` words of its ends.  Words
 are what white space separates; a sign of a script that is written without
 spaces is a word, and so is each sign of a run of more than ``WORD`` signs
-(two such signs count as one word towards ``LEAST``).  Sentences are compared
-lower-cased with white space collapsed.
+(two words of one sign count as one towards ``LEAST``).  Sentences are
+compared word by word, lower-cased.
 
 The rows that move are 128-bit hashes with their place; first occurrences
 are a minimum with map-side combine, joined back on the hash, so a passage
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.llm.common import free_name, map_arrow, mix, stage, texts
+from reviewlake.llm.common import free_name, hash_values, map_arrow, mix, sliding, stage, texts
 
 SPAN = 3                 # sentences of a run at least
 LONGEST = 16             # words of a sentence at most
@@ -58,6 +58,15 @@ _HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
 _WORD = re.compile(f"[{_UNSPACED}]|[^\\s{_UNSPACED}]+")
 
 
+def _parts(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of what lies between two stops."""
+    at = 0
+    for m in _END.finditer(text):
+        yield at, m.end()
+        at = m.end()
+    yield at, len(text)
+
+
 def word_spans(part: str) -> list[tuple[int, int]]:
     """(start, end) of every word."""
     out = []
@@ -67,84 +76,104 @@ def word_spans(part: str) -> list[tuple[int, int]]:
     return out
 
 
-def word_count(part: str) -> int:
-    """Words of a sentence, signs of unspaced runs as half a word each."""
+def words_in(part: str, unspaced: bool) -> list[str]:
+    """The words; ``unspaced``: the text has signs of unspaced scripts."""
     plain = part.split()
-    if max(map(len, plain), default=0) <= WORD and not _HAS_UNSPACED.search(part):
-        return len(plain)
-    signs = words = 0
-    for m in _WORD.finditer(part):
-        n = m.end() - m.start()
-        one = n > WORD or _HAS_UNSPACED.match(part, m.start())
-        signs, words = signs + (n if one else 0), words + (not one)
-    return words + (signs + 1) // 2
+    if unspaced or max(map(len, plain), default=0) > WORD:
+        return [part[lo:hi] for lo, hi in word_spans(part)]
+    return plain
 
 
-def _cuts(words: list[str]) -> list[int]:
-    """Words before which a long sentence is cut: those whose hash is the
-    smallest of a window of LONGEST words."""
-    import xxhash
-    h = np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in words), np.uint64, len(words))
-    low = np.lib.stride_tricks.sliding_window_view(h, LONGEST).min(axis=1)
-    pad = np.zeros(LONGEST - 1, np.uint64)                  # a window that leaves the sentence selects nothing
-    high = np.lib.stride_tricks.sliding_window_view(np.concatenate([pad, low, pad]), LONGEST).max(axis=1)
-    return np.flatnonzero(high == h).tolist()
+def has_unspaced(text: str) -> bool:
+    return not text.isascii() and _HAS_UNSPACED.search(text) is not None
+
+
+def word_count(words: list[str]) -> int:
+    """Words of a sentence, two words of one sign as one."""
+    return len(words) - list(map(len, words)).count(1) // 2
+
+
+def _cuts(long: list[list[str]]) -> list[list[int]]:
+    """For each long sentence the words before which it is cut: those whose
+    hash is the smallest of LONGEST neighbours, all in the sentence."""
+    if not long:
+        return []
+    size = np.array([len(w) for w in long])
+    enc = pa.array([x for w in long for x in " ".join(w).lower().split(" ")], pa.large_string()).dictionary_encode()
+    h, owner = hash_values(enc.dictionary, 1)[enc.indices.to_numpy()], np.repeat(np.arange(len(long)), size)
+    low = sliding(h, LONGEST, np.minimum)
+    low[owner[LONGEST - 1:] != owner[:len(low)]] = 0        # a window that leaves the sentence selects nothing
+    pad = np.zeros(LONGEST - 1, np.uint64)
+    first = np.cumsum(size) - size
+    at = np.flatnonzero(sliding(np.concatenate([pad, low, pad]), LONGEST, np.maximum) == h)
+    at = np.setdiff1d(at, first)
+    edge = np.searchsorted(at, np.concatenate([first, [len(h)]]))
+    return [(at[lo:hi] - f).tolist() for lo, hi, f in zip(edge[:-1], edge[1:], first)]
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """(start, end) of every sentence, white space around it left out."""
-    out, at = [], 0
-    for stop in [m.end() for m in _END.finditer(text)] + [len(text)]:
-        part = text[at:stop]
-        words = word_spans(part) if len(part) > LONGEST and _may_be_long(part) else []
+    unspaced, parts = has_unspaced(text), []
+    for lo, hi in _parts(text):
+        words = words_in(text[lo:hi], unspaced)
+        if words:
+            parts.append((lo, hi, words))
+    cuts, out = iter(_cuts([w for _, _, w in parts if len(w) > LONGEST])), []
+    for lo, hi, words in parts:
         if len(words) > LONGEST:
-            cuts = [0, *(k for k in _cuts([part[lo:hi].lower() for lo, hi in words]) if k), len(words)]
-            out += [(at + words[lo][0], at + words[hi - 1][1]) for lo, hi in zip(cuts, cuts[1:])]
-        elif part and not part.isspace():
-            out.append((at + len(part) - len(part.lstrip()), at + len(part.rstrip())))
-        at = stop
+            at = word_spans(text[lo:hi])
+            edges = [0, *next(cuts), len(words)]
+            out += [(lo + at[x][0], lo + at[y - 1][1]) for x, y in zip(edges, edges[1:])]
+        else:
+            part = text[lo:hi]
+            out.append((lo + len(part) - len(part.lstrip()), lo + len(part.rstrip())))
     return out
 
 
-def _may_be_long(part: str) -> bool:
-    plain = part.split()
-    return len(plain) > LONGEST or max(map(len, plain), default=0) > WORD or _HAS_UNSPACED.search(part) is not None
-
-
 def run_ends(words: np.ndarray) -> np.ndarray:
     """For each sentence (given its words) the end of the run that starts
-    there: the shortest with SPAN sentences and LEAST words.  Sentences too
-    near the end of the text to start a run are left out."""
+    there: the shortest with SPAN sentences and LEAST words.  It may lie
+    beyond the last sentence."""
     total = np.concatenate([[0], np.cumsum(words)])
-    end = np.maximum(np.searchsorted(total, total[:-1] + LEAST), np.arange(len(words)) + SPAN)
-    return end[end <= len(words)]
+    return np.maximum(np.searchsorted(total, total[:-1] + LEAST), np.arange(len(words)) + SPAN)
 
 
-def run_keys(text: str) -> np.ndarray:
-    """Two 64-bit hashes of each run of one text; run k starts at sentence k."""
+def run_keys(batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, two 64-bit hashes) of each run of the texts; a run's
+    place is the number of the sentence that it starts with."""
     import xxhash
-    f, n, h = xxhash.xxh128_digest, [], []
-    for lo, hi in sentences(text):
-        part = text[lo:hi].lower()
-        n.append(word_count(text[lo:hi]))
-        h.append(f(" ".join(part.split()).encode("utf-8", "surrogatepass")))
+    parts, count = [], []
+    for text in batch:
+        unspaced, before = has_unspaced(text), len(parts)
+        parts += [w for lo, hi in _parts(text) if (w := words_in(text[lo:hi], unspaced))]
+        count.append(len(parts) - before)
+    cuts, h, n, per_part = iter(_cuts([w for w in parts if len(w) > LONGEST])), [], [], []
+    for words in parts:
+        edges = [0, *next(cuts), len(words)] if len(words) > LONGEST else [0, len(words)]
+        per_part.append(len(edges) - 1)
+        for x, y in zip(edges, edges[1:]):
+            some = words[x:y]
+            n.append(word_count(some))
+            h.append(xxhash.xxh128_digest(" ".join(some).lower().encode("utf-8", "surrogatepass")))
+    owner = np.repeat(np.repeat(np.arange(len(batch)), count), per_part)
+    last = np.searchsorted(owner, np.arange(len(batch)), "right")
     end = run_ends(np.array(n, np.int64))
-    if not len(end):
-        return np.zeros((0, 2), np.int64)
-    keys = np.zeros((len(end), 2), np.uint64)
-    h, size = np.frombuffer(b"".join(h), "<u8").reshape(-1, 2), end - np.arange(len(end))
+    start = np.flatnonzero(end <= last[owner]) if len(owner) else np.zeros(0, np.int64)
+    h, size = np.frombuffer(b"".join(h), "<u8").reshape(-1, 2), end[start] - start
+    keys = np.zeros((len(start), 2), np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(int(size.max())):              # the k-th sentence of all runs that have one
+        for k in range(int(size.max(initial=0))):     # the k-th sentence of all runs that have one
             more = np.flatnonzero(size > k)
-            keys[more] = mix(keys[more] + h[more + k] + np.uint64(k))
-    return keys.view(np.int64)
+            keys[more] = mix(keys[more] + h[start[more] + k] + np.uint64(k))
+    text = owner[start] if len(start) else start
+    return text, start - np.searchsorted(owner, text), keys.view(np.int64)
 
 
 def without(text: str, runs: list[int]) -> tuple[str, list[tuple[int, int]]]:
     """The text without the sentences of the numbered runs, and the character
     ranges taken out of it (each with the white space behind it)."""
-    spans = sentences(text)
-    end = run_ends(np.array([word_count(text[lo:hi]) for lo, hi in spans], np.int64))
+    spans, unspaced = sentences(text), has_unspaced(text)
+    end = run_ends(np.array([word_count(words_in(text[lo:hi], unspaced)) for lo, hi in spans], np.int64))
     cut = np.zeros(len(spans), bool)
     for k in runs:
         cut[k:end[k]] = True
@@ -167,13 +196,11 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [run_keys(t) for t in texts(b.column(1)).to_pylist()]
-            row = pa.array(np.repeat(np.arange(b.num_rows), [len(k) for k in found]))
+            row, place, key = run_keys(texts(b.column(1)).to_pylist())
             if len(row):
-                place = np.concatenate([np.arange(len(k), dtype=np.int32) for k in found])
-                key = np.concatenate(found)
-                yield pa.record_batch([pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()), b.column(0).take(row), b.column(2).take(row), pa.array(place)],
-                                      names=["h", "g", "id", "crc", "place"])
+                row = pa.array(row)
+                yield pa.record_batch([pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()), b.column(0).take(row), b.column(2).take(row),
+                                       pa.array(place, pa.int32())], names=["h", "g", "id", "crc", "place"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")) \
                  .withColumn("crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.llm.common import bounded, free_name, hash_values, map_arrow, prepare, run_hashes, shuffle_partitions, stage, texts
+from reviewlake.llm.common import bounded, free_name, hash_values, map_arrow, prepare, run_hashes, shuffle_partitions, sliding, stage, texts
 from reviewlake.llm.sentence_spans import REMOVED
 
 LEAST = 50               # words of a passage
@@ -70,22 +70,12 @@ def exact_words(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return counts, hash_values(enc.dictionary, 3)[enc.indices.to_numpy()] if len(enc) else np.zeros(0, np.uint64)
 
 
-def _sliding(h: np.ndarray, width: int, pick) -> np.ndarray:
-    """Extreme of every ``width`` consecutive values, by doubling."""
-    have, out = 1, h
-    while have < width:
-        step = min(have, width - have)
-        out = pick(out[:-step], out[step:])
-        have += step
-    return out
-
-
 def selected(h: np.ndarray) -> np.ndarray:
     """Places whose value is the minimum of some window of WINDOW values."""
     n = len(h)
     pad = np.full(WINDOW - 1, _TOP)
-    low = _sliding(np.concatenate([pad, h, pad]), WINDOW, np.minimum)      # all windows that touch a place
-    return np.flatnonzero(_sliding(low, WINDOW, np.maximum)[:n] == h)
+    low = sliding(np.concatenate([pad, h, pad]), WINDOW, np.minimum)      # all windows that touch a place
+    return np.flatnonzero(sliding(low, WINDOW, np.maximum)[:n] == h)
 
 
 def suffixes(counts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

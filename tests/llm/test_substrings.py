@@ -43,7 +43,7 @@ def brute_spans(rows):
     for i, t in sorted(set(rows), key=lambda d: (d[0], zlib.crc32(d[1].encode()))):
         s = spans.sentences(t)
         norm = [" ".join(t[a:b].lower().split()) for a, b in s]
-        n = [spans.word_count(x) for x in norm]
+        n = [spans.word_count(x.split()) for x in norm]
         gone = set()
         for k in range(len(s)):
             e = k + 3
@@ -68,7 +68,12 @@ def test_sentences_cover_all_words():
 
 
 def shared_keys(a, b):
-    return len({tuple(k) for k in spans.run_keys(a).tolist()} & {tuple(k) for k in spans.run_keys(b).tolist()})
+    """Runs that two texts share; the hashes of a text do not depend on its batch."""
+    text, place, key = spans.run_keys([a, "", b])
+    alone = spans.run_keys([b])
+    assert (alone[2] == key[text == 2]).all() and (alone[1] == place[text == 2]).all()
+    assert place[text == 0].tolist() == list(range((text == 0).sum())) and (text != 1).all()
+    return len({tuple(k) for k in key[text == 0].tolist()} & {tuple(k) for k in key[text == 2].tolist()})
 
 
 @settings(max_examples=60, deadline=None)
@@ -93,7 +98,8 @@ def test_text_without_spaces_has_common_runs(seed, before, after, stop):
     assert shared_keys(han(before) + passage + han(after), han(after) + passage + han(before))
     code = "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(400))
     assert shared_keys("x" * before + code + "yz" * after, "q" * after + code + "y" * before)
-    assert spans.word_count(passage.replace("\u3002", "")) == 120 and spans.word_count("a b " + "c" * 33) == 19
+    assert spans.word_count(spans.words_in(passage.replace("\u3002", ""), True)) == 120
+    assert spans.word_count(spans.words_in("a bc " + "d" * 33, False)) == 18
 
 
 def kept_text(t, gone):
