@@ -12,15 +12,23 @@
    suffix before, the suffix matches the head of the run, which is its
    earliest occurrence.  A run that crosses partitions takes its head from
    the partition where it began (one row per partition is kept for this).
-3. Of suffixes that match, and of their heads, every run of ``LEAST`` words
-   that holds the prefix whole is fingerprinted and sorted in the same way.
-   So a phrase that stands earlier by itself does not hide the longer
-   passage around it, which has an earliest occurrence of its own.
-4. Every such run of words that stands earlier is removed.
-
-Words are what ASCII white space separates, compared exactly (by hash).
-Sorted rows are a fingerprint with its place; texts of documents that have
-matches move once, to fingerprint them, and those that lose words again.
+3. Places in runs of more than one suffix are extended: each carries the
+   ``AROUND`` words before and behind its prefix.  Within a run, rows that
+   share the first d words to the right and the first ``AROUND`` - d words to
+   the left, for any d, hold one passage of ``LEAST`` words; all but the
+   earliest of them lose it.  Every row is so extended against every other of
+   its run, not only against its neighbour, by numbering the rows that agree
+   up to each word.  So a phrase that stands earlier by itself does not hide
+   the longer passage around it, which has an earliest occurrence of its own.
+   Runs are put together in tasks; the rows of a run too long for that
+   (``RUN``) take part in one aggregate per d, keyed by 128 bits of the same
+   words, which has a map-side combine.
+4. The extensions of a document's places are united and removed.
+
+Words are what ASCII white space separates, compared by hash: 64 bits of the
+prefix and 32 bits of each of the ``AROUND`` words that decide.  Sorted rows
+are a fingerprint with its place; texts of documents that have matches move
+once, to take the words around their places, and those that lose words again.
 
 Guarantee: a word is removed if, and only if, it lies in a passage of
 ``LEAST`` words that also stands earlier (by id, then place).
@@ -29,7 +37,7 @@ Cases: null and empty texts have no suffixes; rows with one id and
 different texts are separate documents (the CRC-32 of the text tells them
 apart), rows equal in both are one document and cut alike; a null id sorts
 first; an empty table gives an empty result; ``remove_repeats`` keeps all
-columns, whatever their names.
+columns, whatever their names (its own get another name where one is taken).
 """
 
 from __future__ import annotations
@@ -44,13 +52,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.llm.common import bounded, free_name, hash_values, map_arrow, prepare, run_hashes, shuffle_partitions, sliding, stage, texts
+from reviewlake.llm.common import bounded, free_name, hash_values, map_arrow, mix, prepare, run_hashes, shuffle_partitions, sliding, stage, texts
 from reviewlake.llm.sentence_spans import REMOVED
 
 LEAST = 50               # words of a passage
 PREFIX = 32              # words of a suffix that are compared by fingerprint
 WINDOW = 17              # places of which one is selected: WINDOW + PREFIX - 1 < LEAST
 GRAM = 6                 # words that select a place
+AROUND = LEAST - PREFIX  # words on either side that a passage around a prefix may have
+RUN = 65_536             # rows of a run that one task extends at most
 NO_ID = -(1 << 63)       # stands for a null id
 _TOKEN = re.compile(r"[^ \t\n\r\v\f]+")
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -167,36 +177,139 @@ def _matches(kind, part, h, i, c, p, f_i, f_c, f_p) -> pa.RecordBatch:
                            names=["kind", "part", "h", "id", "crc", "place", "f_id", "f_crc", "f_place"])
 
 
-def window_starts(places: np.ndarray, count: int) -> np.ndarray:
-    """Starts of the runs of LEAST words, in a text of ``count`` words, that
-    hold the prefix at one of the places whole."""
-    edge = np.zeros(count + 2, np.int64)
-    np.add.at(edge, np.maximum(places - (LEAST - PREFIX), 0), 1)
-    np.add.at(edge, places + 1, -1)
-    return np.flatnonzero(np.cumsum(edge)[:max(0, count - LEAST + 1)] > 0)
-
-
-def kept_windows(texts_: DataFrame, places: DataFrame) -> DataFrame:
-    """(h, id, crc, place) of the runs of LEAST words around the places
-    (id, crc, place) of the staged (id, crc, text)."""
-    at = places.groupBy("id", "crc").agg(F.collect_set("place").alias("at"))
+def surroundings(texts_: DataFrame) -> DataFrame:
+    """(h, id, crc, place, behind, around) of the places ``at`` of the staged
+    (id, crc, text, at): the prefix's fingerprint, how many words stand behind
+    it (AROUND at most), and 32 bits of each word around it, nearest first,
+    those to the left before those to the right."""
+    step = np.arange(AROUND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in bounded(batches, 2):
             counts, words = exact_words(b.column(2))
-            begin, row, place, key = np.cumsum(counts) - counts, [], [], []
-            every = run_hashes(words, LEAST).view(np.int64)
-            for r, at in enumerate(b.column(3).to_pylist()):
-                p = window_starts(np.array(at, np.int64), int(counts[r]))
-                row.append(np.full(len(p), r))
-                place.append(p)
-                key.append(every[begin[r] + p] if len(p) else np.zeros(0, np.int64))
-            if row:
-                row = pa.array(np.concatenate(row))
-                yield pa.record_batch([pa.array(np.concatenate(key)), b.column(0).take(row), b.column(1).take(row),
-                                       pa.array(np.concatenate(place), pa.int32())], names=["h", "id", "crc", "place"])
+            at = b.column(3)
+            place = at.flatten().to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(b.num_rows), pc.list_value_length(at).to_numpy())
+            if not len(place):
+                continue
+            g, behind = (np.cumsum(counts) - counts)[row] + place, np.minimum(counts[row] - place - PREFIX, AROUND)
+            short = np.append((words >> np.uint64(32)).astype(np.uint32), np.uint32(0))     # the last: no word
+            left = np.where(step < place[:, None], g[:, None] - 1 - step, len(words))
+            right = np.where(step < behind[:, None], g[:, None] + PREFIX + step, len(words))
+            around = np.ascontiguousarray(short[np.concatenate([left, right], axis=1)], "<u4")
+            packed = pa.Array.from_buffers(pa.binary(8 * AROUND), len(place), [None, pa.py_buffer(around)]).cast(pa.binary())
+            yield pa.record_batch([pa.array(run_hashes(words, PREFIX)[g].view(np.int64)), b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)),
+                                   pa.array(place, pa.int32()), pa.array(behind, pa.int32()), packed],
+                                  names=["h", "id", "crc", "place", "behind", "around"])
+
+    return map_arrow(texts_.select("id", "crc", "text", "at"), run, "h long, id long, crc long, place int, behind int, around binary")
+
+
+def _around(col) -> tuple[np.ndarray, np.ndarray]:
+    """The words to the left and to the right of some rows."""
+    m = np.frombuffer(b"".join(col.to_pylist()), "<u4").reshape(-1, 2 * AROUND)
+    return m[:, :AROUND], m[:, AROUND:]
+
+
+def _agreeing(run: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
+    """Entry d: equal numbers for the rows of one run that share d words."""
+    out = [run]
+    for w in words.T:
+        out.append(np.unique(out[-1].astype(np.uint64) << np.uint64(32) | w, return_inverse=True)[1])
+    return out
 
-    return map_arrow(texts_.join(at, ["id", "crc"]).select("id", "crc", "text", "at"), run, "h long, id long, crc long, place int")
+
+def earliest(run: np.ndarray, left: np.ndarray, right: np.ndarray, before: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """For rows in ascending order of place within their run, and each number
+    j of words to the left: the row with the earliest equal passage of LEAST
+    words that starts j words before the prefix; -1 if that is the row itself
+    or its text has no such passage."""
+    on_left, on_right = _agreeing(run, left), _agreeing(run, right)
+    head = np.full((len(run), AROUND + 1), -1, np.int64)
+    for j in range(AROUND + 1):
+        has = np.flatnonzero((before >= j) & (behind >= AROUND - j))
+        key = on_left[j][has].astype(np.uint64) << np.uint64(32) | on_right[AROUND - j][has].astype(np.uint64)
+        _, first, which = np.unique(key, return_index=True, return_inverse=True)
+        head[has, j] = np.where(has[first][which] == has, -1, has[first][which])
+    return head
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Batches sorted by ``h`` as tables of about ``rows`` rows that hold
+    their runs of equal ``h`` whole."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            t = pa.Table.from_batches(held)
+            h = t.column("h").to_numpy()
+            cut = int(np.searchsorted(h, h[-1]))
+            if cut:
+                yield t.slice(0, cut)
+            held, n = t.slice(cut).to_batches(), n - cut
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for t in whole_runs(batches, RUN):
+        h, i, place, behind = (t.column(k).to_numpy() for k in ("h", "id", "place", "behind"))
+        run = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+        head = earliest(run, *_around(t.column("around")), place, behind)
+        # neighbouring starts with one head are one row: j counts words to the left, so they run downwards
+        edge = np.ones((len(h), AROUND + 2), bool)
+        edge[:, 1:-1] = head[:, 1:] != head[:, :-1]
+        r, j = np.nonzero(edge[:, :-1])
+        stop = np.concatenate([np.nonzero(edge[:, 1:])[1]])
+        keep = head[r, j] >= 0
+        r, j, stop = r[keep], j[keep], stop[keep]
+        if len(r):
+            rows = pa.array(r)
+            yield pa.record_batch([t.column("id").combine_chunks().take(rows), t.column("crc").combine_chunks().take(rows),
+                                   pa.array(place[r] - stop, pa.int32()), pa.array(place[r] - j, pa.int32()), pa.array(i[head[r, j]])],
+                                  names=["id", "crc", "lo", "hi", "f_id"])
+
+
+def _extended_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of long runs once for each j: two hashes of the passage."""
+    for b in batches:
+        left, right = _around(b.column("around"))
+        place, behind, h = b.column("place").to_numpy(), b.column("behind").to_numpy(), b.column("h").to_numpy().view(np.uint64)
+        a, g = ([[mix(h + np.uint64(s))] for _ in range(2)] for s in (1, 2))
+        with np.errstate(over="ignore"):
+            for folds in (a, g):
+                for k, words in enumerate((left, right)):
+                    out = folds[k]
+                    for w in words.T:
+                        out.append(mix(out[-1] + w))
+        for j in range(AROUND + 1):
+            has = np.flatnonzero((place >= j) & (behind >= AROUND - j))
+            if len(has):
+                with np.errstate(over="ignore"):
+                    ka, kg = (mix(x[0][j][has] + mix(x[1][AROUND - j][has] + np.uint64(j))) for x in (a, g))
+                rows = pa.array(has)
+                yield pa.record_batch([pa.array(ka.view(np.int64)), pa.array(kg.view(np.int64)), b.column("id").take(rows), b.column("crc").take(rows),
+                                       b.column("place").take(rows), pa.array(np.full(len(has), j), pa.int32())],
+                                      names=["a", "g", "id", "crc", "place", "j"])
+
+
+def extensions(rows: DataFrame, run_rows: int = RUN) -> DataFrame:
+    """(id, crc, lo, hi, f_id) of the staged surroundings: passages of LEAST
+    words that start at words lo to hi stand earlier, first in f_id."""
+    n = shuffle_partitions(rows.sparkSession)
+    long_runs = stage(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > run_rows).select("h"), "suffix-long-runs")
+    order = ["h", "id", "crc", "place"]
+    whole = rows.join(long_runs, "h", "left_anti").repartition(n, "h").sortWithinPartitions(*order)
+    out = map_arrow(whole, _extend, "id long, crc long, lo int, hi int, f_id long")
+    if long_runs.isEmpty():
+        return out
+    keyed = stage(map_arrow(rows.join(long_runs, "h"), _extended_keys, "a long, g long, id long, crc long, place int, j int"), "suffix-long")
+    at = F.struct("id", "crc", "place")
+    first = stage(keyed.groupBy("a", "g").agg(F.min(at).alias("f"), F.max(at).alias("l")).where("f <> l").select("a", "g", "f"), "suffix-heads")
+    start = F.col("place") - F.col("j")
+    later = keyed.join(first, ["a", "g"]).where(at != F.col("f"))
+    return out.unionByName(later.select("id", "crc", start.alias("lo"), start.alias("hi"), F.col("f.id").alias("f_id")))
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -221,25 +334,37 @@ def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, list[tuple[i
     return "".join([*out, text[last:]]), gone
 
 
-def changed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _first_ids(spans: list[dict]) -> list[int]:
+    """The documents that hold the earliest of all passages at some start.
+    A place that not every occurrence selects may know a later one only."""
+    low, top = min(x["lo"] for x in spans), max(x["hi"] for x in spans)
+    first = np.full(top - low + 1, np.iinfo(np.int64).max)
+    for x in spans:
+        part = first[x["lo"] - low:x["hi"] - low + 1]
+        np.minimum(part, x["f_id"], out=part)
+    return [f for f in np.unique(first).tolist() if NO_ID < f < np.iinfo(np.int64).max]
+
+
+def changed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_rows: int = RUN) -> DataFrame:
     """(id, crc, text, removed, first_ids) of the documents that lose words."""
     prepare(docs.sparkSession)
     source = _sources(docs, id_col, text_col)
     matches = neighbour_matches(stage(kept_suffixes(source), "suffixes"))
-    places = stage(matches.select("id", "crc", "place").union(matches.select("f_id", "f_crc", "f_place")).distinct(), "suffix-places")
-    some = stage(source.join(places.select("id", "crc").distinct(), ["id", "crc"], "left_semi").dropDuplicates(["id", "crc"]), "suffix-texts")
-    again = neighbour_matches(stage(kept_windows(some, places), "suffix-windows"))
-    per_doc = again.groupBy("id", "crc").agg(F.collect_list("place").alias("at"), F.collect_set("f_id").alias("f_ids"))
-    cases = some.join(per_doc, ["id", "crc"]).select("id", "crc", "text", "at", "f_ids")
+    places = matches.select("id", "crc", "place").union(matches.select("f_id", "f_crc", "f_place"))
+    at = stage(places.groupBy("id", "crc").agg(F.collect_set("place").alias("at")), "suffix-places")
+    some = stage(source.join(at, ["id", "crc"]).dropDuplicates(["id", "crc"]), "suffix-texts")
+    again = extensions(stage(surroundings(some), "suffix-surroundings"), run_rows)
+    per_doc = again.groupBy("id", "crc").agg(F.collect_list(F.struct("lo", "hi", "f_id")).alias("spans"))
+    cases = some.select("id", "crc", "text").join(per_doc, ["id", "crc"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in bounded(batches, 2):
             new, gone, firsts = [], [], []
-            for text, at, f_ids in zip(*(b.column(k).to_pylist() for k in (2, 3, 4))):
-                t, ranges = without(text, merged([(p, p + LEAST) for p in at]))
+            for text, spans in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                t, ranges = without(text, merged([(x["lo"], x["hi"] + LEAST) for x in spans]))
                 new.append(t)
                 gone.append([{"start": lo, "end": hi} for lo, hi in ranges])
-                firsts.append(sorted(f for f in f_ids if f != NO_ID))
+                firsts.append(_first_ids(spans))
             yield pa.record_batch([b.column(0), b.column(1), pa.array(new, pa.string()),
                                    pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                                    pa.array(firsts, pa.list_(pa.int64()))], names=["id", "crc", "text", "removed", "first_ids"])
@@ -251,14 +376,14 @@ def changed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated passages removed from ``text_col``, and columns
     ``removed`` (array of start, end in the old text, in code points) and
-    ``first_ids`` (documents that keep what was removed)."""
+    ``first_ids`` (documents that keep what was removed); a name that ``docs``
+    has already gets underscores."""
     changed = stage(changed_texts(docs, id_col, text_col), "suffix-changed")
     names = {x: free_name(docs, f"_{x}") for x in changed.columns}
     changed = changed.select(*[F.col(x).alias(n) for x, n in names.items()])
     crc = F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
     out = docs.join(changed, F.col(id_col).cast("long").eqNullSafe(F.col(names["id"])) & (crc == F.col(names["crc"])), "left")
     is_cut = F.col(names["crc"]).isNotNull()
-    kept = [x for x in docs.columns if x not in ("removed", "first_ids")]
-    return out.select(*[F.when(is_cut, F.col(names["text"])).otherwise(F.col(x)).alias(x) if x == text_col else F.col(f"`{x}`") for x in kept],
-                      F.coalesce(names["removed"], F.array().cast(REMOVED["removed"].dataType)).alias("removed"),
-                      F.coalesce(names["first_ids"], F.array().cast("array<long>")).alias("first_ids"))
+    return out.select(*[F.when(is_cut, F.col(names["text"])).otherwise(F.col(x)).alias(x) if x == text_col else F.col(f"`{x}`") for x in docs.columns],
+                      F.coalesce(names["removed"], F.array().cast(REMOVED["removed"].dataType)).alias(free_name(docs, "removed")),
+                      F.coalesce(names["first_ids"], F.array().cast("array<long>")).alias(free_name(docs, "first_ids")))

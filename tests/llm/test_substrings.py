@@ -203,26 +203,46 @@ def test_runs_that_cross_partitions_have_one_head(spark):
 
 def test_phrases_that_stand_earlier_do_not_hide_a_passage(spark):
     """Passages around a phrase of 32 to 49 words that an earlier document holds."""
-    rng, rows = random.Random(12), []
+    rng, rows, keeper = random.Random(12), [], {}
     words = lambda n: [f"{rng.random():.9f}" for _ in range(n)]
     for k in range(120):
         size, inner = rng.choice([(50, 40), (60, 49), (60, 40), (100, 90)])
         passage, at = words(size), rng.choice([0, (size - inner) // 2, size - inner])
+        keeper[k] = {1000 + k, k} if inner >= suffix.LEAST else {1000 + k}
         rows.append((k, " ".join(words(20) + passage[at:at + inner] + words(20))))
         rows += [(1000 * c + k, " ".join(words(15) + passage + words(15))) for c in (1, 2, 3)]
     rows.append((9000, "again " * 200))
-    out = {r["id"]: r for r in suffix.changed_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["id"]: r for r in suffix.changed_texts(df).collect()}
     for (i, t), want in brute_windows(rows).items():
         assert (removed_words(t, out[i]["removed"] if i in out else []) == want).all(), i
+    assert all(r["first_ids"] and set(r["first_ids"]) <= keeper[i % 1000] for i, r in out.items() if i != 9000)
+    spread = {r["id"]: r for r in suffix.changed_texts(df, run_rows=2).collect()}                 # every run of three by aggregates
+    assert spread == out
+
+
+def test_extension_finds_the_earliest_equal_passage():
+    """All runs of one batch against comparing words row by row."""
+    rng = np.random.default_rng(2)
+    n, a = 400, suffix.AROUND
+    run = np.sort(rng.integers(0, 40, n))
+    left, right = (rng.integers(0, 9, (n, a)).astype(np.uint32) // 8 for _ in range(2))
+    before, behind = rng.integers(0, 40, n), rng.integers(0, a + 1, n)
+    head = suffix.earliest(run, left, right, before, behind)
+    for r in range(n):
+        for j in range(a + 1):
+            same = [q for q in np.flatnonzero(run == run[r]) if q <= r and before[q] >= j and behind[q] >= a - j
+                    and (left[q, :j] == left[r, :j]).all() and (right[q, :a - j] == right[r, :a - j]).all()]
+            assert head[r, j] == (same[0] if same and same[0] != r and same[-1] == r else -1)
 
 
 def test_suffixes_of_odd_documents(odd_docs, no_docs):
     out = suffix.remove_repeats(odd_docs)
-    assert out.columns == [c for c in odd_docs.columns if c != "removed"] + ["removed", "first_ids"]
+    assert out.columns == [*odd_docs.columns, "removed_", "first_ids"] and out.dtypes[:-2] == odd_docs.dtypes
     rows = out.collect()
     assert len(rows) == odd_docs.count()
     by = {r["doc_id"]: r for r in rows if r["doc_id"] not in (None, 21, 22)}
     assert by[20]["text"] == "" and by[20]["first_ids"] == [5] or by[20]["first_ids"] == []
     assert by[41]["text"] == "" or re.fullmatch(r"\s*(end)?", by[41]["text"])
-    assert by[40]["removed"] == [] or len(by[40]["text"]) > 0
+    assert by[40]["removed_"] == [] or len(by[40]["text"]) > 0
     assert suffix.remove_repeats(no_docs).count() == 0 and suffix.changed_texts(no_docs).count() == 0
