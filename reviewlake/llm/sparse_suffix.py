@@ -261,7 +261,7 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge = np.ones((len(h), AROUND + 2), bool)
         edge[:, 1:-1] = head[:, 1:] != head[:, :-1]
         r, j = np.nonzero(edge[:, :-1])
-        stop = np.concatenate([np.nonzero(edge[:, 1:])[1]])
+        stop = np.nonzero(edge[:, 1:])[1]
         keep = head[r, j] >= 0
         r, j, stop = r[keep], j[keep], stop[keep]
         if len(r):
@@ -312,16 +312,6 @@ def extensions(rows: DataFrame, run_rows: int = RUN) -> DataFrame:
     return out.unionByName(later.select("id", "crc", start.alias("lo"), start.alias("hi"), F.col("f.id").alias("f_id")))
 
 
-def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for lo, hi in sorted(ranges):
-        if out and lo <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], hi))
-        else:
-            out.append((lo, hi))
-    return out
-
-
 def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
     """The text without the word ranges, and the character ranges taken out
     (each with the white space behind it)."""
@@ -334,15 +324,36 @@ def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, list[tuple[i
     return "".join([*out, text[last:]]), gone
 
 
-def _first_ids(spans: list[dict]) -> list[int]:
-    """The documents that hold the earliest of all passages at some start.
-    A place that not every occurrence selects may know a later one only."""
-    low, top = min(x["lo"] for x in spans), max(x["hi"] for x in spans)
-    first = np.full(top - low + 1, np.iinfo(np.int64).max)
-    for x in spans:
-        part = first[x["lo"] - low:x["hi"] - low + 1]
-        np.minimum(part, x["f_id"], out=part)
-    return [f for f in np.unique(first).tolist() if NO_ID < f < np.iinfo(np.int64).max]
+def united(spans: pa.ListArray) -> tuple[list[list[tuple[int, int]]], list[list[int]]]:
+    """For each row's passages (lo, hi, f_id): the word ranges that they
+    cover, and the documents that hold the earliest passage of some start (a
+    place that not every occurrence selects may know a later one only)."""
+    flat, top = spans.flatten(), np.iinfo(np.int64).max
+    lo, hi, f = (flat.field(k).to_numpy().astype(np.int64) for k in ("lo", "hi", "f_id"))
+    n, row = len(spans), np.repeat(np.arange(len(spans)), pc.list_value_length(spans).to_numpy())
+    low, high = np.full(n, top), np.full(n, -1)
+    np.minimum.at(low, row, lo)
+    np.maximum.at(high, row, hi)
+    starts = np.where(high < 0, 0, high - low + 1)
+    base, size = np.cumsum(starts) - starts, hi - lo + 1
+    at = np.repeat(base[row] + lo - low[row] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    first = np.full(int(starts.sum()), top)
+    np.minimum.at(first, at, np.repeat(f, size))
+    at = np.flatnonzero(first < top)
+    owner = np.repeat(np.arange(n), starts)[at]
+    start = at - base[owner] + low[owner]
+    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (np.diff(start) > LEAST)])[:len(at)])
+    last = np.append(new[1:], len(at))[:len(new)] - 1
+    ranges: list = [[] for _ in range(n)]
+    for r, x, y in zip(owner[new].tolist(), start[new].tolist(), (start[last] + LEAST).tolist()):
+        ranges[r].append((x, y))
+    firsts: list = [[] for _ in range(n)]
+    order = np.lexsort((first[at], owner))
+    o, f = owner[order], first[at][order]
+    other = np.concatenate([[True], (o[1:] != o[:-1]) | (f[1:] != f[:-1])])[:len(o)] & (f != NO_ID)
+    for r, x in zip(o[other].tolist(), f[other].tolist()):
+        firsts[r].append(x)
+    return ranges, firsts
 
 
 def changed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_rows: int = RUN) -> DataFrame:
@@ -359,12 +370,12 @@ def changed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in bounded(batches, 2):
-            new, gone, firsts = [], [], []
-            for text, spans in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                t, ranges = without(text, merged([(x["lo"], x["hi"] + LEAST) for x in spans]))
+            new, gone = [], []
+            words, firsts = united(b.column(3))
+            for text, ranges in zip(b.column(2).to_pylist(), words):
+                t, ranges = without(text, ranges)
                 new.append(t)
                 gone.append([{"start": lo, "end": hi} for lo, hi in ranges])
-                firsts.append(_first_ids(spans))
             yield pa.record_batch([b.column(0), b.column(1), pa.array(new, pa.string()),
                                    pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                                    pa.array(firsts, pa.list_(pa.int64()))], names=["id", "crc", "text", "removed", "first_ids"])
