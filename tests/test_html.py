@@ -51,3 +51,23 @@ def test_null_and_empty_pages(spark):
     got = {r.k: r.b for r in df.select("k", script_blocks(F.col("html")).alias("b")).collect()}
     assert got[1] is None and got[2] == [] and got[3] == ["é", ""] and len(got[4][0]) == 2_000_000
     assert df.limit(0).select(script_blocks(F.col("html"))).collect() == []
+
+
+def test_a_batch_of_pages_is_not_held_whole():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from reviewlake.functions.html import found_scripts
+    page = "<p>a</p>" + OPEN + '{"t": "' + "\u20ac" * 100_000 + '"}</script>'
+    batch = pa.array([page, None, "<p>b</p>"] * 100, pa.string())
+    tracemalloc.start()
+    try:
+        rows = sizes = 0
+        for out in found_scripts(iter([batch, batch.slice(0, 0)]), LD):
+            rows, sizes = rows + len(out), sizes + sum(len(x) for x in out.flatten().to_pylist())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 300 and sizes == 100 * 100_009
+    assert peak < 10_000_000                 # 20 MB of text on the way in, and again on the way out
