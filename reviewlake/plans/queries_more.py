@@ -264,10 +264,11 @@ def q_upsert_bucketed(spark, sf):
     import uuid
 
     from reviewlake.session import scratch_path
-    from reviewlake.sinks.files import buckets_for, save_bucketed
+    from reviewlake.sinks.files import buckets_for, rows_and_bytes, save_bucketed
     name = f"reviews_{uuid.uuid4().hex[:10]}"
     table = stage(stored_table(spark, sf), "stored")
-    buckets = buckets_for(table.count())
+    rows, size = rows_and_bytes(table)
+    buckets = buckets_for(rows, size=size)
     save_bucketed(table, name, "review_id", buckets, path=scratch_path(spark, name))
     try:
         return stage(upsert(spark.table(name), stage(relabel_batch(spark, sf), "relabel-batch"), "review_id", UPDATE_SENTIMENT,

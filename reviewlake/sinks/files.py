@@ -10,7 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructType
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -101,11 +102,21 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: StructType, l
 
 
 ROWS_PER_BUCKET = 1_000_000
+BYTES_PER_BUCKET = 32_000_000
 
 
-def buckets_for(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Bucket count of a table with so many rows: bounded rows per bucket."""
-    return max(1, -(-rows // rows_per_bucket))
+def buckets_for(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET, size: int = 0) -> int:
+    """Bucket count of a table with so many rows and bytes: both are bounded per bucket."""
+    return max(1, -(-rows // rows_per_bucket), -(-size // BYTES_PER_BUCKET))
+
+
+def rows_and_bytes(df: DataFrame) -> tuple[int, int]:
+    """Row count, and bytes of the rows (texts by their UTF-8 length, 8 for any other column)."""
+    size = F.lit(0)
+    for f in df.schema.fields:
+        size = size + (F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) if isinstance(f.dataType, (StringType, BinaryType)) else F.lit(8))
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("size")).first()
+    return r["n"], r["size"]
 
 
 def save_bucketed(df: DataFrame, table_name: str, key: str, buckets: int, path: str | None = None,
@@ -117,7 +128,7 @@ def save_bucketed(df: DataFrame, table_name: str, key: str, buckets: int, path:
     are hash-partitioned into ``buckets`` first so each bucket is one file
     per write instead of one per task.
     """
-    w = (df.repartition(buckets, key).write.mode(mode).format("parquet")
+    w = (df.repartition(buckets, key).write.mode(mode).format("parquet").option("compression", "zstd")
            .bucketBy(buckets, key).sortBy(key))
     if path:
         w = w.option("path", path)

@@ -93,3 +93,13 @@ def test_bucketed_table_side_is_not_shuffled(spark, tmp_path):
     wide = [x for x in plan.splitlines() if "FileScan parquet" in x and "text#" in x]
     assert wide and all("Bucketed: true" in x for x in wide)     # only the key column may move
     assert {r.review_id: r.sentiment_label for r in df.collect()} == {"r1": "negative", "r2": "positive", "r9": "positive"}
+
+
+def test_buckets_are_bounded_in_bytes(spark, tmp_path, monkeypatch):
+    from reviewlake.sinks import files as S
+    df = spark.createDataFrame([(i, "é" * 500, None) for i in range(100)], "k long, t string, u string")
+    assert S.rows_and_bytes(df) == (100, 100 * 1008)
+    assert S.rows_and_bytes(df.where("k < 0")) == (0, 0)
+    monkeypatch.setattr(S, "BYTES_PER_BUCKET", 10_000)
+    assert S.buckets_for(100, size=100 * 1008) == 11
+    assert S.buckets_for(100) == 1 and S.buckets_for(2_500_000) == 3
