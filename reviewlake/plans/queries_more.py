@@ -3,6 +3,10 @@ storage projection, sentiment policy, text features."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,18 +63,32 @@ def normalised_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
     """The five sources in collection order (= dedup priority); what cannot
     be a review goes to a reject output.
 
-    Four of them are landed from the reviews adapter; it is staged once as
+    Four of them are landed from the reviews adapter; it is stored once as
     a table so its joins run once, not four times."""
     from reviewlake.plans.jobs import collect_sources
     from reviewlake.session import scratch_path
-    return collect_sources(spark, landed_sources(spark, sf), scratch_path(spark, "rejects"))
+    with landed_sources(spark, sf) as landed:
+        return collect_sources(spark, landed, scratch_path(spark, "rejects"))
 
 
-def landed_sources(spark: SparkSession, sf: str, spoil: int | None = None) -> dict[str, DataFrame]:
-    base = stage(classified_reviews(spark, sf), "reviews_base")
-    return {"play": L.play_payloads(spark, sf, base, spoil), "feed": L.feed_payloads(spark, sf, base, spoil),
-            "review_pages": L.review_page_payloads(spark, sf, base, spoil), "listing": L.listing_payloads(spark, sf),
-            "product_pages": L.product_page_payloads(spark, sf, base, spoil)}
+@contextmanager
+def landed_sources(spark: SparkSession, sf: str, spoil: int | None = None) -> Iterator[dict[str, DataFrame]]:
+    """The five landed sources, while the table of their reviews exists.  It is
+    bucketed by page, so no source moves the texts again for its pages."""
+    from reviewlake.session import scratch_path
+    from reviewlake.sinks.files import buckets_for, rows_and_bytes, save_bucketed
+    name = f"reviews_base_{uuid.uuid4().hex[:10]}"
+    rows, size = rows_and_bytes(read_table(spark, sf, "documents"))
+    buckets = buckets_for(rows, size=size)
+    base = classified_reviews(spark, sf).withColumn("page", L.page_of(F.col("doc_id")))
+    save_bucketed(base, name, "page", buckets, path=scratch_path(spark, name))
+    try:
+        base = spark.table(name)
+        yield {"play": L.play_payloads(spark, sf, base, spoil), "feed": L.feed_payloads(spark, sf, base, spoil),
+               "review_pages": L.review_page_payloads(spark, sf, base, spoil), "listing": L.listing_payloads(spark, sf),
+               "product_pages": L.product_page_payloads(spark, sf, base, spoil)}
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 @register("normalise_rejects")
@@ -79,8 +97,9 @@ def q_normalise_rejects(spark, sf):
     became a review, and what the reject output holds."""
     from reviewlake.plans.jobs import collect_sources
     from reviewlake.session import scratch_path
-    landed, path = landed_sources(spark, sf, spoil=11), scratch_path(spark, "rejects")
-    good = union_sources(collect_sources(spark, landed, path)).groupBy("source").agg(F.count(F.lit(1)).alias("good"))
+    path = scratch_path(spark, "rejects")
+    with landed_sources(spark, sf, spoil=11) as landed:
+        good = union_sources(collect_sources(spark, landed, path)).groupBy("source").agg(F.count(F.lit(1)).alias("good"))
     bad = spark.read.parquet(path).groupBy("source").agg(F.count(F.lit(1)).alias("rejected"))
     out = good.join(bad, "source", "left").withColumn("rejected", F.coalesce("rejected", F.lit(0)).cast("long"))
     return out.withColumn("items", F.col("good") + F.col("rejected"))
@@ -261,8 +280,6 @@ def q_pages_script_forms(spark, sf):
 def q_upsert_bucketed(spark, sf):
     """The upsert against a table stored bucketed by review_id: the table
     side is read pre-partitioned and only the batch is shuffled."""
-    import uuid
-
     from reviewlake.session import scratch_path
     from reviewlake.sinks.files import buckets_for, rows_and_bytes, save_bucketed
     name = f"reviews_{uuid.uuid4().hex[:10]}"

@@ -1,7 +1,8 @@
 """Land raw payloads from table data (the inverse of the normalisers).
 
 Each builder takes an optional ``base`` (the classified ``reviews`` rows)
-so a job that lands several sources computes the adapter join once.
+so a job that lands several sources computes the adapter join once.  A base
+stored bucketed by its column ``page`` is grouped into pages where it lies.
 
 Collection over HTTP is not part of this library; payloads arrive as
 files.  These builders produce the same payload shapes from the driver
@@ -36,6 +37,15 @@ def _rating(spoil: int | None):
     return r if spoil is None else F.when(F.col("doc_id") % spoil == 0, F.lit("n/a")).otherwise(r)
 
 
+def _page(r: DataFrame):
+    """The page a document lands on: a column of ``r``, or its id div ``PAGE_DOCS``."""
+    return F.col("page") if "page" in r.columns else page_of(F.col("doc_id")).alias("page")
+
+
+def page_of(doc_id):
+    return (doc_id / PAGE_DOCS).cast("long")
+
+
 def _label(c):
     return F.when(c.isNotNull(), F.struct(c.cast("string").alias("label")))
 
@@ -70,7 +80,7 @@ def feed_payloads(spark: SparkSession, sf: str, base: DataFrame | None = None, s
         _label(F.lit("app")).alias("id"), F.lit(None).cast("struct<label:string>").alias("im:rating"),
         _label(F.lit("App information")).alias("title"), _label(F.lit("about")).alias("content"),
         F.lit(None).cast("struct<label:string>").alias("updated"))
-    pages = (r.groupBy(F.col("language"), F.col("store_city"), (F.col("doc_id") / PAGE_DOCS).cast("long").alias("page"))
+    pages = (r.groupBy(F.col("language"), F.col("store_city"), _page(r))
               .agg(F.array_sort(F.collect_list(F.struct(F.col("doc_id").alias("k"), entry.alias("e")))).alias("es")))
     feed = F.struct(F.struct(F.concat(F.array(header), F.transform("es", lambda x: x["e"])).alias("entry")).alias("feed"))
     return pages.select(encode(feed).alias("payload"), F.col("language").alias("country"),
@@ -111,7 +121,7 @@ def review_page_payloads(spark: SparkSession, sf: str, base: DataFrame | None =
         iso(F.col("date")).alias("datePublished"),
         F.struct(F.concat(F.lit("user_"), F.col("doc_id").cast("string")).alias("name")).alias("author"),
     )
-    pages = (r.groupBy("language", "store_city", (F.col("doc_id") / PAGE_DOCS).cast("long").alias("page"))
+    pages = (r.groupBy("language", "store_city", _page(r))
               .agg(F.array_sort(F.collect_list(F.struct(F.col("doc_id").alias("k"), item.alias("v")))).alias("vs")))
     ld = encode(F.struct(F.transform("vs", lambda x: x["v"]).alias("review")))
     html = F.concat(F.lit("<html><head><title>Reviews</title>"), F.lit(LD_OPEN), ld, F.lit(LD_CLOSE),
@@ -129,14 +139,15 @@ def product_page_payloads(spark: SparkSession, sf: str, base: DataFrame | None =
     rv = F.struct(F.col("text").alias("reviewBody"),
                   F.struct(_rating(spoil).alias("ratingValue")).alias("reviewRating"),
                   iso(F.col("date")).alias("datePublished"))
-    products = (r.groupBy("sport_category", (F.col("doc_id") / PAGE_DOCS).cast("long").alias("page"),
-                          (F.col("doc_id") / 10).cast("long").alias("product"))
-                 .agg(F.array_sort(F.collect_list(F.struct(F.col("doc_id").alias("k"), rv.alias("v")))).alias("vs")))
-    item = F.struct(F.struct(F.transform("vs", lambda x: x["v"]).alias("review")).alias("item"))
-    pages = (products.groupBy("sport_category", "page")
-                     .agg(F.array_sort(F.collect_list(F.struct(F.col("product").alias("k"), item.alias("v")))).alias("items")))
-    ld = encode(F.struct(F.lit("ItemList").alias("@type"),
-                         F.transform("items", lambda x: x["v"]).alias("itemListElement")))
+    # the texts move once: a page's reviews are gathered, then dealt to its products
+    pages = (r.groupBy("sport_category", _page(r))
+              .agg(F.array_sort(F.collect_list(F.struct(F.col("doc_id").alias("k"), rv.alias("v")))).alias("vs")))
+
+    def product(x):
+        return (x["k"] / 10).cast("long")
+    items = F.transform(F.array_distinct(F.transform("vs", product)), lambda p: F.struct(F.struct(
+        F.transform(F.filter("vs", lambda x: product(x).eqNullSafe(p)), lambda x: x["v"]).alias("review")).alias("item")))
+    ld = encode(F.struct(F.lit("ItemList").alias("@type"), items.alias("itemListElement")))
     html = F.concat(F.lit("<html><head>"), F.lit(LD_OPEN), F.lit('{"@type": "Organization", "name": "shop"}'),
                     F.lit(LD_CLOSE), F.lit(LD_OPEN), ld, F.lit(LD_CLOSE), F.lit("</head><body></body></html>"))
     return pages.select(html.alias("html"), F.col("sport_category").alias("sport"), F.lit("pt").alias("lang"),

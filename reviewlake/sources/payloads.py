@@ -123,7 +123,8 @@ def _with_last_page(df: DataFrame, payload: str) -> DataFrame:
     stops = (df.where(F.coalesce(F.size(entries), F.lit(0)) <= 0)
                .groupBy(F.col("country").alias("_country"), F.col("city").alias("_city")).agg(F.min("page").alias("_last_page")))
     on = F.col("country").eqNullSafe(F.col("_country")) & F.col("city").eqNullSafe(F.col("_city"))
-    return df.join(stops, on, "left").drop("_country", "_city")
+    # one row per country and city at most: the payloads stay where they are
+    return df.join(F.broadcast(stops), on, "left").drop("_country", "_city")
 
 
 def flag_play(df: DataFrame, payload: str = "payload") -> DataFrame:

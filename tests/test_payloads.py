@@ -198,3 +198,25 @@ def test_each_json_text_is_decoded_once(spark, flag, columns, texts):
     plan = flag(df)._jdf.queryExecution().optimizedPlan().toString()
     wide = [x for x in plan.split("from_json(")[1:] if not x.startswith("ArrayType(StringType")]
     assert len(wide) == texts, plan
+
+
+def _exchanges(df):
+    """Exchanges of rows in the plan (not of broadcast ones)."""
+    import re
+    return re.findall(r"Exchange (hashpartitioning\S*)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_texts_move_once_to_their_pages(spark, sf):
+    from reviewlake.plans.queries_more import landed_sources
+    from reviewlake.sources import landing as L
+    from reviewlake.sources import payloads as P
+    from reviewlake.sources.tables import classified_reviews, stage
+    base = stage(classified_reviews(spark, sf), "base")
+    assert len(_exchanges(L.product_page_payloads(spark, sf, base))) == 1
+    with landed_sources(spark, sf) as landed:
+        for name in ("play", "feed", "review_pages", "product_pages"):
+            assert not _exchanges(landed[name])
+        plan = P.flag_feed(landed["feed"])._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        for name, alone in (("feed", L.feed_payloads), ("product_pages", L.product_page_payloads)):
+            assert sorted(map(repr, landed[name].collect())) == sorted(map(repr, alone(spark, sf, base).collect()))
