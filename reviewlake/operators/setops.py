@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+KEY_SLOTS = 1 << 20
+
+
 def union_sources(frames: Sequence[DataFrame], priority_col: str = "source_priority") -> DataFrame:
     """Union all, in the given order; each row gets its source's 1-based priority.
 
@@ -31,7 +34,18 @@ def dedup_first(df: DataFrame, key: str, order: Sequence[str | Column], strategy
     * ``window``: ``row_number() over (partition by key order by …) = 1``,
       the SQL ``QUALIFY`` form; it sorts every row of a key in one task, so
       use it only when keys are known not to be skewed.
+    * ``repeated``: for wide rows whose keys mostly occur once.  The keys are
+      counted first; only rows that share a slot (key hash modulo
+      ``KEY_SLOTS``) with a repeated key are aggregated, the others stay where
+      they are.  ``df`` is read three times: pass one that is stored.
     """
+    if strategy == "repeated":
+        slot = F.pmod(F.xxhash64(key), F.lit(KEY_SLOTS))
+        shared = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+                    .select(slot.alias("_slot")).distinct())
+        shared = F.broadcast(shared)             # KEY_SLOTS numbers at most
+        on = slot == F.col("_slot")
+        return df.join(shared, on, "left_anti").unionByName(dedup_first(df.join(shared, on, "left_semi"), key, order))
     cols = [c for c in df.columns if c != key]
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     if strategy == "window":

@@ -54,24 +54,27 @@ def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame |
     into ``table``, or the first load).  Returns the loaded table.
 
     Rows without an id, and rows whose numbers do not fit the stored types,
-    do not load; with ``reject_path`` they are appended there."""
+    do not load; with ``reject_path`` they are appended there.
+
+    The sources are read several times (their ids, the rows, those without an
+    id): pass stored ones (see ``collect_sources``, ``sources.tables.stage``)
+    where computing them is dear, as the jobs do."""
     union = union_sources(sources)
-    if reject_path:
-        union = stage(union, "collected")      # read twice: rows without an id, and the others
-    collected = dedup_first(union.where(F.col("review_id").isNotNull()), "review_id", ["source_priority", "date"]).drop("source_priority")
-    # publishing, rejects and both joins of the upsert read the enriched rows:
-    # they are written once to the shared checkpoint folder and read back
-    # (survives executor loss, cuts the lineage)
+    collected = dedup_first(union.where(F.col("review_id").isNotNull()), "review_id", ["source_priority", "date"],
+                            strategy="repeated").drop("source_priority")
+    # publishing, rejects, the key check and both joins of the upsert read the
+    # enriched rows: they are written once to the shared checkpoint folder and
+    # read back (survives executor loss, cuts the lineage)
     enriched = stage(enrich(collected, "text", lexicon), "enriched")
     if topic_path:
-        encode_records(enriched, "store_id").write.mode("append").parquet(topic_path)
+        encode_records(enriched, "store_id").write.mode("append").option("compression", "zstd").parquet(topic_path)
     stored, unfit = split_rejects(enriched, ingested_at=ingested_at)
     if reject_path:
         no_id = union.where(F.col("review_id").isNull()).drop("source_priority")
         unfit.unionByName(no_id, allowMissingColumns=True).write.mode("append").parquet(reject_path)
     if table is None:
         return stored
-    return upsert(table, stage(stored, "stored-batch"), "review_id", UPDATE_SENTIMENT, now=ingested_at)
+    return upsert(table, stored, "review_id", UPDATE_SENTIMENT, now=ingested_at)
 
 
 def collect_sources(spark: SparkSession, payloads: dict[str, DataFrame], reject_path: str) -> list[DataFrame]:

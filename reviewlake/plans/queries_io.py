@@ -178,6 +178,7 @@ def q_batch_load_incremental(spark, sf):
     from reviewlake.sources import payloads as P
     table = stage(q_weekly_batch_load(spark, sf), "loaded")
     again = P.normalise_play(L.play_payloads(spark, sf)).withColumn("text", F.concat(F.lit("Worst, useless. "), F.col("text")))
+    again = stage(again, "again")
     fresh = again.withColumn("review_id", F.concat(F.lit("new_"), F.col("review_id")))
     return jobs.batch_load(spark, [again, fresh], table=table, ingested_at=F.to_timestamp(F.lit("2026-03-01 00:00:00")),
                            reject_path=scratch_path(spark, "rejects"))

@@ -164,3 +164,20 @@ def test_submitted_settings_survive(tmp_path):
     out = subprocess.run([submit, "--master", "local[2]", "--conf", "spark.sql.shuffle.partitions=4000", "--conf", "spark.ui.enabled=false", str(job)],
                          env=os.environ | {"PYTHONPATH": root, "PYSPARK_PYTHON": sys.executable, "PYSPARK_DRIVER_PYTHON": sys.executable}, capture_output=True, text=True, timeout=120)
     assert "GOT local[2] 4000" in out.stdout, out.stderr[-2000:]
+
+
+def test_a_load_writes_its_texts_once(spark, tmp_path, monkeypatch):
+    """Besides what is published: neither the union nor the batch is stored again."""
+    from reviewlake.sources import tables
+    staged = []
+    monkeypatch.setattr(jobs, "stage", lambda df, name: staged.append(name) or tables.stage(df, name))
+    cols = "review_id string, source string, store_id string, store_name string, store_city string, rating double, text string, language string, date string, sport_category string, collected_at string"
+    def src(ids, text):
+        return spark.createDataFrame([(i, "s", "st", "n", "c", 4.0 if i != "big" else 999.0, f"{text} {i}", "en", "2026-01-01T00:00:00", "other", None) for i in ids], cols)
+    out = jobs.batch_load(spark, [src(["a", "b", "big", None], "first"), src(["b", "c", "c", None], "second")],
+                          topic_path=str(tmp_path / "topic"), reject_path=str(tmp_path / "rejects"))
+    assert sorted((r.review_id, r.review_text) for r in out.collect()) == [("a", "first a"), ("b", "first b"), ("c", "second c")]
+    assert spark.read.parquet(str(tmp_path / "topic")).count() == 4
+    assert sorted(str(r.review_id) for r in spark.read.parquet(str(tmp_path / "rejects")).collect()) == ["None", "None", "big"]
+    jobs.batch_load(spark, [src(["b", "d"], "third")], table=out, reject_path=str(tmp_path / "rejects"))
+    assert staged == ["enriched", "enriched"]

@@ -103,3 +103,12 @@ def test_buckets_are_bounded_in_bytes(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(S, "BYTES_PER_BUCKET", 10_000)
     assert S.buckets_for(100, size=100 * 1008) == 11
     assert S.buckets_for(100) == 1 and S.buckets_for(2_500_000) == 3
+
+
+def test_rows_of_single_keys_do_not_move(spark):
+    df = spark.createDataFrame([(f"k{i % 90}" if i % 7 else None, i % 5, f"t{i % 11}") for i in range(120)], "k string, seq int, t string")
+    got = dedup_first(df, "k", ["seq"], strategy="repeated")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, dedup_first(df, "k", ["seq"]).collect())) and got.columns == df.columns
+    wide = spark.range(1000).select(F.concat(F.lit("id"), "id").alias("k"), F.repeat(F.lit("x"), 100).alias("t"))
+    plan = dedup_first(wide, "k", ["t"], strategy="repeated")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
