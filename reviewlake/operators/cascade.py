@@ -44,6 +44,9 @@ def fill_topics(df: DataFrame, topics: TopicModel, text_col: str, out_col: str,
     return s.select(*carry, F.coalesce(F.col(out_col), best_topic(F.col("_scores"))).alias(out_col))
 
 
+ENRICHED = ("sentiment_label", "sentiment_score", "sport_category")
+
+
 def enrich(df: DataFrame, text_col: str = "text", lexicon=None) -> DataFrame:
     """Polarity score + label, then keyword category (or ``"other"``)."""
     return (df.transform(lambda d: with_polarity(d, text_col, lexicon))

@@ -15,6 +15,11 @@ inserts.  Unlike a full outer join, AQE can split a skewed partition of
 either, and a table that is stored bucketed by the key is not shuffled.
 The key check and both joins read the batch: pass one that is stored (see
 ``sources.tables.stage``) where computing it is dear, as the jobs do.
+
+``strategy="touched"`` is for wide rows of stored frames.  Which keys of the
+batch the table holds is found on the keys alone; of the table only rows whose
+key may be among them (see ``keybits``) are shuffled, the others stay where
+they are, and of the batch only the few rows that the keys' bitmaps cannot tell.
 """
 
 from __future__ import annotations
@@ -24,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlake.operators.keybits import bits_for, key_bits, with_may_hold
+
 UPDATE_SENTIMENT = ("sentiment_label", "sentiment_score")   # variant A
 UPDATE_TOUCH_ONLY: tuple[str, ...] = ()                     # variant B
 
@@ -37,12 +44,16 @@ def check_keys(batch: DataFrame, key: str) -> None:
 
 def upsert(table: DataFrame, batch: DataFrame, key: str = "review_id",
            update_cols: Sequence[str] = UPDATE_SENTIMENT, now: Column | None = None,
-           stamp_col: str = "ingested_at", buckets: int | None = None) -> DataFrame:
+           stamp_col: str = "ingested_at", buckets: int | None = None, strategy: str = "join") -> DataFrame:
     """Return the table after the upsert (a new DataFrame; the table is not written).
 
     ``buckets``: the bucket count of a table bucketed by ``key``; the batch
     is then dealt into as many partitions and the rows of the table stay where
-    they are (the anti join moves its key column only)."""
+    they are (the anti join moves its key column only).
+    ``strategy``: ``join``, or ``touched`` (see above), which reads table and
+    batch several times and is not for a bucketed table."""
+    if strategy not in ("join", "touched") or (strategy == "touched" and buckets):
+        raise ValueError(strategy)
     now = F.current_timestamp() if now is None else now
     cols, types = table.columns, {f.name: f.dataType for f in table.schema.fields}
     check_keys(batch, key)
@@ -53,7 +64,10 @@ def upsert(table: DataFrame, batch: DataFrame, key: str = "review_id",
     stamp = now.cast(types[stamp_col]) if stamp_col in types else None
     changes = s.select(F.col(key).alias("_k"), F.lit(True).alias("_hit"),
                        *[F.col(c).alias(f"_s_{c}") for c in update_cols if c in types and c not in (key, stamp_col)])
-    j = table.join(changes, table[key] == F.col("_k"), "left")
+    touched, rest, known, unsure = table, None, None, s
+    if strategy == "touched":
+        changes, touched, rest, known, unsure = _touched(table, s, changes, key)
+    j = touched.join(changes, touched[key] == F.col("_k"), "left")
     hit = F.col("_hit").isNotNull()
 
     def stored(c: str) -> Column:
@@ -63,10 +77,30 @@ def upsert(table: DataFrame, batch: DataFrame, key: str = "review_id",
             return F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
         return F.col(c)
 
-    inserts = s.join(table.select(F.col(key).alias("_t")), F.col(key) == F.col("_t"), "left_anti")
+    inserts = unsure.join(table.select(F.col(key).alias("_t")), F.col(key) == F.col("_t"), "left_anti")
+    if known is not None:
+        inserts = known.unionByName(inserts)
     if stamp is not None:
         inserts = inserts.withColumn(stamp_col, stamp)
-    return j.select(*[stored(c) for c in cols]).unionByName(inserts.select(*cols))
+    out = j.select(*[stored(c) for c in cols]).unionByName(inserts.select(*cols))
+    return out if rest is None else rest.select(*cols).unionByName(out)
+
+
+def _touched(table: DataFrame, batch: DataFrame, changes: DataFrame, key: str) -> tuple[DataFrame, ...]:
+    """``changes`` of rows that the table holds, the rows of the table that
+    may be touched and those that are not, the rows of the batch that the
+    table surely lacks and those still to be looked up."""
+    from reviewlake.sources.tables import stage
+    held = table.select(F.col(key).alias("_t")).where(F.col("_t").isNotNull()).distinct()
+    # keys, flags and new values only; four readers
+    marks = stage(changes.join(held, F.col("_k") == F.col("_t"), "left").withColumn("_held", F.col("_t").isNotNull()).drop("_t"), "changes")
+    bits = bits_for(marks.count())
+    found, missing = marks.where("_held"), marks.where("not _held")
+    found_bits, missing_bits = key_bits(found, "_k", bits), key_bits(missing, "_k", bits)
+    t = with_may_hold(table, key, found_bits, bits, "_may")
+    b = with_may_hold(batch, key, found_bits, bits, "_may")
+    unsure = with_may_hold(b.where("_may").drop("_may"), key, missing_bits, bits, "_may").where("_may").drop("_may")
+    return found.drop("_held"), t.where("_may").drop("_may"), t.where("not _may").drop("_may"), b.where("not _may").drop("_may"), unsure
 
 
 def merge_into(batch: DataFrame, table_name: str, key: str = "review_id",

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.operators.cascade import enrich
+from reviewlake.operators.cascade import ENRICHED, enrich
 from reviewlake.operators.merge import UPDATE_SENTIMENT, upsert
 from reviewlake.operators.projections import split_rejects, with_text_features
 from reviewlake.operators.setops import dedup_first, union_sources
+from reviewlake.session import shuffles_dropped
 from reviewlake.sources.tables import stage
 from reviewlake.sources.topic import encode_records
 
@@ -48,33 +49,51 @@ def processing_job(spark: SparkSession, stored: DataFrame, out_path: str) -> dic
 
 def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame | None = None,
                    lexicon=None, ingested_at=None, topic_path: str | None = None,
-                   reject_path: str | None = None) -> DataFrame:
+                   reject_path: str | None = None, item_reject_path: str | None = None) -> DataFrame:
     """collect (union + first occurrence) → sentiment + category → publish
     (encoded records appended to ``topic_path`` when given) → load (upsert
     into ``table``, or the first load).  Returns the loaded table.
 
     Rows without an id, and rows whose numbers do not fit the stored types,
-    do not load; with ``reject_path`` they are appended there.
+    do not load; with ``reject_path`` they are appended there.  With
+    ``item_reject_path`` the sources are flagged ones (see ``flag_sources``):
+    items that cannot be reviews are appended there, with source and reason.
 
-    The sources are read several times (their ids, the rows, those without an
-    id): pass stored ones (see ``collect_sources``, ``sources.tables.stage``)
-    where computing them is dear, as the jobs do."""
+    The sources are read once, in the write of their enriched rows."""
     union = union_sources(sources)
-    collected = dedup_first(union.where(F.col("review_id").isNotNull()), "review_id", ["source_priority", "date"],
-                            strategy="repeated").drop("source_priority")
-    # publishing, rejects, the key check and both joins of the upsert read the
-    # enriched rows: they are written once to the shared checkpoint folder and
-    # read back (survives executor loss, cuts the lineage)
-    enriched = stage(enrich(collected, "text", lexicon), "enriched")
-    if topic_path:
-        encode_records(enriched, "store_id").write.mode("append").option("compression", "zstd").parquet(topic_path)
-    stored, unfit = split_rejects(enriched, ingested_at=ingested_at)
-    if reject_path:
-        no_id = union.where(F.col("review_id").isNull()).drop("source_priority")
-        unfit.unionByName(no_id, allowMissingColumns=True).write.mode("append").parquet(reject_path)
+    flags = ["reject_reason", "reject_source"] if item_reject_path else []
+    columns = [c for c in union.columns if c not in ("source_priority", *flags)]
+    # duplicates are told apart by the columns as they came, also by those that enrich() sets anew
+    given = {c: f"_given_{c}" for c in columns if c in ENRICHED}
+    # duplicates, publishing, rejects, the key check and the joins of the upsert
+    # read the enriched rows: they are written once to the shared checkpoint
+    # folder and read back (survives executor loss, cuts the lineage)
+    rows = stage(enrich(union.withColumnsRenamed(given), "text", lexicon), "enriched")
+    as_given = [F.col(given.get(c, c)).alias(c) for c in columns]
+    with shuffles_dropped(spark):
+        if item_reject_path:
+            rows.where(F.col("reject_reason").isNotNull()).select(*as_given, *flags).write.mode("append").parquet(item_reject_path)
+            rows = rows.where(F.col("reject_reason").isNull()).drop(*flags)
+        collected = dedup_first(rows.where(F.col("review_id").isNotNull()), "review_id", ["source_priority", "date"],
+                                strategy="repeated")
+        enriched = collected.select(*columns, *[c for c in ENRICHED if c not in columns])
+        if topic_path:
+            encode_records(enriched, "store_id").write.mode("append").option("compression", "zstd").parquet(topic_path)
+        stored, unfit = split_rejects(enriched, ingested_at=ingested_at)
+        if reject_path:
+            no_id = rows.where(F.col("review_id").isNull()).select(*as_given)
+            unfit.unionByName(no_id, allowMissingColumns=True).write.mode("append").parquet(reject_path)
     if table is None:
         return stored
-    return upsert(table, stored, "review_id", UPDATE_SENTIMENT, now=ingested_at)
+    return upsert(table, stored, "review_id", UPDATE_SENTIMENT, now=ingested_at, strategy="touched")
+
+
+def flag_sources(payloads: dict[str, DataFrame]) -> list[DataFrame]:
+    """Landed payload frames (by source name, in collection order) → their
+    items, each with ``reject_source`` and, if it cannot be a review, a
+    ``reject_reason``.  Nothing is stored: for ``batch_load``, which reads them once."""
+    from reviewlake.sources.payloads import FLAGGERS
+    return [FLAGGERS[name](df).withColumn("reject_source", F.lit(name)) for name, df in payloads.items()]
 
 
 def collect_sources(spark: SparkSession, payloads: dict[str, DataFrame], reject_path: str) -> list[DataFrame]:

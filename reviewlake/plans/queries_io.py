@@ -17,14 +17,14 @@ from reviewlake.functions import timefn as TM
 from reviewlake.operators.filters import min_length
 from reviewlake.plans import jobs
 from reviewlake.plans.queries_more import (
-    BATCH_INGESTED_AT, normalised_sources, relabel_batch, stored_table,
+    BATCH_INGESTED_AT, landed_sources, relabel_batch, stored_table,
 )
 from reviewlake.registry import register
 from reviewlake.schema import REVIEW
 from reviewlake.session import scratch_path
 from reviewlake.sinks import files as S
 from reviewlake.sources import topic as TP
-from reviewlake.sources.tables import read_table, reviews, stage
+from reviewlake.sources.tables import passing_tables, read_table, reviews, stage
 from reviewlake.streaming import ingest as ST
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -165,23 +165,29 @@ def q_processing_job(spark, sf):
 def q_weekly_batch_load(spark, sf):
     """collect → sentiment + category → publish (topic files) → load (first
     load of the table)."""
-    return jobs.batch_load(spark, normalised_sources(spark, sf),
-                               ingested_at=F.to_timestamp(F.lit(BATCH_INGESTED_AT)),
-                               topic_path=scratch_path(spark, "published"), reject_path=scratch_path(spark, "rejects"))
+    with landed_sources(spark, sf) as landed:
+        return _first_load(spark, landed)
+
+
+def _first_load(spark, landed: dict[str, DataFrame]) -> DataFrame:
+    return jobs.batch_load(spark, jobs.flag_sources(landed), ingested_at=F.to_timestamp(F.lit(BATCH_INGESTED_AT)),
+                           topic_path=scratch_path(spark, "published"), reject_path=scratch_path(spark, "rejects"),
+                           item_reject_path=scratch_path(spark, "item-rejects"))
 
 
 @register("batch_load_incremental")
 def q_batch_load_incremental(spark, sf):
     """A second weekly load into the table of the first: known reviews get
-    the new sentiment, new ones are inserted."""
-    from reviewlake.sources import landing as L
+    the new sentiment, new ones are inserted.  Both loads land from one table
+    of reviews; the first one's working table goes once its result is stored."""
     from reviewlake.sources import payloads as P
-    table = stage(q_weekly_batch_load(spark, sf), "loaded")
-    again = P.normalise_play(L.play_payloads(spark, sf)).withColumn("text", F.concat(F.lit("Worst, useless. "), F.col("text")))
-    again = stage(again, "again")
-    fresh = again.withColumn("review_id", F.concat(F.lit("new_"), F.col("review_id")))
-    return jobs.batch_load(spark, [again, fresh], table=table, ingested_at=F.to_timestamp(F.lit("2026-03-01 00:00:00")),
-                           reject_path=scratch_path(spark, "rejects"))
+    with landed_sources(spark, sf) as landed:
+        with passing_tables(spark):
+            table = stage(_first_load(spark, landed), "loaded", keep=True)
+        again = P.normalise_play(landed["play"]).withColumn("text", F.concat(F.lit("Worst, useless. "), F.col("text")))
+        fresh = again.withColumn("review_id", F.concat(F.lit("new_"), F.col("review_id")))
+        return jobs.batch_load(spark, [again, fresh], table=table, ingested_at=F.to_timestamp(F.lit("2026-03-01 00:00:00")),
+                               reject_path=scratch_path(spark, "rejects"))
 
 
 def _load(spark, sf, columns: dict, policy: str) -> DataFrame:

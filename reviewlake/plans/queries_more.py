@@ -75,20 +75,23 @@ def normalised_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
 def landed_sources(spark: SparkSession, sf: str, spoil: int | None = None) -> Iterator[dict[str, DataFrame]]:
     """The five landed sources, while the table of their reviews exists.  It is
     bucketed by page, so no source moves the texts again for its pages."""
-    from reviewlake.session import scratch_path
+    from reviewlake.session import drop_scratch, scratch_path, shuffles_dropped
     from reviewlake.sinks.files import buckets_for, rows_and_bytes, save_bucketed
     name = f"reviews_base_{uuid.uuid4().hex[:10]}"
     rows, size = rows_and_bytes(read_table(spark, sf, "documents"))
     buckets = buckets_for(rows, size=size)
     base = classified_reviews(spark, sf).withColumn("page", L.page_of(F.col("doc_id")))
-    save_bucketed(base, name, "page", buckets, path=scratch_path(spark, name))
+    path = scratch_path(spark, name)
     try:
+        with shuffles_dropped(spark):
+            save_bucketed(base, name, "page", buckets, path=path)
         base = spark.table(name)
         yield {"play": L.play_payloads(spark, sf, base, spoil), "feed": L.feed_payloads(spark, sf, base, spoil),
                "review_pages": L.review_page_payloads(spark, sf, base, spoil), "listing": L.listing_payloads(spark, sf),
                "product_pages": L.product_page_payloads(spark, sf, base, spoil)}
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_scratch(spark, path)
 
 
 @register("normalise_rejects")

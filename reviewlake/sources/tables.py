@@ -15,6 +15,10 @@ Nulls in city, rating, date and label appear on purpose (every 89th / 97th
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,17 +139,39 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once as a parquet table in the shared checkpoint folder
     and read it back: several consumers then share one computation, and the
     lineage is cut (a lost executor re-reads the table instead of
-    recomputing the joins behind it).  Texts take up most of it: zstd."""
-    from reviewlake.session import scratch_path
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    recomputing the joins behind it).  Texts take up most of it: zstd.
+    Inside ``passing_tables`` it lives until that ends, unless ``keep``."""
+    from reviewlake.session import scratch_path, shuffles_dropped
+    path, passing = scratch_path(df.sparkSession, name), _STAGED.get()
+    if passing is not None and not keep:
+        passing.append(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """The tables staged inside are deleted at the end: for steps whose result
+    is stored with ``stage(..., keep=True)`` or written before it."""
+    from reviewlake.session import drop_scratch
+    token = _STAGED.set([])
+    try:
+        yield
+    finally:
+        paths = _STAGED.get()
+        _STAGED.reset(token)
+        for path in paths:
+            drop_scratch(spark, path)
+
+
 def classified_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter rows with ``sport_category`` from the keyword cascade."""
     from reviewlake.operators.classify import with_keyword_category

@@ -181,3 +181,62 @@ def test_a_load_writes_its_texts_once(spark, tmp_path, monkeypatch):
     assert sorted(str(r.review_id) for r in spark.read.parquet(str(tmp_path / "rejects")).collect()) == ["None", "None", "big"]
     jobs.batch_load(spark, [src(["b", "d"], "third")], table=out, reject_path=str(tmp_path / "rejects"))
     assert staged == ["enriched", "enriched"]
+
+
+def test_passing_tables_go(spark):
+    import os
+
+    from reviewlake.session import shuffles_dropped
+    from reviewlake.sources.tables import passing_tables, stage
+
+    def folder(df):
+        return df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    before = folder(stage(spark.range(3), "before"))
+    with passing_tables(spark):
+        inside, kept = stage(spark.range(3), "inside"), stage(spark.range(3), "kept", keep=True)
+        inside, kept_at = folder(inside), folder(kept)
+        assert os.path.exists(inside)
+    assert not os.path.exists(inside) and os.path.exists(kept_at) and os.path.exists(before) and kept.count() == 3
+    with pytest.raises(ValueError), passing_tables(spark), shuffles_dropped(spark):
+        inside = folder(stage(spark.range(3), "inside"))
+        raise ValueError
+    assert not os.path.exists(inside) and os.path.exists(folder(stage(spark.range(3), "after"))) and spark.conf.get(key, None) == was
+
+
+def test_duplicates_are_told_apart_by_the_columns_as_they_came(spark):
+    """Also by a category that the load replaces, as if the rows were classified after the choice."""
+    cols = "review_id string, source string, rating double, text string, date string, sport_category string, collected_at string"
+    a = spark.createDataFrame([("x", "s", 4.0, "great bike", "2026-01-01T00:00:00", "y", "2026-01-01T00:00:00"),
+                               ("x", "s", 4.0, "great bike", "2026-01-01T00:00:00", "b", "2026-01-02T00:00:00")], cols)
+    got = jobs.batch_load(spark, [a]).collect()
+    assert [(r.sport_category, r.collected_at.day) for r in got] == [("cycling", 2)]
+
+
+def test_two_loads_leave_only_the_tables_they_need(spark, tmp_path):
+    """No stored copy of a source, no landed table and one working table are left of two loads."""
+    import os
+    import re
+
+    from reviewlake.registry import all_queries
+    from reviewlake.session import checkpoint_dir
+    sf = str(tmp_path / "in")
+    docs = [(i, f"a great bike, document {i}" if i % 5 else None, "en", f"src{i % 3}", 20 + i) for i in range(1, 31)]
+    for name, rows, schema in [
+            ("documents", docs, "doc_id long, text string, lang string, source string, n_chars long"),
+            ("labels", [(i, i % 2, 0) for i in range(1, 20)], "doc_id long, quality int, toxic int"),
+            ("orders", [(i, "2026-01-02") for i in range(1, 25)], "o_orderkey long, o_orderdate string"),
+            ("nation", [(i, f"N{i}") for i in range(25)], "n_nationkey int, n_name string"),
+            ("conversations", [(1, i, "user", f"a long enough post, number {i}") for i in range(3)], "conv_id long, turn int, role string, text string")]:
+        df = spark.createDataFrame(rows, schema)
+        (df.selectExpr("o_orderkey", "cast(o_orderdate as timestamp_ntz) o_orderdate") if name == "orders" else df).write.parquet(f"{sf}/{name}.parquet")
+    scratch = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(scratch))
+    got = {r.review_id: r for r in all_queries()["batch_load_incremental"](spark, sf).collect()}
+    play = [k for k in got if k.startswith("gp_")]
+    assert len(play) == len([k for k in got if k.startswith("new_")]) > 20
+    assert all(got[k].ingested_at.month == 3 and not got[k].review_text.startswith("Worst, useless.") for k in play)
+    assert all(got["new_" + k].review_text.startswith("Worst, useless. ") and got["new_" + k].sentiment_score == got[k].sentiment_score for k in play)
+    left = sorted(re.sub(r"-[0-9a-f]{12}$", "", x) for x in set(os.listdir(scratch)) - before if re.search(r"-[0-9a-f]{12}$", x))
+    assert left == ["changes", "enriched", "item-rejects", "loaded", "published", "rejects", "rejects"]

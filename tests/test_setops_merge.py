@@ -112,3 +112,43 @@ def test_rows_of_single_keys_do_not_move(spark):
     wide = spark.range(1000).select(F.concat(F.lit("id"), "id").alias("k"), F.repeat(F.lit("x"), 100).alias("t"))
     plan = dedup_first(wide, "k", ["t"], strategy="repeated")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_touched_upsert_equals_the_join(spark, monkeypatch):
+    """Null and repeated keys in the table, hits and inserts, also where most keys share their bit."""
+    from reviewlake.operators import merge
+    t = spark.createDataFrame([(f"r{i % 70}" if i % 9 else None, "s", f"text {i}", "neutral", None) for i in range(100)], SCHEMA) \
+        .withColumn("ingested_at", F.to_timestamp(F.lit("2026-01-01 00:00:00")))
+    b = spark.createDataFrame([(f"r{i}", "new", f"new {i}", "positive" if i % 3 else None, None) for i in range(40, 120)], SCHEMA)
+    now = F.to_timestamp(F.lit("2026-02-01 00:00:00"))
+    def plain(df):
+        return sorted(map(repr, df.collect()))
+    want = plain(upsert(t, b, now=now))
+    for bits in (1 << 20, 64, 8):
+        monkeypatch.setattr(merge, "bits_for", lambda n, bits=bits: bits)
+        assert plain(upsert(t, b, now=now, strategy="touched")) == want
+    assert plain(upsert(t, b.limit(0), now=now, strategy="touched")) == plain(t)
+    assert plain(upsert(t.limit(0), b, now=now, strategy="touched")) == plain(upsert(t.limit(0), b, now=now))
+
+
+def test_touched_upsert_leaves_other_rows_where_they_are(spark):
+    from reviewlake.operators import merge
+    t = spark.range(5000).select(F.concat(F.lit("r"), "id").alias("k"), F.repeat(F.lit("x"), 100).alias("t"))
+    b = spark.range(4990, 5400).select(F.concat(F.lit("r"), "id").alias("k"), F.lit("new").alias("t"))
+    changes, touched, rest, known, unsure = merge._touched(t, b, b.select(F.col("k").alias("_k"), F.lit(True).alias("_hit")), "k")
+    assert changes.count() == 10 and 10 <= touched.count() < 50 and touched.count() + rest.count() == 5000
+    assert 380 < known.count() <= 400 and unsure.count() + known.count() <= 400 + 10
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_key_bits_miss_no_key(spark):
+    from reviewlake.operators.keybits import MAX_BITS, MIN_BITS, bits_for, key_bits, with_may_hold
+    assert bits_for(0) == MIN_BITS and bits_for(10 ** 9) == MAX_BITS and bits_for(100_000) >= 64 * 100_000
+    keys = spark.range(3000).select(F.when(F.col("id") % 50 != 0, F.concat(F.lit("é"), "id")).alias("k"))
+    for bits in (1 << 20, 1 << 16, 1 << 12):
+        bm = key_bits(keys.where("k is not null"), "k", bits)
+        assert with_may_hold(keys, "k", bm, bits, "m").where("not m and k is not null").count() == 0
+        assert with_may_hold(keys, "k", bm, bits, "m").where("m and k is null").count() == 0
+    others = spark.range(3000, 13000).select(F.concat(F.lit("é"), "id").alias("k"))
+    assert with_may_hold(others, "k", key_bits(keys, "k", 1 << 20), 1 << 20, "m").where("m").count() < 100
