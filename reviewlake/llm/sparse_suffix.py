@@ -48,7 +48,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,8 @@ RUN = 65_536             # rows of a run that one task extends at most
 NO_ID = -(1 << 63)       # stands for a null id
 _TOKEN = re.compile(r"[^ \t\n\r\v\f]+")
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: passages that start at words lo to hi of a document stand earlier, first in f_id
+SPAN = np.dtype([("lo", "<i4"), ("hi", "<i4"), ("f_id", "<i8")])
 
 
 def exact_words(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -164,12 +166,19 @@ def neighbour_matches(rows: DataFrame) -> DataFrame:
             start = r["h"] if goes_on else None
         elif r["h"] != start:                           # the last run began in this partition
             head = (r["h"], r["id"], r["crc"], r["place"])
-    carried = spark.createDataFrame(entering, "part int, h long, g_id long, g_crc long, g_place int")
-    joined = found.where("kind = 0").join(F.broadcast(carried), ["part", "h"], "left")                  # a row per partition at most
+    joined = found.where("kind = 0").join(F.broadcast(_carried(spark, entering)), ["part", "h"], "left")   # a row per partition at most
     out = joined.select("id", "crc", "place", *(F.coalesce(f"g_{x}", f"f_{x}").alias(f"f_{x}") for x in ("id", "crc", "place")))
     return out.where("id <> f_id or crc <> f_crc or place <> f_place")
 
 
+def _carried(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Heads that runs bring into a partition.  Given as an Arrow table: a list
+    of tuples would pass through Python workers of another kind than those of
+    ``mapInArrow``, and both kinds stay in every executor's memory."""
+    schema = pa.schema([("part", pa.int32()), ("h", pa.int64()), ("g_id", pa.int64()), ("g_crc", pa.int64()), ("g_place", pa.int32())])
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema))
+
+
 def _matches(kind, part, h, i, c, p, f_i, f_c, f_p) -> pa.RecordBatch:
     kinds = (pa.int32(), pa.int32(), *[pa.int64()] * 3, pa.int32(), pa.int64(), pa.int64(), pa.int32())
     cols = (kind, np.full(len(h), part, np.int32), h, i, c, np.asarray(p, np.int32), f_i, f_c, np.asarray(f_p, np.int32))
@@ -252,9 +261,22 @@ def whole_runs(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
+def packed(id_: np.ndarray, crc: np.ndarray, lo: np.ndarray, hi: np.ndarray, f_id: np.ndarray) -> pa.RecordBatch:
+    """Spans of some documents, a row (id, crc, spans) for each document."""
+    order = np.lexsort((lo, crc, id_))
+    i, c = id_[order], crc[order]
+    new = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (c[1:] != c[:-1])])[:len(i)])
+    spans = np.empty(len(i), SPAN)
+    for name, x in (("lo", lo), ("hi", hi), ("f_id", f_id)):
+        spans[name] = x[order]
+    ends = (np.append(new, len(i)) * SPAN.itemsize).astype(np.int32)
+    rows = pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(ends), pa.py_buffer(spans)])
+    return pa.record_batch([pa.array(i[new]), pa.array(c[new]), rows], names=["id", "crc", "spans"])
+
+
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in whole_runs(batches, RUN):
-        h, i, place, behind = (t.column(k).to_numpy() for k in ("h", "id", "place", "behind"))
+        h, i, crc, place, behind = (t.column(k).to_numpy() for k in ("h", "id", "crc", "place", "behind"))
         run = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
         head = earliest(run, *_around(t.column("around")), place, behind)
         # neighbouring starts with one head are one row: j counts words to the left, so they run downwards
@@ -265,10 +287,13 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = head[r, j] >= 0
         r, j, stop = r[keep], j[keep], stop[keep]
         if len(r):
-            rows = pa.array(r)
-            yield pa.record_batch([t.column("id").combine_chunks().take(rows), t.column("crc").combine_chunks().take(rows),
-                                   pa.array(place[r] - stop, pa.int32()), pa.array(place[r] - j, pa.int32()), pa.array(i[head[r, j]])],
-                                  names=["id", "crc", "lo", "hi", "f_id"])
+            yield packed(i[r], crc[r], place[r] - stop, place[r] - j, i[head[r, j]])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        if b.num_rows:
+            yield packed(*(b.column(k).to_numpy() for k in ("id", "crc", "lo", "hi", "f_id")))
 
 
 def _extended_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,13 +320,15 @@ def _extended_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def extensions(rows: DataFrame, run_rows: int = RUN) -> DataFrame:
-    """(id, crc, lo, hi, f_id) of the staged surroundings: passages of LEAST
-    words that start at words lo to hi stand earlier, first in f_id."""
+    """(id, crc, spans) of the staged surroundings: the passages of a document
+    that stand earlier, as bytes (``SPAN``), in a row for each document that a
+    task has at a time.  Rows of one span each would be objects in the heap of
+    the aggregate that puts a document's spans together."""
     n = shuffle_partitions(rows.sparkSession)
     long_runs = stage(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > run_rows).select("h"), "suffix-long-runs")
     order = ["h", "id", "crc", "place"]
     whole = rows.join(long_runs, "h", "left_anti").repartition(n, "h").sortWithinPartitions(*order)
-    out = map_arrow(whole, _extend, "id long, crc long, lo int, hi int, f_id long")
+    out = map_arrow(whole, _extend, "id long, crc long, spans binary")
     if long_runs.isEmpty():
         return out
     keyed = stage(map_arrow(rows.join(long_runs, "h"), _extended_keys, "a long, g long, id long, crc long, place int, j int"), "suffix-long")
@@ -309,7 +336,8 @@ def extensions(rows: DataFrame, run_rows: int = RUN) -> DataFrame:
     first = stage(keyed.groupBy("a", "g").agg(F.min(at).alias("f"), F.max(at).alias("l")).where("f <> l").select("a", "g", "f"), "suffix-heads")
     start = F.col("place") - F.col("j")
     later = keyed.join(first, ["a", "g"]).where(at != F.col("f"))
-    return out.unionByName(later.select("id", "crc", start.alias("lo"), start.alias("hi"), F.col("f.id").alias("f_id")))
+    spans = later.select("id", "crc", start.alias("lo"), start.alias("hi"), F.col("f.id").alias("f_id"))
+    return out.unionByName(map_arrow(spans, _pack, "id long, crc long, spans binary"))
 
 
 def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
@@ -325,20 +353,23 @@ def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, list[tuple[i
 
 
 def united(spans: pa.ListArray) -> tuple[list[list[tuple[int, int]]], list[list[int]]]:
-    """For each row's passages (lo, hi, f_id): the word ranges that they
-    cover, and the documents that hold the earliest passage of some start (a
-    place that not every occurrence selects may know a later one only)."""
-    flat, top = spans.flatten(), np.iinfo(np.int64).max
-    lo, hi, f = (flat.field(k).to_numpy().astype(np.int64) for k in ("lo", "hi", "f_id"))
+    """For each row's passages (lists of packed spans): the word ranges that
+    they cover, and the documents that hold the earliest passage of some start
+    (a place that not every occurrence selects may know a later one only)."""
+    each, top = spans.flatten(), np.iinfo(np.int64).max
+    flat = np.frombuffer(b"".join(each.to_pylist()), SPAN)
+    lo, size, f = flat["lo"].astype(np.int64), flat["hi"] - flat["lo"] + 1, flat["f_id"]
     n, row = len(spans), np.repeat(np.arange(len(spans)), pc.list_value_length(spans).to_numpy())
+    row = np.repeat(row, pc.binary_length(each).to_numpy() // SPAN.itemsize)
     low, high = np.full(n, top), np.full(n, -1)
     np.minimum.at(low, row, lo)
-    np.maximum.at(high, row, hi)
+    np.maximum.at(high, row, flat["hi"].astype(np.int64))
     starts = np.where(high < 0, 0, high - low + 1)
-    base, size = np.cumsum(starts) - starts, hi - lo + 1
-    at = np.repeat(base[row] + lo - low[row] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    first = np.full(int(starts.sum()), top)
-    np.minimum.at(first, at, np.repeat(f, size))
+    base = np.cumsum(starts) - starts
+    first, at = np.full(int(starts.sum()), top), base[row] + lo - low[row]
+    for k in range(size.max(initial=0)):               # a span has at most AROUND + 1 starts
+        more = size > k
+        np.minimum.at(first, at[more] + k, f[more])
     at = np.flatnonzero(first < top)
     owner = np.repeat(np.arange(n), starts)[at]
     start = at - base[owner] + low[owner]
@@ -365,7 +396,7 @@ def changed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     at = stage(places.groupBy("id", "crc").agg(F.collect_set("place").alias("at")), "suffix-places")
     some = stage(source.join(at, ["id", "crc"]).dropDuplicates(["id", "crc"]), "suffix-texts")
     again = extensions(stage(surroundings(some), "suffix-surroundings"), run_rows)
-    per_doc = again.groupBy("id", "crc").agg(F.collect_list(F.struct("lo", "hi", "f_id")).alias("spans"))
+    per_doc = again.groupBy("id", "crc").agg(F.collect_list("spans").alias("spans"))
     cases = some.select("id", "crc", "text").join(per_doc, ["id", "crc"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

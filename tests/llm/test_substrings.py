@@ -236,6 +236,51 @@ def test_extension_finds_the_earliest_equal_passage():
             assert head[r, j] == (same[0] if same and same[0] != r and same[-1] == r else -1)
 
 
+def test_spans_of_a_document_move_together(spark):
+    """A row for each document that a task has, its spans as bytes: no object for each span in the aggregate behind."""
+    rng = random.Random(3)
+    text = " ".join(f"{rng.random():.6f}" for _ in range(600))
+    place = suffix.suffixes(*suffix.exact_words(pa.array([text])))[1].tolist()
+    places = spark.createDataFrame([(i, 7, text, place) for i in range(30)], "id long, crc long, text string, at array<int>")
+    rows = suffix.stage(suffix.surroundings(places), "test-surroundings")
+    out = suffix.extensions(rows)
+    assert out.dtypes == [("id", "bigint"), ("crc", "bigint"), ("spans", "binary")]
+    got = out.collect()
+    tasks = suffix.shuffle_partitions(spark)
+    assert {r["id"] for r in got} == set(range(1, 30)) and len(got) <= 29 * tasks < 29 * len(place)
+    want = {p - j for p in place for j in range(suffix.AROUND + 1) if j <= p <= 600 - suffix.LEAST + j}
+    for some in (got, suffix.extensions(rows, run_rows=2).collect()):
+        for i in (1, 29):
+            spans = np.frombuffer(b"".join(r["spans"] for r in some if r["id"] == i), suffix.SPAN)
+            assert {x for lo, hi, f in spans.tolist() for x in range(lo, hi + 1)} == want and set(spans["f_id"].tolist()) == {0}
+        ranges, firsts = suffix.united(pa.array([[r["spans"] for r in some if r["id"] == i] for i in range(30)], pa.list_(pa.binary())))
+        assert ranges[0] == firsts[0] == [] and all(x == ranges[1] for x in ranges[1:]) and firsts[1:] == [[0]] * 29
+        assert sum(hi - lo for lo, hi in ranges[1]) == len({w for x in want for w in range(x, x + suffix.LEAST)})
+
+
+def test_uniting_takes_no_memory_for_each_start():
+    """Spans of 19 starts each: the peak stays below eight bytes a start."""
+    import tracemalloc
+    n = 100_000
+    lo = np.arange(n) // 10
+    spans = suffix.packed(np.zeros(n, np.int64), np.zeros(n, np.int64), lo, lo + suffix.AROUND, np.full(n, 5)).column("spans")
+    rows = pa.array([spans.to_pylist()], pa.list_(pa.binary()))
+    tracemalloc.start()
+    ranges, firsts = suffix.united(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ranges == [[(0, int(lo[-1]) + suffix.AROUND + suffix.LEAST)]] and firsts == [[5]]
+    assert peak < 8 * n * (suffix.AROUND + 1)
+
+
+def test_carried_heads_need_no_python_workers(spark):
+    for rows in ([], [(3, -5, 1, 2, 9)]):
+        df = suffix._carried(spark, rows)
+        assert [tuple(r) for r in df.collect()] == rows
+        assert df.dtypes == [("part", "int"), ("h", "bigint"), ("g_id", "bigint"), ("g_crc", "bigint"), ("g_place", "int")]
+        assert "ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_suffixes_of_odd_documents(odd_docs, no_docs):
     out = suffix.remove_repeats(odd_docs)
     assert out.columns == [*odd_docs.columns, "removed_", "first_ids"] and out.dtypes[:-2] == odd_docs.dtypes
