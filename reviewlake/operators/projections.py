@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake import config as C
@@ -81,6 +81,13 @@ def _as_ts(c):
     return parse_ts(c)
 
 
+def unfit_numbers(df: DataFrame) -> Column:
+    """Whether a row's rating or score does not fit the stored decimals."""
+    score = F.col("sentiment_score") if "sentiment_score" in df.columns else F.lit(None)
+    return ((F.col("rating").isNotNull() & F.col("rating").try_cast("decimal(3,1)").isNull())
+            | (score.isNotNull() & score.try_cast("decimal(5,3)").isNull()))
+
+
 def split_rejects(df: DataFrame, ingested_at=None) -> tuple[DataFrame, DataFrame]:
     """Store ``df`` and route rows whose numbers do not fit the stored
     decimals (overflow, non-numeric) to a reject frame instead of failing.
@@ -88,11 +95,7 @@ def split_rejects(df: DataFrame, ingested_at=None) -> tuple[DataFrame, DataFrame
     One projection, no join: the flag compares the raw value with its
     ``try_cast``.  Returns ``(stored_rows, rejected_raw_rows)``.
     """
-    score = F.col("sentiment_score") if "sentiment_score" in df.columns else F.lit(None)
-    flagged = df.withColumn(
-        "_reject",
-        (F.col("rating").isNotNull() & F.col("rating").try_cast("decimal(3,1)").isNull())
-        | (score.isNotNull() & score.try_cast("decimal(5,3)").isNull()))
+    flagged = df.withColumn("_reject", unfit_numbers(df))
     good = to_stored(flagged.where(~F.col("_reject")), ingested_at)
     rejects = flagged.where(F.col("_reject")).drop("_reject")
     return good, rejects

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import ExitStack, contextmanager
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.operators.cascade import ENRICHED, enrich
-from reviewlake.operators.merge import UPDATE_SENTIMENT, upsert
-from reviewlake.operators.projections import split_rejects, with_text_features
+from reviewlake.operators.merge import UPDATE_SENTIMENT, known_once, upsert
+from reviewlake.operators.projections import split_rejects, unfit_numbers, with_text_features
 from reviewlake.operators.setops import dedup_first, union_sources
 from reviewlake.session import shuffles_dropped
-from reviewlake.sources.tables import stage
+from reviewlake.sources.tables import SLICE, sliced, stage
 from reviewlake.sources.topic import encode_records
 
 
@@ -47,9 +50,19 @@ def processing_job(spark: SparkSession, stored: DataFrame, out_path: str) -> dic
     return {"input_rows": n_in, "written_rows": obs.get["rows"], "verified_rows": n_out}
 
 
+SLICE_BYTES, MAX_SLICES = 16_000_000, 6
+
+
+def slices_for(size: int) -> int:
+    """In how many slices to store what comes from so many bytes of input."""
+    return max(1, min(MAX_SLICES, size // SLICE_BYTES))
+
+
 def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame | None = None,
                    lexicon=None, ingested_at=None, topic_path: str | None = None,
-                   reject_path: str | None = None, item_reject_path: str | None = None) -> DataFrame:
+                   reject_path: str | None = None, item_reject_path: str | None = None,
+                   load_path: str | None = None, slices: int = 1,
+                   sources_read: Callable[[], None] | None = None) -> DataFrame:
     """collect (union + first occurrence) → sentiment + category → publish
     (encoded records appended to ``topic_path`` when given) → load (upsert
     into ``table``, or the first load).  Returns the loaded table.
@@ -59,7 +72,15 @@ def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame |
     ``item_reject_path`` the sources are flagged ones (see ``flag_sources``):
     items that cannot be reviews are appended there, with source and reason.
 
-    The sources are read once, in the write of their enriched rows."""
+    With ``load_path`` a first load is stored there, in ``slices`` by a hash of
+    the id (more than one: in a folder each, and with their column ``SLICE``);
+    the working rows of a slice go once it is published and stored.
+
+    The sources are read once, in the write of their enriched rows; for an
+    upsert that publishes nothing once more before it, for the ids alone (see
+    ``_without_known_texts``).  ``sources_read`` is called after that."""
+    if load_path and table is not None:
+        raise ValueError("load_path is for a first load")
     union = union_sources(sources)
     flags = ["reject_reason", "reject_source"] if item_reject_path else []
     columns = [c for c in union.columns if c not in ("source_priority", *flags)]
@@ -68,9 +89,11 @@ def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame |
     # duplicates, publishing, rejects, the key check and the joins of the upsert
     # read the enriched rows: they are written once to the shared checkpoint
     # folder and read back (survives executor loss, cuts the lineage)
-    rows = stage(enrich(union.withColumnsRenamed(given), "text", lexicon), "enriched")
+    rows = enrich(union.withColumnsRenamed(given), "text", lexicon)
     as_given = [F.col(given.get(c, c)).alias(c) for c in columns]
-    with shuffles_dropped(spark):
+
+    def publish(rows: DataFrame) -> DataFrame:
+        """Writes what ``rows`` hold besides the rows to store, which it returns."""
         if item_reject_path:
             rows.where(F.col("reject_reason").isNotNull()).select(*as_given, *flags).write.mode("append").parquet(item_reject_path)
             rows = rows.where(F.col("reject_reason").isNull()).drop(*flags)
@@ -83,9 +106,38 @@ def batch_load(spark: SparkSession, sources: list[DataFrame], table: DataFrame |
         if reject_path:
             no_id = rows.where(F.col("review_id").isNull()).select(*as_given)
             unfit.unionByName(no_id, allowMissingColumns=True).write.mode("append").parquet(reject_path)
+        return stored
+
+    if load_path:
+        for k, part in enumerate(sliced(rows, "enriched", "review_id", slices)):
+            if sources_read and not k:
+                sources_read()
+            with shuffles_dropped(spark):
+                publish(part).write.option("compression", "zstd").parquet(f"{load_path}/{SLICE}={k}" if slices > 1 else load_path)
+        return spark.read.parquet(load_path)
+    with ExitStack() as until_stored:
+        if table is not None and not topic_path:
+            rows = until_stored.enter_context(_without_known_texts(rows, union, table, bool(flags)))
+        rows = stage(rows, "enriched")
+    if sources_read:
+        sources_read()
+    with shuffles_dropped(spark):
+        stored = publish(rows)
     if table is None:
         return stored
-    return upsert(table, stored, "review_id", UPDATE_SENTIMENT, now=ingested_at, strategy="touched")
+    return upsert(table, stored, "review_id", UPDATE_SENTIMENT, now=ingested_at, strategy="touched",
+                  slice_col=SLICE if SLICE in table.columns else None)
+
+
+@contextmanager
+def _without_known_texts(rows: DataFrame, union: DataFrame, table: DataFrame, rejects: bool) -> Iterator[DataFrame]:
+    """Enriched ``rows`` of ``union``, the text null where nothing will read it:
+    the upsert takes only the sentiment of a row whose id the batch holds once
+    and ``table`` too.  Rejects and rows that share an id keep theirs."""
+    good = F.col("reject_reason").isNull() if rejects else F.lit(True)
+    with known_once(union.where(good).select("review_id"), table, "review_id") as flagged:
+        unread = F.col("_unread") & good & ~unfit_numbers(rows)
+        yield flagged(rows, "_unread").withColumn("text", F.when(~unread, F.col("text"))).drop("_unread")
 
 
 def flag_sources(payloads: dict[str, DataFrame]) -> list[DataFrame]:

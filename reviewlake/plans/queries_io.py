@@ -7,6 +7,8 @@ the session's shared checkpoint folder for every run.
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +23,10 @@ from reviewlake.plans.queries_more import (
 )
 from reviewlake.registry import register
 from reviewlake.schema import REVIEW
-from reviewlake.session import scratch_path
+from reviewlake.session import scratch_path, stored_bytes
 from reviewlake.sinks import files as S
 from reviewlake.sources import topic as TP
-from reviewlake.sources.tables import passing_tables, read_table, reviews, stage
+from reviewlake.sources.tables import read_table, reviews, stage
 from reviewlake.streaming import ingest as ST
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -169,25 +171,27 @@ def q_weekly_batch_load(spark, sf):
         return _first_load(spark, landed)
 
 
-def _first_load(spark, landed: dict[str, DataFrame]) -> DataFrame:
+def _first_load(spark, landed: dict[str, DataFrame], load_path: str | None = None, slices: int = 1) -> DataFrame:
     return jobs.batch_load(spark, jobs.flag_sources(landed), ingested_at=F.to_timestamp(F.lit(BATCH_INGESTED_AT)),
                            topic_path=scratch_path(spark, "published"), reject_path=scratch_path(spark, "rejects"),
-                           item_reject_path=scratch_path(spark, "item-rejects"))
+                           item_reject_path=scratch_path(spark, "item-rejects"), load_path=load_path, slices=slices)
 
 
 @register("batch_load_incremental")
 def q_batch_load_incremental(spark, sf):
     """A second weekly load into the table of the first: known reviews get
     the new sentiment, new ones are inserted.  Both loads land from one table
-    of reviews; the first one's working table goes once its result is stored."""
+    of reviews, which goes once the second has read it; the first one's working
+    table goes as its result is stored."""
     from reviewlake.sources import payloads as P
-    with landed_sources(spark, sf) as landed:
-        with passing_tables(spark):
-            table = stage(_first_load(spark, landed), "loaded", keep=True)
+    slices = jobs.slices_for(stored_bytes(spark, f"{sf.rstrip('/')}/documents.parquet"))
+    with ExitStack() as landing:
+        landed = landing.enter_context(landed_sources(spark, sf))
+        table = _first_load(spark, landed, scratch_path(spark, "loaded"), slices)
         again = P.normalise_play(landed["play"]).withColumn("text", F.concat(F.lit("Worst, useless. "), F.col("text")))
         fresh = again.withColumn("review_id", F.concat(F.lit("new_"), F.col("review_id")))
         return jobs.batch_load(spark, [again, fresh], table=table, ingested_at=F.to_timestamp(F.lit("2026-03-01 00:00:00")),
-                               reject_path=scratch_path(spark, "rejects"))
+                               reject_path=scratch_path(spark, "rejects"), sources_read=landing.close)
 
 
 def _load(spark, sf, columns: dict, policy: str) -> DataFrame:

@@ -120,6 +120,16 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files of a folder (0 on a remote session, which cannot see them)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — remote session: only the platform sees the folder
+        return 0
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 @contextmanager
 def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of the writes inside go when each write ends, not when

@@ -157,6 +157,27 @@ def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+SLICE = "_slice"        # of a table stored in a folder for each of a few hash values of its key
+
+
+def sliced(df: DataFrame, name: str, key: str, count: int) -> Iterator[DataFrame]:
+    """Write ``df`` once, dealt into ``count`` folders by a hash of ``key`` (the
+    rows of a key lie in one of them), and read them back one at a time.  A
+    folder is deleted when the next one is asked for, so that what is made of
+    the rows takes the room on disk that they leave."""
+    from reviewlake.session import drop_scratch, scratch_path, shuffles_dropped
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    dealt = df.withColumn(SLICE, F.pmod(F.hash(key), F.lit(count)))
+    try:
+        with shuffles_dropped(spark):
+            dealt.write.mode("overwrite").option("compression", "zstd").partitionBy(SLICE).parquet(path)
+        for k in range(count):
+            yield spark.read.schema(dealt.schema).parquet(path).where(F.col(SLICE) == k).drop(SLICE)
+            drop_scratch(spark, f"{path}/{SLICE}={k}")
+    finally:
+        drop_scratch(spark, path)
+
+
 @contextmanager
 def passing_tables(spark: SparkSession) -> Iterator[None]:
     """The tables staged inside are deleted at the end: for steps whose result

@@ -240,3 +240,108 @@ def test_two_loads_leave_only_the_tables_they_need(spark, tmp_path):
     assert all(got["new_" + k].review_text.startswith("Worst, useless. ") and got["new_" + k].sentiment_score == got[k].sentiment_score for k in play)
     left = sorted(re.sub(r"-[0-9a-f]{12}$", "", x) for x in set(os.listdir(scratch)) - before if re.search(r"-[0-9a-f]{12}$", x))
     assert left == ["changes", "enriched", "item-rejects", "loaded", "published", "rejects", "rejects"]
+
+
+REVIEW_COLS = ("review_id string, source string, store_id string, store_name string, store_city string, rating double, text string, "
+               "language string, date string, sport_category string, collected_at string")
+
+
+def _source(spark, rows):
+    """Source rows of (id, text) or (id, text, rating)."""
+    return spark.createDataFrame([(r[0], "s", "st", "n", "c", r[2] if len(r) > 2 else 4.0, r[1], "en", "2026-01-01T00:00:00", "other", None) for r in rows], REVIEW_COLS)
+
+
+def _slices_at(path):
+    import os
+    return sorted(x for x in os.listdir(path) if x.startswith("_slice="))
+
+
+def test_slices_go_one_by_one(spark):
+    from reviewlake.session import checkpoint_dir
+    from reviewlake.sources.tables import sliced
+    import os
+    scratch = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(scratch))
+    df = spark.createDataFrame([(f"k{i % 40}" if i % 9 else None, i) for i in range(200)], "k string, n int")
+    seen, there = [], []
+    for part in sliced(df, "parts", "k", 4):
+        (folder,) = [x for x in os.listdir(scratch) if x not in before and x.startswith("parts-")]
+        there.append(len(_slices_at(f"{scratch}/{folder}")))
+        assert part.columns == ["k", "n"]
+        seen.append(part.collect())
+    assert there == [4, 3, 2, 1] and not [x for x in os.listdir(scratch) if x not in before and x.startswith("parts-")]
+    assert sorted(r.n for rows in seen for r in rows) == list(range(200))
+    assert all(sum(any(r.k == k for r in rows) for rows in seen) == 1 for k in {r.k for rows in seen for r in rows})
+    empty = [part.collect() for part in sliced(df.where("n < 0"), "parts", "k", 3)]
+    assert empty == [[], [], []]
+
+
+def test_a_load_in_slices_is_the_same_load(spark, tmp_path):
+    """Also with duplicates across sources, rows without an id, numbers that do
+    not fit and rejected items; the working rows of a slice are gone before the last is stored."""
+    from pyspark.sql import functions as F
+
+    first = _source(spark, [(f"i{k}", f"first {k}", 999.0 if k == 3 else 4.0) for k in range(30)] + [(None, "none")])
+    second = _source(spark, [(f"i{k}", f"second {k}") for k in range(20, 50)] + [("i49", "again"), (None, "none")])
+    bad = F.when(F.col("review_id").isin("i7", "i45"), F.lit("bad"))
+    sources = [s.withColumn("reject_reason", bad).withColumn("reject_source", F.lit("src")) for s in (first, second)]
+
+    def run(name, **kw):
+        at, read = tmp_path / name, []
+        out = jobs.batch_load(spark, sources, ingested_at=F.to_timestamp(F.lit("2026-01-01")), topic_path=str(at / "topic"), reject_path=str(at / "rejects"),
+                              item_reject_path=str(at / "items"), sources_read=lambda: read.append(len(list((at / "topic").glob("*")) if (at / "topic").exists() else [])), **kw)
+        assert read == [0]                                  # once, before anything is published
+        return [sorted(map(str, df.drop("_slice").collect())) for df in (out, *[spark.read.parquet(str(at / x)) for x in ("topic", "rejects", "items")])]
+    plain = run("plain")
+    assert [len(x) for x in plain] == [47, 48, 3, 2]
+    assert run("one", load_path=str(tmp_path / "t1")) == plain
+    assert run("four", load_path=str(tmp_path / "t4"), slices=4) == plain and len(_slices_at(tmp_path / "t4")) == 4
+    with pytest.raises(ValueError):
+        jobs.batch_load(spark, sources, table=spark.read.parquet(str(tmp_path / "t1")), load_path=str(tmp_path / "t5"))
+
+
+def test_an_upsert_stores_no_text_that_it_does_not_read(spark, tmp_path, monkeypatch):
+    """The text of a known id is not stored again, unless the batch repeats the
+    id, the row is a reject or the load publishes it."""
+    from reviewlake.sources import tables
+    staged = []
+    monkeypatch.setattr(jobs, "stage", lambda df, name: staged.append(tables.stage(df, name)) or staged[-1])
+    old = _source(spark, [(x, f"old {x}") for x in ("a", "b", "c", "d", "e")])
+    batch = _source(spark, [("a", "great a"), ("b", "a great b"), ("b", "useless b"), ("c", "great c", 999.0), ("n", "great n"), (None, "great none")])
+    for slices in (1, 3):
+        table = jobs.batch_load(spark, [old], load_path=str(tmp_path / f"table{slices}"), slices=slices)
+        out = jobs.batch_load(spark, [batch], table=table, reject_path=str(tmp_path / f"rejects{slices}"))
+        assert out.columns == [c for c in table.columns if c != "_slice"]
+        got = {r.review_id: (r.review_text, r.sentiment_label) for r in out.collect()}
+        assert got == {"a": ("old a", "positive"), "b": ("old b", "positive"), "c": ("old c", "neutral"), "d": ("old d", "neutral"),
+                       "e": ("old e", "neutral"), "n": ("great n", "positive")}
+        assert sorted(r.text for r in spark.read.parquet(str(tmp_path / f"rejects{slices}")).collect()) == ["great c", "great none"]
+        rows = [(r.review_id, r.text) for r in staged.pop().collect()]
+        assert sorted(rows, key=str) == sorted([("a", None), ("b", "a great b"), ("b", "useless b"), ("c", "great c"), ("n", "great n"), (None, "great none")], key=str)
+    out = jobs.batch_load(spark, [batch], table=table, topic_path=str(tmp_path / "topic"))
+    assert out.count() == 6 and all(r.text for r in staged.pop().collect()) and spark.read.parquet(str(tmp_path / "topic")).count() == 4
+
+
+def test_two_loads_in_slices_give_the_same_rows(spark, tmp_path, monkeypatch):
+    """The first load's working rows and the landed reviews are gone when the second load's are joined."""
+    import os
+
+    from reviewlake.operators import merge
+    from reviewlake.registry import all_queries
+    from reviewlake.session import checkpoint_dir
+    sf = str(tmp_path / "in")
+    for name, rows, schema in [
+            ("documents", [(i, f"a great bike, document {i}" if i % 5 else None, "en", f"src{i % 3}", 20 + i) for i in range(1, 31)], "doc_id long, text string, lang string, source string, n_chars long"),
+            ("labels", [(i, i % 2, 0) for i in range(1, 20)], "doc_id long, quality int, toxic int"),
+            ("orders", [(i, "2026-01-02") for i in range(1, 25)], "o_orderkey long, o_orderdate string"),
+            ("nation", [(i, f"N{i}") for i in range(25)], "n_nationkey int, n_name string"),
+            ("conversations", [(1, i, "user", f"a long enough post, number {i}") for i in range(3)], "conv_id long, turn int, role string, text string")]:
+        df = spark.createDataFrame(rows, schema)
+        (df.selectExpr("o_orderkey", "cast(o_orderdate as timestamp_ntz) o_orderdate") if name == "orders" else df).write.parquet(f"{sf}/{name}.parquet")
+    query, scratch, there = all_queries()["batch_load_incremental"], checkpoint_dir(spark).removeprefix("file:"), []
+    one = sorted(map(str, query(spark, sf).collect()))
+    monkeypatch.setattr(jobs, "SLICE_BYTES", 1)
+    before, by_slice = set(os.listdir(scratch)), merge._by_slice
+    monkeypatch.setattr(merge, "_by_slice", lambda *a: there.extend(sorted(x[:-13] for x in set(os.listdir(scratch)) - before if x[-13:-12] == "-")) or by_slice(*a))
+    assert sorted(map(str, query(spark, sf).collect())) == one
+    assert there == ["changes", "enriched", "item-rejects", "loaded", "published", "rejects", "rejects"]

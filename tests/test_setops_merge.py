@@ -1,5 +1,6 @@
 """Union, first-occurrence dedup and keyed upsert properties."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from reviewlake.operators.merge import UPDATE_TOUCH_ONLY, upsert
@@ -152,3 +153,20 @@ def test_key_bits_miss_no_key(spark):
         assert with_may_hold(keys, "k", bm, bits, "m").where("m and k is null").count() == 0
     others = spark.range(3000, 13000).select(F.concat(F.lit("é"), "id").alias("k"))
     assert with_may_hold(others, "k", key_bits(keys, "k", 1 << 20), 1 << 20, "m").where("m").count() < 100
+
+
+def test_upsert_by_slices_is_the_upsert(spark, tmp_path):
+    """A table in folders: the touched rows are stored slice by slice, the result has no slice column."""
+    from reviewlake.operators.merge import upsert
+    cols = "review_id string, sentiment_label string, sentiment_score double, t string, _slice int"
+    table = spark.createDataFrame([(f"k{i}" if i else None, "old", 0.0, f"t{i}", i % 3) for i in range(60)], cols)
+    table.write.partitionBy("_slice").parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    batch = spark.createDataFrame([(f"k{i}", "new" if i % 2 else None, 1.0, f"b{i}") for i in range(50, 70)], "review_id string, sentiment_label string, sentiment_score double, t string")
+    want = sorted(map(str, upsert(table.drop("_slice"), batch).collect()))
+    got = upsert(table, batch, strategy="touched", slice_col="_slice")
+    assert got.columns == ["review_id", "sentiment_label", "sentiment_score", "t"] and sorted(map(str, got.collect())) == want
+    none = upsert(table.where("t is null"), batch, strategy="touched", slice_col="_slice")
+    assert none.count() == 20
+    with pytest.raises(ValueError):
+        upsert(table, batch, slice_col="_slice")
